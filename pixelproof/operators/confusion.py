@@ -17,17 +17,22 @@ from ..functions.labels import decode_label, error_kind, is_correct, ratio
 CELLS = ("true_positive", "true_negative", "false_positive", "false_negative")
 
 
-def confusion_cells(predictions: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
-    """The four cells for all models in one pass, with the rows that fall into none."""
+def cell_counts() -> dict[str, Column]:
+    """The four cells, and the rows that fall into none, as aggregates over predictions."""
     label, answer = F.col("label"), F.col("prediction")
-    return predictions.groupBy(*by).agg(
-        F.count_if((label == 1) & (answer == 1)).alias("true_positive"),
-        F.count_if((label == 0) & (answer == 0)).alias("true_negative"),
-        F.count_if((label == 0) & (answer == 1)).alias("false_positive"),
-        F.count_if((label == 1) & (answer == 0)).alias("false_negative"),
-        F.count_if(label.isNull() | answer.isNull()).alias("n_null"),
-        F.count(F.lit(1)).alias("n_rows"),
-    )
+    return {
+        "true_positive": F.count_if((label == 1) & (answer == 1)),
+        "true_negative": F.count_if((label == 0) & (answer == 0)),
+        "false_positive": F.count_if((label == 0) & (answer == 1)),
+        "false_negative": F.count_if((label == 1) & (answer == 0)),
+        "n_null": F.count_if(label.isNull() | answer.isNull()),
+        "n_rows": F.count(F.lit(1)),
+    }
+
+
+def confusion_cells(predictions: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
+    """The confusion matrix of every model in one pass."""
+    return predictions.groupBy(*by).agg(*[count.alias(name) for name, count in cell_counts().items()])
 
 
 def confusion_long(predictions: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
@@ -61,7 +66,10 @@ def binary_metrics(cells: DataFrame, by: Sequence[str] = ("model",)) -> DataFram
 
 
 def weighted_metrics(cells: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
-    """Precision, recall and F1 of both classes, weighted by how many rows carry the label."""
+    """Precision, recall and F1 of both classes, weighted by how many rows carry the label.
+
+    ``by`` names the columns to keep.
+    """
     tp, tn, fp, fn = _cells()
     n, n_fake, n_real = tp + tn + fp + fn, tp + fn, tn + fp
     scores = {

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import ratio
+from ..schemas import LABEL_CODES
 
 MAX_CUTS = 8192
 
@@ -32,23 +33,29 @@ def auc_exact(
     score: str = "fake_probability",
     by: str = "model",
     buckets: int | None = None,
+    counts: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Area under the ROC curve from ranks, ties counted half; null with one class only.
 
     Equal scores collapse to one row before anything is sorted. Those rows are
-    sorted within quantile buckets, and each bucket shrinks to three sums, so no
+    sorted within quantile buckets, and each bucket shrinks to a few sums, so no
     task sees more than its share and the last step works on one row per bucket.
+    ``counts`` are further count columns to carry along over all rows, which
+    saves a second pass over the predictions.
     """
-    usable = predictions.where(F.col("label").isin(0, 1) & F.col(score).isNotNull() & ~F.isnan(score)).select(
-        by, "label", F.col(score).cast("double").alias("score")
-    )
-    cuts = score_cuts(usable, "score", buckets)
-    points = usable.groupBy(by, "score").agg(
-        F.count_if(F.col("label") == 1).cast("double").alias("pos"),
-        F.count_if(F.col("label") == 0).cast("double").alias("neg"),
+    counts = counts or {}
+    usable = F.col("label").isin(0, 1) & ~F.isnan(score)
+    ranked = predictions.withColumn("score", F.when(usable, F.col(score).cast("double")))
+    cuts = score_cuts(ranked, "score", buckets)
+    has_score = F.col("score").isNotNull()
+    points = ranked.groupBy(by, "score").agg(
+        F.count_if(has_score & (F.col("label") == 1)).cast("double").alias("pos"),
+        F.count_if(has_score & (F.col("label") == 0)).cast("double").alias("neg"),
+        *[count.alias(name) for name, count in counts.items()],
     )
     splits = [float("-inf"), *(cuts or [0.0]), float("inf")]
-    points = Bucketizer(splits=splits, inputCol="score", outputCol="bucket").transform(points)
+    points = Bucketizer(splits=splits, inputCol="score", outputCol="bucket", handleInvalid="keep").transform(points)
+    points = points.withColumn("bucket", F.col("bucket").cast("int"))
 
     lower_in_bucket = Window.partitionBy(by, "bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     per_bucket = (
@@ -58,6 +65,7 @@ def auc_exact(
             F.sum("pos").alias("pos"),
             F.sum("neg").alias("neg"),
             F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2)).alias("wins"),
+            *[F.sum(name).alias(name) for name in counts],
         )
     )
     lower_buckets = Window.partitionBy(by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -70,6 +78,7 @@ def auc_exact(
             F.try_divide(
                 F.sum(F.col("wins") + F.col("pos") * F.col("below")), F.sum("pos") * F.sum("neg")
             ).alias("auc_roc"),
+            *[F.sum(name).alias(name) for name in counts],
         )
     )
 
@@ -142,7 +151,5 @@ def sample_per_class(rows: DataFrame, n: int = 50, label: str = "label_name", ke
     if n <= limit:
         place = F.row_number().over(Window.partitionBy(label).orderBy(key))
         return rows.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
-    from ..schemas import LABEL_CODES
-
     classes = [rows.where(F.col(label) == name).orderBy(key).limit(n) for name in LABEL_CODES]
     return reduce(DataFrame.unionByName, classes)

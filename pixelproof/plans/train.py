@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.labels import decode_label
-from ..operators.confusion import confusion_cells, weighted_metrics
+from ..operators.confusion import cell_counts, confusion_cells, weighted_metrics
 from ..operators.linear import one_row_per_model
 from ..operators.ranking import auc_exact
 from ..schemas import CONFUSION_MATRIX, LOGISTIC_REGRESSION, METRICS, PREDICTIONS, RANDOM_FOREST, TEST, TRAIN
@@ -68,12 +68,22 @@ def load_model(path: str) -> PipelineModel:
 
 
 def probabilities(rows: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
-    """One column of P(FAKE) per model, ``p_<model>``, from a single scan of the features."""
+    """One column of P(FAKE) per model, ``p_<model>``, from a single scan of the features.
+
+    Preparation stages that models share, such as the scaler, run once per row.
+    """
+    applied: set[str] = set()
+    kept = list(rows.columns)
     for name, model in models.items():
-        kept = rows.columns
+        *preparation, classifier = model.stages
+        for stage in preparation:
+            if stage.uid not in applied:
+                rows = stage.transform(rows.drop(stage.getOutputCol()))
+                applied.add(stage.uid)
         fake = vector_to_array("probability")[1].alias(f"p_{name}")
-        rows = model.transform(rows).select(*kept, fake)
-    return rows
+        rows = classifier.transform(rows).select(*rows.columns, fake)
+        kept.append(f"p_{name}")
+    return rows.select(*kept)
 
 
 def score_models(rows: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
@@ -86,12 +96,11 @@ def score_models(rows: DataFrame, models: dict[str, PipelineModel]) -> DataFrame
 
 
 def evaluate(predictions: DataFrame, seconds: dict[str, float] | None = None) -> DataFrame:
-    """The metrics table: one row per model, weighted metrics and exact ROC area."""
-    weighted = weighted_metrics(confusion_cells(predictions))
-    area = auc_exact(predictions).select("model", "auc_roc")
+    """The metrics table: one row per model, weighted metrics and exact ROC area, in one aggregation."""
+    totals = auc_exact(predictions, counts=cell_counts())
     pairs = [F.lit(x) for item in (seconds or {}).items() for x in item]
     took = F.try_element_at(F.create_map(*pairs), F.col("model")) if pairs else F.lit(None)
-    return weighted.join(area, "model", "left").select(
+    return weighted_metrics(totals, by=("model", "auc_roc")).select(
         "model",
         "accuracy",
         F.col("precision_weighted").alias("precision"),

@@ -62,10 +62,11 @@ BYTE_COUNTS = (
     BYTES
     + """,
 digits AS (
-  SELECT page_id, hex(content) AS digits, unnest(range(0, octet_length(content))) AS i FROM files),
+  SELECT page_id, unnest(regexp_extract_all(hex(content), '..')) AS pair FROM files),
+pairs AS (
+  SELECT page_id, pair, count(*) AS n FROM digits GROUP BY page_id, pair),
 byte_counts AS (
-  SELECT page_id, ('0x' || substr(digits, (2 * i + 1)::int, 2))::int AS byte, count(*) AS n
-  FROM digits GROUP BY 1, 2),
+  SELECT page_id, ('0x' || pair)::int AS byte, n FROM pairs),
 byte_scores AS (
   SELECT f.page_id, f.path, 1 / (1 + exp(-sum(n * (((byte * 37) % 17 - 8) / 4096.0::double)))) AS p
   FROM byte_counts JOIN files f USING (page_id) GROUP BY 1, 2)"""
@@ -480,6 +481,19 @@ SELECT split, count(*) AS n_rows, count(*) FILTER (WHERE NOT is_broken) AS n_usa
 FROM broken GROUP BY split""",
 )
 SQL["quarantine_rows"] = select(BROKEN, "SELECT path, label, label_name, split FROM broken WHERE is_broken")
+SQL["inference_sample"] = select(
+    METRICS
+    + f""",
+best AS (
+  SELECT model FROM metrics ORDER BY accuracy DESC, CASE model WHEN '{LR}' THEN 1 ELSE 2 END LIMIT 1),
+placed AS (
+  SELECT vec_id, label_name, row_number() OVER (PARTITION BY label_name ORDER BY vec_id) AS place
+  FROM feat WHERE split = 'test')""",
+    """
+SELECT vec_id AS path, p.label_name AS actual_label, CASE s.prediction WHEN 0 THEN 'REAL' ELSE 'FAKE' END AS predicted_label,
+       s.prediction
+FROM placed p JOIN scored s USING (vec_id) JOIN best USING (model) WHERE place <= 20""",
+)
 SQL["score_reloaded"] = "SELECT count(*) AS n_rows, count(*) AS n_same FROM embeddings"
 
 # ---- decisions and report --------------------------------------------------------

@@ -22,6 +22,7 @@ from ..plans.train import (
     feature_importance,
     fit_models,
     load_model,
+    run_training,
     save_model,
     scaler,
     score_models,
@@ -435,6 +436,25 @@ def train_and_evaluate(spark, sf_dir):
     return evaluate(tables.read_table(spark, folder), {n: f.seconds for n, f in fitted.items()})
 
 
+@query
+def train_wide(spark, sf_dir):
+    return run_training(spark, rel.land_wide_features(spark, sf_dir), run_folder(spark, "results"))
+
+
+@query
+def inference_sample(spark, sf_dir):
+    best = decisions.champion(rel.vector_metrics(spark, sf_dir)).first()["best_model"]
+    test = rel.features(spark, sf_dir).where(F.col("split") == TEST)
+    sample = ranking.sample_per_class(test.drop("path").withColumnRenamed("vec_id", "path"), 20)
+    scored = score_features(sample, rel.SCORERS[best], rel.WIDTH)
+    return scored.select(
+        "path",
+        F.col("label_name").alias("actual_label"),
+        F.col("result").alias("predicted_label"),
+        "prediction",
+    )
+
+
 # ---- decisions and report ------------------------------------------------------
 
 

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import struct
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.features import Featurizer
 from ..functions.labels import decode_label
 from ..operators.linear import LinearScorer, one_row_per_model
+from ..plans.extract import PARTITIONS, feature_rows
 from ..plans.train import evaluate
-from ..schemas import LOGISTIC_REGRESSION, RANDOM_FOREST
+from ..schemas import FEATURE_WIDTH, LOGISTIC_REGRESSION, RANDOM_FOREST
 from ..session import run_folder
+from ..sources.tables import write_table
 
 WIDTH = 64
 WEIGHTS = tuple(((i * 37) % 17 - 8) / 8.0 for i in range(WIDTH))
@@ -117,11 +121,17 @@ def vector_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- files that Spark writes from the tables, one per row ----------------------
 
 
+def _one_file_per_row(rows: DataFrame, by: tuple[str, ...] = ()):
+    """A writer for many small files, spread over all cores however few splits the table has."""
+    spread = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+    return spread.write.option("maxRecordsPerFile", 1).partitionBy(*by)
+
+
 def land_pages(spark: SparkSession, sf_dir: str) -> str:
     """Each page as a file in split and label folders; a line end closes each file."""
     folder = run_folder(spark, "page-files")
     pages = file_bytes(spark, sf_dir).select("split", "label_name", F.col("content").cast("string"))
-    pages.write.option("maxRecordsPerFile", 1).partitionBy("split", "label_name").text(folder)
+    _one_file_per_row(pages, ("split", "label_name")).text(folder)
     return folder
 
 
@@ -131,8 +141,8 @@ def land_endings(spark: SparkSession, sf_dir: str) -> str:
     pages = file_bytes(spark, sf_dir).select("split", F.hex("content").alias("digits"))
     for ending, split in (("jpg", "train"), ("png", "test")):
         part = pages.where(F.col("split") == split).select("digits")
-        part.write.option("maxRecordsPerFile", 1).option("extension", ending).csv(f"{folder}/{ending}")
-    pages.select("digits").write.option("maxRecordsPerFile", 1).text(f"{folder}/txt")
+        _one_file_per_row(part).option("extension", ending).csv(f"{folder}/{ending}")
+    _one_file_per_row(pages.select("digits")).text(f"{folder}/txt")
     return folder
 
 
@@ -161,6 +171,40 @@ def land_pictures(spark: SparkSession, sf_dir: str) -> str:
         .cast("string")
         .alias("content"),
     )
-    rows.write.option("maxRecordsPerFile", 1).partitionBy("split", "label_name").text(folder)
+    _one_file_per_row(rows, ("split", "label_name")).text(folder)
     return folder
 
+
+def _price(content: bytes) -> float:
+    return float(content)
+
+
+def _waves(prices: list[float]) -> np.ndarray:
+    dim = np.arange(FEATURE_WIDTH)
+    angles = np.outer(np.asarray(prices) / 100000, dim % 64 + 1) / 8
+    return np.cos(angles + dim // 64).astype(np.float32)
+
+
+def _load_price_waves():
+    return _price, _waves
+
+
+def price_waves() -> Featurizer:
+    """Cosines of an order's price at 64 frequencies and 20 phases, as wide as the pretrained network."""
+    return Featurizer("price_waves", FEATURE_WIDTH, _load_price_waves)
+
+
+def land_wide_features(spark: SparkSession, sf_dir: str) -> str:
+    """A features table of published width, one row per order; the label is a price above 150,000."""
+    folder = run_folder(spark, "wide-features")
+    label = (F.col("o_totalprice") > 150000).cast("int")
+    raw = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("path"),
+        F.col("o_totalprice").cast("string").cast("binary").alias("content"),
+        label.alias("label"),
+        decode_label(label).alias("label_name"),
+        split_of(F.col("o_orderkey")).alias("split"),
+    )
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    write_table(feature_rows(raw, price_waves(), tasks=tasks), folder, partition_by=PARTITIONS)
+    return folder
