@@ -95,17 +95,15 @@ def extracted(item: Column, featurizer: Featurizer) -> Column:
     return run(item)
 
 
-def with_features(
-    df: DataFrame, featurizer: Featurizer, item: str = "content", tasks: int | None = None
-) -> DataFrame:
+def with_features(df: DataFrame, featurizer: Featurizer, item: str = "content", tasks: int | None = None) -> DataFrame:
     """Replace ``item`` by features and error; every row is kept.
 
-    Small files are already packed into even tasks by the scan
-    (``spark.sql.files.openCostInBytes`` per file), so there is no shuffle unless
-    ``tasks`` asks for more parallelism than the input splits give.
+    The scan packs small files into tasks by ``spark.sql.files.openCostInBytes``,
+    some thirty a task by default. ``tasks`` merges such splits, without a
+    shuffle, so that the model is loaded less often and output files are larger.
     """
     ship_package(df.sparkSession)
-    rows = df.repartition(tasks) if tasks else df
+    rows = df.coalesce(tasks) if tasks else df
     others = [c for c in df.columns if c != item]
     return rows.select(*others, extracted(F.col(item), featurizer).alias("_x")).select(
         *others, "_x.features", "_x.error"

@@ -10,7 +10,7 @@ from ..functions.labels import decode_label
 from ..operators.decisions import champion
 from ..operators.ranking import sample_per_class
 from ..schemas import INFERENCE_SAMPLE, METRICS, TEST
-from ..sources.files import IMAGE_GLOB, scan_files, with_split_and_label
+from ..sources.files import IMAGE_GLOB, as_literal_glob, scan_files, with_split_and_label
 from ..sources.tables import read_table, write_table
 from .extract import run_extraction
 from .report import run_report
@@ -42,13 +42,13 @@ def run_sample(
 ) -> DataFrame:
     """Answers of the best stored model for the first n test files of each class.
 
-    The sample is chosen from the listing; contents are read for chosen files only.
+    The sample is chosen from the listing; only the chosen files are read.
     """
     best = champion(read_table(spark, f"{results}/metrics", METRICS)).first()
     model = load_model(f"{results}/models/{best['best_model']}")
     listing = with_split_and_label(scan_files(spark, root, glob=glob)).where(F.col("split") == TEST)
     chosen = sample_per_class(listing.select("path", "label_name"), n)
-    paths = [row["path"] for row in chosen.collect()]  # at most n per class
+    paths = [as_literal_glob(row["path"]) for row in chosen.collect()]  # at most n per class
     sample = with_split_and_label(scan_files(spark, paths, glob=glob)).select("path", "content", "label_name")
     scored = score_features(with_features(sample, featurizer), model, featurizer.width)
     rows = scored.select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,14 +21,25 @@ def scan_files(spark: SparkSession, root: str | list[str], glob: str = IMAGE_GLO
 
     One load covers all folders and endings. ``content`` is read only when a
     later step asks for it, so listings and inventories stay metadata jobs.
+    Spark's file sources leave out files of zero bytes.
     """
     return _file_source(spark.read.format("binaryFile"), glob, recursive).load(root)
 
 
-def scan_images(spark: SparkSession, root: str, glob: str = IMAGE_GLOB) -> DataFrame:
-    """Decoded pictures as path, image; a file that cannot be decoded stays, with height -1."""
+def scan_images(spark: SparkSession, root: str | list[str], glob: str = IMAGE_GLOB) -> DataFrame:
+    """Decoded pictures as path, image; a file that cannot be decoded stays, with height -1.
+
+    The ``image`` source escapes its file names; they are undone here so that a
+    picture has the same path in every scan.
+    """
     images = _file_source(spark.read.format("image").option("dropInvalid", False), glob, True).load(root)
-    return images.select(F.col("image.origin").alias("path"), "image")
+    escaped = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return images.select(F.url_decode(escaped).alias("path"), "image")
+
+
+def as_literal_glob(path: str) -> str:
+    """A path from an earlier scan, safe to load again: loads read their paths as globs."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
 def _file_source(reader, glob: str, recursive: bool):

@@ -205,6 +205,6 @@ def land_wide_features(spark: SparkSession, sf_dir: str) -> str:
         decode_label(label).alias("label_name"),
         split_of(F.col("o_orderkey")).alias("split"),
     )
-    tasks = 2 * spark.sparkContext.defaultParallelism
-    write_table(feature_rows(raw, price_waves(), tasks=tasks), folder, partition_by=PARTITIONS)
+    spread = raw.repartition(2 * spark.sparkContext.defaultParallelism)
+    write_table(feature_rows(spread, price_waves()), folder, partition_by=PARTITIONS)
     return folder
