@@ -16,10 +16,13 @@ def to_vector(features: str | Column) -> Column:
 
 
 def dot(features: Column, weights: Sequence[float]) -> Column:
-    """Inner product with fixed weights, summed in double."""
+    """Inner product with fixed weights, summed in double; another width fails, null stays null."""
     fixed = F.array(*[F.lit(float(w)) for w in weights])
     products = F.zip_with(features, fixed, lambda x, w: x.cast("double") * w)
-    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+    total = F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+    wrong = F.raise_error(F.concat(F.lit(f"expected {len(weights)} features, got "), F.size(features).cast("string")))
+    fits = features.isNull() | (F.size(features) == len(weights))
+    return F.when(fits, total).otherwise(wrong.cast("double"))
 
 
 def is_zero_vector(features: Column) -> Column:

@@ -13,18 +13,27 @@ from ..functions.labels import ratio
 from ..schemas import LABEL_CODES
 
 MAX_CUTS = 8192
+CUT_GROUPS = 256
 
 
 def score_cuts(rows: DataFrame, score: str, buckets: int | None = None) -> list[float]:
     """Quantiles that cut the scores into about equal shares; at most MAX_CUTS numbers.
 
     They only decide how work is spread: any cuts give the same results later.
+    Input partitions are summarised in CUT_GROUPS groups, and the groups' quantiles
+    are joined by their weight, so no task merges a summary of every partition.
     """
     if buckets is None:
         buckets = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(2, min(buckets, MAX_CUTS))
     shares = [i / buckets for i in range(1, buckets)]
-    found = rows.agg(F.percentile_approx(score, shares, 10 * buckets).alias("cuts")).first()
+    groups = (
+        rows.select(score)
+        .groupBy((F.spark_partition_id() % CUT_GROUPS).alias("part"))
+        .agg(F.percentile_approx(score, shares, 2 * buckets).alias("cuts"), F.count(score).alias("weight"))
+        .select(F.explode("cuts").alias("cut"), "weight")
+    )
+    found = groups.agg(F.percentile("cut", shares, F.col("weight")).alias("cuts")).first()
     return sorted(set(found["cuts"] or []))
 
 
@@ -97,7 +106,7 @@ def threshold_sweep(
     levels = sorted(set(map(float, thresholds)))
     exceeded = reduce(Column.__add__, [(F.col(score) > t).cast("int") for t in levels])
     counts = (
-        predictions.where(F.col("label").isin(0, 1) & F.col(score).isNotNull())
+        predictions.where(F.col("label").isin(0, 1) & F.col(score).isNotNull() & ~F.isnan(score))
         .groupBy(by, "label", exceeded.alias("exceeded"))
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -31,7 +31,7 @@ def run_all(
     """Files to features, models, metrics and report tables below ``out``; returns the output check."""
     features = f"{out}/features"
     run_extraction(spark, root, features, featurizer, glob, decoded)
-    run_training(spark, features, f"{out}/results")
+    run_training(spark, features, f"{out}/results", featurizer)
     return run_report(
         spark, features, f"{out}/results", dataset, featurizer.name, featurizer.width, generated
     )
@@ -45,7 +45,7 @@ def run_sample(
     The sample is chosen from the listing; only the chosen files are read.
     """
     best = champion(read_table(spark, f"{results}/metrics", METRICS)).first()
-    model = load_model(f"{results}/models/{best['best_model']}")
+    model = load_model(f"{results}/models/{best['best_model']}", featurizer)
     listing = with_split_and_label(scan_files(spark, root, glob=glob)).where(F.col("split") == TEST)
     chosen = sample_per_class(listing.select("path", "label_name"), n)
     paths = [as_literal_glob(row["path"]) for row in chosen.collect()]  # at most n per class

@@ -13,12 +13,22 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.features import Featurizer
 from ..functions.labels import decode_label
 from ..operators.confusion import cell_counts, confusion_cells, weighted_metrics
 from ..operators.linear import one_row_per_model
 from ..operators.ranking import auc_exact
-from ..schemas import CONFUSION_MATRIX, LOGISTIC_REGRESSION, METRICS, PREDICTIONS, RANDOM_FOREST, TEST, TRAIN
-from ..sources.tables import read_features, read_table, write_table
+from ..schemas import (
+    CONFUSION_MATRIX,
+    LOGISTIC_REGRESSION,
+    METRICS,
+    PREDICTIONS,
+    RANDOM_FOREST,
+    TEST,
+    TRAIN,
+    TRAINED_ON,
+)
+from ..sources.tables import read_features, read_if_present, read_table, write_table
 
 SCALED = "scaled_features"
 
@@ -68,11 +78,25 @@ def fit_models(
     return fitted
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+class FeaturizerMismatch(ValueError):
+    """The model was trained on another featurizer's vectors."""
 
 
-def load_model(path: str) -> PipelineModel:
+def save_model(model: PipelineModel, path: str, featurizer: Featurizer | None = None) -> None:
+    """Store scaler and classifier together, and which featurizer they belong to."""
+    model.write().overwrite().save(path)
+    if featurizer:
+        spark = SparkSession.active()
+        known = spark.createDataFrame([(featurizer.name, featurizer.width)], TRAINED_ON)
+        write_table(known, f"{path}/featurizer")
+
+
+def load_model(path: str, featurizer: Featurizer | None = None) -> PipelineModel:
+    """Load a stored model; with ``featurizer``, fail unless it is the one trained on."""
+    if featurizer:
+        known = read_if_present(SparkSession.active(), f"{path}/featurizer", TRAINED_ON).first()
+        if known and tuple(known) != (featurizer.name, featurizer.width):
+            raise FeaturizerMismatch(f"trained on {tuple(known)}, not {(featurizer.name, featurizer.width)}")
     return PipelineModel.load(path)
 
 
@@ -127,7 +151,9 @@ def feature_importance(model: PipelineModel, spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "dim int, importance double")
 
 
-def run_training(spark: SparkSession, features_path: str, out: str) -> DataFrame:
+def run_training(
+    spark: SparkSession, features_path: str, out: str, featurizer: Featurizer | None = None
+) -> DataFrame:
     """Fit, store models, predictions, metrics and confusion matrix; return the metrics.
 
     Evaluation reads the stored predictions, so vectors are scored once and
@@ -136,7 +162,7 @@ def run_training(spark: SparkSession, features_path: str, out: str) -> DataFrame
     features = read_features(spark, features_path)
     fitted = fit_models(features.where(F.col("split") == TRAIN))
     for name, one in fitted.items():
-        save_model(one.model, f"{out}/models/{name}")
+        save_model(one.model, f"{out}/models/{name}", featurizer)
     test = features.where(F.col("split") == TEST)
     write_table(
         score_models(test, {n: f.model for n, f in fitted.items()}),

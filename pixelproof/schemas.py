@@ -91,3 +91,5 @@ NEW_PREDICTIONS = _table(
 )
 
 NEW_PREDICTIONS_CSV = _table(path=StringType(), result=StringType(), confidence=DoubleType())
+
+TRAINED_ON = _table(name=StringType(), width=IntegerType())

@@ -175,23 +175,26 @@ def land_pictures(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
-def _price(content: bytes) -> float:
-    return float(content)
+def _key_and_price(content: bytes) -> tuple[float, float]:
+    key, price = content.split(b"|")
+    return float(key), float(price)
 
 
-def _waves(prices: list[float]) -> np.ndarray:
+def _noisy_prices(orders: list[tuple[float, float]]) -> np.ndarray:
+    keys, prices = np.asarray(orders).T[:, :, None]
     dim = np.arange(FEATURE_WIDTH)
-    angles = np.outer(np.asarray(prices) / 100000, dim % 64 + 1) / 8
-    return np.cos(angles + dim // 64).astype(np.float32)
+    noise = np.sin(keys * (dim + 1) * 12.9898) * 43758.5453 % 1
+    signal = np.tanh((prices - 150000) / 100000) * (dim % 5 - 2)
+    return (noise + signal / 25).astype(np.float32)
 
 
-def _load_price_waves():
-    return _price, _waves
+def _load_noisy_prices():
+    return _key_and_price, _noisy_prices
 
 
-def price_waves() -> Featurizer:
-    """Cosines of an order's price at 64 frequencies and 20 phases, as wide as the pretrained network."""
-    return Featurizer("price_waves", FEATURE_WIDTH, _load_price_waves)
+def noisy_prices() -> Featurizer:
+    """Noise per order and dimension with a trace of the price, as wide as the pretrained network."""
+    return Featurizer("noisy_prices", FEATURE_WIDTH, _load_noisy_prices)
 
 
 def land_wide_features(spark: SparkSession, sf_dir: str) -> str:
@@ -200,11 +203,11 @@ def land_wide_features(spark: SparkSession, sf_dir: str) -> str:
     label = (F.col("o_totalprice") > 150000).cast("int")
     raw = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("path"),
-        F.col("o_totalprice").cast("string").cast("binary").alias("content"),
+        F.concat_ws("|", "o_orderkey", "o_totalprice").cast("binary").alias("content"),
         label.alias("label"),
         decode_label(label).alias("label_name"),
         split_of(F.col("o_orderkey")).alias("split"),
     )
     spread = raw.repartition(2 * spark.sparkContext.defaultParallelism)
-    write_table(feature_rows(spread, price_waves()), folder, partition_by=PARTITIONS)
+    write_table(feature_rows(spread, noisy_prices()), folder, partition_by=PARTITIONS)
     return folder

@@ -89,6 +89,24 @@ def test_stored_models_answer_the_same(rows, fitted, scored, tmp_path):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, scored.collect()))
 
 
+def test_model_knows_its_featurizer(fitted, tmp_path):
+    model, path = fitted["LogisticRegression"].model, str(tmp_path / "model")
+    mine = Featurizer("mine", 16, lambda: None)
+    train.save_model(model, path, mine)
+    assert train.load_model(path, mine).stages[-1].numFeatures == 16
+    for other in (Featurizer("other", 16, lambda: None), Featurizer("mine", 17, lambda: None)):
+        with pytest.raises(train.FeaturizerMismatch):
+            train.load_model(path, other)
+
+
+def test_linear_scorer_refuses_another_width(spark):
+    rows = spark.createDataFrame([("a", [1.0, 2.0]), ("b", None)], "path string, features array<float>")
+    found = {r["path"]: r["prediction"] for r in LinearScorer((1.0, 1.0)).transform(rows).collect()}
+    assert found == {"a": 1.0, "b": None}
+    with pytest.raises(Exception, match="expected 3 features, got 2"):
+        LinearScorer((1.0, 1.0, 1.0)).transform(rows).collect()
+
+
 def test_subset_scores_equal_unless_the_scaler_is_refitted(spark, rows, fitted):
     model = fitted["LogisticRegression"].model
     stored = rows.select("path", F.col("features").alias("v"), F.lit(None).cast("string").alias("error"))

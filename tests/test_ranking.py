@@ -116,3 +116,20 @@ def test_sample_per_class_with_and_without_group_limit(spark):
 def test_ties_at_the_top_are_broken_by_path(spark):
     rows = spark.createDataFrame([("b", 9.0), ("a", 9.0), ("c", 10.0)], "path string, confidence double")
     assert [r["path"] for r in ranking.top_suspects(rows, 2).collect()] == ["c", "a"]
+
+
+def test_cuts_share_rows_evenly_however_they_are_stored(spark):
+    """Three quarters of the rows lie in one input partition and all partitions differ."""
+    rows = (
+        spark.range(0, 12000, 1, 1)
+        .unionByName(spark.range(12000, 16000, 1, 7))
+        .select((F.col("id").cast("double") / 16000).alias("score"))
+    )
+    cuts = ranking.score_cuts(rows, "score", 16)
+    assert cuts == sorted(cuts) and 10 <= len(cuts) <= 15
+    sizes = np.histogram(np.arange(16000) / 16000, bins=[-np.inf, *cuts, np.inf])[0]
+    assert sizes.max() <= 3 * 16000 / 16
+
+
+def test_cuts_of_nothing(spark):
+    assert ranking.score_cuts(spark.createDataFrame([], "score double"), "score", 8) == []
