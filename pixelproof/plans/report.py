@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.confusion import confusion_cells
 from ..operators.decisions import insight_facts, output_check, report_facts, report_series, table_sizes
 from ..operators.distribution import class_distribution
-from ..schemas import FEATURES, METRICS, PREDICTIONS
+from ..schemas import CONFUSION_MATRIX, FEATURES, METRICS
 from ..sources.tables import read_table, write_table
 
 
@@ -36,9 +35,9 @@ def run_report(
     """Write business_insight, report_series and report_info; return the output check."""
     features = read_table(spark, features_path, FEATURES).select("split", "label_name")
     metrics = read_table(spark, f"{out}/metrics", METRICS)
-    predictions = read_table(spark, f"{out}/predictions", PREDICTIONS)
+    cells = read_table(spark, f"{out}/confusion_matrix", CONFUSION_MATRIX)
     write_table(insight_facts(metrics, features, dataset, extractor, width), f"{out}/business_insight")
-    series = report_series(metrics, confusion_cells(predictions), class_distribution(features), width)
+    series = report_series(metrics, cells, class_distribution(features), width)
     write_table(series, f"{out}/report_series")
     write_table(report_facts(metrics, f"{out}/report_series", generated), f"{out}/report_info")
     return output_check(table_sizes(spark, expected_tables(features_path, out)))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.features import Featurizer
 from ..functions.labels import decode_label
-from ..operators.confusion import cell_counts, confusion_cells, weighted_metrics
+from ..operators.confusion import cell_counts, weighted_metrics
 from ..operators.linear import one_row_per_model
 from ..operators.ranking import auc_exact
 from ..schemas import (
@@ -128,9 +128,13 @@ def score_models(rows: DataFrame, models: dict[str, PipelineModel]) -> DataFrame
     return long.select(*[c for c in PREDICTIONS.fieldNames() if c in long.columns])
 
 
-def evaluate(predictions: DataFrame, seconds: dict[str, float] | None = None) -> DataFrame:
-    """The metrics table: one row per model, weighted metrics and exact ROC area, in one aggregation."""
-    totals = auc_exact(predictions, counts=cell_counts())
+def evaluation(predictions: DataFrame) -> DataFrame:
+    """Confusion cells and exact ROC area of every model, in one aggregation."""
+    return auc_exact(predictions, counts=cell_counts())
+
+
+def metrics_of(totals: DataFrame, seconds: dict[str, float] | None = None) -> DataFrame:
+    """The metrics table, one row per model with weighted metrics, from an evaluation."""
     pairs = [F.lit(x) for item in (seconds or {}).items() for x in item]
     took = F.try_element_at(F.create_map(*pairs), F.col("model")) if pairs else F.lit(None)
     return weighted_metrics(totals, by=("model", "auc_roc")).select(
@@ -144,6 +148,11 @@ def evaluate(predictions: DataFrame, seconds: dict[str, float] | None = None) ->
     )
 
 
+def evaluate(predictions: DataFrame, seconds: dict[str, float] | None = None) -> DataFrame:
+    """Predictions to the metrics table."""
+    return metrics_of(evaluation(predictions), seconds)
+
+
 def feature_importance(model: PipelineModel, spark: SparkSession) -> DataFrame:
     """Importance of each feature of a forest: as many rows as the vector is wide."""
     importances = model.stages[-1].featureImportances.toArray()
@@ -156,8 +165,9 @@ def run_training(
 ) -> DataFrame:
     """Fit, store models, predictions, metrics and confusion matrix; return the metrics.
 
-    Evaluation reads the stored predictions, so vectors are scored once and
-    nothing has to be held in memory between the steps.
+    Vectors are scored once and the stored predictions aggregated once; the result
+    tables are projections of that aggregation. Nothing is held in memory between
+    the steps.
     """
     features = read_features(spark, features_path)
     fitted = fit_models(features.where(F.col("split") == TRAIN))
@@ -168,10 +178,10 @@ def run_training(
         score_models(test, {n: f.model for n, f in fitted.items()}),
         f"{out}/predictions",
         partition_by=("model",),
+        whole_table=True,
     )
-    predictions = read_table(spark, f"{out}/predictions", PREDICTIONS)
-    metrics = evaluate(predictions, {n: f.seconds for n, f in fitted.items()})
-    write_table(metrics, f"{out}/metrics")
-    cells = confusion_cells(predictions).select(*CONFUSION_MATRIX.fieldNames())
-    write_table(cells, f"{out}/confusion_matrix")
+    write_table(evaluation(read_table(spark, f"{out}/predictions", PREDICTIONS)), f"{out}/evaluation")
+    totals = read_table(spark, f"{out}/evaluation")
+    write_table(metrics_of(totals, {n: f.seconds for n, f in fitted.items()}), f"{out}/metrics")
+    write_table(totals.select(*CONFUSION_MATRIX.fieldNames()), f"{out}/confusion_matrix")
     return read_table(spark, f"{out}/metrics", METRICS)

@@ -50,7 +50,10 @@ _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application."""
+    """Send this package to the Python workers, once per application.
+
+    Only the driver reads the archive; Spark serves it to the executors.
+    """
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

@@ -49,14 +49,34 @@ def union_all(first: DataFrame, *others: DataFrame) -> DataFrame:
     return first
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: tuple[str, ...] = ()) -> None:
-    """Write Parquet. With partition columns, overwrite replaces only the partitions written."""
+def write_table(
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    partition_by: tuple[str, ...] = (),
+    whole_table: bool = False,
+) -> None:
+    """Write Parquet. Overwriting with partition columns replaces only the partitions written,
+    unless ``whole_table`` asks to drop the others too.
+    """
     writer = df.write.mode(mode)
     if partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+        replaced = "static" if whole_table else "dynamic"
+        writer = writer.option("partitionOverwriteMode", replaced).partitionBy(*partition_by)
     writer.parquet(path)
 
 
+def is_stream_table(spark: SparkSession, path: str) -> bool:
+    """Whether a streaming query owns the table: readers then see only files in its log."""
+    try:
+        spark.read.text(f"{path}/_spark_metadata")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV part files written by the executors, each with a header."""
     df.write.mode(mode).options(**CSV_OPTIONS).csv(path)

@@ -19,9 +19,11 @@ from ..plans.score import refitted, score_features, score_new
 from ..plans.train import (
     classifiers,
     evaluate,
+    evaluation,
     feature_importance,
     fit_models,
     load_model,
+    metrics_of,
     run_training,
     save_model,
     scaler,
@@ -491,9 +493,12 @@ def report_facts(spark, sf_dir):
 
 @query
 def report_series(spark, sf_dir):
-    cells = confusion.confusion_cells(rel.scored_vectors(spark, sf_dir))
+    folder = run_folder(spark, "evaluation")
+    tables.write_table(evaluation(rel.scored_vectors(spark, sf_dir)), folder)
+    totals = tables.read_table(spark, folder)
     shares = distribution.class_distribution(rel.features(spark, sf_dir))
-    return rounded(decisions.report_series(rel.vector_metrics(spark, sf_dir), cells, shares, rel.WIDTH), 4)
+    metrics = metrics_of(totals, rel.TRAIN_SECONDS)
+    return rounded(decisions.report_series(metrics, totals, shares, rel.WIDTH), 4)
 
 
 EXPECTED = ("embeddings", "documents", "labels", "lineitem", "pages", "events", "predictions")

@@ -79,3 +79,5 @@ def test_overwrite_replaces_only_written_partitions(spark, tmp_path):
     tables.write_table(df, out, partition_by=("split",))
     tables.write_table(df.where("split = 'test'").selectExpr("v + 10 AS v", "split"), out, partition_by=("split",))
     assert sorted(r["v"] for r in tables.read_table(spark, out).collect()) == [1, 12]
+    tables.write_table(df.where("split = 'train'"), out, partition_by=("split",), whole_table=True)
+    assert [r["v"] for r in tables.read_table(spark, out).collect()] == [1]

@@ -1,8 +1,10 @@
+import pytest
 from fixtures import png_tree
 from pyspark.sql import functions as F
 
 from pixelproof.functions.featurizers import byte_histogram
 from pixelproof.operators.linear import LinearScorer
+from pixelproof.plans.extract import run_extraction
 from pixelproof.plans.score import score_new
 from pixelproof.schemas import FEATURES
 from pixelproof.sources.files import scan_files
@@ -51,6 +53,8 @@ def test_extraction_in_steps(spark, tmp_path):
     (tmp_path / "raw/loose.png").write_bytes(b"outside the folders")
     root, out, checkpoint = str(tmp_path / "raw"), str(tmp_path / "features"), str(tmp_path / "checkpoint")
     extract_stream(file_stream(spark, root, files_per_trigger=4), byte_histogram(), out, checkpoint)
-    assert read_table(spark, out, FEATURES).groupBy("split", "label_name").count().collect().__len__() == 4
+    assert read_table(spark, out, FEATURES).select("split", "label_name").distinct().count() == 4
     extract_stream(file_stream(spark, root, files_per_trigger=4), byte_histogram(), out, checkpoint)
     assert read_table(spark, out, FEATURES).count() == 12
+    with pytest.raises(ValueError, match="belongs to a stream"):
+        run_extraction(spark, root, out, byte_histogram())
