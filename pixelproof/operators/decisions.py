@@ -102,6 +102,7 @@ def insight_facts(
     threshold: float = SUFFICIENT_ACCURACY,
 ) -> DataFrame:
     """The fourteen facts of the summary, as text; the image count is counted."""
+    # The names of the facts.
     best_accuracy, best_f1 = F.max("accuracy"), F.max("f1_score")
     from_metrics = {
         "Dataset": F.lit(dataset),

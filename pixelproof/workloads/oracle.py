@@ -9,7 +9,7 @@ W = "[((i * 37) % 17 - 8) / 8.0 for i in range(0, 64)]::double[]"
 FEAT = """
 feat AS (
   SELECT vec_id, embedding, (label % 2)::int AS label,
-         CASE WHEN label % 2 = 0 THEN 'REAL' ELSE 'FAKE' END AS label_name,
+         CASE label % 2 WHEN 0 THEN 'REAL' WHEN 1 THEN 'FAKE' END AS label_name,
          CASE WHEN vec_id % 6 = 0 THEN 'test' ELSE 'train' END AS split
   FROM embeddings)"""
 
@@ -25,7 +25,7 @@ margins AS (
 scored_p AS (
   SELECT model, vec_id, label, label_name, 1 / (1 + exp(-margin)) AS p FROM margins),
 scored AS (
-  SELECT *, CASE WHEN p > 0.5 THEN 1 ELSE 0 END::double AS prediction FROM scored_p)"""
+  SELECT *, (p > 0.5)::int::double AS prediction FROM scored_p)"""
 )
 
 LI = """
@@ -38,8 +38,8 @@ li_p AS (
   UNION ALL
   SELECT 'RandomForest', path, label, l_quantity / 50 * 0.6::double + l_tax * 5 FROM li_label),
 scored AS (
-  SELECT model, path, label, CASE WHEN label = 0 THEN 'REAL' ELSE 'FAKE' END AS label_name, p,
-         (CASE WHEN p > 0.5 THEN 1 ELSE 0 END)::double AS prediction
+  SELECT model, path, label, CASE label WHEN 0 THEN 'REAL' WHEN 1 THEN 'FAKE' END AS label_name, p,
+         (p > 0.5)::int::double AS prediction
   FROM li_p)"""
 
 DOCS = """
@@ -54,7 +54,7 @@ docs AS (
 BYTES = """
 files AS (
   SELECT page_id, url AS path, html, encode(html) AS content, (page_id % 2)::int AS label,
-         CASE WHEN page_id % 2 = 0 THEN 'REAL' ELSE 'FAKE' END AS label_name,
+         CASE page_id % 2 WHEN 0 THEN 'REAL' WHEN 1 THEN 'FAKE' END AS label_name,
          CASE WHEN page_id % 6 = 0 THEN 'test' ELSE 'train' END AS split
   FROM pages)"""
 
@@ -286,8 +286,8 @@ SQL["confusion_wide_documents"] = select(DOCS_CELLS, "SELECT * FROM cells")
 SQL["confusion_long"] = select(
     LI,
     """
-SELECT model, CASE label WHEN 0 THEN 'REAL' ELSE 'FAKE' END AS actual_label,
-       CASE prediction WHEN 0 THEN 'REAL' ELSE 'FAKE' END AS predicted_label, count(*) AS n
+SELECT model, label_name AS actual_label,
+       CASE prediction WHEN 0 THEN 'REAL' WHEN 1 THEN 'FAKE' END AS predicted_label, count(*) AS n
 FROM scored GROUP BY 1, 2, 3""",
 )
 SQL["binary_metrics"] = select(
@@ -348,7 +348,8 @@ sweep AS (
          count(*) FILTER (WHERE label = 1 AND NOT p > threshold) AS {FN}
   FROM scored, thresholds GROUP BY model, threshold)""",
     f"""
-SELECT *, round({ratio(TP, f"{TP} + {FP}")}, 6) AS precision_fake, round({ratio(TP, f"{TP} + {FN}")}, 6) AS recall_fake,
+SELECT *, round({ratio(TP, f"{TP} + {FP}")}, 6) AS precision_fake,
+       round({ratio(TP, f"{TP} + {FN}")}, 6) AS recall_fake,
        round({ratio(FP, f"{FP} + {TN}")}, 6) AS false_positive_rate, round({ratio(f"{TP} + {TN}", N)}, 6) AS accuracy
 FROM sweep""",
 )
@@ -370,7 +371,7 @@ FROM feat""",
 SQL["result_summary"] = select(
     LI,
     f"""
-SELECT CASE prediction WHEN 0 THEN 'REAL' ELSE 'FAKE' END AS result, count(*) AS n,
+SELECT CASE prediction WHEN 0 THEN 'REAL' WHEN 1 THEN 'FAKE' END AS result, count(*) AS n,
        round(count(*)::double / sum(count(*)) OVER (), 6) AS share
 FROM scored WHERE model = '{LR}' GROUP BY 1""",
 )
@@ -427,7 +428,8 @@ histogram AS (
   FROM channels GROUP BY ALL),
 moments AS (
   SELECT vec_id, split, label_name, channel, avg(level)::float AS mean,
-         sqrt(avg(level * level) - avg(level) * avg(level))::float AS std, min(level)::float AS low, max(level)::float AS high
+         sqrt(avg(level * level) - avg(level) * avg(level))::float AS std,
+         min(level)::float AS low, max(level)::float AS high
   FROM channels GROUP BY ALL),
 dims AS (
   SELECT vec_id, split, label_name, dim, value FROM histogram
@@ -469,7 +471,8 @@ SQL["score_new"] = select(
 answers AS (
   SELECT b.path, CASE WHEN b.path LIKE '%/' OR b.path LIKE '%page=%' THEN NULL ELSE p END AS p FROM byte_scores b)""",
     """
-SELECT path, (p > 0.5)::int::double AS prediction, CASE WHEN p > 0.5 THEN 'FAKE' WHEN p <= 0.5 THEN 'REAL' END AS result,
+SELECT path, (p > 0.5)::int::double AS prediction,
+       CASE WHEN p > 0.5 THEN 'FAKE' WHEN p <= 0.5 THEN 'REAL' END AS result,
        round(p * 100, 6) AS confidence, CASE WHEN p IS NULL THEN 'broken' END AS error
 FROM answers""",
 )
@@ -490,8 +493,8 @@ placed AS (
   SELECT vec_id, label_name, row_number() OVER (PARTITION BY label_name ORDER BY vec_id) AS place
   FROM feat WHERE split = 'test')""",
     """
-SELECT vec_id AS path, p.label_name AS actual_label, CASE s.prediction WHEN 0 THEN 'REAL' ELSE 'FAKE' END AS predicted_label,
-       s.prediction
+SELECT vec_id AS path, p.label_name AS actual_label,
+       CASE s.prediction WHEN 0 THEN 'REAL' WHEN 1 THEN 'FAKE' END AS predicted_label, s.prediction
 FROM placed p JOIN scored s USING (vec_id) JOIN best USING (model) WHERE place <= 20""",
 )
 SQL["score_reloaded"] = "SELECT count(*) AS n_rows, count(*) AS n_same FROM embeddings"

@@ -9,7 +9,10 @@ def metrics(spark, lr, rf):
     return spark.createDataFrame(rows, METRICS)
 
 
-@pytest.mark.parametrize("lr, rf, best", [(0.9, 0.8, "LogisticRegression"), (0.8, 0.9, "RandomForest"), (0.9, 0.9, "LogisticRegression")])
+@pytest.mark.parametrize(
+    "lr, rf, best",
+    [(0.9, 0.8, "LogisticRegression"), (0.8, 0.9, "RandomForest"), (0.9, 0.9, "LogisticRegression")],
+)
 def test_champion(spark, lr, rf, best):
     assert decisions.champion(metrics(spark, lr, rf)).first()["best_model"] == best
 

@@ -60,7 +60,8 @@ def test_every_scan_spells_a_path_alike(spark, tmp_path):
 def test_broken_picture_stays_in_the_scan(spark, tmp_path):
     (tmp_path / "good.png").write_bytes(png(np.zeros((4, 4, 3))))
     (tmp_path / "bad.png").write_bytes(b"no picture")
-    found = {r["path"].rsplit("/", 1)[1]: r["image"]["height"] for r in files.scan_images(spark, str(tmp_path)).collect()}
+    rows = files.scan_images(spark, str(tmp_path)).collect()
+    found = {r["path"].rsplit("/", 1)[1]: r["image"]["height"] for r in rows}
     assert found == {"good.png": 4, "bad.png": -1}
 
 

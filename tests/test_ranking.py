@@ -11,6 +11,9 @@ from pixelproof.operators import ranking
 from pixelproof.operators.confusion import CELLS, cell_counts, confusion_cells
 
 
+SCORES = [0.0, 0.2, 0.2000001, 0.5, 0.9, 1.0, 3.5, -2.0]
+
+
 def brute_force_auc(pairs):
     pos = [s for y, s in pairs if y == 1]
     neg = [s for y, s in pairs if y == 0]
@@ -30,7 +33,7 @@ def auc(df, **options):
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
-    pairs=st.lists(st.tuples(st.integers(0, 1), st.sampled_from([0.0, 0.2, 0.2000001, 0.5, 0.9, 1.0, 3.5, -2.0])), min_size=2, max_size=40),
+    pairs=st.lists(st.tuples(st.integers(0, 1), st.sampled_from(SCORES)), min_size=2, max_size=40),
     buckets=st.integers(2, 9),
 )
 def test_equals_all_pairs(spark, pairs, buckets):

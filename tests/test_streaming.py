@@ -1,11 +1,13 @@
 import pytest
-from fixtures import png_tree
+from fixtures import png_tree, separable
 from pyspark.sql import functions as F
 
 from pixelproof.functions.featurizers import byte_histogram
+from pixelproof.functions.vectors import to_vector
 from pixelproof.operators.linear import LinearScorer
 from pixelproof.plans.extract import run_extraction
-from pixelproof.plans.score import score_new
+from pixelproof.plans.score import score_features, score_new
+from pixelproof.plans.train import classifiers, fit_models
 from pixelproof.schemas import FEATURES
 from pixelproof.sources.files import scan_files
 from pixelproof.sources.tables import read_table, write_table
@@ -34,6 +36,27 @@ def test_second_run_scores_only_new_rows(spark, tmp_path):
     assert run().count() == 507
 
 
+def test_stored_pipeline_scores_a_stream(spark, tmp_path):
+    rows = separable(spark).select(
+        F.col("id").cast("string").alias("path"),
+        F.col("a").cast("array<float>").alias("features"),
+        F.lit(None).cast("string").alias("error"),
+        "label",
+    )
+    train = rows.withColumn("features", to_vector("features"))
+    model = fit_models(train, {"m": classifiers()["LogisticRegression"]})["m"].model
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    write_table(rows.repartition(5), source)
+
+    def score(df):
+        return score_features(df, model, 16)
+
+    arriving = table_stream(spark, source, rows.schema, files_per_trigger=2)
+    score_stream(arriving, score, out, str(tmp_path / "checkpoint"))
+    batch = {r["path"]: r["confidence"] for r in score(rows).collect()}
+    assert {r["path"]: r["confidence"] for r in read_table(spark, out).collect()} == batch
+
+
 def test_arriving_files_equal_batch(spark, tmp_path):
     png_tree(tmp_path)
     root, out = str(tmp_path / "raw"), str(tmp_path / "out")
