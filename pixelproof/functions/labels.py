@@ -41,7 +41,8 @@ def file_name(path: Column) -> Column:
 
 def percent_text(value: Column, scale: float = 1.0) -> Column:
     """Two decimals and a percent sign; ``scale`` 100 turns a ratio into percent."""
-    return F.format_string("%.2f%%", F.round(value * F.lit(float(scale)), 2))
+    number = F.round(value * F.lit(float(scale)), 2)
+    return F.when(number.isNotNull(), F.format_string("%.2f%%", number))
 
 
 def ratio(part: Column, whole: Column) -> Column:

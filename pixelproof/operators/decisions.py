@@ -169,7 +169,8 @@ def report_series(metrics: DataFrame, cells: DataFrame, distribution: DataFrame,
             ("TP", "true_positive"),
         )
     ]
-    part = F.concat_ws(" ", titled(F.col("split"), {"train": "Training", "test": "Test"}), "label_name")
+    split = titled(F.col("split"), {"train": "Training", "test": "Test"})
+    part = F.concat_ws(" ", split, F.coalesce("label_name", F.lit("without label")))
     slices = [
         ("dataset", F.lit("images"), part, F.col("n")),
         ("dataset", F.lit("share of split (%)"), part, F.col("share") * 100),

@@ -56,14 +56,14 @@ class Fitted:
 def fit_models(
     train: DataFrame, estimators: dict[str, Estimator] | None = None, keep: StorageLevel | None = None
 ) -> dict[str, Fitted]:
-    """Fit the scaler once and each classifier on its output.
+    """Fit the scaler once and each classifier on its output; rows without label or features teach nothing.
 
     Both learners cache their own compact blocks between iterations, so scaled
     rows are read only about three times per model. ``keep`` holds them for those
     reads, where memory or local disks have room for twice the stored features.
     Only the classifier's fit is timed.
     """
-    rows = train.select("features", "label")
+    rows = train.select("features", "label").dropna()
     scaling = scaler().fit(rows)
     scaled = scaling.transform(rows).select(SCALED, "label")
     if keep:

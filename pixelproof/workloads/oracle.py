@@ -107,7 +107,7 @@ weighted AS (
 AREA = """
 points AS (
   SELECT model, p, count(*) FILTER (WHERE label = 1)::double AS pos, count(*) FILTER (WHERE label = 0)::double AS neg
-  FROM scored GROUP BY model, p),
+  FROM scored WHERE p IS NOT NULL AND label IN (0, 1) GROUP BY model, p),
 ranked AS (
   SELECT *, coalesce(sum(neg) OVER (PARTITION BY model ORDER BY p
                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
@@ -222,7 +222,7 @@ SQL["scan_features"] = select(
 SELECT vec_id, label, label_name, split, len(embedding)::int AS width,
        round(embedding[1]::double, 6) AS first, round(embedding[-1]::double, 6) AS last,
        round(list_sum(embedding::double[]), 6) AS total
-FROM feat""",
+FROM feat WHERE embedding IS NOT NULL""",
 )
 SQL["empty_features"] = select(FEAT, "SELECT split, label_name, count(*) AS n FROM feat GROUP BY split, label_name")
 SQL["csv_roundtrip"] = select(
@@ -418,7 +418,9 @@ SQL["image_histogram"] = select(
     FEAT
     + """,
 levels AS (
-  SELECT vec_id, split, label_name, floor((unnest(embedding)::double + 1) * 127.5)::int AS level FROM feat),
+  SELECT vec_id, CASE WHEN label_name IS NOT NULL THEN split END AS split, label_name,
+         floor((unnest(embedding)::double + 1) * 127.5)::int AS level
+  FROM feat),
 channels AS (
   SELECT vec_id, split, label_name, 0 AS channel, (level // 2)::int AS level FROM levels
   UNION ALL SELECT vec_id, split, label_name, 1, 255 - level FROM levels
@@ -462,8 +464,8 @@ scaled AS (
 answers AS (SELECT vec_id, 1 / (1 + exp(-margin)) AS p FROM scaled)""",
     """
 SELECT vec_id, (p > 0.5)::int::double AS prediction, round(p * 100, 6) AS confidence,
-       CASE WHEN p > 0.5 THEN 'FAKE' ELSE 'REAL' END AS result
-FROM answers""",
+       CASE WHEN p > 0.5 THEN 'FAKE' WHEN p <= 0.5 THEN 'REAL' END AS result
+FROM feat LEFT JOIN answers USING (vec_id)""",
 )
 SQL["score_new"] = select(
     BYTE_COUNTS
@@ -497,7 +499,7 @@ SELECT vec_id AS path, p.label_name AS actual_label,
        CASE s.prediction WHEN 0 THEN 'REAL' WHEN 1 THEN 'FAKE' END AS predicted_label, s.prediction
 FROM placed p JOIN scored s USING (vec_id) JOIN best USING (model) WHERE place <= 20""",
 )
-SQL["score_reloaded"] = "SELECT count(*) AS n_rows, count(*) AS n_same FROM embeddings"
+SQL["score_reloaded"] = "SELECT count(embedding) AS n_rows, count(embedding) AS n_same FROM embeddings"
 
 # ---- decisions and report --------------------------------------------------------
 
@@ -545,7 +547,7 @@ _REPORT = {
 SQL["report_facts"] = select(
     METRICS, " UNION ALL ".join(f"SELECT '{k}' AS key, {v} AS value" for k, v in _REPORT.items())
 )
-_PART = "CASE split WHEN 'train' THEN 'Training ' ELSE 'Test ' END || label_name"
+_PART = "CASE split WHEN 'train' THEN 'Training ' ELSE 'Test ' END || coalesce(label_name, 'without label')"
 _SERIES = [
     f"SELECT 'accuracy' AS section, 'Accuracy (%)' AS series, {TITLE} AS x, accuracy * 100 AS y FROM metrics",
     *[

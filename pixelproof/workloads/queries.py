@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.featurizers import byte_histogram, pixel_histogram
 from ..functions.features import with_features
 from ..functions.labels import decode_label, fake_probability, file_name, is_correct, percent_text
+from ..functions.vectors import to_vector
 from ..operators import confusion, decisions, distribution, ranking
 from ..operators.linear import LinearScorer
 from ..plans.extract import feature_rows, pending, quarantined
@@ -196,7 +197,7 @@ def file_name_query(spark, sf_dir):
 def fake_probability_query(spark, sf_dir):
     scored = rel.scored_vectors(spark, sf_dir)
     p = F.col("fake_probability")
-    percent = fake_probability(array_to_vector(F.array(1 - p, p)))
+    percent = fake_probability(to_vector(F.when(p.isNotNull(), F.array(1 - p, p))))
     return rounded(
         scored.select("model", "vec_id", percent.alias("confidence")).withColumn(
             "confidence_text", percent_text(F.col("confidence"))
@@ -355,8 +356,7 @@ def image_histogram(spark, sf_dir):
 
 @query
 def scaler_stats(spark, sf_dir):
-    rows = rel.features(spark, sf_dir).select(array_to_vector("features").alias("features"))
-    std = scaler().fit(rows).std
+    std = scaler().fit(_training_rows(spark, sf_dir).select("features")).std
     return rounded(spark.createDataFrame([(i, float(s)) for i, s in enumerate(std)], "dim int, std double"))
 
 
@@ -390,7 +390,8 @@ def quarantine_rows(spark, sf_dir):
 
 
 def _training_rows(spark, sf_dir) -> DataFrame:
-    return rel.features(spark, sf_dir).withColumn("features", array_to_vector("features"))
+    usable = rel.features(spark, sf_dir).where(F.col("error").isNull())
+    return usable.withColumn("features", to_vector("features"))
 
 
 def _fit(spark, sf_dir, name: str) -> PipelineModel:

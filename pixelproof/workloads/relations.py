@@ -40,7 +40,7 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("vec_id"),
         F.col("vec_id").cast("string").alias("path"),
         F.col("embedding").alias("features"),
-        F.lit(None).cast("string").alias("error"),
+        F.when(F.col("embedding").isNull(), "no embedding").alias("error"),
         label.alias("label"),
         decode_label(label).alias("label_name"),
         split_of(F.col("vec_id")).alias("split"),
