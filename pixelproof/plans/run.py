@@ -10,9 +10,9 @@ from ..functions.labels import decode_label
 from ..operators.decisions import champion
 from ..operators.ranking import sample_per_class
 from ..schemas import INFERENCE_SAMPLE, METRICS, TEST
-from ..sources.files import IMAGE_GLOB, as_literal_glob, scan_files, with_split_and_label
+from ..sources.files import IMAGE_GLOB, as_literal_glob, scan_files, scan_images
 from ..sources.tables import read_table, write_table
-from .extract import run_extraction
+from .extract import in_layout, run_extraction
 from .report import run_report
 from .score import score_features
 from .train import load_model, run_training
@@ -38,7 +38,13 @@ def run_all(
 
 
 def run_sample(
-    spark: SparkSession, root: str, results: str, featurizer: Featurizer, n: int = 50, glob: str = IMAGE_GLOB
+    spark: SparkSession,
+    root: str,
+    results: str,
+    featurizer: Featurizer,
+    n: int = 50,
+    glob: str = IMAGE_GLOB,
+    decoded: bool = False,
 ) -> DataFrame:
     """Answers of the best stored model for the first n test files of each class.
 
@@ -46,11 +52,12 @@ def run_sample(
     """
     best = champion(read_table(spark, f"{results}/metrics", METRICS)).first()
     model = load_model(f"{results}/models/{best['best_model']}", featurizer)
-    listing = with_split_and_label(scan_files(spark, root, glob=glob)).where(F.col("split") == TEST)
+    listing = in_layout(scan_files(spark, root, glob=glob)).where(F.col("split") == TEST)
     chosen = sample_per_class(listing.select("path", "label_name"), n)
     paths = [as_literal_glob(row["path"]) for row in chosen.collect()]  # at most n per class
-    sample = with_split_and_label(scan_files(spark, paths, glob=glob)).select("path", "content", "label_name")
-    scored = score_features(with_features(sample, featurizer), model, featurizer.width)
+    scan, item = (scan_images, "image") if decoded else (scan_files, "content")
+    sample = in_layout(scan(spark, paths, glob=glob)).select("path", item, "label_name")
+    scored = score_features(with_features(sample, featurizer, item), model, featurizer.width)
     rows = scored.select(
         "path",
         F.col("label_name").alias("actual_label"),

@@ -9,8 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType, TimestampType
 
 from ..functions.features import Featurizer
-from ..plans.extract import PARTITIONS, feature_rows
-from ..sources.files import IMAGE_GLOB, with_split_and_label
+from ..plans.extract import PARTITIONS, feature_rows, in_layout, tasks_for
+from ..sources.files import IMAGE_GLOB
 
 # The fixed columns of Spark's binaryFile source.
 FILE_COLUMNS = StructType(
@@ -79,16 +79,26 @@ def score_stream(
 
 
 def extract_stream(
-    arriving: DataFrame, featurizer: Featurizer, out: str, checkpoint: str, wait: bool = True
+    spark: SparkSession,
+    root: str,
+    out: str,
+    featurizer: Featurizer,
+    checkpoint: str,
+    glob: str = IMAGE_GLOB,
+    files_per_trigger: int = 1_000_000,
+    files_per_task: int = 2000,
+    wait: bool = True,
 ) -> StreamingQuery:
     """Feature extraction in committed steps of ``files_per_trigger`` files.
 
-    A lost driver or executor costs the current step only. Files outside the
+    A lost driver or executor costs the current step only. Each step runs in tasks
+    of ``files_per_task`` files, or one per core if that is more. Files outside the
     split and label folders are left out, as in the batch job.
     """
+    tasks = tasks_for(spark, files_per_trigger, files_per_task)
 
     def features(files: DataFrame) -> DataFrame:
-        labelled = with_split_and_label(files)
-        return feature_rows(labelled.where(labelled["label"].isNotNull()), featurizer)
+        return feature_rows(in_layout(files), featurizer, tasks=tasks)
 
+    arriving = file_stream(spark, root, glob, files_per_trigger)
     return score_stream(arriving, features, out, checkpoint, wait, PARTITIONS)

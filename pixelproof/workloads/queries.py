@@ -33,7 +33,7 @@ from ..plans.train import (
 from ..schemas import FEATURES, LOGISTIC_REGRESSION, NEW_PREDICTIONS_CSV, RANDOM_FOREST, TEST, TRAIN
 from ..session import run_folder
 from ..sources import files, tables
-from ..streaming.arrivals import extract_stream, file_stream, score_stream, table_stream
+from ..streaming.arrivals import extract_stream, score_stream, table_stream
 from . import relations as rel
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -532,8 +532,7 @@ def stream_score(spark, sf_dir):
 @query
 def stream_extract(spark, sf_dir):
     root, out = rel.land_pages(spark, sf_dir), run_folder(spark, "stream-features")
-    arriving = file_stream(spark, root, glob="*.txt", files_per_trigger=1000)
-    extract_stream(arriving, byte_histogram(), out, f"{out}-checkpoint")
+    extract_stream(spark, root, out, byte_histogram(), f"{out}-checkpoint", glob="*.txt", files_per_trigger=1000)
     stored = tables.read_table(spark, out, FEATURES)
     size = F.aggregate("features", F.lit(0.0), lambda a, x: a + x)
     return stored.select("split", "label_name", "label", size.cast("long").alias("length"))

@@ -75,9 +75,9 @@ def test_extraction_in_steps(spark, tmp_path):
     png_tree(tmp_path)
     (tmp_path / "raw/loose.png").write_bytes(b"outside the folders")
     root, out, checkpoint = str(tmp_path / "raw"), str(tmp_path / "features"), str(tmp_path / "checkpoint")
-    extract_stream(file_stream(spark, root, files_per_trigger=4), byte_histogram(), out, checkpoint)
+    extract_stream(spark, root, out, byte_histogram(), checkpoint, files_per_trigger=4)
     assert read_table(spark, out, FEATURES).select("split", "label_name").distinct().count() == 4
-    extract_stream(file_stream(spark, root, files_per_trigger=4), byte_histogram(), out, checkpoint)
+    extract_stream(spark, root, out, byte_histogram(), checkpoint, files_per_trigger=4)
     assert read_table(spark, out, FEATURES).count() == 12
     with pytest.raises(ValueError, match="belongs to a stream"):
         run_extraction(spark, root, out, byte_histogram())
