@@ -73,9 +73,8 @@ def score(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     raw = scan_images(spark, args.root) if decoded else scan_files(spark, args.root)
     model = load_model(args.model, featurizer)
     item = "image" if decoded else "content"
-    return result_summary(
-        run_scoring(raw, featurizer, model, args.out, item=item, refit_scaler=args.refit_scaler)
-    )
+    options = {"item": item, "refit_scaler": args.refit_scaler, "threshold": args.threshold}
+    return result_summary(run_scoring(raw, featurizer, model, args.out, **options))
 
 
 def stream_score(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -85,7 +84,11 @@ def stream_score(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     model = load_model(args.model, featurizer)
     out = f"{args.out}/new_predictions"
     arriving = file_stream(spark, args.root, files_per_trigger=1_000_000)
-    score_stream(arriving, lambda files: score_new(files, featurizer, model), out, f"{out}-checkpoint")
+
+    def answers(files: DataFrame) -> DataFrame:
+        return score_new(files, featurizer, model, threshold=args.threshold)
+
+    score_stream(arriving, answers, out, f"{out}-checkpoint")
     return result_summary(read_table(spark, out))
 
 
@@ -117,6 +120,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
     parser.add_argument("--dataset", default="images", help="name shown in the report tables")
     parser.add_argument("--generated", help="time shown in the report tables")
     parser.add_argument("--refit-scaler", action="store_true", help="fit the scaler on the files to be scored")
+    parser.add_argument("--threshold", type=float, help="P(FAKE) above which a new file is called FAKE")
     args = parser.parse_args(argv)
     if args.root is None and args.job not in ("train", "report", "check"):
         parser.error(f"{args.job} needs --root")

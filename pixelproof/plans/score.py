@@ -18,9 +18,10 @@ from .train import scaler
 Model = PipelineModel | LinearScorer
 
 
-def score_features(rows: DataFrame, model: Model, width: int) -> DataFrame:
+def score_features(rows: DataFrame, model: Model, width: int, threshold: float | None = None) -> DataFrame:
     """Add prediction, result and confidence to rows with features and error.
 
+    With ``threshold`` a row is FAKE when P(FAKE) lies above it, whatever the model's own.
     A row without features is carried through with no answer. ML models cannot
     take a null vector, so such a row passes them as zeros and is blanked after.
     """
@@ -36,7 +37,8 @@ def score_features(rows: DataFrame, model: Model, width: int) -> DataFrame:
         scored = model.transform(filled)
         usable = F.col("_usable")
         confidence = fake_probability(F.col("probability"))
-    prediction = F.when(usable, F.col("prediction"))
+    answer = F.col("prediction") if threshold is None else (confidence > threshold * 100).cast("double")
+    prediction = F.when(usable, answer)
     kept = [c for c in rows.columns if c != "features"]
     return scored.select(
         *kept, prediction.alias("prediction"), F.when(usable, confidence).alias("confidence")
@@ -67,6 +69,7 @@ def score_new(
     item: str = "content",
     refit_scaler: bool = False,
     tasks: int | None = None,
+    threshold: float | None = None,
 ) -> DataFrame:
     """path, prediction, result, confidence (percent P(FAKE)) and error for every file."""
     rows = with_features(raw.select("path", item), featurizer, item, tasks)
@@ -76,7 +79,7 @@ def score_new(
         write_table(rows, stored)
         rows = read_table(raw.sparkSession, stored, rows.schema)
         model = refitted(model, rows)
-    return score_features(rows, model, featurizer.width).select(*NEW_PREDICTIONS.fieldNames(), "error")
+    return score_features(rows, model, featurizer.width, threshold).select(*NEW_PREDICTIONS.fieldNames(), "error")
 
 
 def run_scoring(raw: DataFrame, featurizer: Featurizer, model: Model, out: str, **options) -> DataFrame:

@@ -119,12 +119,12 @@ def probabilities(rows: DataFrame, models: dict[str, PipelineModel]) -> DataFram
     return rows.select(*kept)
 
 
-def score_models(rows: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
-    """Rows of the predictions table for every model."""
+def score_models(rows: DataFrame, models: dict[str, PipelineModel], threshold: float = 0.5) -> DataFrame:
+    """Rows of the predictions table for every model; FAKE above the threshold."""
     wide = probabilities(rows, models).drop("features")
     if "label_name" not in wide.columns:
         wide = wide.withColumn("label_name", decode_label(F.col("label")))
-    long = one_row_per_model(wide, {name: f"p_{name}" for name in models})
+    long = one_row_per_model(wide, {name: f"p_{name}" for name in models}, threshold)
     return long.select(*[c for c in PREDICTIONS.fieldNames() if c in long.columns])
 
 

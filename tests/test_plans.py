@@ -99,6 +99,19 @@ def test_model_knows_its_featurizer(fitted, tmp_path):
             train.load_model(path, other)
 
 
+def test_lower_threshold_calls_more_files_fake(rows, fitted):
+    model = fitted["LogisticRegression"].model
+    arrays = rows.select(
+        "path", vector_to_array("features").cast("array<float>").alias("features"), F.lit(None).alias("error")
+    )
+    for t in (0.05, 0.4, 0.9):
+        found = score_features(arrays, model, 16, threshold=t).collect()
+        assert all((r["prediction"] == 1.0) == (r["confidence"] > 100 * t) for r in found)
+        assert all((r["result"] == "FAKE") == (r["prediction"] == 1.0) for r in found)
+        stored = train.score_models(rows, {"m": model}, t).collect()
+        assert all((r["prediction"] == 1.0) == (r["fake_probability"] > t) for r in stored)
+
+
 def test_linear_scorer_refuses_another_width(spark):
     rows = spark.createDataFrame([("a", [1.0, 2.0]), ("b", None)], "path string, features array<float>")
     found = {r["path"]: r["prediction"] for r in LinearScorer((1.0, 1.0)).transform(rows).collect()}
