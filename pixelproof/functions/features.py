@@ -50,6 +50,18 @@ def _functions_of(featurizer: Featurizer) -> tuple[Decode, Compute]:
     return _loaded[key]
 
 
+def _each_or_error(step: Callable, items: list, rows: list[int], errors: list[str | None]) -> tuple[list, list[int]]:
+    """Results of the items that pass, with their rows; the others leave an error."""
+    results, good = [], []
+    for row, item in zip(rows, items, strict=True):
+        try:
+            results.append(step(item))
+            good.append(row)
+        except Exception as problem:  # a broken file is data, not a failed job
+            errors[row] = f"{type(problem).__name__}: {problem}"
+    return results, good
+
+
 def featurize_batch(items: pa.Array, featurizer: Featurizer) -> pa.StructArray:
     """One Arrow batch of items to structs of features and error, in order."""
     decode, compute = _functions_of(featurizer)
@@ -58,19 +70,23 @@ def featurize_batch(items: pa.Array, featurizer: Featurizer) -> pa.StructArray:
     errors: list[str | None] = [None] * rows
     mean_size = max(1, items.nbytes // max(1, rows))
     step = max(1, min(featurizer.rows_per_call, featurizer.bytes_per_call // mean_size))
+
+    def decode_content(item):
+        if not item:
+            raise ValueError("no content")
+        return decode(item)
+
     for start in range(0, rows, step):
-        good, decoded = [], []
-        for row, item in enumerate(items.slice(start, step).to_pylist(), start):
-            try:
-                if not item:
-                    raise ValueError("no content")
-                decoded.append(decode(item))
-                good.append(row)
-            except Exception as problem:  # a broken file is data, not a failed job
-                errors[row] = f"{type(problem).__name__}: {problem}"
+        chunk = items.slice(start, step).to_pylist()
+        decoded, good = _each_or_error(decode_content, chunk, list(range(start, start + len(chunk))), errors)
         if not good:
             continue
-        part = np.asarray(compute(decoded), dtype=np.float32)
+        try:
+            part = compute(decoded)
+        except Exception:  # one item spoils the call: find it, keep the others
+            singles, good = _each_or_error(lambda one: compute([one])[0], decoded, good, errors)
+            part = np.stack(singles) if good else np.zeros((0, featurizer.width))
+        part = np.asarray(part, dtype=np.float32)
         if part.shape != (len(good), featurizer.width):
             raise FeatureWidthError(
                 f"{featurizer.name} gave {part.shape}, expected {(len(good), featurizer.width)}"

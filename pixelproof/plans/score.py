@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.features import Featurizer, with_features
-from ..functions.labels import decode_label, fake_probability
+from ..functions.labels import decode_label
 from ..functions.vectors import to_vector
 from ..operators.linear import LinearScorer
 from ..schemas import NEW_PREDICTIONS, NEW_PREDICTIONS_CSV
@@ -28,7 +29,7 @@ def score_features(rows: DataFrame, model: Model, width: int, threshold: float |
     usable = F.col("features").isNotNull()
     if isinstance(model, LinearScorer):
         scored = model.transform(rows)
-        confidence: Column = F.col("fake_probability") * 100
+        fake: Column = F.col("fake_probability")
     else:
         zeros = F.array_repeat(F.lit(0.0).cast("float"), width)
         filled = rows.withColumns(
@@ -36,12 +37,12 @@ def score_features(rows: DataFrame, model: Model, width: int, threshold: float |
         )
         scored = model.transform(filled)
         usable = F.col("_usable")
-        confidence = fake_probability(F.col("probability"))
-    answer = F.col("prediction") if threshold is None else (confidence > threshold * 100).cast("double")
+        fake = vector_to_array("probability")[1]
+    answer = F.col("prediction") if threshold is None else (fake > threshold).cast("double")
     prediction = F.when(usable, answer)
     kept = [c for c in rows.columns if c != "features"]
     return scored.select(
-        *kept, prediction.alias("prediction"), F.when(usable, confidence).alias("confidence")
+        *kept, prediction.alias("prediction"), F.when(usable, fake * 100).alias("confidence")
     ).withColumn("result", decode_label(F.col("prediction")))
 
 

@@ -38,6 +38,26 @@ def test_batches_are_cut_by_rows_and_by_bytes():
     assert max(calls) <= 2
 
 
+def test_item_that_spoils_a_call_is_found():
+    def load():
+        def compute(items):
+            if b"bad" in items:
+                raise RuntimeError("shape")
+            return np.array([[len(i)] for i in items])
+
+        return bytes, compute
+
+    out = featurize_batch(pa.array([b"a", b"bad", b"ccc", None]), Featurizer("spoiled", 1, load)).to_pylist()
+    assert [r["features"] for r in out] == [[1.0], None, [3.0], None]
+    assert [r["error"] for r in out] == [None, "RuntimeError: shape", None, "ValueError: no content"]
+    only_bad = featurize_batch(pa.array([b"bad"]), Featurizer("spoiled", 1, load)).to_pylist()
+    assert only_bad[0]["features"] is None
+
+
+def test_empty_batch():
+    assert featurize_batch(pa.array([], pa.binary()), featurizers.byte_histogram()).to_pylist() == []
+
+
 def test_wrong_width_fails():
     wrong = Featurizer("wrong", 5, lambda: (bytes, lambda items: np.zeros((len(items), 4))))
     with pytest.raises(FeatureWidthError):
