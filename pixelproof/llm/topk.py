@@ -42,7 +42,7 @@ class Best:
 
     def __init__(self, queries: int, k: int):
         self.k = k
-        self.score = np.full((queries, k), np.iinfo(np.int64).min)
+        self.score = np.full((queries, k), -(2**62))
         self.id = np.full((queries, k), np.iinfo(np.int64).max)
 
     def certain(self) -> np.ndarray:
