@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, quality, topk, toxicity
+from . import ann, blocks, html, quality, topk, toxicity
 from .work import ready
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,3 +67,9 @@ def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = topk.scaled(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 64.0)
     return topk.top_k(rows, rows.where(F.col("id") % 20 == 0))
+
+
+@query
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = blocks.usable(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", zero=False)
+    return ann.searched(rows, rows.where(F.col("id") % 100 == 0))
