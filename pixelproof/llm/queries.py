@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, blocks, html, quality, topk, toxicity
+from . import ann, blocks, mixing, pieces, pii, quality, topk, toxicity, webpages
 from .work import ready
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,7 +58,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     ready(pages)
-    return pages.select("page_id", "url", html.extracted("html").alias("text")).withColumn(
+    return pages.select("page_id", "url", webpages.extracted("html").alias("text")).withColumn(
         "n_chars", F.length("text").cast("long")
     )
 
@@ -73,3 +73,51 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = blocks.usable(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", zero=False)
     return ann.searched(rows, rows.where(F.col("id") % 100 == 0))
+
+
+PII_KEY = "surrogates of the first release"
+
+
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.with_surrogates(documents, PII_KEY, count="n_replaced")
+
+
+def domain(source: Column) -> Column:
+    """The test tables have no domains: sources are dealt to four."""
+    digit = F.instr(F.lit("0123456789abcdef"), F.substring(F.md5(source), 1, 1)) - 1
+    return F.concat(F.lit("domain"), (digit % 4).cast("string"))
+
+
+def by_name(column: str, weights: dict[str, int], other: int) -> Column:
+    out = F
+    for name, weight in weights.items():
+        out = out.when(F.col(column) == name, weight)
+    return out.otherwise(other)
+
+
+def mixing_levels() -> list[mixing.Level]:
+    return [
+        mixing.Level("_domain", domain(F.col("source")), by_name("_domain", {"domain0": 4, "domain1": 3, "domain2": 2}, 1)),
+        mixing.Level("_lang", F.col("lang"), by_name("_lang", {"en": 5, "de": 2, "fr": 2}, 1)),
+        mixing.Level("_source", F.col("source"), F.lit(1)),
+    ]
+
+
+@query
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return mixing.mixed(documents, mixing_levels()).select(
+        "doc_id", F.col("_domain").alias("domain"), "lang", "source", "n_tokens", "copies"
+    )
+
+
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = pieces.with_ids(documents, PIECES).drop("text")
+    return encoded.withColumn("n_tokens", F.coalesce(F.size("ids"), F.lit(0)))

@@ -20,3 +20,59 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+_MIXING_LEVEL = """
+n{i} AS (
+    SELECT {names}, CAST(sum(have) * 2 AS BIGINT) AS cap, CAST({weight} AS DOUBLE) AS weight FROM leaves GROUP BY {names}
+), o{i} AS (
+    SELECT n{i}.*, {parent}.budget AS parent_budget,
+           row_number() OVER (PARTITION BY {above} ORDER BY cap / weight, {last}) AS place
+    FROM n{i} JOIN {parent} ON {on}
+), s{i} AS (
+    SELECT *, (parent_budget - coalesce(sum(cap) OVER (PARTITION BY {above} ORDER BY place
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+              / sum(weight) OVER (PARTITION BY {above} ORDER BY place
+                  ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS share
+    FROM o{i}
+), b{i} AS (
+    SELECT {names}, least(CAST(cap AS DOUBLE), weight * max(share) OVER (PARTITION BY {above})) AS budget FROM s{i}
+)"""
+
+SQL["op4_mixing"] = rf"""
+WITH d AS (
+    SELECT doc_id, coalesce(lang, '?') AS lang_, coalesce(source, '?') AS source_, lang, source,
+           coalesce('domain' || CAST((instr('0123456789abcdef', md5(source)[1]) - 1) % 4 AS VARCHAR), '?') AS domain,
+           coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS n_tokens
+    FROM documents
+), leaves AS (
+    SELECT domain, lang_, source_, CAST(sum(n_tokens) AS BIGINT) AS have FROM d GROUP BY domain, lang_, source_
+), b0 AS (
+    SELECT CAST(sum(have) AS DOUBLE) AS budget FROM leaves
+), {
+    _MIXING_LEVEL.format(i=1, names="domain", above="1", last="domain", parent="b0", on="true",
+        weight="CASE domain WHEN 'domain0' THEN 4 WHEN 'domain1' THEN 3 WHEN 'domain2' THEN 2 ELSE 1 END").strip()
+}, {
+    _MIXING_LEVEL.format(i=2, names="domain, lang_", above="n2.domain", last="lang_", parent="b1",
+        on="n2.domain = b1.domain",
+        weight="CASE lang_ WHEN 'en' THEN 5 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END").replace(
+        "PARTITION BY n2.domain ORDER BY place", "PARTITION BY domain ORDER BY place").replace(
+        "(PARTITION BY n2.domain)", "(PARTITION BY domain)").strip()
+}, {
+    _MIXING_LEVEL.format(i=3, names="domain, lang_, source_", above="n3.domain, n3.lang_", last="source_", parent="b2",
+        on="n3.domain = b2.domain AND n3.lang_ = b2.lang_", weight="1").replace(
+        "PARTITION BY n3.domain, n3.lang_ ORDER BY place", "PARTITION BY domain, lang_ ORDER BY place").replace(
+        "(PARTITION BY n3.domain, n3.lang_)", "(PARTITION BY domain, lang_)").strip()
+}, cut AS (
+    SELECT d.*, have, budget, CAST(floor(floor(budget) / have) AS INTEGER) AS epochs
+    FROM d JOIN leaves USING (domain, lang_, source_) JOIN b3 USING (domain, lang_, source_)
+    WHERE have > 0
+), placed AS (
+    SELECT *, md5('mix-1|' || epochs || '|' || doc_id) AS place FROM cut
+), run AS (
+    SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang_, source_ ORDER BY place) AS upto FROM placed
+)
+SELECT doc_id, domain, lang, source, n_tokens,
+       epochs + CAST(upto <= floor(budget) - epochs * have AS INTEGER) AS copies
+FROM run
+WHERE epochs + CAST(upto <= floor(budget) - epochs * have AS INTEGER) > 0
+"""
