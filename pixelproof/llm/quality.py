@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sums import summed
 from .work import ready, store
 
 
@@ -107,26 +108,6 @@ class Model:
         return np.interp(self.raw(statistics), self.knots, self.levels)
 
 
-def summed(df: DataFrame, function, columns: list[str]) -> np.ndarray | None:
-    """The sum over all partitions of the array ``function`` makes of a batch; partial sums meet in a tree."""
-
-    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = None
-        for batch in batches:
-            if len(batch):
-                one = function(batch)
-                total = one if total is None else total + one
-        if total is not None:
-            yield pd.DataFrame({"sum": [total.tobytes()], "shape": [list(total.shape)]})
-
-    parts = df.select(*columns).mapInPandas(part, "sum binary, shape array<int>").rdd
-    arrays = parts.map(lambda r: np.frombuffer(bytes(r["sum"])).reshape(r["shape"])).cache()
-    try:
-        return None if arrays.isEmpty() else arrays.treeReduce(np.add, 3)
-    finally:
-        arrays.unpersist()
-
-
 def stacked(batch: pd.DataFrame, column: str) -> np.ndarray:
     return np.vstack(batch[column].to_numpy())
 

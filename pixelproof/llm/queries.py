@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, blocks, mixing, pieces, pii, quality, topk, toxicity, webpages
+from . import ann, blocks, mixing, ngram_join, pieces, pii, quality, topk, toxicity, webpages
 from .work import ready
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,3 +121,10 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = pieces.with_ids(documents, PIECES).drop("text")
     return encoded.withColumn("n_tokens", F.coalesce(F.size("ids"), F.lit(0)))
+
+
+@query
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id")
+    )
