@@ -15,13 +15,14 @@ What remains is compared exactly, so every link between two groups is found, wha
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 from xxhash import xxh3_128_digest
 
 from . import graph
@@ -35,7 +36,6 @@ SMALL_TABLE = 8 << 20  # bytes of a written table that may be sent to all tasks;
 @dataclass(frozen=True)
 class Settings:
     percent: int = 80  # of the union that two sets have to share
-    width: int = 5  # words of a shingle
     hashes: int = 8
     bitmap: int = 1024  # bits
     sketch: int = 1 << 20  # counters
@@ -125,7 +125,7 @@ def sets_of(documents: DataFrame, key: str, text: str, settings: Settings) -> Da
     @F.pandas_udf("struct<n:bigint,name:binary>")
     def named(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
-            sets = [shingles(t, settings.width) for t in batch]
+            sets = [shingles(t) for t in batch]
             names = [xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
             yield pd.DataFrame({"n": [len(s) for s in sets], "name": pd.Series(names, dtype=object)})
 
@@ -139,7 +139,7 @@ def frequencies(documents: DataFrame, text: str, settings: Settings) -> np.ndarr
     def counted(batch: pd.DataFrame) -> np.ndarray:
         out = np.zeros(settings.sketch)
         for t in batch["t"]:
-            tokens = shingles(t, settings.width)
+            tokens = shingles(t)
             np.add.at(out, (tokens >> np.uint64(20)).astype(np.int64) & (settings.sketch - 1), 1)
         return out
 
@@ -157,7 +157,7 @@ def signatures(documents: DataFrame, key: str, text: str, nodes: DataFrame, rank
         for batch in texts:
             rows = []
             for t in batch:
-                tokens = shingles(t, settings.width)
+                tokens = shingles(t)
                 hashes = [int(mixed(tokens, 100 + i).min().view(np.int64)) for i in range(settings.hashes)]
                 first = first_tokens(tokens, sent.value, settings.percent)
                 rows.append((hashes, first.view(np.int64), bitmap_of(tokens, settings.bitmap).tobytes()))
@@ -173,19 +173,20 @@ def owners(documents: DataFrame, key: str, text: str, nodes: DataFrame) -> DataF
     return rows.where(F.col("t").rlike(r"[^\x20\x09-\x0D]")).join(nodes, "id")
 
 
-def compared(pairs: DataFrame, documents: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
-    """The pairs (a, b) that are links, by their whole sets."""
-    spark = ready(documents)
+@F.pandas_udf(BinaryType())
+def packed(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """The sorted hashes of each text's shingles."""
+    for batch in texts:
+        yield pd.Series([shingles(t).tobytes() for t in batch], dtype=object)
+
+
+def compared(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """The pairs (a, b) that are links, by their whole sets. ``texts`` gives columns id and t for wanted ids."""
+    spark = ready(pairs)
     pairs = store(pairs, "join-pairs").rows
     wanted = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
     wanted = checked(spark, store(wanted, "join-wanted"))
-
-    @F.pandas_udf("binary")
-    def packed(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            yield pd.Series([shingles(t, settings.width).tobytes() for t in batch], dtype=object)
-
-    sets = store(owners(documents, key, text, wanted).select("id", packed("t").alias("set")), "join-sets").rows
+    sets = store(texts(wanted).select("id", packed("t").alias("set")), "join-sets").rows
 
     @F.pandas_udf("boolean")
     def linked(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -193,7 +194,7 @@ def compared(pairs: DataFrame, documents: DataFrame, key: str, text: str, settin
         for x, y in zip(left, right, strict=True):
             x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
             both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(100 * both >= settings.percent * (len(x) + len(y) - both))
+            out.append(100 * both >= percent * (len(x) + len(y) - both))
         return pd.Series(out, dtype=bool)
 
     one = sets.select(F.col("id").alias("a"), F.col("set").alias("x"))
@@ -318,9 +319,13 @@ def joined(documents: DataFrame, key: str = "doc_id", text: str = "text", settin
         signatures(documents, key, text, checked(documents.sparkSession, store(nodes, "join-nodes")), rank, settings),
         "join-signatures",
     ).rows
-    close = store(compared(near_copies(signed, settings), documents, key, text, settings), "join-links")
+
+    def texts(wanted: DataFrame) -> DataFrame:
+        return owners(documents, key, text, wanted)
+
+    close = store(compared(near_copies(signed, settings), texts, settings.percent), "join-links")
     groups = graph.components(close.rows)
-    more = compared(across(signed, groups.rows, settings), documents, key, text, settings)
+    more = compared(across(signed, groups.rows, settings), texts, settings.percent)
     found = store(more, "join-links")
     groups = graph.components(close.rows.unionAll(found.rows))
     final = heads.join(groups.rows.withColumnRenamed("node", "id"), "id", "left")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, blocks, mixing, ngram_join, pieces, pii, quality, topk, toxicity, webpages
+from . import ann, blocks, mixing, ngram_join, passages, pieces, pii, quality, topk, toxicity, webpages
 from .work import ready
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,3 +128,8 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.joined(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id")
     )
+
+
+@query
+def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeats(table(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
