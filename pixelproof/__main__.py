@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import sys
 from pathlib import Path
 
@@ -12,10 +13,10 @@ if not __package__:  # started as a file by spark-submit
 from pyspark.sql import DataFrame, SparkSession
 
 from pixelproof.functions.features import Featurizer
-from pixelproof.functions.featurizers import byte_histogram, pixel_histogram, pretrained_cnn
+from pixelproof.functions.featurizers import byte_histogram, pixel_histogram
 from pixelproof.operators.decisions import output_check, table_sizes
 from pixelproof.operators.distribution import quarantine_counts, result_summary
-from pixelproof.plans.extract import run_extraction
+from pixelproof.plans.extract import run_extraction, tasks_for
 from pixelproof.plans.report import expected_tables, run_report
 from pixelproof.plans.run import run_all, run_sample
 from pixelproof.plans.score import run_scoring, score_new
@@ -26,12 +27,15 @@ from pixelproof.sources.files import scan_files, scan_images
 from pixelproof.sources.tables import read_table
 from pixelproof.streaming.arrivals import extract_stream, file_stream, score_stream
 
-FEATURIZERS = {"mobilenet_v2": pretrained_cnn, "pixel_histogram": pixel_histogram, "byte_histogram": byte_histogram}
+FEATURIZERS = {"pixel_histogram": pixel_histogram, "byte_histogram": byte_histogram}
+FILES_PER_TASK = 2000
 
 
 def _options(args: argparse.Namespace) -> tuple[Featurizer, bool]:
-    """The featurizer, and whether it wants decoded pictures."""
-    return FEATURIZERS[args.featurizer](), args.featurizer == "pixel_histogram"
+    """The featurizer, and whether it wants decoded pictures; ``module:function`` names one of the user's own."""
+    module, _, function = args.featurizer.partition(":")
+    make = getattr(importlib.import_module(module), function) if function else FEATURIZERS[module]
+    return make(), args.featurizer == "pixel_histogram"
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -73,7 +77,8 @@ def score(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     raw = scan_images(spark, args.root) if decoded else scan_files(spark, args.root)
     model = load_model(args.model, featurizer)
     item = "image" if decoded else "content"
-    options = {"item": item, "refit_scaler": args.refit_scaler, "threshold": args.threshold}
+    tasks = tasks_for(spark, raw.select("path").count(), FILES_PER_TASK)
+    options = {"item": item, "refit_scaler": args.refit_scaler, "threshold": args.threshold, "tasks": tasks}
     return result_summary(run_scoring(raw, featurizer, model, args.out, **options))
 
 
@@ -83,10 +88,11 @@ def stream_score(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         raise SystemExit("the image source cannot be streamed; use score")
     model = load_model(args.model, featurizer)
     out = f"{args.out}/new_predictions"
-    arriving = file_stream(spark, args.root, files_per_trigger=1_000_000)
+    arriving = file_stream(spark, args.root, files_per_trigger=args.files_per_trigger)
+    tasks = tasks_for(spark, args.files_per_trigger, FILES_PER_TASK)
 
     def answers(files: DataFrame) -> DataFrame:
-        return score_new(files, featurizer, model, threshold=args.threshold)
+        return score_new(files, featurizer, model, threshold=args.threshold, tasks=tasks)
 
     score_stream(arriving, answers, out, f"{out}-checkpoint")
     return result_summary(read_table(spark, out))
@@ -115,7 +121,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
     parser.add_argument("job", choices=JOBS)
     parser.add_argument("--root", help="folder of image files")
     parser.add_argument("--out", required=True, help="folder of all tables and models")
-    parser.add_argument("--featurizer", choices=FEATURIZERS, default="mobilenet_v2")
+    parser.add_argument(
+        "--featurizer", default="pixel_histogram", help=f"one of {', '.join(FEATURIZERS)}, or module:function of your own"
+    )
+    parser.add_argument("--files-per-trigger", type=int, default=1_000_000, help="files of a streaming step")
     parser.add_argument("--model", help="stored model, for the scoring jobs")
     parser.add_argument("--dataset", default="images", help="name shown in the report tables")
     parser.add_argument("--generated", help="time shown in the report tables")

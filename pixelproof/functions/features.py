@@ -62,22 +62,40 @@ def _each_or_error(step: Callable, items: list, rows: list[int], errors: list[st
     return results, good
 
 
+def _bytes_of(items: pa.Array) -> np.ndarray:
+    """The size of each item, from the offsets alone; items that are not binary count as equal shares."""
+    if len(items) and pa.types.is_binary(items.type):
+        return np.diff(np.frombuffer(items.buffers()[1], np.int32, len(items) + 1, items.offset * 4)).astype(np.int64)
+    return np.full(len(items), items.nbytes // max(1, len(items)), np.int64)
+
+
+def _calls(sizes: np.ndarray, rows: int, size: int) -> Iterator[tuple[int, int]]:
+    """Slices of at most so many rows and bytes; an item that is larger is a slice of its own."""
+    start, held = 0, 0
+    for at, one in enumerate(sizes.tolist()):
+        if at > start and (at - start == rows or held + one > size):
+            yield start, at
+            start, held = at, 0
+        held += one
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
 def featurize_batch(items: pa.Array, featurizer: Featurizer) -> pa.StructArray:
     """One Arrow batch of items to structs of features and error, in order."""
     decode, compute = _functions_of(featurizer)
     rows = len(items)
+    sizes = _bytes_of(items)
     matrix = np.zeros((rows, featurizer.width), dtype=np.float32)
     errors: list[str | None] = [None] * rows
-    mean_size = max(1, items.nbytes // max(1, rows))
-    step = max(1, min(featurizer.rows_per_call, featurizer.bytes_per_call // mean_size))
 
     def decode_content(item):
         if not item:
             raise ValueError("no content")
         return decode(item)
 
-    for start in range(0, rows, step):
-        chunk = items.slice(start, step).to_pylist()
+    for start, stop in _calls(sizes, featurizer.rows_per_call, featurizer.bytes_per_call):
+        chunk = items.slice(start, stop - start).to_pylist()
         decoded, good = _each_or_error(decode_content, chunk, list(range(start, start + len(chunk))), errors)
         if not good:
             continue
@@ -92,6 +110,8 @@ def featurize_batch(items: pa.Array, featurizer: Featurizer) -> pa.StructArray:
                 f"{featurizer.name} gave {part.shape}, expected {(len(good), featurizer.width)}"
             )
         matrix[good] = part
+        for row in np.asarray(good)[~np.isfinite(part).all(axis=1)].tolist():
+            errors[row] = "ValueError: features are not finite"
     broken = np.array([e is not None for e in errors], dtype=bool)
     ends = np.concatenate([[0], np.cumsum(np.where(broken, 0, featurizer.width))]).astype(np.int32)
     features = pa.ListArray.from_arrays(

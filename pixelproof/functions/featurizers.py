@@ -1,13 +1,9 @@
-"""Featurizers: byte histogram, pixel histogram with statistics, pretrained CNN."""
+"""Featurizers: byte histogram, pixel histogram with statistics."""
 
 from __future__ import annotations
 
-import io
-from functools import partial
-
 import numpy as np
 
-from ..schemas import FEATURE_WIDTH
 from .features import Featurizer
 
 LEVELS = 256
@@ -21,11 +17,16 @@ def _as_bytes(content: bytes) -> np.ndarray:
     return np.frombuffer(content, dtype=np.uint8)
 
 
+PIECE = 1 << 20  # bytes counted at a time, so that memory does not grow with an item
+
+
 def _count_levels(items: list[np.ndarray]) -> np.ndarray:
-    """One 256-wide count row per item, all items in a single bincount."""
-    rows = np.repeat(np.arange(len(items), dtype=np.int64) * LEVELS, [len(i) for i in items])
-    counts = np.bincount(rows + np.concatenate(items), minlength=len(items) * LEVELS)
-    return counts.reshape(len(items), LEVELS)
+    """One 256-wide count row per item, added up over pieces of a fixed size."""
+    counts = np.zeros((len(items), LEVELS), dtype=np.int64)
+    for row, item in enumerate(items):
+        for start in range(0, len(item), PIECE):
+            counts[row] += np.bincount(item[start : start + PIECE], minlength=LEVELS)
+    return counts
 
 
 def _load_byte_histogram():
@@ -72,44 +73,3 @@ def _load_pixel_histogram():
 def pixel_histogram() -> Featurizer:
     """Colour histograms and statistics of a decoded picture, for the ``image`` column."""
     return Featurizer("pixel_histogram", CHANNELS * (LEVELS + 4), _load_pixel_histogram)
-
-
-# ---- pretrained network ------------------------------------------------------
-
-# Input size and the channel means and deviations the network was trained with.
-CNN_INPUT_SIZE = 224
-CNN_CHANNEL_MEAN = [0.485, 0.456, 0.406]
-CNN_CHANNEL_STD = [0.229, 0.224, 0.225]
-
-
-def _load_cnn(device: str):
-    """Needs torch, torchvision and Pillow on the workers; imported there only."""
-    import torch
-    from PIL import Image
-    from torchvision import models, transforms
-
-    network = models.mobilenet_v2(weights=models.MobileNet_V2_Weights.IMAGENET1K_V1)
-    network.classifier = torch.nn.Identity()
-    network = network.eval().to(device)
-    prepare = transforms.Compose(
-        [
-            transforms.Resize(CNN_INPUT_SIZE),
-            transforms.CenterCrop(CNN_INPUT_SIZE),
-            transforms.ToTensor(),
-            transforms.Normalize(CNN_CHANNEL_MEAN, CNN_CHANNEL_STD),
-        ]
-    )
-
-    def decode(content: bytes):
-        return prepare(Image.open(io.BytesIO(content)).convert("RGB"))
-
-    def compute(tensors: list) -> np.ndarray:
-        with torch.inference_mode():
-            return network(torch.stack(tensors).to(device)).cpu().numpy()
-
-    return decode, compute
-
-
-def pretrained_cnn(rows_per_call: int = 64, device: str = "cpu") -> Featurizer:
-    """1280 features of a MobileNetV2, a batch of pictures per forward pass."""
-    return Featurizer("mobilenet_v2", FEATURE_WIDTH, partial(_load_cnn, device), rows_per_call)

@@ -15,8 +15,8 @@ def encode_label(name: Column) -> Column:
 
 
 def decode_label(code: Column) -> Column:
-    """0 to REAL, any other number to FAKE; no answer stays null."""
-    return F.when(code == LABEL_CODES[REAL], REAL).when(code.isNotNull(), FAKE)
+    """0 to REAL, 1 to FAKE; no answer and any other code have no name."""
+    return F.when(code == LABEL_CODES[REAL], REAL).when(code == LABEL_CODES[FAKE], FAKE)
 
 
 def is_correct(label: Column, prediction: Column) -> Column:

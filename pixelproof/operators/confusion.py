@@ -18,14 +18,19 @@ CELLS = ("true_positive", "true_negative", "false_positive", "false_negative")
 
 
 def cell_counts() -> dict[str, Column]:
-    """The four cells, and the rows that fall into none, as aggregates over predictions."""
+    """The four cells, and the rows that fall into none, as aggregates over predictions.
+
+    n_null counts rows without label or answer, n_other those with a code other than 0 and 1; the six add up to n_rows.
+    """
     label, answer = F.col("label"), F.col("prediction")
+    known = label.isin(0, 1) & answer.isin(0, 1)
     return {
         "true_positive": F.count_if((label == 1) & (answer == 1)),
         "true_negative": F.count_if((label == 0) & (answer == 0)),
         "false_positive": F.count_if((label == 0) & (answer == 1)),
         "false_negative": F.count_if((label == 1) & (answer == 0)),
         "n_null": F.count_if(label.isNull() | answer.isNull()),
+        "n_other": F.count_if(label.isNotNull() & answer.isNotNull() & ~known),
         "n_rows": F.count(F.lit(1)),
     }
 
@@ -90,7 +95,7 @@ def weighted_metrics(cells: DataFrame, by: Sequence[str] = ("model",)) -> DataFr
 
 
 def error_summary(cells: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
-    """Errors, their share of all rows, and how they split."""
+    """Errors, their share of all rows (also of those in no cell), and how they split."""
     _, _, fp, fn = _cells()
     return cells.select(
         *by,
@@ -103,14 +108,17 @@ def error_summary(cells: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame
 
 
 def prediction_breakdown(predictions: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
-    """Right and wrong answers; a row without label or answer counts as wrong."""
+    """Right and wrong answers; a row without label or answer counts as wrong.
+
+    ``share_correct_of_all`` divides by all rows, unlike ``accuracy``, which leaves out rows in no cell.
+    """
     right = F.count_if(is_correct(F.col("label"), F.col("prediction")))
     total = F.count(F.lit(1))
     return predictions.groupBy(*by).agg(
         total.alias("n_rows"),
         right.alias("n_correct"),
         (total - right).alias("n_wrong"),
-        ratio(right, total).alias("accuracy"),
+        ratio(right, total).alias("share_correct_of_all"),
     )
 
 

@@ -46,21 +46,33 @@ def best_metric(metrics: DataFrame, metric: str) -> DataFrame:
     return metrics.agg(F.max(metric).alias(f"best_{metric}"))
 
 
-def champion(metrics: DataFrame, priority: Sequence[str] = MODELS) -> DataFrame:
-    """The most accurate model; on a tie the one earlier in ``priority``."""
+def best_row(priority: Sequence[str] = MODELS) -> Column:
+    """Name and accuracy of the most accurate model, as an aggregate; the one place that names a winner.
+
+    On a tie it is the one earlier in ``priority``, then one that is not in it, by name.
+    """
     place = F.array_position(F.array(*map(F.lit, priority)), F.col("model"))
-    return (
-        metrics.orderBy(F.desc("accuracy"), F.when(place > 0, place), "model")
-        .limit(1)
-        .select(F.col("model").alias("best_model"), F.col("accuracy").alias("best_accuracy"))
-    )
+    behind = -F.coalesce(F.col("accuracy"), F.lit(float("-inf")))
+    order = F.struct(behind, F.when(place > 0, place).otherwise(len(priority) + 1), F.col("model"))
+    return F.min_by(F.struct("model", "accuracy"), order)
+
+
+def champion(metrics: DataFrame, priority: Sequence[str] = MODELS) -> DataFrame:
+    """The most accurate model; no row without any model."""
+    best = metrics.agg(best_row(priority).alias("best")).where(F.col("best").isNotNull())
+    return best.select(F.col("best.model").alias("best_model"), F.col("best.accuracy").alias("best_accuracy"))
 
 
 def model_comparison(
     metrics: DataFrame, models: Sequence[str] = MODELS, columns: Sequence[str] = METRIC_COLUMNS
 ) -> DataFrame:
-    """One row per metric, one column per model. The model list is given, so no job looks it up."""
-    long = metrics.unpivot("model", list(columns), "metric", "value")
+    """One row per metric, one column per model.
+
+    The model list is given, so no job looks it up; a model that is not in it fails the job instead of being left out.
+    """
+    unknown = F.raise_error(F.concat(F.lit("no column for model "), F.coalesce("model", F.lit("null"))))
+    known = metrics.withColumn("model", F.when(F.col("model").isin(*models), F.col("model")).otherwise(unknown))
+    long = known.unpivot("model", list(columns), "metric", "value")
     return long.groupBy("metric").pivot("model", list(models)).agg(F.first("value"))
 
 
@@ -78,11 +90,6 @@ def _of_model(model: str, metric: str) -> Column:
     return F.max(F.when(F.col("model") == model, F.col(metric)))
 
 
-def _best_model_title() -> Column:
-    ahead = _of_model(RANDOM_FOREST, "accuracy") > _of_model(LOGISTIC_REGRESSION, "accuracy")
-    return F.when(ahead, MODEL_TITLES[RANDOM_FOREST]).otherwise(MODEL_TITLES[LOGISTIC_REGRESSION])
-
-
 def _facts(source: DataFrame, facts: dict[str, Column], key: str, value: str) -> DataFrame:
     """One aggregation, then one row per named fact."""
     names = list(facts)
@@ -103,12 +110,12 @@ def insight_facts(
 ) -> DataFrame:
     """The fourteen facts of the summary, as text; the image count is counted."""
     # The names of the facts.
-    best_accuracy, best_f1 = F.max("accuracy"), F.max("f1_score")
+    best_accuracy, best_f1 = best_row()["accuracy"], F.max("f1_score")
     from_metrics = {
         "Dataset": F.lit(dataset),
         "Feature Extractor": F.lit(extractor),
         "Feature Dimension": F.lit(str(width)),
-        "Best Model": _best_model_title(),
+        "Best Model": titled(best_row()["model"], MODEL_TITLES),
         "Best Accuracy": percent_text(best_accuracy, 100),
         "Best F1 Score": percent_text(best_f1, 100),
     }
@@ -124,11 +131,10 @@ def insight_facts(
 
 def report_facts(metrics: DataFrame, report_path: str, generated: str | None = None) -> DataFrame:
     """Path, best model, its accuracy and, when passed in, the time of the report."""
-    ahead = _of_model(RANDOM_FOREST, "accuracy") > _of_model(LOGISTIC_REGRESSION, "accuracy")
     facts = {
         "report_path": F.lit(report_path),
-        "best_model": F.when(ahead, RANDOM_FOREST).otherwise(LOGISTIC_REGRESSION),
-        "best_accuracy": percent_text(F.max("accuracy"), 100),
+        "best_model": best_row()["model"],
+        "best_accuracy": percent_text(best_row()["accuracy"], 100),
     }
     if generated is not None:
         facts["report_generated"] = F.lit(generated)
@@ -188,12 +194,18 @@ def report_series(metrics: DataFrame, cells: DataFrame, distribution: DataFrame,
     )
 
 
-def table_sizes(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
-    """Rows of each expected Parquet table; null when it is not there. Counts come from the footers."""
+def table_sizes(spark: SparkSession, tables: dict[str, str | tuple[str, str]]) -> DataFrame:
+    """Rows of each expected Parquet table; null when it is not there. Counts come from the footers.
+
+    A table may be a path, or a path and a condition on its partitions: a table that a stream writes has a log of
+    what counts, which reading one of its folders would pass by.
+    """
     sizes = []
-    for name, path in tables.items():
+    for name, place in tables.items():
+        path, condition = (place, "true") if isinstance(place, str) else place
         try:
-            rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"))
+            rows = spark.read.parquet(path).where(condition).agg(F.count(F.lit(1)).alias("n_rows"))
+            rows = rows.withColumn("n_rows", F.nullif("n_rows", F.lit(0))) if condition != "true" else rows
         except AnalysisException as missing:
             if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise

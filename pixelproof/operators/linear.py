@@ -31,8 +31,13 @@ class LinearScorer:
         return LinearScorer(weights, self.intercept, self.threshold)
 
 
+def answer(score: Column, threshold: float) -> Column:
+    """1 above the threshold, else 0; null for a score that is null or not a number."""
+    return F.when(~F.isnan(score), (score > threshold).cast("double"))
+
+
 def with_prediction(rows: DataFrame, threshold: float = 0.5, score: str = "fake_probability") -> DataFrame:
-    return rows.withColumn("prediction", (F.col(score) > threshold).cast("double"))
+    return rows.withColumn("prediction", answer(F.col(score), threshold))
 
 
 def one_row_per_model(wide: DataFrame, scores: dict[str, str], threshold: float = 0.5) -> DataFrame:

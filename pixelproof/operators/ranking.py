@@ -5,36 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import ratio
-from ..schemas import LABEL_CODES
 
-MAX_CUTS = 8192
-CUT_GROUPS = 256
-
-
-def score_cuts(rows: DataFrame, score: str, buckets: int | None = None) -> list[float]:
-    """Quantiles that cut the scores into about equal shares; at most MAX_CUTS numbers.
-
-    They only decide how work is spread: any cuts give the same results later.
-    Input partitions are summarised in CUT_GROUPS groups, and the groups' quantiles
-    are joined by their weight, so no task merges a summary of every partition.
-    """
-    if buckets is None:
-        buckets = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(2, min(buckets, MAX_CUTS))
-    shares = [i / buckets for i in range(1, buckets)]
-    groups = (
-        rows.select(score)
-        .groupBy((F.spark_partition_id() % CUT_GROUPS).alias("part"))
-        .agg(F.percentile_approx(score, shares, 2 * buckets).alias("cuts"), F.count(score).alias("weight"))
-        .select(F.explode("cuts").alias("cut"), "weight")
-    )
-    found = groups.agg(F.percentile("cut", shares, F.col("weight")).alias("cuts")).first()
-    return sorted(set(found["cuts"] or []))
+SPREAD = 32  # parts of a class that are cut to n rows before they meet
 
 
 def auc_exact(
@@ -46,25 +22,25 @@ def auc_exact(
 ) -> DataFrame:
     """Area under the ROC curve from ranks, ties counted half; null with one class only.
 
-    Equal scores collapse to one row before anything is sorted. Those rows are
-    sorted within quantile buckets, and each bucket shrinks to a few sums, so no
-    task sees more than its share and the last step works on one row per bucket.
+    Equal scores collapse to one row before anything is sorted. Those rows are dealt
+    to ranges of scores, as many as there are shuffle partitions unless ``buckets``
+    says otherwise, so a range holds its share of the rows at any size. Each range
+    shrinks to a few sums, and the last step works on one row per range.
     ``counts`` are further count columns to carry along over all rows, which
     saves a second pass over the predictions.
     """
     counts = counts or {}
     usable = F.col("label").isin(0, 1) & ~F.isnan(score)
     ranked = predictions.withColumn("score", F.when(usable, F.col(score).cast("double")))
-    cuts = score_cuts(ranked, "score", buckets)
     has_score = F.col("score").isNotNull()
     points = ranked.groupBy(by, "score").agg(
         F.count_if(has_score & (F.col("label") == 1)).cast("double").alias("pos"),
         F.count_if(has_score & (F.col("label") == 0)).cast("double").alias("neg"),
         *[count.alias(name) for name, count in counts.items()],
     )
-    splits = [float("-inf"), *(cuts or [0.0]), float("inf")]
-    points = Bucketizer(splits=splits, inputCol="score", outputCol="bucket", handleInvalid="keep").transform(points)
-    points = points.withColumn("bucket", F.col("bucket").cast("int"))
+    # ranges follow one another, so their numbers order them; (by, score) is unique, so no tie crosses a border
+    ranges = points.repartitionByRange(*([buckets] if buckets else []), by, "score")
+    points = ranges.withColumn("bucket", F.spark_partition_id())
 
     lower_in_bucket = Window.partitionBy(by, "bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     per_bucket = (
@@ -149,16 +125,17 @@ def peek(rows: DataFrame, n: int = 20, key: str = "path") -> DataFrame:
     return rows.orderBy(key).limit(n)
 
 
-def sample_per_class(rows: DataFrame, n: int = 50, label: str = "label_name", key: str = "path") -> DataFrame:
-    """The first n rows of each class by key.
+def sample_per_class(
+    rows: DataFrame, n: int = 50, label: str | Sequence[str] = "label_name", key: str = "path"
+) -> DataFrame:
+    """The first n rows of each class by key, whatever the classes are; rows without a class are one more.
 
-    Up to Spark's group-limit size every task cuts to n rows per class before the
-    shuffle, so a class with most of the rows is no burden. Beyond it each class
-    is a top-n of its own.
+    Each class is cut to n rows in SPREAD parts first, so a class with most of the
+    rows is no task of its own: at most SPREAD times n of its rows meet in the end.
     """
-    limit = int(rows.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if n <= limit:
-        place = F.row_number().over(Window.partitionBy(label).orderBy(key))
-        return rows.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
-    classes = [rows.where(F.col(label) == name).orderBy(key).limit(n) for name in LABEL_CODES]
-    return reduce(DataFrame.unionByName, classes)
+    by = [label] if isinstance(label, str) else list(label)
+    part = F.pmod(F.xxhash64(key), F.lit(SPREAD))
+    for groups in ([*by, part], by):
+        place = F.row_number().over(Window.partitionBy(*groups).orderBy(key))
+        rows = rows.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
+    return rows

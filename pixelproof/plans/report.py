@@ -10,11 +10,11 @@ from ..schemas import CONFUSION_MATRIX, FEATURES, METRICS
 from ..sources.tables import read_table, write_table
 
 
-def expected_tables(features_path: str, out: str) -> dict[str, str]:
+def expected_tables(features_path: str, out: str) -> dict[str, str | tuple[str, str]]:
     """The tables a complete run leaves."""
     return {
-        "train_features": f"{features_path}/split=train",
-        "test_features": f"{features_path}/split=test",
+        "train_features": (features_path, "split = 'train'"),
+        "test_features": (features_path, "split = 'test'"),
         "metrics": f"{out}/metrics",
         "lr_predictions": f"{out}/predictions/model=LogisticRegression",
         "rf_predictions": f"{out}/predictions/model=RandomForest",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.features import Featurizer, with_features
 from ..functions.labels import decode_label
 from ..functions.vectors import to_vector
-from ..operators.linear import LinearScorer
+from ..operators.linear import LinearScorer, answer
 from ..schemas import NEW_PREDICTIONS, NEW_PREDICTIONS_CSV
 from ..session import run_folder
 from ..sources.tables import read_table, write_csv, write_table
@@ -38,8 +38,8 @@ def score_features(rows: DataFrame, model: Model, width: int, threshold: float |
         scored = model.transform(filled)
         usable = F.col("_usable")
         fake = vector_to_array("probability")[1]
-    answer = F.col("prediction") if threshold is None else (fake > threshold).cast("double")
-    prediction = F.when(usable, answer)
+    usable = usable & ~F.isnan(fake)
+    prediction = F.when(usable, F.col("prediction") if threshold is None else answer(fake, threshold))
     kept = [c for c in rows.columns if c != "features"]
     return scored.select(
         *kept, prediction.alias("prediction"), F.when(usable, fake * 100).alias("confidence")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.linalg import VectorUDT
 from pyspark.sql.types import (
     ArrayType,
     DoubleType,
@@ -37,15 +36,6 @@ FEATURES = _table(
     split=StringType(),
 )
 
-# What training and scoring read: the same rows with an ML vector, broken files left out.
-TRAINING_ROWS = _table(
-    path=StringType(),
-    features=VectorUDT(),
-    label=IntegerType(),
-    label_name=StringType(),
-    split=StringType(),
-)
-
 PREDICTIONS = _table(
     model=StringType(),
     path=StringType(),
@@ -73,8 +63,6 @@ CONFUSION_MATRIX = _table(
     false_negative=LongType(),
 )
 
-INSIGHT_FACTS = _table(metric=StringType(), value=StringType())
-REPORT_FACTS = _table(key=StringType(), value=StringType())
 
 INFERENCE_SAMPLE = _table(
     path=StringType(),

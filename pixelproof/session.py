@@ -46,6 +46,12 @@ def run_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/pixelproof/{purpose}-{uuid.uuid4().hex}"
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a work table that is no longer needed."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 _shipped: set[str] = set()
 
 

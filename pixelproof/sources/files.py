@@ -6,14 +6,22 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.classic.column import Column as JvmColumn
 
 from ..functions.labels import encode_label
 
-# Accepted endings (globs are case sensitive) and the folder layout,
-# either plain folders or the key=value folders Spark writes.
-IMAGE_GLOB = "*.{jpg,jpeg,png,JPG,JPEG,PNG}"
+# Accepted endings and the folder layout, either plain folders or the
+# key=value folders Spark writes; the folders nearest to the file count.
 IMAGE_ENDINGS = ("jpg", "jpeg", "png")
-LAYOUT = r"/(?:split=)?(train|test)/(?:label_name=)?(REAL|FAKE)/"
+LAYOUT = r"^.*/(?:split=)?(train|test)/(?:label_name=)?(REAL|FAKE)/"
+
+
+def any_case_glob(endings: tuple[str, ...]) -> str:
+    """A glob for files of these endings in any mixture of cases; globs themselves are case sensitive."""
+    return "*.{%s}" % ",".join("".join(f"[{c.lower()}{c.upper()}]" for c in ending) for ending in endings)
+
+
+IMAGE_GLOB = any_case_glob(IMAGE_ENDINGS)
 
 
 def scan_files(spark: SparkSession, root: str | list[str], glob: str = IMAGE_GLOB, recursive: bool = True) -> DataFrame:
@@ -21,11 +29,33 @@ def scan_files(spark: SparkSession, root: str | list[str], glob: str = IMAGE_GLO
 
     One load covers all folders and endings. ``content`` is read only when a
     later step asks for it, so listings and inventories stay metadata jobs.
-    Spark's file sources leave out files of zero bytes.
+    Spark's file sources leave out files of zero bytes; ``empty_files`` has them.
     """
     return _file_source(spark.read.format("binaryFile"), glob, recursive).load(root)
 
 
+def empty_files(spark: SparkSession, root: str | list[str], glob: str = IMAGE_GLOB) -> DataFrame:
+    """The files below ``root`` that hold nothing: path, length 0, content null.
+
+    Spark's listing knows all files, its scan leaves out those of zero bytes. The names stay in the JVM, where the
+    listing has them anyway, and are dealt to tasks from there.
+    """
+    scan = scan_files(spark, root, glob)
+    names = JvmColumn(spark._jvm.org.apache.spark.sql.functions.lit(scan._jdf.inputFiles()))
+    listed = spark.range(1).select(F.explode(names).alias("value"))
+    path = F.url_decode(F.replace(F.col("value"), F.lit("+"), F.lit("%2B")))
+    path = F.regexp_replace(path, "^([^/:]+):///", "$1:/")  # as the scan spells it
+    return listed.select(path.alias("path")).join(scan.select("path"), "path", "left_anti").select(
+        "path", F.lit(0).cast("long").alias("length"), F.lit(None).cast("binary").alias("content")
+    )
+
+
+def all_files(spark: SparkSession, root: str | list[str], glob: str = IMAGE_GLOB) -> DataFrame:
+    """path and length of every file below ``root``, those of zero bytes included."""
+    scan = scan_files(spark, root, glob).select("path", "length")
+    return scan.unionByName(empty_files(spark, root, glob).select("path", "length"))
+
+
 def scan_images(spark: SparkSession, root: str | list[str], glob: str = IMAGE_GLOB) -> DataFrame:
     """Decoded pictures as path, image; a file that cannot be decoded stays, with height -1.
 
@@ -62,17 +92,19 @@ def with_split_and_label(files: DataFrame, path: str = "path") -> DataFrame:
 
 
 def file_inventory(files: DataFrame) -> DataFrame:
-    """Files and bytes per split and label."""
+    """Files, empty ones among them, and bytes per split and label; null for files outside the layout."""
     return files.groupBy("split", "label_name").agg(
-        F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes")
+        F.count(F.lit(1)).alias("n_files"),
+        F.count_if(F.col("length") == 0).alias("n_empty"),
+        F.sum("length").alias("n_bytes"),
     )
 
 
 def ending_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Files and bytes per ending, with a flag for those ``scan_files`` takes."""
+    """Files and bytes per ending in any case, with a flag for those ``scan_files`` takes; empty files count."""
     ending = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
     return (
-        scan_files(spark, root, glob="*")
+        all_files(spark, root, glob="*")
         .groupBy(ending.alias("ending"))
         .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"))
         .withColumn("is_image", F.col("ending").isin(*IMAGE_ENDINGS))

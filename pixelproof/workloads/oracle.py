@@ -80,6 +80,8 @@ cells AS (
          count(*) FILTER (WHERE label = 0 AND prediction = 1) AS false_positive,
          count(*) FILTER (WHERE label = 1 AND prediction = 0) AS false_negative,
          count(*) FILTER (WHERE label IS NULL OR prediction IS NULL) AS n_null,
+         count(*) FILTER (WHERE label IS NOT NULL AND prediction IS NOT NULL
+                          AND NOT (label IN (0, 1) AND prediction IN (0, 1))) AS n_other,
          count(*) AS n_rows
   FROM {source} GROUP BY model)"""
 
@@ -189,7 +191,7 @@ SELECT split, label_name, label, octet_length(content) + 1 AS length, md5(html |
 SQL["scan_multi_ext"] = select(
     BYTES,
     """
-SELECT CASE split WHEN 'train' THEN 'jpg' ELSE 'png' END AS ending, md5(html) AS digest FROM files""",
+SELECT CASE split WHEN 'train' THEN 'jPg' ELSE 'png' END AS ending, md5(html) AS digest FROM files""",
 )
 SQL["ending_inventory"] = select(
     BYTES,
@@ -323,7 +325,7 @@ SQL["prediction_breakdown"] = select(
     """
 SELECT model, count(*) AS n_rows, count(*) FILTER (WHERE label = prediction) AS n_correct,
        count(*) - count(*) FILTER (WHERE label = prediction) AS n_wrong,
-       round(count(*) FILTER (WHERE label = prediction)::double / count(*), 6) AS accuracy
+       round(count(*) FILTER (WHERE label = prediction)::double / count(*), 6) AS share_correct_of_all
 FROM either GROUP BY model""",
 )
 SQL["error_by_class"] = select(
@@ -377,15 +379,23 @@ FROM scored WHERE model = '{LR}' GROUP BY 1""",
 )
 SQL["best_metric"] = select(METRICS, "SELECT round(max(accuracy), 6) AS best_accuracy FROM metrics")
 SQL["file_inventory"] = select(
-    BYTES,
+    BYTES
+    + """,
+folders AS (
+  SELECT split, label_name, octet_length(content) + 1 AS length FROM files
+  UNION ALL
+  SELECT s.split, l.label_name, 0
+  FROM (VALUES ('train'), ('test')) AS s(split), (VALUES ('REAL'), ('FAKE')) AS l(label_name))""",
     """
-SELECT split, label_name, count(*) AS n_files, sum(octet_length(content) + 1)::bigint AS n_bytes
-FROM files GROUP BY split, label_name""",
+SELECT split, label_name, count(*) AS n_files, count(*) FILTER (WHERE length = 0) AS n_empty,
+       sum(length)::bigint AS n_bytes
+FROM folders GROUP BY split, label_name""",
 )
 SQL["byte_inventory"] = select(
     BYTES,
     """
-SELECT split, label_name, count(*) AS n_files, sum(octet_length(content))::bigint AS n_bytes
+SELECT split, label_name, count(*) AS n_files, count(*) FILTER (WHERE octet_length(content) = 0) AS n_empty,
+       sum(octet_length(content))::bigint AS n_bytes
 FROM files GROUP BY split, label_name""",
 )
 
@@ -397,13 +407,14 @@ SQL["top_suspects"] = select(
 SELECT path, label_name, round(p * 100, 6) AS confidence FROM scored WHERE model = '{LR}'
 ORDER BY p * 100 DESC, path LIMIT 20""",
 )
-SQL["sample_per_class"] = select(
-    LI
-    + f""",
+for _name, _n in (("sample_per_class", 50), ("sample_per_class_many", 2000)):
+    SQL[_name] = select(
+        LI
+        + """,
 placed AS (
-  SELECT *, row_number() OVER (PARTITION BY label_name ORDER BY path) AS place FROM scored WHERE model = '{LR}')""",
-    "SELECT path, label_name, prediction FROM placed WHERE place <= 50",
-)
+  SELECT *, row_number() OVER (PARTITION BY model, label_name ORDER BY path) AS place FROM scored)""",
+        f"SELECT model, path, label_name, prediction FROM placed WHERE place <= {_n}",
+    )
 SQL["union_splits"] = select(
     FEAT,
     """

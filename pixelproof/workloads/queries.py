@@ -40,7 +40,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 THRESHOLDS = [i / 10 for i in range(1, 10)]
-SAMPLE, TOP = 50, 20
+SAMPLE, SAMPLE_MANY, TOP = 50, 2000, 20
 
 
 def query(function: Query) -> Query:
@@ -76,8 +76,7 @@ def scan_multi_ext(spark, sf_dir):
 
 @query
 def ending_inventory(spark, sf_dir):
-    found = files.ending_inventory(spark, rel.land_endings(spark, sf_dir))
-    return found.where(F.col("ending").isin("jpg", "png", "txt"))
+    return files.ending_inventory(spark, rel.land_endings(spark, sf_dir))
 
 
 @query
@@ -146,8 +145,8 @@ def resume_pending(spark, sf_dir):
     raw = rel.file_bytes(spark, sf_dir)
     folder = run_folder(spark, "features")
     tables.write_table(feature_rows(raw.where(F.col("split") == TRAIN), byte_histogram()), folder)
-    left = pending(raw, tables.read_if_present(spark, folder, FEATURES))
-    return left.select("path", "split", "label_name", F.octet_length("content").alias("length"))
+    listing = raw.select("path", "split", "label_name", F.octet_length("content").alias("length"))
+    return pending(listing, tables.read_if_present(spark, folder, FEATURES))
 
 
 # ---- projections and filters ---------------------------------------------------
@@ -296,7 +295,8 @@ def best_metric(spark, sf_dir):
 
 @query
 def file_inventory(spark, sf_dir):
-    found = files.scan_files(spark, rel.land_pages(spark, sf_dir), glob="*.txt")
+    root = rel.add_empty_files(spark, rel.land_pages(spark, sf_dir))
+    found = files.all_files(spark, root, glob="*.txt")
     return files.file_inventory(files.with_split_and_label(found))
 
 
@@ -318,8 +318,14 @@ def top_suspects(spark, sf_dir):
 
 @query
 def sample_per_class(spark, sf_dir):
-    items = rel.scored_items(spark, sf_dir).where(F.col("model") == LOGISTIC_REGRESSION)
-    return ranking.sample_per_class(items.select("path", "label_name", "prediction"), SAMPLE)
+    items = rel.scored_items(spark, sf_dir).select("model", "path", "label_name", "prediction")
+    return ranking.sample_per_class(items, SAMPLE, ("model", "label_name"))
+
+
+@query
+def sample_per_class_many(spark, sf_dir):
+    items = rel.scored_items(spark, sf_dir).select("model", "path", "label_name", "prediction")
+    return ranking.sample_per_class(items, SAMPLE_MANY, ("model", "label_name"))
 
 
 @query

@@ -135,11 +135,20 @@ def land_pages(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
+def add_empty_files(spark: SparkSession, folder: str) -> str:
+    """One file of zero bytes in each split and label folder, as a table without rows leaves it."""
+    nothing = spark.createDataFrame([], "value string")
+    for split in ("train", "test"):
+        for label in ("REAL", "FAKE"):
+            nothing.write.mode("append").text(f"{folder}/split={split}/label_name={label}")
+    return folder
+
+
 def land_endings(spark: SparkSession, sf_dir: str) -> str:
-    """Each page as a file of hex digits: jpg for training rows, png for test rows, and all again as txt."""
+    """Each page as a file of hex digits: jPg for training rows, png for test rows, and all again as txt."""
     folder = run_folder(spark, "ending-files")
     pages = file_bytes(spark, sf_dir).select("split", F.hex("content").alias("digits"))
-    for ending, split in (("jpg", "train"), ("png", "test")):
+    for ending, split in (("jPg", "train"), ("png", "test")):
         part = pages.where(F.col("split") == split).select("digits")
         _one_file_per_row(part).option("extension", ending).csv(f"{folder}/{ending}")
     _one_file_per_row(pages.select("digits")).text(f"{folder}/txt")

@@ -60,7 +60,7 @@ def test_missing_labels_and_answers_are_counted(spark):
     rows = [("m", "a", None, 1.0, 0.9), ("m", "b", 1, None, None), ("m", "c", 1, 1.0, 0.9)]
     data = predictions(spark, rows)
     cells = confusion.confusion_cells(data).first()
-    assert (cells["true_positive"], cells["n_null"], cells["n_rows"]) == (1, 2, 3)
+    assert (cells["true_positive"], cells["n_null"], cells["n_other"], cells["n_rows"]) == (1, 2, 0, 3)
     assert confusion.misclassified(data).count() == 0
     row = confusion.prediction_breakdown(data).first()
     assert (row["n_correct"], row["n_wrong"]) == (1, 2)

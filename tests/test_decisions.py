@@ -49,3 +49,34 @@ def test_missing_tables_are_reported_not_invented(spark, tmp_path):
     assert {r["table_name"]: r["n_rows"] for r in sizes.collect()} == {"a": 3, "b": 0, "c": None}
     check = decisions.output_check(sizes, needed=2).first()
     assert (check["n_expected"], check["n_filled"], check["passed"]) == (3, 1, False)
+
+
+def only(spark, *rows):
+    return spark.createDataFrame([(name, acc, 0.5, 0.5, 0.5, 0.5, 1.0) for name, acc in rows], METRICS)
+
+
+@pytest.mark.parametrize(
+    "rows, name, title, accuracy",
+    [
+        ([("RandomForest", 0.9)], "RandomForest", "Random Forest", "90.00%"),
+        ([("LogisticRegression", 0.7), ("RandomForest", 0.8), ("Net", 0.9)], "Net", "Net", "90.00%"),
+        ([("Net", 0.9), ("RandomForest", 0.9)], "RandomForest", "Random Forest", "90.00%"),
+        ([("LogisticRegression", None), ("RandomForest", 0.1)], "RandomForest", "Random Forest", "10.00%"),
+    ],
+)
+def test_all_reports_name_the_same_winner(spark, rows, name, title, accuracy):
+    table = only(spark, *rows)
+    assert decisions.champion(table).first()["best_model"] == name
+    facts = {r["metric"]: r["value"] for r in decisions.insight_facts(table, spark.range(1), "d", "Net", 2).collect()}
+    assert (facts["Best Model"], facts["Best Accuracy"]) == (title, accuracy)
+    report = {r["key"]: r["value"] for r in decisions.report_facts(table, "p").collect()}
+    assert (report["best_model"], report["best_accuracy"]) == (name, accuracy)
+
+
+def test_no_model_no_champion(spark):
+    assert decisions.champion(only(spark).limit(0)).count() == 0
+
+
+def test_comparison_does_not_leave_a_model_out(spark):
+    with pytest.raises(Exception, match="no column for model Net"):
+        decisions.model_comparison(only(spark, ("Net", 0.9))).collect()

@@ -1,13 +1,10 @@
-import sys
-import types
-
 import numpy as np
 import pyarrow as pa
 import pytest
 from fixtures import png, png_tree
 
 from pixelproof.functions import featurizers
-from pixelproof.functions.features import Featurizer, FeatureWidthError, featurize_batch, with_features
+from pixelproof.functions.features import Featurizer, FeatureWidthError, _bytes_of, _calls, featurize_batch, with_features
 from pixelproof.sources.files import scan_images, with_split_and_label
 
 
@@ -114,83 +111,19 @@ def test_broken_picture_gets_an_error(spark, tmp_path):
     assert row["features"] is None and row["error"]
 
 
-class FakeTensor:
-    def __init__(self, values):
-        self.values = np.asarray(values, dtype=np.float32)
-
-    def to(self, device):
-        return self
-
-    def cpu(self):
-        return self
-
-    def numpy(self):
-        return self.values
-
-
-class FakeNetwork:
-    classifier = "head"
-
-    def eval(self):
-        return self
-
-    def to(self, device):
-        return self
+def test_vectors_that_are_not_finite_are_quarantined():
+    bad = Featurizer("bad", 2, lambda: (lambda x: x, lambda items: np.array([[1.0, float(len(i)) if len(i) > 1 else np.nan] for i in items])))
+    out = featurize_batch(pa.array([b"ab", b"c"]), bad).to_pylist()
+    assert out[0]["features"] == [1.0, 2.0] and out[1]["features"] is None and "finite" in out[1]["error"]
 
-    def __call__(self, tensor):
-        assert self.classifier == "identity"
-        return FakeTensor(np.repeat(tensor.values.mean(axis=1, keepdims=True), 1280, axis=1))
 
+def test_calls_hold_so_many_bytes_and_a_large_item_stands_alone():
+    sizes = _bytes_of(pa.array([b"a" * 10, b"b" * 500, b"", b"c" * 30, b"d" * 30, None]))
+    assert sizes.tolist() == [10, 500, 0, 30, 30, 0]
+    assert list(_calls(sizes, 3, 60)) == [(0, 1), (1, 2), (2, 5), (5, 6)]
 
-class Nothing:
-    def __enter__(self):
-        return self
 
-    def __exit__(self, *_):
-        return False
-
-
-def test_network_adapter_against_stand_ins(monkeypatch):
-    """torch is not installed here: this checks the wiring only, not a real network."""
-    steps = []
-
-    class FakeImage:
-        @staticmethod
-        def open(stream):
-            content = stream.read()
-            if content == b"bad":
-                raise OSError("cannot identify image file")
-            return types.SimpleNamespace(convert=lambda mode: (mode, content))
-
-    def compose(parts):
-        return lambda image: FakeTensor(np.frombuffer(image[1], dtype=np.uint8))
-
-    def step(name):
-        return lambda *args: steps.append((name, *args))
-
-    torch = types.ModuleType("torch")
-    torch.nn = types.SimpleNamespace(Identity=lambda: "identity")
-    torch.inference_mode = Nothing
-    torch.stack = lambda tensors: FakeTensor(np.stack([t.values for t in tensors]))
-    vision = types.ModuleType("torchvision")
-    vision.models = types.SimpleNamespace(
-        mobilenet_v2=lambda weights: FakeNetwork(),
-        MobileNet_V2_Weights=types.SimpleNamespace(IMAGENET1K_V1="weights"),
-    )
-    vision.transforms = types.SimpleNamespace(
-        Compose=compose,
-        Resize=step("resize"),
-        CenterCrop=step("crop"),
-        ToTensor=step("tensor"),
-        Normalize=step("normalize"),
-    )
-    pillow = types.ModuleType("PIL")
-    pillow.Image = FakeImage
-    for name, module in (("torch", torch), ("torchvision", vision), ("PIL", pillow)):
-        monkeypatch.setitem(sys.modules, name, module)
-
-    out = featurize_batch(pa.array([b"\x02\x04", b"bad", b"\x06\x06"]), featurizers.pretrained_cnn()).to_pylist()
-    assert [s[:2] for s in steps[:2]] == [("resize", 224), ("crop", 224)]
-    assert out[0]["features"][:2] == [3.0, 3.0] and len(out[0]["features"]) == 1280
-    assert out[1]["features"] is None and "cannot identify" in out[1]["error"]
-    assert out[2]["features"][0] == 6.0
+def test_a_large_item_is_counted_in_pieces():
+    items = [b"ab", b"xyz" * 1_500_000, b"b"]
+    out = featurize_batch(pa.array(items), featurizers.byte_histogram()).to_pylist()
+    assert out[1]["features"][ord("x")] == 1_500_000 and out[0]["features"][ord("a")] == 1 and out[2]["features"][ord("b")] == 1

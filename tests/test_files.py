@@ -23,14 +23,27 @@ def test_inventory_does_not_read_contents(spark, tmp_path):
 
 
 def test_all_spellings_in_one_scan(spark, tmp_path):
-    for name in ("a.jpg", "b.jpeg", "c.png", "d.JPG", "e.txt", "f.PNG", "g.JPEG"):
+    for name in ("a.jpg", "b.jpeg", "c.png", "d.JPG", "e.txt", "f.PNG", "g.JPEG", "h.Jpg", "i.jPEG"):
         (tmp_path / name).write_bytes(b"x")
     names = {r["path"].rsplit("/", 1)[1] for r in files.scan_files(spark, str(tmp_path)).select("path").collect()}
-    assert names == {"a.jpg", "b.jpeg", "c.png", "d.JPG", "f.PNG", "g.JPEG"}
+    assert names == {"a.jpg", "b.jpeg", "c.png", "d.JPG", "f.PNG", "g.JPEG", "h.Jpg", "i.jPEG"}
     skipped = files.ending_inventory(spark, str(tmp_path)).where("not is_image").collect()
     assert [(r["ending"], r["n_files"]) for r in skipped] == [("txt", 1)]
 
 
+def test_empty_files_are_counted(spark, tmp_path):
+    root = tree(tmp_path)
+    for name in ("train/REAL/a b+c%20[1].png", "test/FAKE/no.JPG", "outside.png"):
+        (tmp_path / "raw" / name).write_bytes(b"")
+    assert files.scan_files(spark, root).count() == 12
+    empty = {r["path"].rsplit("/raw/", 1)[1] for r in files.empty_files(spark, root).collect()}
+    assert empty == {"train/REAL/a b+c%20[1].png", "test/FAKE/no.JPG", "outside.png"}
+    rows = files.file_inventory(files.with_split_and_label(files.all_files(spark, root))).collect()
+    counts = {(r["split"], r["label_name"]): (r["n_files"], r["n_empty"]) for r in rows}
+    assert counts[("train", "REAL")] == (4, 1) and counts[("test", "FAKE")] == (4, 1) and counts[(None, None)] == (1, 1)
+    assert files.empty_files(spark, root, "*.none").count() == 0
+
+
 def test_recursion_can_be_turned_off(spark, tmp_path):
     (tmp_path / "top.jpg").write_bytes(b"x")
     assert files.scan_files(spark, str(tmp_path), recursive=False).count() == 1
@@ -44,6 +57,8 @@ def test_split_and_label_from_either_layout(spark):
         ("test", "FAKE", 1),
         (None, None, None),
     ]
+    archived = spark.createDataFrame([("f:/arch/train/FAKE/old/test/REAL/x.jpg",)], "path string")
+    assert files.with_split_and_label(archived).first()["split"] == "test"  # the folders nearest to the file
 
 
 def test_every_scan_spells_a_path_alike(spark, tmp_path):

@@ -188,20 +188,62 @@ def test_refit_while_scoring_new_files(spark, tmp_path):
         assert row["confidence"] == pytest.approx(100 * p)
 
 
-@pytest.mark.parametrize("few", [1000, 0])
-def test_extraction_resumes_and_quarantines(spark, tmp_path, monkeypatch, few):
-    """Both ways to the missing files: by name, and by scan and join."""
-    monkeypatch.setattr(extract, "FEW_FILES", few)
+@pytest.mark.parametrize("files_per_batch", [100_000, 5])
+def test_extraction_resumes_and_quarantines(spark, tmp_path, files_per_batch):
+    """In one batch and in several; broken and empty files are stored with their error, once."""
     png_tree(tmp_path)
     root, out = str(tmp_path / "raw"), str(tmp_path / "features")
     (tmp_path / "raw/train/REAL/bad.png").write_bytes(b"no picture")
-    first = run_extraction(spark, root, out, pixel_histogram(), decoded=True)
-    assert first.count() == 13
-    assert [r["label_name"] for r in quarantined(first).collect()] == ["REAL"]
-    again = run_extraction(spark, root, out, pixel_histogram(), decoded=True)
-    assert again.count() == 13
+    (tmp_path / "raw/train/FAKE/empty.PnG").write_bytes(b"")
+
+    def extract_all():
+        return run_extraction(spark, root, out, pixel_histogram(), decoded=True, files_per_batch=files_per_batch)
+
+    first = extract_all()
+    assert first.count() == 14
+    assert sorted((r["label_name"], r["error"]) for r in quarantined(first).collect())[0] == ("FAKE", "ValueError: no content")
+    assert quarantined(first).count() == 2
+    assert extract_all().count() == 14
     (tmp_path / "raw/test/FAKE/new.png").write_bytes((tmp_path / "raw/test/FAKE/0000.png").read_bytes())
-    assert run_extraction(spark, root, out, pixel_histogram(), decoded=True).count() == 14
+    assert extract_all().count() == 15
+
+
+def test_extraction_stopped_between_batches_goes_on(spark, tmp_path, monkeypatch):
+    png_tree(tmp_path)
+    root, out = str(tmp_path / "raw"), str(tmp_path / "features")
+    write, calls = extract.write_table, []
+
+    def stopping(rows, path, **options):
+        calls.append(path)
+        if calls.count(out) == 2:
+            raise KeyboardInterrupt
+        write(rows, path, **options)
+
+    monkeypatch.setattr(extract, "write_table", stopping)
+    with pytest.raises(KeyboardInterrupt):
+        run_extraction(spark, root, out, byte_histogram(), files_per_batch=4)
+    kept = read_table(spark, out, FEATURES).count()
+    assert 0 < kept < 12
+    monkeypatch.undo()
+    done = run_extraction(spark, root, out, byte_histogram(), files_per_batch=4)
+    assert done.count() == 12 and done.select("path").distinct().count() == 12
+
+
+def test_resuming_compares_listings_only(spark, tmp_path):
+    """Even with a large table of finished files, no exchange or sort carries contents."""
+    png_tree(tmp_path)
+    out = str(tmp_path / "features")
+    run_extraction(spark, str(tmp_path / "raw"), out, byte_histogram())
+    (tmp_path / "raw/test/FAKE/new.png").write_bytes(b"x")
+    broadcasts = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        todo = pending(extract.in_layout(extract.all_files(spark, str(tmp_path / "raw"))), read_table(spark, out, FEATURES))
+        plan = todo._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" in plan and "content#" not in plan
+        assert todo.count() == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcasts)
 
 
 def test_pending_keeps_only_what_is_missing(spark):

@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pixelproof.operators import ranking
@@ -121,18 +122,37 @@ def test_ties_at_the_top_are_broken_by_path(spark):
     assert [r["path"] for r in ranking.top_suspects(rows, 2).collect()] == ["c", "a"]
 
 
-def test_cuts_share_rows_evenly_however_they_are_stored(spark):
-    """Three quarters of the rows lie in one input partition and all partitions differ."""
-    rows = (
-        spark.range(0, 12000, 1, 1)
-        .unionByName(spark.range(12000, 16000, 1, 7))
-        .select((F.col("id").cast("double") / 16000).alias("score"))
+@pytest.mark.parametrize("n", [900, 1500])
+def test_sample_of_any_classes_at_any_size(spark, n):
+    """Four classes, one of them null, and one with most of the rows; also by two columns."""
+    rows = spark.range(8000).select(
+        F.lpad(F.col("id").cast("string"), 5, "0").alias("path"),
+        F.expr("CASE WHEN id % 8 = 0 THEN 'REAL' WHEN id % 8 = 1 THEN 'OTHER' WHEN id % 8 > 2 THEN 'FAKE' END").alias("c"),
+        (F.col("id") % 2).alias("model"),
     )
-    cuts = ranking.score_cuts(rows, "score", 16)
-    assert cuts == sorted(cuts) and 10 <= len(cuts) <= 15
-    sizes = np.histogram(np.arange(16000) / 16000, bins=[-np.inf, *cuts, np.inf])[0]
-    assert sizes.max() <= 3 * 16000 / 16
+    found = ranking.sample_per_class(rows, n, "c").collect()
+    place = Window.partitionBy("c").orderBy("path")
+    expected = rows.withColumn("p", F.row_number().over(place)).where(f"p <= {n}").drop("p").collect()
+    assert sorted(map(str, found)) == sorted(map(str, expected)) and {r["c"] for r in found} == {"REAL", "OTHER", "FAKE", None}
+    two = ranking.sample_per_class(rows, 100, ("model", "c")).groupBy("model", "c").count().collect()
+    assert len(two) == 5 and {r["count"] for r in two} == {100}
+
+
+def test_ranges_do_not_change_the_area(spark, hot_pairs):
+    areas = {round(ranking.auc_exact(scored(spark, hot_pairs), buckets=b).first()["auc_roc"], 12) for b in (1, 3, 50)}
+    areas.add(round(ranking.auc_exact(scored(spark, hot_pairs)).first()["auc_roc"], 12))
+    assert len(areas) == 1
+
+
+def test_predictions_are_read_once(spark, hot_pairs):
+    """Each prediction passes a counting task once, whatever jobs the area takes."""
+    read = spark.sparkContext.accumulator(0)
 
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
 
-def test_cuts_of_nothing(spark):
-    assert ranking.score_cuts(spark.createDataFrame([], "score double"), "score", 8) == []
+    rows = scored(spark, hot_pairs)
+    ranking.auc_exact(rows.mapInPandas(counted, rows.schema)).collect()
+    assert read.value == len(hot_pairs)
