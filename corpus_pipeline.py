@@ -26,10 +26,10 @@ def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document of the smallest id, once; documents without words all stay."""
     groups = store(ngram_join.joined(docs), "groups").rows
-    later = ngram_join.checked(spark, store(groups.where("id <> component").select("id").distinct(), "later"))
+    later = ngram_join.checked(spark, store(groups.where("id <> component").select(F.col("id").alias("__id")).distinct(), "later"))
     counts = groups.where("id = component").groupBy("id").agg(F.count("*").alias("n"))
-    again = ngram_join.checked(spark, store(counts.where("n > 1").select("id"), "again"))
-    same = F.col("doc_id") == F.col("id")
+    again = ngram_join.checked(spark, store(counts.where("n > 1").select(F.col("id").alias("__id")), "again"))
+    same = F.col("doc_id") == F.col("__id")
     kept = docs.join(later, same, "left_anti")
     return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
 
@@ -41,8 +41,8 @@ def hide_persons(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's budget asks for them."""
-    mixed = mixing.mixed(docs, mixing_levels(), copies="_copies")
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    mixed = mixing.mixed(docs, mixing_levels(), copies="__copies", count="__tokens")
+    return mixed.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ def tokens(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
 
 
-def shuffled(key: str, settings: Settings, epoch: str = "epochs") -> Column:
+def shuffled(key: str, settings: Settings, epoch: str = "__epochs") -> Column:
     """A document's place in an epoch's order, as text."""
     return F.md5(F.concat_ws("|", F.lit(settings.seed), F.col(epoch).cast("string"), F.col(key).cast("string")))
 
@@ -71,31 +71,31 @@ def cuts(rows: DataFrame, planned: DataFrame, names: list[str], settings: Settin
     and only what is left is summed row by row.
     """
     budget = F.floor("budget")
-    leaves = planned.where("have > 0").withColumn("epochs", F.floor(budget / F.col("have")).cast("int"))
-    leaves = leaves.withColumn("rest", (budget - F.col("epochs") * F.col("have")).cast("bigint"))
+    leaves = planned.where("have > 0").withColumn("__epochs", F.floor(budget / F.col("have")).cast("int"))
+    leaves = leaves.withColumn("rest", (budget - F.col("__epochs") * F.col("have")).cast("bigint"))
     at = leaves.withColumn("start", F.lit("")).withColumn("base", F.lit(0).cast("bigint"))
     for level in (0, 1):
         inside = rows.join(at, names).withColumn("place", shuffled("key", settings))
         inside = inside.where(F.col("place").startswith(F.col("start")))
         part = F.substring("place", 1, 2 * level + 2)
-        sums = inside.groupBy(*names, "have", "epochs", "rest", "base", part.alias("start")).agg(F.sum("tokens").alias("t"))
+        sums = inside.groupBy(*names, "have", "__epochs", "rest", "base", part.alias("start")).agg(F.sum("tokens").alias("t"))
         run = F.sum("t").over(Window.partitionBy(*names).orderBy("start"))
         sums = sums.withColumn("end", F.col("base") + run).where(F.col("end") > F.col("rest"))
         first = F.row_number().over(Window.partitionBy(*names).orderBy("start"))
         at = sums.withColumn("first", first).where("first = 1").select(
-            *names, "have", "epochs", "rest", "start", (F.col("end") - F.col("t")).alias("base")
+            *names, "have", "__epochs", "rest", "start", (F.col("end") - F.col("t")).alias("base")
         )
     inside = rows.join(at, names).withColumn("place", shuffled("key", settings))
     inside = inside.where(F.col("place").startswith(F.col("start")))
     run = F.sum("tokens").over(Window.partitionBy(*names).orderBy("place"))
     fits = F.when(F.col("base") + run <= F.col("rest"), F.col("place"))
-    last = inside.withColumn("fits", fits).groupBy(*names, "epochs", "start").agg(F.max("fits").alias("fits"))
-    return last.select(*names, "epochs", F.coalesce("fits", "start").alias("last"))
+    last = inside.withColumn("fits", fits).groupBy(*names, "__epochs", "start").agg(F.max("fits").alias("fits"))
+    return last.select(*names, "__epochs", F.coalesce("fits", "start").alias("__last"))
 
 
 def mixed(documents: DataFrame, levels: list[Level], key: str = "doc_id", text: str = "text",
-          settings: Settings | None = None, copies: str = "copies") -> DataFrame:
-    """The documents chosen, with the levels' columns, ``n_tokens`` and how many copies to take.
+          settings: Settings | None = None, copies: str = "copies", count: str = "n_tokens") -> DataFrame:
+    """The documents chosen, with the levels' columns, their tokens and how many copies to take.
 
     Documents of weightless nodes and of leaves without any token are not chosen; a null node counts as '?'. Rows
     of the same key stand at the same place, and are chosen together. No document gets more than max_epochs copies.
@@ -110,7 +110,7 @@ def mixed(documents: DataFrame, levels: list[Level], key: str = "doc_id", text:
     chosen = store(cuts(rows.rows, planned.rows, names, settings), "mixing-cuts")
     for path in (rows.path, leaves.path, planned.path):
         discard(spark, path)
-    picked = own.join(chosen.rows, names).withColumn("_place", shuffled(key, settings))
-    number = F.col("epochs") + (F.col("_place") <= F.col("last")).cast("int")
+    picked = own.join(chosen.rows, names).withColumn("__place", shuffled(key, settings))
+    number = F.col("__epochs") + (F.col("__place") <= F.col("__last")).cast("int")
     picked = picked.withColumn(copies, number).where(F.col(copies) > 0)
-    return picked.withColumn("n_tokens", tokens(text)).drop("epochs", "last", "_place")
+    return picked.withColumn(count, tokens(text)).drop("__epochs", "__last", "__place")

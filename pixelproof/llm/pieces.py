@@ -192,8 +192,8 @@ def with_ids(documents: DataFrame, model_path: str, key: str = "doc_id", text: s
             yield pd.DataFrame({"ids": pd.Series(made, dtype=object), "exact": pd.Series(same, dtype=object)})
 
     keyed = F.xxhash64(F.col(key)).bitwiseAND(F.lit(0x7FFFFFFF))
-    out = documents.withColumn("_made", encode(text, keyed)).withColumn(ids, F.col("_made.ids"))
-    return (out.withColumn(exact, F.col("_made.exact")) if exact else out).drop("_made")
+    out = documents.withColumn("__made", encode(text, keyed)).withColumn(ids, F.col("__made.ids"))
+    return (out.withColumn(exact, F.col("__made.exact")) if exact else out).drop("__made")
 
 
 def with_text(rows: DataFrame, model_path: str, ids: str = "ids", text: str = "text") -> DataFrame:

@@ -232,11 +232,11 @@ def entities(documents: DataFrame, text: str) -> DataFrame:
             yield pd.Series([list({(m.kind, m.value) for m in mentions(t)}) for t in batch], dtype=object)
 
     rows = documents.select(*text_key(text), found(text).alias("e"))
-    return rows.select("k1", "k2", F.explode("e").alias("e")).select("k1", "k2", "e.kind", "e.value")
+    return rows.select("__k1", "__k2", F.explode("e").alias("e")).select("__k1", "__k2", "e.kind", "e.value")
 
 
 def text_key(text: str):
-    return F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(9), F.reverse(text)).alias("k2")
+    return F.xxhash64(text).alias("__k1"), F.xxhash64(F.lit(9), F.reverse(text)).alias("__k2")
 
 
 def drawn_again(found: DataFrame, key: str) -> tuple[DataFrame, list[str]]:
@@ -283,8 +283,8 @@ def with_surrogates(documents: DataFrame, key: str, text: str = "text", count: s
     found = store(entities(documents, text), "pii-mentions")
     again, paths = drawn_again(found.rows, key)
     # texts that hold an entity drawn again, with what they need; a stored table, so Spark sees how small it is
-    needs = found.rows.join(again, ["kind", "value"]).groupBy("k1", "k2")
-    needs = store(needs.agg(F.collect_set(F.struct("kind", "value", "attempt")).alias("_needs")), "pii-needs")
+    needs = found.rows.join(again, ["kind", "value"]).groupBy("__k1", "__k2")
+    needs = store(needs.agg(F.collect_set(F.struct("kind", "value", "attempt")).alias("__needs")), "pii-needs")
     for path in [found.path, *paths]:
         discard(spark, path)
 
@@ -298,11 +298,11 @@ def with_surrogates(documents: DataFrame, key: str, text: str = "text", count: s
             yield pd.DataFrame({"text": [r[0] for r in rows], "n": [r[1] for r in rows]}).astype({"n": "int32"})
 
     k1, k2 = text_key(text)
-    own = documents.withColumn("_k1", k1).withColumn("_k2", k2)
+    own = documents.withColumn("__own1", k1).withColumn("__own2", k2)
     if needs.rows.isEmpty():
-        joined = own.withColumn("_needs", F.lit(None).cast(needs.rows.schema["_needs"].dataType))
+        joined = own.withColumn("__needs", F.lit(None).cast(needs.rows.schema["__needs"].dataType))
     else:
-        joined = own.join(needs.rows, (F.col("_k1") == F.col("k1")) & (F.col("_k2") == F.col("k2")), "left")
-    joined = joined.withColumn("_new", replace(text, "_needs"))
-    columns = [F.col("_new.text").alias(c) if c == text else F.col(f"`{c}`") for c in documents.columns]
-    return joined.select(*columns, *([F.col("_new.n").alias(count)] if count else []))
+        joined = own.join(needs.rows, (F.col("__own1") == F.col("__k1")) & (F.col("__own2") == F.col("__k2")), "left")
+    joined = joined.withColumn("__new", replace(text, "__needs"))
+    columns = [F.col("__new.text").alias(c) if c == text else F.col(f"`{c}`") for c in documents.columns]
+    return joined.select(*columns, *([F.col("__new.n").alias(count)] if count else []))

@@ -99,9 +99,9 @@ def by_name(column: str, weights: dict[str, int], other: int) -> Column:
 
 def mixing_levels() -> list[mixing.Level]:
     return [
-        mixing.Level("_domain", domain(F.col("source")), by_name("_domain", {"domain0": 4, "domain1": 3, "domain2": 2}, 1)),
-        mixing.Level("_lang", F.col("lang"), by_name("_lang", {"en": 5, "de": 2, "fr": 2}, 1)),
-        mixing.Level("_source", F.col("source"), F.lit(1)),
+        mixing.Level("__domain", domain(F.col("source")), by_name("__domain", {"domain0": 4, "domain1": 3, "domain2": 2}, 1)),
+        mixing.Level("__lang", F.col("lang"), by_name("__lang", {"en": 5, "de": 2, "fr": 2}, 1)),
+        mixing.Level("__source", F.col("source"), F.lit(1)),
     ]
 
 
@@ -109,7 +109,7 @@ def mixing_levels() -> list[mixing.Level]:
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return mixing.mixed(documents, mixing_levels()).select(
-        "doc_id", F.col("_domain").alias("domain"), "lang", "source", "n_tokens", "copies"
+        "doc_id", F.col("__domain").alias("domain"), "lang", "source", "n_tokens", "copies"
     )
 
 

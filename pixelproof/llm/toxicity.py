@@ -76,7 +76,7 @@ def probability(score: float) -> float:
     return 1 / (1 + np.exp(-np.clip(score, -35, 35)))
 
 
-def sample(documents: DataFrame, labels: DataFrame, key: str, label: str, settings: Settings) -> DataFrame:
+def sample(documents: DataFrame, labels: DataFrame, key: str, text: str, label: str, settings: Settings) -> DataFrame:
     """Labelled rows, ``per_class`` of each class at most, first by seeded hash: columns label, shard, text.
 
     A key labelled twice counts once, by its largest label; labels other than 0 and 1 are left out.
@@ -89,7 +89,8 @@ def sample(documents: DataFrame, labels: DataFrame, key: str, label: str, settin
     )
     # the bound makes this side small whatever the corpus is: 2 * per_class rows of three numbers
     picked = [known.where(F.col("_label") == c).orderBy("_order", "_key").limit(settings.per_class) for c in (0, 1)]
-    return documents.join(F.broadcast(picked[0].unionAll(picked[1])), F.col(key) == F.col("_key")).select(
+    own = documents.select(F.col(key).alias("_id"), F.col(text).alias("text"))
+    return own.join(F.broadcast(picked[0].unionAll(picked[1])), F.col("_id") == F.col("_key")).select(
         F.col("_label").alias("label"),
         F.pmod("_order", F.lit(settings.shards)).cast("int").alias("shard"),
         F.col("_order").alias("order"),
@@ -97,7 +98,7 @@ def sample(documents: DataFrame, labels: DataFrame, key: str, label: str, settin
     )
 
 
-def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic",
+def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
         settings: Settings | None = None) -> tuple[np.ndarray, np.ndarray, float]:
     """Slots, weights and intercept. Without labelled rows there are no weights and every text scores 0.5."""
     settings = settings or Settings()
@@ -109,7 +110,7 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", label: str
             yield pd.Series([features(t, settings.bits) for t in batch], dtype=object)
 
     rows = store(
-        sample(documents, labels, key, label, settings).select("label", "shard", "order", slots("text").alias("slots")),
+        sample(documents, labels, key, text, label, settings).select("label", "shard", "order", slots("text").alias("slots")),
         "toxicity-sample",
     )
     learner = Learner(settings)
