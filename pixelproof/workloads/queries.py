@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +44,7 @@ REGISTRY: dict[str, Query] = {}
 
 THRESHOLDS = [i / 10 for i in range(1, 10)]
 SAMPLE, SAMPLE_MANY, TOP = 50, 2000, 20
+TOLERANCE = 1e-3  # of a slope of the loss, in units of the scaled features
 
 
 def query(function: Query) -> Query:
@@ -405,21 +409,67 @@ def _fit(spark, sf_dir, name: str) -> PipelineModel:
     return fit_models(train, {name: classifiers()[name]})[name].model
 
 
+def _standing_rows(spark, sf_dir) -> DataFrame:
+    """Training rows as arrays in the scaler's units, label known: path, label, x."""
+    rows = _training_rows(spark, sf_dir).where(F.col("split") == TRAIN).dropna(subset=["label"])
+    return rows.select("path", "label", vector_to_array("features").alias("x"))
+
+
 @query
 def lr_fit_score(spark, sf_dir):
+    """What must hold of a fit: scores follow from the stored numbers, and no dimension can be improved.
+
+    The loss is the mean log loss plus r * (a * |w| + (1 - a) / 2 * w ** 2); where w is 0 its slope may lie
+    anywhere between the two sides, elsewhere it is 0.
+    """
     model = _fit(spark, sf_dir, LOGISTIC_REGRESSION)
-    return score_models(_training_rows(spark, sf_dir), {LOGISTIC_REGRESSION: model})
+    scaling, classifier = model.stages
+    std, weights = [float(s) for s in scaling.std], [float(w) for w in classifier.coefficients]
+    ratio, share = classifier.getRegParam(), classifier.getElasticNetParam()
+    own = LinearScorer(tuple(weights), float(classifier.intercept)).scaled(std)
+    rows = _training_rows(spark, sf_dir)
+    plain = rows.select("path", own.probability(vector_to_array("features")).alias("expected"))
+    scored = score_models(rows, {LOGISTIC_REGRESSION: model}).join(plain, "path")
+    agree = scored.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.abs(F.col("fake_probability") - F.col("expected")) <= 1e-9).alias("n_agree"),
+    )
+    train = _standing_rows(spark, sf_dir)
+    residual = (own.probability(F.col("x")) - F.col("label")).alias("r")
+    slopes = train.select(residual, F.posexplode("x").alias("dim", "v")).groupBy("dim").agg(F.avg(F.col("r") * F.col("v")).alias("g"))
+    known = spark.createDataFrame([(i, s, w) for i, (s, w) in enumerate(zip(std, weights, strict=True))], "dim int, std double, w double")
+    both = slopes.join(known, "dim").withColumn("g", F.col("g") / F.col("std"))
+    off = F.when(F.col("w") == 0, F.greatest(F.abs("g") - ratio * share, F.lit(0.0))).otherwise(
+        F.abs(F.col("g") + ratio * (share * F.signum("w") + (1 - share) * F.col("w")))
+    )
+    dims = both.agg(F.count(F.lit(1)).alias("n_dims"), F.count_if(off > TOLERANCE).alias("n_violations"))
+    return agree.withColumn("_", F.lit(1)).join(dims.withColumn("_", F.lit(1)), "_").drop("_")
 
 
 @query
 def rf_fit_score(spark, sf_dir):
+    """Every row with a flag: P(FAKE) is the mean of the trees' shares."""
     model = _fit(spark, sf_dir, RANDOM_FOREST)
-    return score_models(_training_rows(spark, sf_dir), {RANDOM_FOREST: model})
+    rows = _training_rows(spark, sf_dir)
+    scaling, forest = model.stages
+    voted = scaling.transform(rows.select("path", "features"))
+    for i, tree in enumerate(forest.trees):
+        tree = tree.setFeaturesCol(scaling.getOutputCol()).setProbabilityCol("p").setRawPredictionCol("").setPredictionCol("")
+        voted = tree.transform(voted).withColumn(f"p{i}", vector_to_array("p")[1]).drop("p")
+    mean = reduce(lambda x, y: x + y, [F.col(f"p{i}") for i in range(len(forest.trees))]) / len(forest.trees)
+    scored = score_models(rows, {RANDOM_FOREST: model}).join(voted.select("path", mean.alias("mean")), "path")
+    agree = F.abs(F.col("fake_probability") - F.col("mean")) <= 1e-9
+    return scored.select(F.col("path").cast("long").alias("vec_id"), "label", agree.alias("votes_agree"))
 
 
 @query
 def rf_importance(spark, sf_dir):
-    return feature_importance(_fit(spark, sf_dir, RANDOM_FOREST), spark)
+    found = feature_importance(_fit(spark, sf_dir, RANDOM_FOREST), spark)
+    return found.agg(
+        F.count(F.lit(1)).alias("n_dims"),
+        F.count_if(F.col("importance") < 0).alias("n_negative"),
+        F.round(F.sum("importance"), 6).alias("total"),
+    )
 
 
 @query
@@ -435,19 +485,69 @@ def score_reloaded(spark, sf_dir):
     )
 
 
-@query
-def train_and_evaluate(spark, sf_dir):
+def _checked(metrics: DataFrame, predictions: DataFrame) -> DataFrame:
+    """Per model its predictions, whether all metrics are those of MLlib's evaluators, and whether the fit was timed."""
+    models = (LOGISTIC_REGRESSION, RANDOM_FOREST)
+    names = {"accuracy": "accuracy", "weightedPrecision": "precision", "weightedRecall": "recall", "f1": "f1_score"}
+    own = {r["model"]: r for r in metrics.collect()}
+    found = []
+    for model in models:
+        rows = predictions.where(F.col("model") == model).dropna(subset=["label", "prediction"])
+        rows = rows.withColumn("label", F.col("label").cast("double"))
+        ranks = BinaryClassificationEvaluator(rawPredictionCol="fake_probability", numBins=0)
+        pairs = [(own[model]["auc_roc"], ranks.evaluate(rows))]
+        for theirs, ours in names.items():
+            pairs.append((own[model][ours], MulticlassClassificationEvaluator(metricName=theirs).evaluate(rows)))
+        found.append((model, all(abs(x - y) < 1e-9 for x, y in pairs), own[model]["train_time_seconds"] > 0))
+    flags = predictions.sparkSession.createDataFrame(found, "model string, metrics_agree boolean, timed boolean")
+    return predictions.groupBy("model").agg(F.count(F.lit(1)).alias("n_rows")).join(flags, "model")
+
+
+def trained(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Both models on the embeddings, rows held while they are fitted: the metrics and the stored predictions."""
     rows = _training_rows(spark, sf_dir)
-    fitted = fit_models(rows.where(F.col("split") == TRAIN))
+    fitted = fit_models(rows.where(F.col("split") == TRAIN), keep=StorageLevel.MEMORY_AND_DISK)
     folder = run_folder(spark, "predictions")
     test = rows.where(F.col("split") == TEST)
     tables.write_table(score_models(test, {n: f.model for n, f in fitted.items()}), folder)
-    return evaluate(tables.read_table(spark, folder), {n: f.seconds for n, f in fitted.items()})
+    predictions = tables.read_table(spark, folder)
+    return evaluate(predictions, {n: f.seconds for n, f in fitted.items()}), predictions
+
+
+@query
+def train_and_evaluate(spark, sf_dir):
+    return _checked(*trained(spark, sf_dir))
 
 
 @query
 def train_wide(spark, sf_dir):
-    return run_training(spark, rel.land_wide_features(spark, sf_dir), run_folder(spark, "results"))
+    out = run_folder(spark, "results")
+    metrics = run_training(spark, rel.land_wide_features(spark, sf_dir), out)
+    return _checked(metrics, tables.read_table(spark, f"{out}/predictions"))
+
+
+@query
+def score_new_stored(spark, sf_dir):
+    """A stored pipeline, loaded again, against its own numbers, broken files among the new ones."""
+    raw = rel.file_bytes(spark, sf_dir)
+    rows = feature_rows(raw, byte_histogram()).where(F.col("error").isNull())
+    rows = rows.where(F.col("split") == TRAIN).withColumn("features", to_vector("features"))
+    model = fit_models(rows, {LOGISTIC_REGRESSION: classifiers()[LOGISTIC_REGRESSION]})[LOGISTIC_REGRESSION].model
+    folder = run_folder(spark, "model")
+    save_model(model, folder, byte_histogram())
+    scaling, classifier = model.stages
+    own = LinearScorer(tuple(map(float, classifier.coefficients)), float(classifier.intercept)).scaled(list(scaling.std))
+    new = rel.broken_bytes(spark, sf_dir)
+    stored = score_new(new, byte_histogram(), load_model(folder, byte_histogram()))
+    plain = score_new(new, byte_histogram(), own).select("path", F.col("confidence").alias("expected"))
+    near = F.abs(F.col("confidence") - F.col("expected")) <= 1e-6
+    return stored.groupBy("path").agg(F.first("confidence").alias("confidence")).join(
+        plain.groupBy("path").agg(F.first("expected").alias("expected")), "path"
+    ).agg(
+        F.count(F.lit(1)).alias("n_files"),
+        F.count_if(F.col("confidence").isNull()).alias("n_unanswered"),
+        F.count_if(near).alias("n_agree"),
+    )
 
 
 @query

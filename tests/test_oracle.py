@@ -4,9 +4,10 @@ import pytest
 from oracle_compare import connect, difference, spark_rows, sql_rows
 
 from __spark_entry__ import entry, oracle_sql, queries
+from pixelproof.workloads.oracle import SQL
+from pixelproof.workloads.queries import REGISTRY
 
 SF_DIR = "/root/testdata/sf0.001"
-WITHOUT_SQL = {"lr_fit_score", "rf_fit_score", "rf_importance", "train_and_evaluate", "train_wide"}
 
 
 @pytest.fixture(scope="module")
@@ -14,15 +15,15 @@ def con():
     return connect(SF_DIR)
 
 
-def test_only_model_fits_go_without_sql():
-    assert set(queries()) - set(oracle_sql()) == WITHOUT_SQL
-    assert set(oracle_sql()) <= set(queries())
+def test_every_query_has_sql():
+    assert set(REGISTRY) == set(SQL)
+    assert set(REGISTRY) <= set(queries()) and set(SQL) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_same_answer(spark, con, name):
-    names, ours = spark_rows(queries()[name](spark, SF_DIR))
-    expected_names, expected = sql_rows(con, oracle_sql()[name])
+    names, ours = spark_rows(REGISTRY[name](spark, SF_DIR))
+    expected_names, expected = sql_rows(con, SQL[name])
     assert names == expected_names
     assert ours == expected, difference(ours, expected)
 
