@@ -33,8 +33,8 @@ class Settings:
 def scaled(vectors: DataFrame, id_column: str, vector: str, factor: float) -> DataFrame:
     """Usable vectors of floor(factor * x). Components beyond 2^28 in size do not count as usable."""
     rows = blocks.usable(vectors, id_column, vector)
-    rows = rows.withColumn("v", F.transform("v", lambda x: F.floor(x * factor).cast("double")))
-    return rows.where(F.forall("v", lambda x: F.abs(x) <= LARGEST))
+    rows = rows.where(F.forall("v", lambda x: F.abs(x * factor) <= LARGEST))
+    return rows.withColumn("v", F.transform("v", lambda x: F.floor(x * factor).cast("double")))
 
 
 class Best:
@@ -52,6 +52,8 @@ class Best:
         """Merge pairs. Only those that can enter are sorted."""
         enter = score >= self.certain()[query]
         query, score, ids = query[enter], score[enter], ids[enter]
+        if not len(query):
+            return
         order = np.lexsort((ids, -score, query))
         query, score, ids = query[order], score[order], ids[order]
         starts = np.flatnonzero(np.diff(query, prepend=-1))
