@@ -3,21 +3,19 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 import numpy as np
 from xxhash import xxh3_64_intdigest
 
 WORD = re.compile(r"\w+")
-# What counts as white space between words of a shingle, and the letters that are lower-cased.
-SHINGLE_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SHINGLE = 5
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(29)
 
 
-def hashes(words: list[str]) -> np.ndarray:
+def hashes(words: Sequence[str | bytes]) -> np.ndarray:
     return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
 
 
@@ -27,9 +25,17 @@ def mixed(values: np.ndarray, salt: int) -> np.ndarray:
     return (out ^ (out >> _SHIFT)) * _ODD
 
 
+def shingle_words(text: str | None) -> list[bytes]:
+    """Words between the characters 9 to 13 and 32, with A to Z in lower case.
+
+    That is what the methods of bytes do: they know no other white space and no other letters.
+    """
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
 def shingles(text: str | None, width: int = SHINGLE) -> np.ndarray:
     """Sorted distinct hashes of ``width`` words in a row; fewer words are one shingle, none are no shingle."""
-    words = hashes(SHINGLE_WORD.findall((text or "").translate(ASCII_LOWER)))
+    words = hashes(shingle_words(text))
     if not len(words):
         return words
     n = max(1, len(words) - width + 1)
