@@ -31,7 +31,17 @@ def discard(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+FEW, USUAL = "1000", "10000"
+
+
 def ready(df: DataFrame) -> SparkSession:
-    """The session, with the package sent to the Python workers."""
-    ship_package(df.sparkSession)
-    return df.sparkSession
+    """The session, with the package sent to the Python workers.
+
+    Texts may be long, so Spark's usual batch of rows for Python is made smaller; any other setting stays.
+    """
+    spark = df.sparkSession
+    ship_package(spark)
+    if spark.conf.get(BATCH) == USUAL:
+        spark.conf.set(BATCH, FEW)
+    return spark
