@@ -137,11 +137,8 @@ def frequencies(documents: DataFrame, text: str, settings: Settings) -> np.ndarr
     """How common tokens are: a logarithm of counts in a sketch of fixed size, over all documents."""
 
     def counted(batch: pd.DataFrame) -> np.ndarray:
-        out = np.zeros(settings.sketch)
-        for t in batch["t"]:
-            tokens = shingles(t)
-            np.add.at(out, (tokens >> np.uint64(20)).astype(np.int64) & (settings.sketch - 1), 1)
-        return out
+        slots = [(shingles(t) >> np.uint64(20)).astype(np.int64) & (settings.sketch - 1) for t in batch["t"]]
+        return np.bincount(np.concatenate(slots), minlength=settings.sketch)
 
     total = summed(documents.select(F.col(text).alias("t")), counted, ["t"])
     total = np.zeros(settings.sketch) if total is None else total
@@ -206,6 +203,7 @@ def near_copies(signed: DataFrame, settings: Settings) -> DataFrame:
     """Pairs (a, b) of a set and the smallest id with the same minimum hash, if their bitmaps allow a link."""
     hashes = signed.select("id", F.posexplode("hashes").alias("i", "h"))
     heads = hashes.groupBy("i", "h").agg(F.min("id").alias("b"), F.count("*").alias("m")).where("m > 1").drop("m")
+    heads = checked(signed.sparkSession, store(heads, "join-heads"))
     pairs = hashes.join(heads, ["i", "h"]).where("id <> b").select(F.col("id").alias("a"), "b").distinct()
     one = signed.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("x"))
     two = signed.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("y"))
@@ -222,12 +220,14 @@ def near_copies(signed: DataFrame, settings: Settings) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(possible("n_a", "x", "n_b", "y")).select("a", "b")
 
 
-def across(signed: DataFrame, groups: DataFrame, settings: Settings) -> DataFrame:
+def across(signed: DataFrame, groups: Stored, settings: Settings) -> DataFrame:
     """Pairs (a, b) of different groups that share one of their first tokens and pass the signature tree."""
     spark = signed.sparkSession
     own = F.coalesce("component", "id").alias("own")
     grouped = store(
-        signed.join(groups.withColumnRenamed("node", "id"), "id", "left").select("id", "n", "first", "bits", own),
+        signed.join(checked(spark, groups).withColumnRenamed("node", "id"), "id", "left").select(
+            "id", "n", "first", "bits", own
+        ),
         "join-grouped",
     )
     posted = grouped.rows.select("id", "own", F.explode("first").alias("token"))
@@ -325,7 +325,7 @@ def joined(documents: DataFrame, key: str = "doc_id", text: str = "text", settin
 
     close = store(compared(near_copies(signed, settings), texts, settings.percent), "join-links")
     groups = graph.components(close.rows)
-    more = compared(across(signed, groups.rows, settings), texts, settings.percent)
+    more = compared(across(signed, groups, settings), texts, settings.percent)
     found = store(more, "join-links")
     groups = graph.components(close.rows.unionAll(found.rows))
     final = heads.join(groups.rows.withColumnRenamed("node", "id"), "id", "left")

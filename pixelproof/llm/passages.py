@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from . import graph, ngram_join
-from .text import SHINGLE_WORD, mixed, shingles
+from .text import mixed, shingle_words, shingles
 from .work import ready, store
 
 
@@ -64,7 +64,7 @@ def paragraphs(documents: DataFrame, key: str, text: str, settings: Settings) ->
             for t in batch:
                 at, own = 0, []
                 for number, line in enumerate((t or "").split("\n")):
-                    if len(line) >= 2 * settings.words - 1 and len(SHINGLE_WORD.findall(line)) >= settings.words:
+                    if len(line) >= 2 * settings.words - 1 and len(shingle_words(line)) >= settings.words:
                         tokens = shingles(line)
                         name = int(np.uint64(xxh3_64_intdigest(tokens.tobytes())).view(np.int64))
                         own.append({
@@ -108,7 +108,7 @@ def repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", setti
     join = ngram_join.Settings(percent=settings.percent, bitmap=256)
     close = store(ngram_join.compared(ngram_join.near_copies(heads, join), texts, settings.percent), "passage-links")
     groups = graph.components(close.rows)
-    more = ngram_join.compared(ngram_join.across(heads, groups.rows, join), texts, settings.percent)
+    more = ngram_join.compared(ngram_join.across(heads, groups, join), texts, settings.percent)
     groups = graph.components(close.rows.unionAll(store(more, "passage-links").rows))
     named = heads.select("id").join(groups.rows.withColumnRenamed("node", "id"), "id", "left")
     named = named.select("id", F.coalesce("component", "id").alias("component"))
@@ -126,8 +126,8 @@ def repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", setti
 
 def without(documents: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without the lines that ``repeats`` marks as removed; a text of nothing else becomes empty."""
-    gone = found.where("removed").groupBy(F.col("doc").alias("_doc")).agg(F.collect_set("line").alias("_gone"))
-    rows = documents.join(gone, documents[key] == F.col("_doc"), "left")
-    lines = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains("_gone", i))
-    kept = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(lines, "\n"))
-    return rows.withColumn(text, kept).drop("_doc", "_gone")
+    gone = found.where("removed").groupBy(F.col("doc").alias("__doc")).agg(F.collect_set("line").alias("__gone"))
+    rows = documents.join(gone, documents[key] == F.col("__doc"), "left")
+    lines = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains("__gone", i))
+    kept = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(lines, "\n"))
+    return rows.withColumn(text, kept).drop("__doc", "__gone")
