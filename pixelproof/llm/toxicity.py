@@ -1,6 +1,6 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-A bounded sample of labelled rows is dealt to a fixed number of shards. Each shard runs the online
+A bounded sample of labelled rows is dealt to shards of a fixed size. Each shard runs the online
 learner from the current state with a learning rate of its own for every coordinate; the states are
 averaged between rounds. The L1 term leaves few weights, which travel to all tasks as one small array.
 """
@@ -29,7 +29,7 @@ class Settings:
     beta: float = 1.0
     l1: float = 3.0
     l2: float = 0.1
-    shards: int = 4
+    shard: int = 2048  # rows that one task learns from, about
     rounds: int = 3
     per_class: int = 4096
     seed: int = 8
@@ -77,7 +77,7 @@ def probability(score: float) -> float:
 
 
 def sample(documents: DataFrame, labels: DataFrame, key: str, text: str, label: str, settings: Settings) -> DataFrame:
-    """Labelled rows, ``per_class`` of each class at most, first by seeded hash: columns label, shard, text.
+    """Labelled rows, ``per_class`` of each class at most, first by seeded hash: columns label, order, text.
 
     A key labelled twice counts once, by its largest label; labels other than 0 and 1 are left out.
     """
@@ -92,7 +92,6 @@ def sample(documents: DataFrame, labels: DataFrame, key: str, text: str, label:
     own = documents.select(F.col(key).alias("_id"), F.col(text).alias("text"))
     return own.join(F.broadcast(picked[0].unionAll(picked[1])), F.col("_id") == F.col("_key")).select(
         F.col("_label").alias("label"),
-        F.pmod("_order", F.lit(settings.shards)).cast("int").alias("shard"),
         F.col("_order").alias("order"),
         F.col("text"),
     )
@@ -110,13 +109,15 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
             yield pd.Series([features(t, settings.bits) for t in batch], dtype=object)
 
     rows = store(
-        sample(documents, labels, key, text, label, settings).select("label", "shard", "order", slots("text").alias("slots")),
+        sample(documents, labels, key, text, label, settings).select("label", "order", slots("text").alias("slots")),
         "toxicity-sample",
     )
+    shards = max(1, -(-rows.rows.count() // settings.shard))
+    dealt = rows.rows.withColumn("shard", F.pmod("order", F.lit(shards)))
     learner = Learner(settings)
     for number in range(settings.rounds):
         state = spark.sparkContext.broadcast((learner.z, learner.n))
-        done = rows.rows.groupBy("shard").applyInPandas(round_of(state, number, settings), "z binary, n binary")
+        done = dealt.groupBy("shard").applyInPandas(round_of(state, number, settings), "z binary, n binary")
         z, n, count = np.zeros_like(learner.z), np.zeros_like(learner.n), 0
         for row in done.toLocalIterator():
             z, n, count = z + np.frombuffer(row["z"], np.float32), n + np.frombuffer(row["n"], np.float32), count + 1
