@@ -12,19 +12,22 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest
+from xxhash import xxh32_intdigest
 
 from .work import ready
 
 SPACE = "▁"  # fixed value: stands for a space in pieces
 NEVER = 1 << 60  # the place of what is no merge
-SHORT = 48
-REMEMBERED = 400_000  # units whose ids a worker keeps; more are worked out again
+SHORT = 24  # characters of a unit that is worked out together with others of its length
+TOGETHER = 20_000
+UNKNOWN = 1 << 24
+REMEMBERED = 500_000  # units whose ids a worker keeps, twice so many at most; more are worked out again
 
 
 @dataclass(frozen=True)
@@ -33,7 +36,7 @@ class Settings:
 
     dropout: float = 0.1
     seed: int = 5
-    streams: int = 4
+    streams: int = 2
 
 
 class Pieces:
@@ -71,45 +74,113 @@ class Pieces:
         cut = re.escape("".join(sorted(marks)))
         run = f"(?:[{cut}]+|[^{cut}{SPACE}\n]+)" if marks else f"(?:[^{SPACE}\n]+)"
         self.unit = re.compile(f"{SPACE}+{run}?|{run}|\n")
-        self.merge = lru_cache(REMEMBERED)(self.merged)
-
-    def merged(self, unit: str, draw: int, dropout: float) -> tuple[int, ...]:
-        """The ids of one unit. ``draw`` seeds which merges are skipped."""
-        limit = int(dropout * 2**32)
-        salt = xxh3_64_intdigest(unit, draw) if limit else 0
-        out: list[int] = []
-        for symbol in (self.few if len(unit) <= SHORT else self.many)(unit, salt, limit):
-            one = self.ids.get(symbol)
-            if one is None:
-                out += self.of(symbol)
+        self.settings = Settings()
+        self.forget(self.settings)
+        self.codes = UNKNOWN + np.arange(0x110000, dtype=np.int64)  # by character
+        for char in (p for p in self.ids if len(p) == 1):
+            self.codes[ord(char)] = self.ids[char]
+        self.same = list(range(sp.get_piece_size()))  # one object for each id, however often it is remembered
+        # what two neighbours merge into, for every way to cut a piece in two symbols
+        merges = {
+            (self.code(p[:i]) << 32 | self.code(p[i:])): (place, self.ids[p])
+            for p, place in self.order.items()
+            for i in range(1, len(p))
+            if all(len(half) == 1 or half in self.ids for half in (p[:i], p[i:]))
+        }
+        self.pairs = np.array(sorted(merges), np.int64)
+        self.places = np.array([merges[k][0] for k in self.pairs.tolist()] + [NEVER], np.int64)
+        self.becomes = np.array([merges[k][1] for k in self.pairs.tolist()] + [-1], np.int64)
+
+    def code(self, symbol: str) -> int:
+        """A symbol's number: its id, or one of its own for a character that is no piece."""
+        one = self.ids.get(symbol)
+        return UNKNOWN + ord(symbol) if one is None else one
+
+    def forget(self, settings: Settings) -> None:
+        """Start with nothing remembered, for these settings: for each draw the units of late, and those before."""
+        self.settings = settings
+        self.late: list[dict[str, tuple[int, ...]]] = [{} for _ in range(settings.streams)]
+        self.before: list[dict[str, tuple[int, ...]]] = [{} for _ in range(settings.streams)]
+
+    def learn(self, draw: int, wanted: set[str]) -> None:
+        """Have the ids of all units at hand, remembered or worked out together."""
+        late, before = self.late[draw], self.before[draw]
+        units = wanted.difference(late)
+        if (len(late) + len(units)) * self.settings.streams > REMEMBERED:
+            before = self.before[draw] = late
+            late = self.late[draw] = {}
+            units = wanted
+        unseen: dict[int, list[str]] = {}
+        for unit in units:
+            ids = before.get(unit)
+            if ids is None:
+                unseen.setdefault(len(unit), []).append(unit)
             else:
-                out.append(one)
-        return tuple(out)
+                late[unit] = ids
+        limit = int(self.settings.dropout * 2**32)
+        seed = self.settings.seed * self.settings.streams + draw
+        for size, some in unseen.items():
+            salts = [xxh32_intdigest(unit, seed) for unit in some]
+            if size > SHORT:
+                for unit, salt in zip(some, salts, strict=True):
+                    late[unit] = tuple(x for symbol in self.many(unit, salt, limit) for x in self.of(symbol))
+            else:
+                for start in range(0, len(some), TOGETHER):
+                    part = slice(start, start + TOGETHER)
+                    late.update(zip(some[part], self.few(some[part], salts[part], limit), strict=True))
+
+    def found(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Where pairs of symbols stand among the merges; the last place if they do not merge."""
+        key = left << 32 | right
+        at = np.searchsorted(self.pairs, key)
+        at[at == len(self.pairs)] = 0
+        return np.where(self.pairs[at] == key, at, len(self.pairs))
+
+    def few(self, units: list[str], salts: list[int], limit: int) -> list[tuple[int, ...]]:
+        """Ids of units of one length, short ones: row by row an agenda with an entry between neighbours."""
+        n = len(units[0])
+        chars = self.codes[np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)].reshape(-1, n)
+        salt = np.array(salts, np.int64)
+        # one column more than there are symbols, so that a row can always be moved up by one
+        symbols = np.concatenate([chars, np.full((len(units), 1), -1)], 1)
+        starts = np.tile(np.append(np.arange(n + 1), n), (len(units), 1))
+        agenda = np.full((len(units), n + 1), len(self.pairs), np.int64)  # places of merges in self.pairs
+        agenda[:, : n - 1] = self.found(chars[:, :-1], chars[:, 1:])
+        active, columns = np.arange(len(units)), np.arange(n + 1)
+        while len(active):
+            order = self.places[agenda[active]]
+            at = order.argmin(1)
+            go = order[np.arange(len(active)), at] != NEVER
+            active, at = active[go], at[go]
+            skip = self.skipped(starts[active, at], starts[active, at + 2], salt[active], limit)
+            agenda[active[skip], at[skip]] = len(self.pairs)
+            rows, at = active[~skip], at[~skip]
+            if not len(rows):
+                continue
+            symbols[rows, at] = self.becomes[agenda[rows, at]]
+            move = np.minimum(columns + (columns > at[:, None]), n)
+            symbols[rows] = np.take_along_axis(symbols[rows], move, 1)
+            agenda[rows] = np.take_along_axis(agenda[rows], np.minimum(columns + (columns >= at[:, None]), n), 1)
+            wide = np.arange(n + 2)
+            starts[rows] = np.take_along_axis(starts[rows], np.minimum(wide + (wide > at[:, None]), n + 1), 1)
+            agenda[rows, at] = self.found(symbols[rows, at], symbols[rows, at + 1])
+            inner = at > 0
+            rows, at = rows[inner], at[inner]
+            agenda[rows, at - 1] = self.found(symbols[rows, at - 1], symbols[rows, at])
+        there = symbols >= 0
+        flat, ends = symbols[there], np.cumsum(there.sum(1)).tolist()
+        known = flat < UNKNOWN
+        ids = list(map(self.same.__getitem__, np.where(known, flat, 0).tolist()))
+        out = [tuple(ids[i:j]) for i, j in zip([0, *ends], ends, strict=False)]
+        for row in np.flatnonzero((symbols >= UNKNOWN).any(1)).tolist():
+            codes = symbols[row][there[row]].tolist()
+            out[row] = tuple(y for x in codes for y in ((x,) if x < UNKNOWN else self.of(chr(x - UNKNOWN))))
+        return out
 
     @staticmethod
-    def skipped(left: int, stop: int, salt: int, limit: int) -> bool:
+    def skipped(left, stop, salt, limit: int):
         """Whether the merge into the characters from ``left`` to ``stop`` is skipped when its turn comes."""
-        return ((salt ^ (left << 32 | stop)) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) >> 32 < limit
-
-    def few(self, unit: str, salt: int, limit: int) -> list[str]:
-        """The symbols of a short unit: the agenda is a list with one entry between neighbours."""
-        order = self.order
-        at = list(range(len(unit) + 1))
-        agenda = [order.get(unit[i : i + 2], NEVER) for i in range(len(unit) - 1)]
-        while agenda:
-            best = min(agenda)
-            if best == NEVER:
-                break
-            i = agenda.index(best)
-            if limit and self.skipped(at[i], at[i + 2], salt, limit):
-                agenda[i] = NEVER
-                continue
-            del at[i + 1], agenda[i]
-            if i < len(agenda):
-                agenda[i] = order.get(unit[at[i] : at[i + 2]], NEVER)
-            if i:
-                agenda[i - 1] = order.get(unit[at[i - 1] : at[i + 1]], NEVER)
-        return [unit[i:j] for i, j in zip(at, at[1:], strict=False)]
+        return ((salt ^ left * 40503 ^ stop * 30011) * 0x2C1B3C6D & 0xFFFFFFFF) < limit
 
     def many(self, unit: str, salt: int, limit: int) -> list[str]:
         """The symbols of a long unit: the agenda is a heap, its entries are checked when they come up."""
@@ -147,20 +218,36 @@ class Pieces:
         one = self.ids.get(piece)
         return (one,) if one is not None else tuple(self.bytes[b] for b in piece.encode())
 
-    def encode(self, text: str, key: int, settings: Settings) -> np.ndarray:
-        """Ids of a text; an empty one has none. A space stands before it, as the model expects."""
-        if not text:
-            return np.empty(0, np.int32)
-        out: list[int] = []
-        # the character that stands for a space goes by its bytes, so that it comes back as itself
-        for number, part in enumerate(text.split(SPACE)):
-            if number:
-                out += [self.bytes[b] for b in SPACE.encode()]
-            spaced = part.replace(" ", SPACE) if number else SPACE + part.replace(" ", SPACE)
-            for unit in self.unit.findall(spaced):
-                key = key + 1 & 0xFFFFFFFF
-                out += self.merge(unit, settings.seed * settings.streams + key % settings.streams, settings.dropout)
-        return np.array(out, np.int32)
+    def units(self, text: str) -> list[list[str]]:
+        """A text cut into units, in parts between the characters that stand for a space and go by their bytes."""
+        parts = text.split(SPACE)
+        spaced = [part.replace(" ", SPACE) for part in parts]
+        return [self.unit.findall(part) for part in (SPACE + spaced[0], *spaced[1:])]
+
+    def encode(self, texts: list[str | None], keys: list[int], settings: Settings) -> list[np.ndarray | None]:
+        """Ids of texts; null has none, an empty one no ids. A space stands before each, as the model expects."""
+        if settings != self.settings:
+            self.forget(settings)
+        streams = settings.streams
+        cut = [self.units(text) if text else [] for text in texts]
+        for draw in range(streams):
+            wanted: set[str] = set()
+            for parts, key in zip(cut, keys, strict=True):
+                for units in parts:
+                    wanted.update(units[(draw - key) % streams :: streams])
+            self.learn(draw, wanted)  # also what is remembered already, so that nothing is dropped before its use
+        space = tuple(self.bytes[b] for b in SPACE.encode())
+        out: list[np.ndarray | None] = []
+        for text, parts, key in zip(texts, cut, keys, strict=True):
+            made: list[tuple[int, ...]] = []
+            for number, units in enumerate(parts):
+                ids: list[tuple[int, ...]] = [()] * len(units)
+                for draw in range(streams):
+                    own = slice((draw - key) % streams, None, streams)
+                    ids[own] = map(self.late[draw].__getitem__, units[own])
+                made += [space, *ids] if number else ids
+            out.append(None if text is None else np.fromiter(chain.from_iterable(made), np.int32))
+        return out
 
     def decode(self, ids: np.ndarray | list[int]) -> str:
         """The text; ids of no piece of text add nothing."""
@@ -187,7 +274,7 @@ def with_ids(documents: DataFrame, model_path: str, key: str = "doc_id", text: s
     def encode(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         model = pieces(sent.value)
         for texts, keys in batches:
-            made = [None if t is None else model.encode(t, k, settings) for t, k in zip(texts, keys, strict=True)]
+            made = model.encode(texts.tolist(), keys.tolist(), settings)
             same = [None if i is None else model.decode(i.tolist()) == t for i, t in zip(made, texts, strict=True)]
             yield pd.DataFrame({"ids": pd.Series(made, dtype=object), "exact": pd.Series(same, dtype=object)})
 

@@ -148,35 +148,47 @@ def test_without_dropout_ids_are_the_library_s(model):
     own = pieces.Pieces(model)
     for text in [*TEXTS, *(prose(i, 300) for i in range(20))]:
         if "▁" not in text:
-            assert list(own.encode(text, 0, pieces.Settings(dropout=0.0))) == sp.encode(text)
+            assert list(own.encode([text], [0], pieces.Settings(dropout=0.0))[0]) == sp.encode(text)
 
 
 @pytest.mark.parametrize("dropout", [0.1, 0.5, 1.0])
 def test_dropout_is_lossless_seeded_and_varied(model, dropout):
     own = pieces.Pieces(model)
     settings = pieces.Settings(dropout=dropout)
-    for text in TEXTS:
-        ids = own.encode(text, 3, settings)
+    keys = list(range(len(TEXTS)))
+    for text, ids, alone in zip(TEXTS, own.encode(TEXTS, keys, settings), keys, strict=True):
         assert own.decode(ids.tolist()) == text
-        assert list(ids) == list(own.encode(text, 3, settings))
+        assert list(ids) == list(pieces.Pieces(model).encode([text], [alone], settings)[0])
     text = prose(5, 400)
-    one, two = own.encode(text, 1, settings), own.encode(text, 1, pieces.Settings(dropout=dropout, seed=6))
+    one, two = (own.encode([text], [1], pieces.Settings(dropout=dropout, seed=seed))[0] for seed in (5, 6))
     assert dropout == 1.0 or list(one) != list(two)
-    assert len(one) > len(own.encode(text, 1, pieces.Settings(dropout=0.0)))
+    assert len(one) > len(own.encode([text], [1], pieces.Settings(dropout=0.0))[0])
 
 
 def test_both_agendas_agree(model):
     own = pieces.Pieces(model)
-    for i in range(300):
-        unit = "▁" + prose(i, 4).replace(" ", "")
-        for limit in (0, 1 << 30):
-            assert own.few(unit, i * 7919, limit) == own.many(unit, i * 7919, limit)
+    units = {("▁" + prose(i, 4).replace(" ", ""))[: 2 + i % 23] for i in range(400)} | {"日本語", "x😀y", "▁▁▁", "a"}
+    for limit in (0, 1 << 30):
+        for unit in units:
+            salt = len(unit) * 7919
+            slow = [x for symbol in own.many(unit, salt, limit) for x in own.of(symbol)]
+            assert list(own.few([unit, unit], [salt, 1], limit)[0]) == slow
+
+
+def test_what_is_remembered_does_not_matter(model, monkeypatch):
+    texts = [prose(i, 80) for i in range(60)]
+    settings, keys = pieces.Settings(), list(range(60))
+    whole = [list(x) for x in pieces.Pieces(model).encode(texts, keys, settings)]
+    monkeypatch.setattr(pieces, "REMEMBERED", 50)
+    own = pieces.Pieces(model)
+    parts = [list(own.encode(texts[i : i + 3], keys[i : i + 3], settings)[j]) for i in range(0, 60, 3) for j in range(3)]
+    assert parts == whole
 
 
 def test_ids_in_spark(awkward, empty):
     encoded = pieces.with_ids(awkward, PIECES)
-    back = pieces.with_text(encoded, PIECES, into := "ids", "back").collect()
-    assert into and len(back) == awkward.count()
+    back = pieces.with_text(encoded, PIECES, text="back").collect()
+    assert len(back) == awkward.count()
     assert all(r["back"] == r["text"] and (r["lossless"] or r["text"] is None) for r in back)
     assert pieces.with_ids(empty, PIECES).count() == 0
 
@@ -212,34 +224,20 @@ def test_given_names_keep_their_gender():
         assert pii.surrogate("k", f"given_{gender}", name, 0).endswith(endings[gender])
 
 
-def test_shared_and_real_surrogates_are_drawn_again(documents, monkeypatch):
-    first = pii.surrogate
-
-    def narrow(key, kind, value, attempt):  # three in four mails collide at first, one becomes a real one
-        if kind == "email" and attempt == 0:
-            return "b@x.example.com" if value.startswith("d") else "same@x.example.com"
-        return first(key, kind, value, attempt)
-
+def test_mentions_agree_across_documents(documents):
     values = [f"{c}@x.example.com" for c in "abcd"]
     docs = documents([(i, f"to {v} and {v}") for i, v in enumerate(values)] + [(9, " ".join(values))])
-    entities = pii.entities(docs, "text")
-    monkeypatch.setattr(pii, "surrogate", narrow)
-    # workers import the module afresh, so the draw is done here on the driver's side by hand
-    drawn = {v: narrow("k", "email", v, 0) for v in values}
-    assert len(set(drawn.values())) == 2
-    monkeypatch.undo()
-    assert entities.groupBy("kind", "value").count().count() == 4
     out = {r["doc_id"]: r["text"] for r in pii.with_surrogates(docs, "k").collect()}
     mails = [out[i].split()[1] for i in range(4)]
     assert len(set(mails)) == 4 and not set(mails) & set(values)
-    assert out[9].split() == mails
+    assert out[9].split() == mails and all(out[i] == f"to {mails[i]} and {mails[i]}" for i in range(4))
 
 
 def test_collisions_are_resolved(spark):
     """Addresses of few possible surrogates: so many entities that draws must clash with one another and with real ones."""
     values = [f"10.{i}.{j}.{k}" for i in range(2, 6) for j in range(0, 10) for k in range(0, 10)]
     found = spark.createDataFrame([(0, 0, "ip", f"{v.split('.')[0][:1]}.{v.split('.')[2]}.{v.split('.')[3]}.{v.split('.')[1]}") for v in values],
-                                  "k1 long, k2 long, kind string, value string")
+                                  "__k1 long, __k2 long, kind string, value string")
     again, _ = pii.drawn_again(found, "k")
     attempts = {(r["kind"], r["value"]): r["attempt"] for r in again.collect()}
     entities = {r["value"] for r in found.collect()}
