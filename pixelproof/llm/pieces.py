@@ -36,7 +36,7 @@ class Settings:
 
     dropout: float = 0.1
     seed: int = 5
-    streams: int = 2
+    streams: int = 4
 
 
 class Pieces:
