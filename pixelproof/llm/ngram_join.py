@@ -38,7 +38,7 @@ class Settings:
     percent: int = 80  # of the union that two sets have to share
     hashes: int = 8
     bitmap: int = 1024  # bits
-    sketch: int = 1 << 20  # counters
+    sketch: int = 1 << 22  # counters
     cell: int = 256  # sets of a part
     leaf: int = 8
 
@@ -134,13 +134,19 @@ def sets_of(documents: DataFrame, key: str, text: str, settings: Settings) -> Da
 
 
 def frequencies(documents: DataFrame, text: str, settings: Settings) -> np.ndarray:
-    """How common tokens are: a logarithm of counts in a sketch of fixed size, over all documents."""
+    """How common tokens are: a logarithm of counts in a sketch of fixed size, over all documents.
+
+    A partition counts up to 255 for each counter, which tells common tokens from rare ones as well.
+    """
 
     def counted(batch: pd.DataFrame) -> np.ndarray:
         slots = [(shingles(t) >> np.uint64(20)).astype(np.int64) & (settings.sketch - 1) for t in batch["t"]]
         return np.bincount(np.concatenate(slots), minlength=settings.sketch)
 
-    total = summed(documents.select(F.col(text).alias("t")), counted, ["t"])
+    def few_bits(total: np.ndarray) -> np.ndarray:
+        return np.minimum(total, 255).astype(np.uint8)
+
+    total = summed(documents.select(F.col(text).alias("t")), counted, ["t"], few_bits)
     total = np.zeros(settings.sketch) if total is None else total
     return np.minimum(255, 8 * np.log2(1 + total)).astype(np.uint8)
 
@@ -177,13 +183,13 @@ def packed(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series([shingles(t).tobytes() for t in batch], dtype=object)
 
 
-def compared(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+def compared(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], percent: int) -> Stored:
     """The pairs (a, b) that are links, by their whole sets. ``texts`` gives columns id and t for wanted ids."""
     spark = ready(pairs)
-    pairs = store(pairs, "join-pairs").rows
-    wanted = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = checked(spark, store(wanted, "join-wanted"))
-    sets = store(texts(wanted).select("id", packed("t").alias("set")), "join-sets").rows
+    pairs = store(pairs, "join-pairs")
+    wanted = pairs.rows.select(F.col("a").alias("id")).unionAll(pairs.rows.select(F.col("b").alias("id"))).distinct()
+    wanted = store(wanted, "join-wanted")
+    sets = store(texts(checked(spark, wanted)).select("id", packed("t").alias("set")), "join-sets")
 
     @F.pandas_udf("boolean")
     def linked(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -194,9 +200,12 @@ def compared(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], percent:
             out.append(100 * both >= percent * (len(x) + len(y) - both))
         return pd.Series(out, dtype=bool)
 
-    one = sets.select(F.col("id").alias("a"), F.col("set").alias("x"))
-    two = sets.select(F.col("id").alias("b"), F.col("set").alias("y"))
-    return pairs.join(one, "a").join(two, "b").where(linked("x", "y")).select("a", "b")
+    one = sets.rows.select(F.col("id").alias("a"), F.col("set").alias("x"))
+    two = sets.rows.select(F.col("id").alias("b"), F.col("set").alias("y"))
+    links = store(pairs.rows.join(one, "a").join(two, "b").where(linked("x", "y")).select("a", "b"), "join-links")
+    for table in (pairs, wanted, sets):
+        table.discard()
+    return links
 
 
 def near_copies(signed: DataFrame, settings: Settings) -> DataFrame:
@@ -224,17 +233,14 @@ def across(signed: DataFrame, groups: Stored, settings: Settings) -> DataFrame:
     """Pairs (a, b) of different groups that share one of their first tokens and pass the signature tree."""
     spark = signed.sparkSession
     own = F.coalesce("component", "id").alias("own")
-    grouped = store(
-        signed.join(checked(spark, groups).withColumnRenamed("node", "id"), "id", "left").select(
-            "id", "n", "first", "bits", own
-        ),
-        "join-grouped",
+    grouped = signed.join(checked(spark, groups).withColumnRenamed("node", "id"), "id", "left").select(
+        "id", "n", "first", "bits", own
     )
-    posted = grouped.rows.select("id", "own", F.explode("first").alias("token"))
+    posted = grouped.select("own", F.explode("first").alias("token"))
     shared = posted.groupBy("token").agg(F.min("own").alias("lo"), F.max("own").alias("hi"), F.count("*").alias("m"))
     shared = shared.where("lo < hi").select("token", F.ceil(F.col("m") / settings.cell).cast("int").alias("parts"))
     shared = checked(spark, store(shared, "join-tokens"))
-    rows = grouped.rows.select("id", "n", "own", "bits", F.explode("first").alias("token")).join(shared, "token")
+    rows = grouped.select("id", "n", "own", "bits", F.explode("first").alias("token")).join(shared, "token")
     # a token of many sets: each part meets each part, itself too, in a cell
     part = F.pmod(F.xxhash64("id", "token"), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
@@ -318,16 +324,16 @@ def joined(documents: DataFrame, key: str = "doc_id", text: str = "text", settin
     signed = store(
         signatures(documents, key, text, checked(documents.sparkSession, store(nodes, "join-nodes")), rank, settings),
         "join-signatures",
-    ).rows
+    )
 
     def texts(wanted: DataFrame) -> DataFrame:
         return owners(documents, key, text, wanted)
 
-    close = store(compared(near_copies(signed, settings), texts, settings.percent), "join-links")
+    close = compared(near_copies(signed.rows, settings), texts, settings.percent)
     groups = graph.components(close.rows)
-    more = compared(across(signed, groups, settings), texts, settings.percent)
-    found = store(more, "join-links")
-    groups = graph.components(close.rows.unionAll(found.rows))
+    more = compared(across(signed.rows, groups, settings), texts, settings.percent)
+    signed.discard()
+    groups = graph.components(close.rows.unionAll(more.rows))
     final = heads.join(groups.rows.withColumnRenamed("node", "id"), "id", "left")
     final = final.select("name", F.coalesce("component", "id").alias("component"))
     out = members.join(final, "name", "left")

@@ -106,10 +106,10 @@ def repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", setti
         return rows.where("t is not null")
 
     join = ngram_join.Settings(percent=settings.percent, bitmap=256)
-    close = store(ngram_join.compared(ngram_join.near_copies(heads, join), texts, settings.percent), "passage-links")
+    close = ngram_join.compared(ngram_join.near_copies(heads, join), texts, settings.percent)
     groups = graph.components(close.rows)
     more = ngram_join.compared(ngram_join.across(heads, groups, join), texts, settings.percent)
-    groups = graph.components(close.rows.unionAll(store(more, "passage-links").rows))
+    groups = graph.components(close.rows.unionAll(more.rows))
     named = heads.select("id").join(groups.rows.withColumnRenamed("node", "id"), "id", "left")
     named = named.select("id", F.coalesce("component", "id").alias("component"))
     grouped = store(places.join(named, "id"), "passage-groups").rows

@@ -12,12 +12,22 @@ from .work import ready
 
 
 def added(one: list[np.ndarray], other: list[np.ndarray]) -> list[np.ndarray]:
-    """The sum of two arrays, either of which may be missing."""
-    return [one[0] + other[0]] if one and other else one or other
-
-
-def summed(df: DataFrame, function: Callable[[pd.DataFrame], np.ndarray], columns: list[str]) -> np.ndarray | None:
-    """The sum of the arrays that ``function`` makes of batches; partial sums meet in a tree. None without rows."""
+    """The sum of two arrays, either of which may be missing; whole numbers of few bits become wide."""
+    if not (one and other):
+        return one or other
+    return [np.add(one[0], other[0], dtype=np.float64 if one[0].dtype.kind == "f" else np.int64)]
+
+
+def summed(
+    df: DataFrame,
+    function: Callable[[pd.DataFrame], np.ndarray],
+    columns: list[str],
+    sent: Callable[[np.ndarray], np.ndarray] = lambda total: total,
+) -> np.ndarray | None:
+    """The sum of the arrays that ``function`` makes of batches; partial sums meet in a tree. None without rows.
+
+    ``sent`` may make a partition's sum smaller before it travels.
+    """
     ready(df)
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -27,9 +37,10 @@ def summed(df: DataFrame, function: Callable[[pd.DataFrame], np.ndarray], column
                 one = function(batch)
                 total = one if total is None else total + one
         if total is not None:
-            yield pd.DataFrame({"sum": [total.astype(np.float64).tobytes()], "shape": [list(total.shape)]})
+            total = sent(total)
+            yield pd.DataFrame({"sum": [total.tobytes()], "shape": [list(total.shape)], "dtype": [total.dtype.str]})
 
-    parts = df.select(*columns).mapInPandas(part, "sum binary, shape array<int>").rdd
-    arrays = parts.map(lambda r: [np.frombuffer(bytes(r["sum"])).reshape(r["shape"])])
+    parts = df.select(*columns).mapInPandas(part, "sum binary, shape array<int>, dtype string").rdd
+    arrays = parts.map(lambda r: [np.frombuffer(bytes(r["sum"]), r["dtype"]).reshape(r["shape"])])
     total = arrays.treeAggregate([], added, added, 3)
     return total[0] if total else None
