@@ -229,8 +229,12 @@ def near_copies(signed: DataFrame, settings: Settings) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(possible("n_a", "x", "n_b", "y")).select("a", "b")
 
 
-def across(signed: DataFrame, groups: Stored, settings: Settings) -> DataFrame:
-    """Pairs (a, b) of different groups that share one of their first tokens and pass the signature tree."""
+def across(signed: DataFrame, groups: Stored, settings: Settings, few: bool = False) -> DataFrame:
+    """Pairs (a, b) of different groups that share one of their first tokens and pass the signature tree.
+
+    With ``few`` two groups that meet in a batch of cells give one pair: a first round that joins most groups,
+    so that a second one, with all pairs, has little left. It cannot stand alone.
+    """
     spark = signed.sparkSession
     own = F.coalesce("component", "id").alias("own")
     grouped = signed.join(checked(spark, groups).withColumnRenamed("node", "id"), "id", "left").select(
@@ -252,7 +256,12 @@ def across(signed: DataFrame, groups: Stored, settings: Settings) -> DataFrame:
         for cells in whole(batches, ["token", "lo", "hi"]):
             a, b = cell_pairs(cells, settings)
             ids = cells["id"].to_numpy()
-            yield pd.DataFrame({"a": np.maximum(ids[a], ids[b]), "b": np.minimum(ids[a], ids[b])}).drop_duplicates()
+            pairs = pd.DataFrame({"a": np.maximum(ids[a], ids[b]), "b": np.minimum(ids[a], ids[b])})
+            if few:
+                own = cells["own"].to_numpy()
+                met = pd.DataFrame({"x": np.minimum(own[a], own[b]), "y": np.maximum(own[a], own[b])})
+                pairs = pairs[~met.duplicated().to_numpy()]
+            yield pairs.drop_duplicates()
 
     columns = ["token", "lo", "hi", "part", "id", "n", "own", "bits"]
     return rows.select(*columns).mapInPandas(traversed, "a long, b long").distinct()

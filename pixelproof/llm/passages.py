@@ -108,6 +108,9 @@ def repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", setti
     join = ngram_join.Settings(percent=settings.percent, bitmap=256)
     close = ngram_join.compared(ngram_join.near_copies(heads, join), texts, settings.percent)
     groups = graph.components(close.rows)
+    some = ngram_join.compared(ngram_join.across(heads, groups, join, few=True), texts, settings.percent)
+    close = store(close.rows.unionAll(some.rows), "passage-links")
+    groups = graph.components(close.rows)
     more = ngram_join.compared(ngram_join.across(heads, groups, join), texts, settings.percent)
     groups = graph.components(close.rows.unionAll(more.rows))
     named = heads.select("id").join(groups.rows.withColumnRenamed("node", "id"), "id", "left")
