@@ -4,6 +4,10 @@ A paragraph is a line of enough words. Equal paragraphs are one node. Bands of m
 that a pair at the threshold collides almost surely; paragraphs that collide are joined, their exact Jaccard
 similarity is verified, and components of the verified pairs say what repeats. All but the first occurrence
 of a component are to be removed.
+
+Passages that are no whole line are found as runs of equal words, wherever lines begin and end. Pieces of half
+a passage, cut where the content says so, tell which places can hold such a run; there every window of a
+passage's words is compared.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from . import graph, ngram_join
-from .text import mixed, shingle_words, shingles
+from .text import SHINGLE, hashes, mixed, shingle_words, shingles
 from .work import ready, store
 
 
@@ -127,10 +131,161 @@ def repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", setti
     )
 
 
+STEP = 0x9E3779B97F4A7C15  # fixed value: odd, so it has an inverse among numbers of 64 bits
+
+
+def run_hashes(words: np.ndarray, width: int, salt: int) -> np.ndarray:
+    """A hash for every ``width`` words in a row, from sums of the words' hashes times powers by place."""
+    n = len(words) - width + 1
+    if n < 1:
+        return words[:0]
+    powers, back = np.full((2, len(words)), np.uint64(STEP)), np.uint64(pow(STEP, -1, 1 << 64))
+    powers[1], powers[:, 0] = back, 1
+    powers = np.cumprod(powers, 1, np.uint64)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(words, salt) * powers[0], dtype=np.uint64)])
+    return mixed((sums[width:] - sums[:-width]) * powers[1, :n], salt + 1)
+
+
+def anchors(words: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Where pieces of half a passage begin, and their hashes. Equal passages have such a piece at the same place.
+
+    The least hash of a few words among those of each stretch is taken; what lies in a passage decides it alone.
+    """
+    half = settings.words // 2
+    if len(words) < settings.words:
+        return np.empty(0, np.int64), words[:0]
+    short = run_hashes(words, min(SHINGLE, half), 21)
+    stretch = np.lib.stride_tricks.sliding_window_view(short, settings.words - half + 1)
+    at = np.unique(stretch.argmin(1) + np.arange(len(stretch)))
+    at = at[at <= len(words) - half]
+    return at, run_hashes(words, half, 23)[at]
+
+
+def word_places(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last character, and line, of each of the words that ``shingle_words`` gives."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    word = ((codes < 9) | (codes > 13)) & (codes != 32)
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], word, [0]])))
+    return edges[::2], edges[1::2], np.searchsorted(np.flatnonzero(codes == 10), edges[::2])
+
+
+def shared_windows(documents: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
+    """Every window of a passage's words that two or more documents hold, word by word: doc, its place pos, line,
+    start, stop, and the first document's first_doc, first_pos, first_line."""
+    spark, width = ready(documents), settings.words
+    rows = documents.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("t")).where("doc is not null")
+
+    @F.pandas_udf("array<bigint>")
+    def pieces_of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            found = [np.unique(anchors(hashes(shingle_words(t)), settings)[1]).view(np.int64) for t in batch]
+            yield pd.Series(found, dtype=object)
+
+    posted = store(rows.select("doc", F.explode(pieces_of("t")).alias("h")), "run-pieces")
+    shared = posted.rows.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("h")
+    shared = ngram_join.checked(spark, store(shared, "run-shared"))
+    wanted = store(posted.rows.join(shared, "h").groupBy("doc").agg(F.collect_set("h").alias("h")), "run-wanted")
+    posted.discard()
+
+    def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for doc, text, hit in zip(batch["doc"], batch["t"], batch["h"], strict=True):
+                words = hashes(shingle_words(text))
+                at, names = anchors(words, settings)
+                at = at[np.isin(names.view(np.int64), hit)]
+                if not len(at):  # another text of the same id
+                    continue
+                last = len(words) - width
+                change = np.zeros(len(words) + 1, np.int64)  # windows that hold a shared piece
+                np.add.at(change, np.maximum(at - (width - settings.words // 2), 0), 1)
+                np.add.at(change, np.minimum(at, last) + 1, -1)
+                pos = np.flatnonzero(np.cumsum(change)[: last + 1])
+                start, stop, line = word_places(text)
+                yield pd.DataFrame({
+                    "doc": doc, "pos": pos, "line": line[pos], "start": start[pos], "stop": stop[pos + width - 1],
+                    "h1": run_hashes(words, width, 25)[pos].view(np.int64), "h2": run_hashes(words, width, 27)[pos].view(np.int64),
+                })
+
+    kind = "doc long, pos int, line int, start int, stop int, h1 long, h2 long"
+    every = store(rows.join(wanted.rows, "doc").mapInPandas(windows, kind), "run-windows")
+    first = F.min(F.struct("doc", "pos", "line")).alias("first")
+    heads = every.rows.groupBy("h1", "h2").agg(first, F.max("doc").alias("hi")).where("first.doc < hi").drop("hi")
+    heads = ngram_join.checked(spark, store(heads, "run-heads"))
+    return every.rows.join(heads, ["h1", "h2"]).select(
+        "doc", "pos", "line", "start", "stop", F.col("first.doc").alias("first_doc"),
+        F.col("first.pos").alias("first_pos"), F.col("first.line").alias("first_line"),
+    )
+
+
+def spans(documents: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings | None = None) -> DataFrame:
+    """The rows of ``repeats``, and rows of the same columns for runs of equal words that are not within them.
+
+    A run goes over as many windows as follow one another here and in the first document that holds them; its line
+    is the one it begins in. No run of ``words`` equal words that two documents share is missed.
+    """
+    settings = settings or Settings()
+    lines = repeats(documents, key, text, settings)
+    none = F.lit(None).cast("int")
+    lines = lines.withColumn("pos", none).withColumn("first_pos", none)
+    windows = shared_windows(documents, key, text, settings)
+    windows = windows.withColumn("removed", F.struct("doc", "pos") != F.struct("first_doc", "first_pos"))
+    columns = ["doc", "line", "start", "stop", "first_doc", "first_line", "removed", "pos", "first_pos"]
+    rows = lines.select(columns).unionByName(windows.select(columns)).repartition("doc")
+    rows = rows.sortWithinPartitions("doc", F.col("pos").asc_nulls_first(), "line", "start")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for cells in ngram_join.whole(batches, ["doc"]):
+            whole_lines, found = cells[cells["pos"].isna()], cells[cells["pos"].notna()]
+            yield whole_lines[columns[:-2]]
+            found = found.drop_duplicates().reset_index(drop=True)
+            if not len(found):
+                continue
+            pos = found["pos"].to_numpy(np.int64)
+            names = np.column_stack([found["doc"], found["first_doc"], pos - found["first_pos"].to_numpy(np.int64)])
+            new = np.concatenate([[True], (names[1:] != names[:-1]).any(1) | (np.diff(pos) != 1)])
+            starts = np.flatnonzero(new)
+            runs = found.iloc[starts].copy()
+            runs["stop"] = found["stop"].to_numpy()[np.append(starts[1:], len(found)) - 1]
+            own: dict[tuple[int, bool], list[tuple[int, int]]] = {}
+            for r in whole_lines.itertuples():
+                own.setdefault((r.doc, r.removed), []).append((r.start, r.stop))
+            outside = [
+                not any(a <= r.start and r.stop <= b for a, b in own.get((r.doc, r.removed), ())) for r in runs.itertuples()
+            ]
+            yield runs.loc[outside, columns[:-2]]
+
+    kind = "doc long, line int, start int, stop int, first_doc long, first_line int, removed boolean"
+    return rows.mapInPandas(run, kind)
+
+
 def without(documents: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without the lines that ``repeats`` marks as removed; a text of nothing else becomes empty."""
-    gone = found.where("removed").groupBy(F.col("doc").alias("__doc")).agg(F.collect_set("line").alias("__gone"))
+    """The documents without what ``repeats`` or ``spans`` mark as removed; a text of nothing else becomes empty.
+
+    With whole lines goes a line feed.
+    """
+    gone = found.where("removed").groupBy(F.col("doc").alias("__doc"))
+    gone = gone.agg(F.sort_array(F.collect_set(F.array("start", "stop"))).alias("__gone"))
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        out = []
+        for t, own in zip(texts, spans, strict=True):
+            parts, at = [], 0
+            merged: list[list[int]] = []
+            for a, b in own if t is not None and own is not None else ():
+                if merged and (a <= merged[-1][1] or t[merged[-1][1] : a] == "\n"):
+                    merged[-1][1] = max(b, merged[-1][1])
+                else:
+                    merged.append([int(a), int(b)])
+            for a, b in merged:
+                if (a == 0 or t[a - 1] == "\n") and t[b : b + 1] == "\n":
+                    b += 1
+                elif b == len(t) and a > 0 and t[a - 1] == "\n" and a - 1 >= at:
+                    a -= 1
+                parts.append(t[at:a])
+                at = b
+            out.append(None if t is None else "".join([*parts, t[at:]]))
+        return pd.Series(out, dtype=object)
+
     rows = documents.join(gone, documents[key] == F.col("__doc"), "left")
-    lines = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains("__gone", i))
-    kept = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(lines, "\n"))
-    return rows.withColumn(text, kept).drop("__doc", "__gone")
+    return rows.withColumn(text, F.when(F.col("__gone").isNull(), F.col(text)).otherwise(cut(text, "__gone"))).drop("__doc", "__gone")

@@ -132,4 +132,4 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passages.repeats(table(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
+    return passages.spans(table(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")

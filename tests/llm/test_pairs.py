@@ -130,6 +130,37 @@ def test_passages_that_repeat(documents):
     assert cleaned[4] == "" and cleaned[2] == f"other {prose(9, 60)}" and cleaned[1] == texts[1] and cleaned[9] is None
 
 
+def test_passages_that_are_no_whole_line(documents):
+    """Every word of a run of 50 or more that two documents share, by brute force, is in a span, and no other run is."""
+    a, b = prose(1, 70), prose(2, 50)
+    short = "\n".join(" ".join(a.split()[i : i + 9]) for i in range(0, 70, 9))
+    rows = [
+        (1, f"intro\n{a}\nend"), (2, f"{prose(20, 33)} {a} {prose(21, 200)}"), (3, f"{prose(22, 5)}\n{short}\n{prose(23, 9)}"),
+        (4, f"{prose(24, 31)} {b}"), (5, f"{prose(25, 17)}\t{b.upper()}\n\n{prose(26, 8)}"), (6, prose(3, 49)), (7, prose(3, 49)),
+        (8, None), (9, ""),
+    ]
+    docs = documents(rows)
+    found = passages.spans(docs).collect()
+    texts, words = dict(rows), {i: (t or "").lower().split() for i, t in rows}
+    holders = defaultdict(set)
+    for i, own in words.items():
+        for k in range(len(own) - 49):
+            holders[tuple(own[k : k + 50])].add(i)
+    for i, own in words.items():
+        covered = set()
+        for r in found:
+            if r["doc"] == i:
+                before = len(texts[i][: r["start"]].split())
+                covered |= set(range(before, before + len(texts[i][r["start"] : r["stop"]].split())))
+                assert r["line"] == texts[i][: r["start"]].count("\n")
+        runs = {j for k in range(len(own) - 49) if len(holders[tuple(own[k : k + 50])]) > 1 for j in range(k, k + 50)}
+        assert covered == runs, i
+    assert {(r["doc"], r["first_doc"]) for r in found if r["removed"]} == {(2, 1), (3, 1), (5, 4)}
+    cleaned = {r["doc_id"]: r["text"] for r in passages.without(docs, passages.spans(docs)).collect()}
+    assert cleaned[1] == texts[1] and cleaned[2] == f"{prose(20, 33)}  {prose(21, 200)}" and cleaned[8] is None
+    assert cleaned[3] == f"{prose(22, 5)}\n{prose(23, 9)}"
+
+
 def test_bands_reach_the_recall():
     settings = passages.Settings()
     bands, rows = passages.tuned(settings)
