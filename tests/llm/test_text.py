@@ -103,6 +103,19 @@ def test_page_without_article_is_cut_by_the_distribution_of_text():
     assert len(text.split("\n")) == 5 and text.endswith("Short.") and "Menu" not in text
 
 
+@pytest.mark.parametrize("dropped", [
+    "<script>track()</script>", "<style>p{}</style>", "<button>Buy</button>", "<svg><text>Icon</text></svg>",
+    "<textarea>Type</textarea>", '<span class="ad">Advert</span>', '<span class="ad">Ad<div>vert</div></span>',
+    "<template><p>Later</p></template>", "<object>None</object>",
+])
+def test_dropped_elements_within_a_line_go_alone(dropped):
+    first, last = "Text of the article that is long enough", "And more of it that is as long as this"
+    text = lambda inner: webpages.main_text(f"<body><article>{inner}</article></body>").split("\n")
+    assert text(f"<p>{first}</p>{dropped}<p>{last}</p>") == [first, last]
+    assert text(f"<p>{first} {dropped}</p><p>{last}</p>") == [first, last]
+    assert " ".join(text(f"<div>{first} {dropped} {last}</div>")) == f"{first} {last}"
+
+
 def test_sliding_windows_by_brute_force():
     rng = np.random.default_rng(2)
     settings = webpages.Settings()
