@@ -116,6 +116,15 @@ def test_dropped_elements_within_a_line_go_alone(dropped):
     assert " ".join(text(f"<div>{first} {dropped} {last}</div>")) == f"{first} {last}"
 
 
+def test_links_of_an_article_stay():
+    body = "Text of the article that is long enough to make the sums surge"
+    links = [f"Linked source number {i}" for i in range(5)]
+    items = "".join(f"<li><a href='/{i}'>{x}</a></li>" for i, x in enumerate(links))
+    lines = ["Linked headline", body, *links, "Short.", *links]
+    page = f"<article><h1><a href='/'>Linked headline</a></h1><p>{body}</p><ul>{items}</ul><p>Short.</p><ul>{items}</ul></article>"
+    assert webpages.main_text(f"<body><div><a href='/'>Home</a></div>{page}</body>").split("\n") == lines
+
+
 def test_sliding_windows_by_brute_force():
     rng = np.random.default_rng(2)
     settings = webpages.Settings()
