@@ -38,7 +38,7 @@ NAME = r"[A-ZÀ-ÖØ-ÞΑ-ΩА-ЯЁ][\wà-öø-ÿα-ωа-яё]+(?:-[A-ZÀ-ÖØ-
 
 EMAIL = re.compile(r"[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 NUMBER = re.compile(r"(?<![\w.+])(?:\+\d|\(\d|\d)[\d ().\-]{5,}\d(?!\w)")
-CARD = re.compile(r"\d(?:[ -]?\d){12,18}")
+CARD = re.compile(r"(?:4|5[1-5]|2[2-7]|35|6)\d*|3[0468-9]\d{12}|3[47]\d{13}")  # how known issuers' numbers begin
 SSN = re.compile(r"\d{3}-\d{2}-\d{4}")
 IP = re.compile(r"(?:\d{1,3}\.){3}\d{1,3}")
 PHONE = re.compile(r"\+?(?:\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3,4}[ .-]?\d{3,4}")
@@ -63,6 +63,30 @@ def luhn(digits: str) -> int:
     return sum(sum(divmod(int(d) * 2, 10)) if i % 2 else int(d) for i, d in enumerate(reversed(digits)))
 
 
+def cards(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """Spans of card numbers in a run of numbers: 13 to 19 digits from the start to the end of groups, valid by Luhn.
+
+    Where such spans overlap, one that begins like an issuer's number goes before others, then the longer one.
+    """
+    groups = [m.span() for m in re.finditer(r"[0-9]+", text[start:end])]
+    found = []
+    for i, (first, _) in enumerate(groups):
+        digits = ""
+        for j in range(i, len(groups)):
+            a, b = groups[j]
+            between = text[start + groups[j - 1][1] : start + a]
+            if j > i and between not in (" ", "-") or len(digits) + b - a > 19:
+                break
+            digits += text[start + a : start + b]
+            if len(digits) >= 13 and luhn(digits) % 10 == 0:
+                found.append((not CARD.fullmatch(digits), -len(digits), start + first, start + b))
+    out: list[tuple[int, int]] = []
+    for _, _, a, b in sorted(found):
+        if all(b <= x or a >= y for x, y in out):
+            out.append((a, b))
+    return out
+
+
 def mentions(text: str | None) -> list[Mention]:
     """What a text says about persons and secrets, in order, none overlapping; null and empty texts have none."""
     text = text or ""
@@ -85,14 +109,14 @@ def mentions(text: str | None) -> list[Mention]:
         if int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1:
             add(0, "iban", *m.span(), plain)
     for m in NUMBER.finditer(text):
-        for rank, kind, pattern in ((1, "card", CARD), (2, "ssn", SSN), (2, "ip", IP), (3, "phone", PHONE)):
+        for a, b in cards(text, *m.span()) if m.end() - m.start() >= 13 else ():
+            add(1, "card", a, b, re.sub(r"\D", "", text[a:b]))
+        for rank, kind, pattern in ((2, "ssn", SSN), (2, "ip", IP), (3, "phone", PHONE)):
             for p in pattern.finditer(text, m.start(), m.end()):
                 around = text[p.start() - 1 : p.start()], text[p.end() : p.end() + 1]
                 digits = re.sub(r"\D", "", p[0])
                 if around[0].isdigit() or around[1].isdigit():
                     continue
-                if kind == "card" and luhn(digits) % 10:
-                    continue
                 if kind == "ip" and any(int(part) > 255 for part in p[0].split(".")):
                     continue
                 if kind == "phone" and (len(digits) < 9 or not re.search(r"[ ().+-]", p[0])):

@@ -240,6 +240,20 @@ def test_surrogates_keep_type_format_gender_and_script():
     assert n == len(pii.mentions(TEXT))
 
 
+@pytest.mark.parametrize("text, expected", [
+    ("7536784127813050 4845168114407329", ["7536784127813050", "4845168114407329"]),
+    ("2353820953013749 4550997810720808", ["4550997810720808"]),
+    ("4111 1111 1111 1111 5500 0000 0000 0004 378282246310005", ["4111 1111 1111 1111", "5500 0000 0000 0004", "378282246310005"]),
+    ("4111111111111111 2027", ["4111111111111111"]), ("12 4111-1111-1111-1111 08 27", ["4111-1111-1111-1111"]),
+    ("4111111111111112 123", []), ("14111111111111111", []),
+])
+def test_cards_beside_other_numbers(text, expected):
+    text = f"paid {text}, thanks"
+    assert [text[m.start : m.end] for m in pii.mentions(text) if m.kind == "card"] == expected
+    new = pii.replaced(text, PII_KEY, {})[0]
+    assert not any(card in new for card in expected)
+
+
 def test_given_names_keep_their_gender():
     endings = {g: pii.SOUNDS["latin"][2][g] for g in "mf"}
     for gender, name in (("m", "John"), ("f", "Mary")):
