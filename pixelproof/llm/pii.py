@@ -1,7 +1,8 @@
 """Personal data replaced by surrogates of the same kind.
 
 Entities are found in whole texts. Each distinct entity of the corpus gets a keyed surrogate of its type,
-format and script, a name one of its gender too, so all its mentions agree everywhere. Surrogates that two
+format and script, a name one of its gender too, so all its mentions agree everywhere. Names are known by a title
+or a listed given name; in the same text their parts are mentions by themselves as well. Surrogates that two
 entities share, or that are real entities themselves, are found by grouping and drawn again. Only those
 drawn again have to be looked up; the others follow from the entity and the key.
 """
@@ -34,6 +35,11 @@ GIVEN = {
 }
 GENDER = {name: gender for gender, names in GIVEN.items() for name in names.split()}
 TITLE_GENDER = {title: gender for gender, titles in TITLES.items() for title in titles.split()}
+# Words that begin sentences, so that one taken for a name behind a title is not looked for elsewhere.
+NO_NAMES = frozenset(
+    "The This That These Those An And But He She It We You They Is Are Was In On At For Of To Not Der Die Das Und Ein Eine "
+    "Er Sie Es Wir Le La Les Un Une Et Il Elle El Los Las Una Él Ella В На Он Она Это И".split()
+)
 NAME = r"[A-ZÀ-ÖØ-ÞΑ-ΩА-ЯЁ][\wà-öø-ÿα-ωа-яё]+(?:-[A-ZÀ-ÖØ-ÞА-ЯЁ][\wà-öø-ÿа-яё]+)?"
 
 EMAIL = re.compile(r"[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
@@ -133,6 +139,19 @@ def mentions(text: str | None) -> list[Mention]:
     for m in NAMED.finditer(text):
         add(5, f"given_{GENDER[m[1]]}", *m.span(1), m[1])
         add(5, "surname", *m.span(2), m[2])
+    # the same names without a title or a given name; in capitals too
+    names: dict[str, tuple[str, str]] = {}
+    for _, m in found:
+        if m.kind == "surname" or m.kind.startswith("given_"):
+            if m.value not in NO_NAMES:
+                names.setdefault(m.value, (m.kind, m.value))
+    for value, entity in list(names.items()):
+        names.setdefault(value.upper(), entity)
+    if names:
+        words = "|".join(map(re.escape, sorted(names, key=len, reverse=True)))
+        for m in re.finditer(rf"(?<!\w)(?:{words})(?!\w)", text):
+            kind, value = names[m[0]]
+            add(6, kind, *m.span(), value)
     out: list[Mention] = []
     taken: list[tuple[int, int]] = []
     for _, m in sorted(found, key=lambda x: (x[0], x[1].start - x[1].end, x[1])):
@@ -229,7 +248,7 @@ def shaped(new: str, old: str, kind: str) -> str:
     if kind in ("card", "ssn", "phone", "iban"):
         chars = iter(new)
         return "".join(next(chars) if c.isalnum() else c for c in old)
-    if kind == "email" and old.isupper():
+    if (kind == "email" or kind == "surname" or kind.startswith("given_")) and old.isupper():
         return new.upper()
     return new
 

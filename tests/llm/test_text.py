@@ -254,6 +254,16 @@ def test_cards_beside_other_numbers(text, expected):
     assert not any(card in new for card in expected)
 
 
+def test_bare_names_agree_with_full_ones():
+    text = "Weber wrote. Dr. Anna Weber agrees; Anna's note, WEBER and Mr. John Smith. Smith is a smith, as Webern is. Dr. The one. The end."
+    new = pii.replaced(text, PII_KEY, {})[0]
+    first, last = re.search(r"Dr\. (\w+) (\w+) agrees", new).groups()
+    smith = re.search(r"Mr\. \w+ (\w+)\. ", new)[1]
+    assert new.startswith(f"{last} wrote.") and f"; {first}'s note, {last.upper()} and" in new
+    assert f"{smith} is a smith, as Webern is." in new and new.endswith("The end.")
+    assert not re.search(r"\b(?:Anna|Weber|Smith|John)\b", new)
+
+
 def test_given_names_keep_their_gender():
     endings = {g: pii.SOUNDS["latin"][2][g] for g in "mf"}
     for gender, name in (("m", "John"), ("f", "Mary")):
