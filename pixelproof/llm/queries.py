@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, blocks, mixing, ngram_join, passages, pieces, pii, quality, topk, toxicity, webpages
+from . import ann, blocks, licenses, mixing, ngram_join, passages, pieces, pii, quality, topk, toxicity, webpages
 from .work import ready
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,3 +133,19 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.spans(table(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
+
+
+@query
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scanned(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    starts = F.transform("base", lambda x: x["start"].cast("long"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        licenses.labels_of("base").alias("base_labels"),
+        licenses.labels_of("base", "licenses").alias("labels"),
+        licenses.sureness("licenses").alias("score"),
+    )
