@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, blocks, licenses, mixing, ngram_join, passages, pieces, pii, quality, topk, toxicity, webpages
+from . import ann, blocks, centroids, licenses, mixing, ngram_join, passages, pieces, pii, quality, topk, toxicity, webpages
 from .work import ready
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,3 +149,10 @@ def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         licenses.labels_of("base", "licenses").alias("labels"),
         licenses.sureness("licenses").alias("score"),
     )
+
+
+@query
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found, _ = centroids.clustered(rows, "vec_id", "embedding", width=64, factor=256.0, k=40, rounds=5, seed="2")
+    return found.withColumnRenamed("id", "vec_id")

@@ -76,3 +76,96 @@ SELECT doc_id, domain, lang, source, n_tokens,
 FROM run
 WHERE epochs + CAST(upto <= floor(budget) - epochs * have AS INTEGER) > 0
 """
+
+_CLOSEST = """
+n{i} AS (
+    SELECT v.vec_id, v.v, v.row, min({{'distance': CAST(list_sum(list_transform(range(1, 65), lambda j:
+        (v.v[j] - c.v[j]) * (v.v[j] - c.v[j]))) AS BIGINT), 'cluster': c.cluster}}) AS near
+    FROM v, c{i} AS c GROUP BY v.vec_id, v.v, v.row
+)"""
+_MOVED = """
+s{i} AS (
+    SELECT near.cluster AS cluster, j, sum(v[j]) AS total, count(*) AS n
+    FROM n{i}, range(1, 65) AS r(j) GROUP BY near.cluster, j
+), m{i} AS (
+    SELECT cluster, list(CAST((total - ((total % n) + n) % n) // n AS BIGINT) ORDER BY j) AS v FROM s{i} GROUP BY cluster
+), c{next} AS (
+    SELECT c.cluster, coalesce(m.v, c.v) AS v FROM c{i} AS c LEFT JOIN m{i} AS m ON m.cluster = c.cluster
+)"""
+
+SQL["op11_centroids"] = f"""
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v,
+           row_number() OVER () AS row
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS (
+    SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, v) - 1 AS INTEGER) AS cluster, v
+    FROM v QUALIFY cluster < 40
+), {
+    ", ".join((_CLOSEST.format(i=i) + ", " + _MOVED.format(i=i, next=i + 1)).strip() for i in range(5))
+}, {_CLOSEST.format(i=5).strip()}, inertias AS (
+    SELECT near.cluster AS cluster, CAST(sum(near.distance) AS BIGINT) AS cluster_inertia FROM n5 GROUP BY near.cluster
+)
+SELECT vec_id, near.cluster AS cluster, near.distance AS distance, cluster_inertia,
+       (SELECT CAST(sum(cluster_inertia) AS BIGINT) FROM inertias) AS inertia,
+       sha256(array_to_string(c5.v, ',')) AS centroid_sha256
+FROM n5 JOIN inertias ON inertias.cluster = near.cluster JOIN c5 ON c5.cluster = near.cluster
+"""
+
+
+def _licenses() -> str:
+    """The rules as rows, so that SQL states the same detections by joins."""
+    from .licenses import BASE, GRANT_WORD, GRANTS, SURE, WIDTH, rules
+
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    values = ", ".join(
+        f"({n}, {quoted(r.keyword)}, {quoted(f'^{r.pattern}(?: |$)')}, {r.level}, {quoted(r.label)})" for n, r in enumerate(rules())
+    )
+    grants = ", ".join(map(quoted, GRANTS))
+    keywords = ", ".join(map(quoted, sorted({r.keyword for r in rules()}.union(GRANTS))))
+    bases = " UNION ALL ".join(
+        f"SELECT doc, i AS start, {quoted(label)} AS label FROM w WHERE array_to_string(words[i+1:i+{len(p.split())}], ' ') = {quoted(p)}"
+        for p, label in BASE.items()
+    )
+    sure = " ".join(f"WHEN {level} THEN CAST({value} AS DOUBLE)" for level, value in SURE.items())
+    return f"""
+WITH d AS (
+    SELECT row_number() OVER () AS doc, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+    FROM documents
+), w AS (
+    SELECT doc, words, CAST(unnest(list_filter(range(len(words)), lambda i: words[i+1] IN ({keywords}))) AS BIGINT) AS i FROM d
+), rules(rule, keyword, pattern, level, label) AS (
+    VALUES {values}
+), tried AS (
+    SELECT doc, i, rule, level, label, rtrim(regexp_extract(array_to_string(words[i+1:i+{WIDTH}], ' '), pattern)) AS match
+    FROM w JOIN rules ON keyword = CASE WHEN words[i+1] IN ({grants}) THEN {quoted(GRANT_WORD)} ELSE words[i+1] END
+    WHERE level > 0
+), finds AS (
+    SELECT doc, i AS start, i + len(string_split(match, ' ')) AS stop, rule, level, label FROM tried WHERE match <> ''
+), kept AS (
+    SELECT doc, level, label FROM finds AS x
+    WHERE label <> '' AND NOT EXISTS (
+        SELECT 1 FROM finds AS y
+        WHERE y.doc = x.doc AND y.start <= x.start AND y.stop >= x.stop
+          AND (y.level < x.level OR (y.level = x.level AND (y.stop - y.start > x.stop - x.start OR y.rule < x.rule))))
+), base AS ({bases}
+), b AS (
+    SELECT doc, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word,
+           array_to_string(list_sort(list_distinct(list(label))), ',') AS base_labels
+    FROM base GROUP BY doc
+), l AS (
+    SELECT doc, array_to_string(list_sort(list_distinct(list(label))), ',') AS labels
+    FROM (SELECT doc, label FROM kept UNION ALL SELECT doc, label FROM base) GROUP BY doc
+), s AS (
+    SELECT doc, max(CASE level {sure} END) AS score FROM kept GROUP BY doc
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0::DOUBLE) AS score
+FROM d LEFT JOIN b USING (doc) LEFT JOIN l USING (doc) LEFT JOIN s USING (doc)
+"""
+
+
+SQL["op13_licenses"] = _licenses()
