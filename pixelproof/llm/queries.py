@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, blocks, centroids, licenses, mixing, ngram_join, passages, pieces, pii, quality, topk, toxicity, webpages
+from . import ann, blocks, centroids, licenses, mixing, ngram_join, passages, pieces, pii, quality, topk, toxicity, tries, webpages
 from .work import ready
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,3 +156,13 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     found, _ = centroids.clustered(rows, "vec_id", "embedding", width=64, factor=256.0, k=40, rounds=5, seed="2")
     return found.withColumnRenamed("id", "vec_id")
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    c = F.col("c")
+    return tries.trie(
+        turns, "conv_id", "turn", "role", "text",
+        lender=c - c % 5, borrowed=F.crc32(c.cast("string")) % 9, most=8,
+    )

@@ -169,3 +169,42 @@ FROM d LEFT JOIN b USING (doc) LEFT JOIN l USING (doc) LEFT JOIN s USING (doc)
 
 
 SQL["op13_licenses"] = _licenses()
+
+# the checksum of a decimal number, bit by bit
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda v, i: xor(v >> 1, 3988292384 * (v & 1)))))"""
+
+SQL["op12_prefix_trie"] = f"""
+WITH own AS (
+    SELECT conv_id AS c, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}}
+        ORDER BY turn NULLS FIRST, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || ':' || coalesce(text, ''))) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), h AS (
+    SELECT c, turns, {_CRC32} % 9 AS h FROM own
+), rebuilt AS (
+    SELECT h.c, CASE WHEN own.c IS NULL THEN h.turns[h + 1:] ELSE list_concat(own.turns[1:h], h.turns[h + 1:]) END AS turns
+    FROM h LEFT JOIN own ON own.c = h.c - h.c % 5
+), prefixes AS (
+    SELECT c, CAST(unnest(range(len(turns) + 1)) AS BIGINT) AS depth, turns FROM rebuilt
+), nodes AS (
+    SELECT depth, turns[1:depth] AS path, min(c) AS conv_id, count(*) AS n_convs,
+           max(CASE WHEN depth = 0 THEN 0 ELSE strlen(turns[depth].t) END) AS bytes,
+           coalesce(string_agg(CASE WHEN len(turns) = depth THEN CAST(c AS VARCHAR) END, ',' ORDER BY c), '') AS ends
+    FROM prefixes GROUP BY depth, turns[1:depth]
+), children AS (
+    SELECT depth - 1 AS depth, path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1, 2
+), families AS (
+    SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (depth, path)
+), up AS (
+    SELECT CAST(unnest(range(depth + 1)) AS BIGINT) AS top, path, n_children, (n_convs - 1) * bytes AS saved FROM families
+), totals AS (
+    SELECT top AS depth, path[1:top] AS path, CAST(count(*) FILTER (n_children = 0) AS BIGINT) AS n_leaves,
+           CAST(sum(saved) AS BIGINT) AS saved_tokens
+    FROM up GROUP BY 1, 2
+)
+SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens,
+       sha256(f.ends) AS ends_sha256
+FROM families AS f JOIN totals USING (depth, path)
+LEFT JOIN nodes AS p ON p.depth = f.depth - 1 AND p.path = f.path[1:f.depth - 1]
+"""
