@@ -129,7 +129,7 @@ def rules() -> tuple[Rule, ...]:
         made += [Rule(word, words, f"{word} {words}", METADATA, label) for word in ("license", "licence")]
     for label, name in known:
         made.append(Rule(GRANT_WORD, plain_part(name), f"(?:{'|'.join(GRANTS)}){UNDER}{name}", GRANT, label))
-        made.append(Rule(name.split()[0], plain_part(name), name, NAME, label))
+        made.append(Rule(plain_part(name).split()[0], plain_part(name), name, NAME, label))
     made += [Rule(p.split()[0], p, p, IDENTIFIER, "") for p in OTHER]
     return tuple(made)
 

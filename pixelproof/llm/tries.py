@@ -88,7 +88,8 @@ def prefixes(rows: DataFrame, band: int, deepest: int) -> list[DataFrame]:
         # whole bands only: a band that a conversation does not fill has no root below it
         roots = rows.groupBy("c", "b").agg(F.bit_xor("x1").alias("x1"), F.bit_xor("x2").alias("x2"), F.count("*").alias("n"))
         roots = roots.where(F.col("n") == band).select("c", (F.col("b") + 1).alias("depth"), "x1", "x2")
-        levels = prefixes(roots, band, deepest // band)
+        first, *more = prefixes(store(roots, "bands").rows, band, deepest // band)
+        levels = [store(first, "band-roots").rows, *more]
         above = levels[0].select("c", F.col("depth").alias("b"), F.col("k1").alias("s1"), F.col("k2").alias("s2"))
         rows = rows.join(above, ["c", "b"], "left")
     else:
@@ -194,7 +195,7 @@ def trie(
     )
     parent = F.get("path", F.size("path") - 2)
     nodes = store(nodes.withColumns({"p1": parent["k1"], "p2": parent["k2"]}), "nodes").rows
-    above = [level.groupBy(*KEY).agg(F.first("path").alias("path")) for level in bands]
+    above = [store(level.groupBy(*KEY).agg(F.first("path").alias("path")), "band-nodes").rows for level in bands]
 
     children = nodes.where("depth > 0").groupBy((F.col("depth") - 1).alias("depth"), F.col("p1").alias("k1"), F.col("p2").alias("k2"))
     nodes = nodes.join(children.agg(F.count("*").alias("n_children")), KEY, "left")

@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import cache
 
 import pytest
 from conftest import prose
@@ -141,10 +142,10 @@ ODD_TURNS = [
     (3, 1, "user", "Ünï 😀"), (3, 1, "user", "Ünï 😀"), (3, 0, "", ""), (4, 0, None, ""), (5, 9, "bot", "x" * 100_000), (5, -1, "a:b", "c"), (6, 0, "a", "b:c"),
 ]
 SHARED = [(c, t, "user" if t % 2 else "bot", f"t{t}" if t < 6 else f"t{t}-{c % 4}") for c in range(40) for t in range(3 + c % 20)]
-DEEP = [(c, t, "u", str(t if t < 90 else t * (c % 3))) for c in (100, 101, 105, 110, 111, 117) for t in range(140 + c % 7)]
+DEEP = [(c, t, "u", str(t if t < 40 else t * (c % 3))) for c in (100, 101, 105, 110, 111, 117) for t in range(70 + c % 7)]
 
 
-@pytest.mark.parametrize("rows, band", [(ODD_TURNS, 16), (SHARED + ODD_TURNS, 16), (SHARED + DEEP, 3), (SHARED + DEEP, 5), ([], 16)])
+@pytest.mark.parametrize("rows, band", [(ODD_TURNS, 16), (SHARED + ODD_TURNS, 16), (SHARED[::2] + DEEP, 4), ([], 16)])
 def test_trie_against_brute_force(spark, rows, band):
     assert found_trie(conversations(spark, rows), band=band) == expected_trie(rows)
 
@@ -162,14 +163,18 @@ def words_of(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
 
 
+PATTERNS = [(n, r, re.compile(f"{r.pattern}(?: |$)")) for n, r in enumerate(licenses.rules())]
+
+
+@cache
 def expected_scan(text):
     """By trying every rule at every word, without any gate."""
     words = words_of(text)
     found = []
     for i in range(len(words)):
         window = " ".join(words[i : i + licenses.WIDTH])
-        for n, r in enumerate(licenses.rules()):
-            if m := re.match(f"{r.pattern}(?: |$)", window):
+        for n, r, pattern in PATTERNS:
+            if m := pattern.match(window):
                 found.append((i, i + len(m.group().split()), r.level, n, r.label))
     base = [f for f in found if f[2] == 0]
     rest = [f for f in found if f[2] > 0]
@@ -191,12 +196,12 @@ TEXTS = [
     "released under CC BY-NC-SA 4.0 or CC BY 4.0", "driver license and MIT license plate", "distributed by the terms of the BSD 3-Clause license",
     "the Unlicense", "https://opensource.org/licenses/MIT", "general public license " * 40, "Mİt license mıt license ＭＩＴ license",
     "mit license\u0000apache license", "GPLv3 AGPLv3 LGPL 2.1", "provided to you under the terms and conditions of the a mit license", "mit",
-    " ".join(["licensed", "under", "the", "terms", "of", "the"] * 30) + " zlib license", "x" * 100_000 + " mit license " + "y " * 5_000,
+    " ".join(["licensed", "under", "the", "terms", "of", "the"] * 30) + " zlib license", "x" * 100_000 + " mit license " + "y " * 500,
 ]
 
 
 def test_licenses_against_brute_force(spark, documents, tmp_path):
-    rows = [(i, t) for i, t in enumerate(TEXTS)] + [(4, TEXTS[4]), (None, TEXTS[9]), (90, prose(1, 3000) + " isc license")]
+    rows = [(i, t) for i, t in enumerate(TEXTS)] + [(4, TEXTS[4]), (None, TEXTS[9]), (90, prose(1, 300) + " isc license")]
     documents(rows).write.parquet(f"{tmp_path}/documents.parquet")
     found = Counter(tuple(r) for r in REGISTRY["op13_licenses"](spark, str(tmp_path)).collect())
     assert found == Counter((i, *expected_scan(t)) for i, t in rows)
@@ -213,7 +218,7 @@ def test_rules_are_what_the_gates_expect():
     assert len(all_rules) > 500
     for r in all_rules:
         assert r.pattern.startswith(r.keyword) or r.keyword == licenses.GRANT_WORD
-        assert r.needs in r.pattern and not set(r.needs) & set("()?|")
+        assert r.needs in r.pattern and not set(r.needs + r.keyword) & set("()?|:")
         assert any(s in r.pattern.replace("(?:licensed|", "(?:") for s in licenses.STEMS)
         assert "*" not in r.pattern and "+" not in r.pattern and r.pattern.count(" ") < licenses.WIDTH
 
