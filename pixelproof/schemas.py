@@ -11,6 +11,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampType,
 )
 
 # Class names, their codes, folder names and model names.
@@ -36,6 +37,9 @@ FEATURES = _table(
     split=StringType(),
 )
 
+# The log of the file versions a features table was made of.
+FILE_VERSIONS = _table(path=StringType(), length=LongType(), modificationTime=TimestampType(), run=LongType())
+
 PREDICTIONS = _table(
     model=StringType(),
     path=StringType(),

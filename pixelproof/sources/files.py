@@ -6,9 +6,9 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.classic.column import Column as JvmColumn
 
 from ..functions.labels import encode_label
+from .listing import list_files
 
 # Accepted endings and the folder layout, either plain folders or the
 # key=value folders Spark writes; the folders nearest to the file count.
@@ -34,26 +34,18 @@ def scan_files(spark: SparkSession, root: str | list[str], glob: str = IMAGE_GLO
     return _file_source(spark.read.format("binaryFile"), glob, recursive).load(root)
 
 
-def empty_files(spark: SparkSession, root: str | list[str], glob: str = IMAGE_GLOB) -> DataFrame:
-    """The files below ``root`` that hold nothing: path, length 0, content null.
+def all_files(spark: SparkSession, root: str | list[str], glob: str = IMAGE_GLOB) -> DataFrame:
+    """path, length and modificationTime of every file below ``root``, those of zero bytes included.
 
-    Spark's listing knows all files, its scan leaves out those of zero bytes. The names stay in the JVM, where the
-    listing has them anyway, and are dealt to tasks from there.
+    Folders list themselves in tasks (``sources/listing.py``); no name passes through the driver.
     """
-    scan = scan_files(spark, root, glob)
-    names = JvmColumn(spark._jvm.org.apache.spark.sql.functions.lit(scan._jdf.inputFiles()))
-    listed = spark.range(1).select(F.explode(names).alias("value"))
-    path = F.url_decode(F.replace(F.col("value"), F.lit("+"), F.lit("%2B")))
-    path = F.regexp_replace(path, "^([^/:]+):///", "$1:/")  # as the scan spells it
-    return listed.select(path.alias("path")).join(scan.select("path"), "path", "left_anti").select(
-        "path", F.lit(0).cast("long").alias("length"), F.lit(None).cast("binary").alias("content")
-    )
+    return list_files(spark, root, glob)
 
 
-def all_files(spark: SparkSession, root: str | list[str], glob: str = IMAGE_GLOB) -> DataFrame:
-    """path and length of every file below ``root``, those of zero bytes included."""
-    scan = scan_files(spark, root, glob).select("path", "length")
-    return scan.unionByName(empty_files(spark, root, glob).select("path", "length"))
+def empty_files(spark: SparkSession, root: str | list[str], glob: str = IMAGE_GLOB) -> DataFrame:
+    """The files below ``root`` that hold nothing: path, length 0, content null."""
+    empty = all_files(spark, root, glob).where("length = 0")
+    return empty.select("path", "length", F.lit(None).cast("binary").alias("content"))
 
 
 def scan_images(spark: SparkSession, root: str | list[str], glob: str = IMAGE_GLOB) -> DataFrame:
