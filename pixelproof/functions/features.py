@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType, StringType, StructField, StructType
 
 from ..session import ship_package
+from ..sources.listing import read_content
 
 EXTRACTED = StructType(
     [StructField("features", ArrayType(FloatType())), StructField("error", StringType())]
@@ -131,6 +132,38 @@ def extracted(item: Column, featurizer: Featurizer) -> Column:
     return run(item)
 
 
+def extracted_from_files(path: Column, length: Column, featurizer: Featurizer, most: int) -> Column:
+    """Struct of features and error for listed files, which the task opens itself, some at a time.
+
+    A file that is gone, empty or larger than ``most`` has its error.
+    """
+
+    @F.arrow_udf(EXTRACTED)
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for paths, lengths in batches:
+            sizes = np.minimum(lengths.fill_null(0).to_numpy(zero_copy_only=False), most)
+            parts = [
+                _featurized_files(paths.slice(start, stop - start).to_pylist(), featurizer, most)
+                for start, stop in _calls(sizes, featurizer.rows_per_call, featurizer.bytes_per_call)
+            ]
+            yield pa.concat_arrays(parts or [featurize_batch(pa.array([], pa.binary()), featurizer)])
+
+    return run(path, length)
+
+
+def _featurized_files(paths: list[str], featurizer: Featurizer, most: int) -> pa.StructArray:
+    contents, unread = [], {}
+    for row, path in enumerate(paths):
+        try:
+            contents.append(read_content(path, most))
+        except Exception as problem:  # a file that cannot be read is data, not a failed job
+            unread[row] = f"{type(problem).__name__}: {problem}"
+            contents.append(None)
+    found = featurize_batch(pa.array(contents, pa.binary()), featurizer)
+    errors = [unread.get(row, error) for row, error in enumerate(found.field("error").to_pylist())]
+    return pa.StructArray.from_arrays([found.field("features"), pa.array(errors, pa.string())], names=["features", "error"])
+
+
 def with_features(df: DataFrame, featurizer: Featurizer, item: str = "content", tasks: int | None = None) -> DataFrame:
     """Replace ``item`` by features and error; every row is kept.
 

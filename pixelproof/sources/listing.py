@@ -12,12 +12,14 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
@@ -189,6 +191,8 @@ def qualified(spark: SparkSession, root: str) -> str:
 
 def _options(spark: SparkSession, root: str | list[str], glob: str, levels: int) -> dict[str, str]:
     ship_package(spark)
+    # the process that plans a stream's source does not look into shipped packages: it gets the code itself
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(FileListing)
     roots = [root] if isinstance(root, str) else list(root)
     return {"roots": json.dumps([qualified(spark, r) for r in roots]), "glob": glob, "levels": str(levels)}

@@ -246,6 +246,49 @@ SELECT path, split, label_name, octet_length(content)::int AS length FROM files
 WHERE path NOT IN (SELECT path FROM files WHERE split = 'train')""",
 )
 
+SQL["file_changes"] = select(
+    BYTES
+    + """,
+pages_ AS (SELECT page_id, 'page-' || page_id AS path, octet_length(content) AS length FROM files)""",
+    """
+SELECT path, CASE WHEN page_id % 11 <> 0 THEN length END AS length,
+       CASE WHEN page_id % 11 = 0 THEN 'deleted'
+            WHEN page_id % 13 = 0 THEN 'new'
+            WHEN page_id % 7 = 0 OR page_id % 3 = 0 THEN 'changed'
+            ELSE 'unchanged' END AS status
+FROM pages_ WHERE page_id % 11 <> 0 OR page_id % 13 <> 0""",
+)
+# each folder has an empty file more; the training files of label FAKE are replaced by longer ones,
+# or in stream_follow joined by them
+_LANDED = (
+    BYTES
+    + """,
+landed AS (
+  SELECT split, label_name, octet_length(content) AS size, split = 'train' AND label_name = 'FAKE' AS longer FROM files),
+empties AS (
+  SELECT s.split, l.label_name FROM (VALUES ('train'), ('test')) AS s(split), (VALUES ('REAL'), ('FAKE')) AS l(label_name))"""
+)
+_LANDED_SUMS = """
+SELECT split, label_name, count(*) AS n_rows, count(*) FILTER (WHERE length IS NULL) AS n_errors, sum(length)::bigint AS n_bytes
+FROM all_files GROUP BY split, label_name"""
+SQL["refreshed_features"] = select(
+    _LANDED
+    + """,
+all_files AS (
+  SELECT split, label_name, CASE WHEN longer THEN 2 * size ELSE size END + 1 AS length FROM landed
+  UNION ALL SELECT split, label_name, NULL FROM empties)""",
+    _LANDED_SUMS,
+)
+SQL["stream_follow"] = select(
+    _LANDED
+    + """,
+all_files AS (
+  SELECT split, label_name, size + 1 AS length FROM landed
+  UNION ALL SELECT split, label_name, 2 * size + 1 FROM landed WHERE longer
+  UNION ALL SELECT split, label_name, NULL FROM empties)""",
+    _LANDED_SUMS,
+)
+
 # ---- projections and filters -----------------------------------------------------
 
 SQL["decode_label"] = select(
@@ -611,6 +654,28 @@ SQL["stream_extract"] = select(
 SELECT split, label_name, label, octet_length(content) + 1 AS length FROM files""",
 )
 
+_JUDGED = """
+orders_ AS (
+  SELECT 'PriceRule' AS model, CASE WHEN o_custkey % 10 < 5 THEN 1 ELSE 0 END AS prediction,
+         CASE WHEN o_orderkey % 9 <> 0 THEN (o_totalprice > 150000)::int END AS label
+  FROM orders)"""
+SQL["running_cells"] = select(
+    _JUDGED,
+    """
+SELECT model, count(*) FILTER (WHERE label = 1 AND prediction = 1) AS true_positive,
+       count(*) FILTER (WHERE label = 0 AND prediction = 0) AS true_negative,
+       count(*) FILTER (WHERE label = 0 AND prediction = 1) AS false_positive,
+       count(*) FILTER (WHERE label = 1 AND prediction = 0) AS false_negative, 0::bigint AS n_other
+FROM orders_ GROUP BY model""",
+)
+SQL["running_results"] = select(
+    _JUDGED,
+    """
+SELECT model, CASE prediction WHEN 1 THEN 'FAKE' ELSE 'REAL' END AS result, count(*) AS n,
+       round(count(*)::double / sum(count(*)) OVER (PARTITION BY model), 6) AS share
+FROM orders_ GROUP BY model, prediction""",
+)
+
 # ---- model fits: SQL cannot fit, but states what must hold ------------------------
 
 SQL["lr_fit_score"] = select(

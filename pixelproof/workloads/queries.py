@@ -18,6 +18,7 @@ from ..functions.labels import decode_label, fake_probability, file_name, is_cor
 from ..functions.vectors import to_vector
 from ..operators import confusion, decisions, distribution, ranking
 from ..operators.linear import LinearScorer
+from ..plans import extract
 from ..plans.extract import feature_rows, pending, quarantined
 from ..plans.score import refitted, score_features, score_new
 from ..plans.train import (
@@ -36,7 +37,8 @@ from ..plans.train import (
 from ..schemas import FEATURES, LOGISTIC_REGRESSION, NEW_PREDICTIONS_CSV, RANDOM_FOREST, TEST, TRAIN
 from ..session import run_folder
 from ..sources import files, tables
-from ..streaming.arrivals import extract_stream, score_stream, table_stream
+from ..streaming import running
+from ..streaming.arrivals import extract_stream, follow_files, score_stream, table_stream
 from . import relations as rel
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,6 +155,36 @@ def resume_pending(spark, sf_dir):
     return pending(listing, tables.read_if_present(spark, folder, FEATURES))
 
 
+@query
+def file_changes(spark, sf_dir):
+    page = F.col("page_id")
+    pages = rel.file_bytes(spark, sf_dir).select(
+        "page_id", F.concat(F.lit("page-"), page).alias("path"), F.octet_length("content").cast("long").alias("length")
+    )
+    time = F.timestamp_seconds(page * 60)
+    listing = pages.where(page % 11 != 0).withColumn("modificationTime", F.timestamp_seconds(page * 60 + (page % 3 == 0).cast("int")))
+    known = pages.where(page % 7 != 0).withColumn("modificationTime", time)
+    return extract.file_changes(listing, known, pages.where(page % 13 != 0)).select("path", "length", "status")
+
+
+def _sums_of_features(stored):
+    size = F.aggregate("features", F.lit(0.0), lambda a, x: a + x)
+    return stored.groupBy("split", "label_name").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("error").isNotNull()).alias("n_errors"),
+        F.sum(size).cast("long").alias("n_bytes"),
+    )
+
+
+@query
+def refreshed_features(spark, sf_dir):
+    root, out = rel.land_pages(spark, sf_dir), run_folder(spark, "refreshed-features")
+    extract.run_extraction(spark, root, out, byte_histogram(), glob="*.txt")
+    rel.replace_folder(spark, sf_dir, root, "overwrite")
+    rel.add_empty_files(spark, root)
+    return _sums_of_features(extract.run_extraction(spark, root, out, byte_histogram(), glob="*.txt"))
+
+
 # ---- projections and filters ---------------------------------------------------
 
 
@@ -642,3 +674,44 @@ def stream_extract(spark, sf_dir):
     stored = tables.read_table(spark, out, FEATURES)
     size = F.aggregate("features", F.lit(0.0), lambda a, x: a + x)
     return stored.select("split", "label_name", "label", size.cast("long").alias("length"))
+
+
+@query
+def stream_follow(spark, sf_dir):
+    root, out = rel.land_pages(spark, sf_dir), run_folder(spark, "followed-features")
+    follow_files(spark, root, out, byte_histogram(), f"{out}-checkpoint", glob="*.txt", overlap=3600)
+    rel.replace_folder(spark, sf_dir, root, "append")
+    rel.add_empty_files(spark, root)
+    follow_files(spark, root, out, byte_histogram(), f"{out}-checkpoint", glob="*.txt", overlap=3600)
+    return _sums_of_features(tables.read_table(spark, out, FEATURES))
+
+
+def _running(spark, sf_dir, run):
+    """Answers and labels land in two parts, cut at half of the time; ``run`` follows each of them."""
+    orders = rel.judged_orders(spark, sf_dir)
+    half = orders.agg(F.timestamp_seconds(F.floor(F.unix_seconds(F.max("answered_at")) / 2)).alias("t")).first()["t"]
+    places = [run_folder(spark, name) for name in ("answers", "labels", "running")]
+    parts = [
+        (orders.select("model", "path", "prediction", "answered_at"), "answered_at", places[0]),
+        (orders.where("label IS NOT NULL").select("path", "label", "labelled_at"), "labelled_at", places[1]),
+    ]
+    for first in (True, False):
+        for rows, time, place in parts:
+            now = F.col(time) <= half if first else F.col(time) > half
+            tables.write_table(rows.where(now), place, mode="append")
+        streams = [table_stream(spark, place, rows.schema) for rows, _, place in parts]
+        run(*streams, places[2], f"{places[2]}-checkpoint")
+    return places[2]
+
+
+@query
+def running_cells(spark, sf_dir):
+    return running.cells_so_far(spark, _running(spark, sf_dir, running.run_cells))
+
+
+@query
+def running_results(spark, sf_dir):
+    def run(answers, labels, out, checkpoint):
+        running.run_results(answers, out, checkpoint)
+
+    return rounded(running.results_so_far(spark, _running(spark, sf_dir, run)))

@@ -118,6 +118,20 @@ def vector_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate(scored_vectors(spark, sf_dir), TRAIN_SECONDS)
 
 
+def judged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as answers with a time, whose labels come up to 40 minutes later, or never."""
+    key = F.col("o_orderkey")
+    answered = F.timestamp_seconds(key * 10)
+    return table(spark, sf_dir, "orders").select(
+        F.lit("PriceRule").alias("model"),
+        key.cast("string").alias("path"),
+        (F.col("o_custkey") % 10 < 5).cast("double").alias("prediction"),
+        answered.alias("answered_at"),
+        F.when(key % 9 != 0, (F.col("o_totalprice") > 150000).cast("int")).alias("label"),
+        (answered + F.make_dt_interval(secs=(key % 5 * 600).cast("decimal(18,6)"))).alias("labelled_at"),
+    )
+
+
 # ---- files that Spark writes from the tables, one per row ----------------------
 
 
@@ -144,6 +158,15 @@ def add_empty_files(spark: SparkSession, folder: str) -> str:
     return folder
 
 
+def replace_folder(spark: SparkSession, sf_dir: str, folder: str, mode: str) -> None:
+    """The training pages of label FAKE, twice as long, in the place of those that were landed, or beside them."""
+    pages = file_bytes(spark, sf_dir).where((F.col("split") == "train") & (F.col("label_name") == "FAKE"))
+    text = F.col("content").cast("string")
+    changed = pages.select(F.concat(text, text).alias("value"))
+    spread = changed.repartition(spark.sparkContext.defaultParallelism)
+    spread.write.mode(mode).option("maxRecordsPerFile", 1).text(f"{folder}/split=train/label_name=FAKE")
+
+
 def land_endings(spark: SparkSession, sf_dir: str) -> str:
     """Each page as a file of hex digits: jPg for training rows, png for test rows, and all again as txt."""
     folder = run_folder(spark, "ending-files")
