@@ -11,8 +11,9 @@ from ..functions.features import Featurizer, with_features
 from ..functions.labels import decode_label
 from ..functions.vectors import to_vector
 from ..operators.linear import LinearScorer, answer
-from ..schemas import NEW_PREDICTIONS, NEW_PREDICTIONS_CSV
+from ..schemas import FAKE, NEW_PREDICTIONS, NEW_PREDICTIONS_CSV, REAL
 from ..session import run_folder
+from ..sources.counted import write_counted
 from ..sources.tables import read_table, write_csv, write_table
 from .train import scaler
 
@@ -84,9 +85,14 @@ def score_new(
 
 
 def run_scoring(raw: DataFrame, featurizer: Featurizer, model: Model, out: str, **options) -> DataFrame:
-    """Score, then store Parquet, CSV and quarantine tables from one scoring pass."""
+    """Score, then store Parquet, CSV and quarantine tables from one scoring pass, which also counts its rows."""
     spark = raw.sparkSession
-    write_table(score_new(raw, featurizer, model, **options), f"{out}/new_predictions")
+    counts = {
+        "n_fake": F.count_if(F.col("result") == FAKE),
+        "n_real": F.count_if(F.col("result") == REAL),
+        "n_quarantined": F.count_if(F.col("error").isNotNull()),
+    }
+    write_counted(score_new(raw, featurizer, model, **options), f"{out}/new_predictions", counts)
     stored = read_table(spark, f"{out}/new_predictions")
     write_csv(stored.select(*NEW_PREDICTIONS_CSV.fieldNames()), f"{out}/new_predictions_csv")
     write_table(

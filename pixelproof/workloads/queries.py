@@ -16,7 +16,7 @@ from ..functions.featurizers import byte_histogram, pixel_histogram
 from ..functions.features import with_features
 from ..functions.labels import decode_label, fake_probability, file_name, is_correct, percent_text
 from ..functions.vectors import to_vector
-from ..operators import confusion, decisions, distribution, ranking
+from ..operators import confusion, decisions, distribution, ranking, totals
 from ..operators.linear import LinearScorer
 from ..plans import extract
 from ..plans.extract import feature_rows, pending, quarantined
@@ -36,7 +36,7 @@ from ..plans.train import (
 )
 from ..schemas import FEATURES, LOGISTIC_REGRESSION, NEW_PREDICTIONS_CSV, RANDOM_FOREST, TEST, TRAIN
 from ..session import run_folder
-from ..sources import files, tables
+from ..sources import counted, files, tables
 from ..streaming import running
 from ..streaming.arrivals import extract_stream, follow_files, score_stream, table_stream
 from . import relations as rel
@@ -342,6 +342,37 @@ def byte_inventory(spark, sf_dir):
     return files.file_inventory(pages)
 
 
+def _document_totals(spark, sf_dir):
+    documents = rel.classified_documents(spark, sf_dir)
+    lengths = rel.table(spark, sf_dir, "documents").select("doc_id", F.octet_length("text").cast("long").alias("length"))
+    return totals.all_totals(documents.join(lengths, "doc_id"))
+
+
+@query
+def totals_in_one_pass(spark, sf_dir):
+    return _document_totals(spark, sf_dir)
+
+
+@query
+def totals_class_distribution(spark, sf_dir):
+    return rounded(totals.class_distribution(_document_totals(spark, sf_dir)))
+
+
+@query
+def totals_error_by_class(spark, sf_dir):
+    return rounded(totals.error_by_class(_document_totals(spark, sf_dir)))
+
+
+@query
+def observed_counts(spark, sf_dir):
+    folder = run_folder(spark, "counted-predictions")
+    scored = score_new(rel.broken_bytes(spark, sf_dir), byte_histogram(), LinearScorer(rel.BYTE_WEIGHTS))
+    wanted = {"n_quarantined": F.count_if(F.col("error").isNotNull()), "n_fake": F.count_if(F.col("result") == "FAKE")}
+    for mode in ("overwrite", "append"):
+        counted.write_counted(scored, folder, wanted, mode)
+    return counted.counted(spark, folder).join(counted.counts_agree(spark, folder).select("n_stored", "agree"))
+
+
 # ---- order, limits, set operations ---------------------------------------------
 
 
