@@ -220,3 +220,10 @@ def read_content(path: str, most: int | None = None) -> bytes:
         return file.read()
 
 
+def read_range(path: str, start: int, size: int) -> bytes:
+    """At most ``size`` bytes of a listed file from ``start`` on; a file that ends before ``start`` is an error."""
+    system, inside, _ = opened(path)
+    with system.open_input_file(inside) as file:
+        if start >= file.size():
+            raise ValueError(f"the file has become shorter than {start} bytes")
+        return file.read_at(size, start)

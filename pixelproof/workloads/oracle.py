@@ -258,6 +258,15 @@ SELECT path, CASE WHEN page_id % 11 <> 0 THEN length END AS length,
             ELSE 'unchanged' END AS status
 FROM pages_ WHERE page_id % 11 <> 0 OR page_id % 13 <> 0""",
 )
+SQL["histogram_by_ranges"] = select(
+    BYTES,
+    """
+SELECT s.split, l.label_name, count(html) + 1 AS n_files, 1::bigint AS n_errors,
+       sum(length(html) - length(replace(html, 'e', '')))::bigint AS n_e,
+       sum(length(html) - length(replace(html, '<', '')))::bigint AS n_tags
+FROM (VALUES ('train'), ('test')) AS s(split), (VALUES ('REAL'), ('FAKE')) AS l(label_name)
+LEFT JOIN files ON files.split = s.split AND files.label_name = l.label_name GROUP BY s.split, l.label_name""",
+)
 # each folder has an empty file more; the training files of label FAKE are replaced by longer ones,
 # or in stream_follow joined by them
 _LANDED = (

@@ -18,7 +18,7 @@ from ..functions.labels import decode_label, fake_probability, file_name, is_cor
 from ..functions.vectors import to_vector
 from ..operators import confusion, decisions, distribution, ranking, totals
 from ..operators.linear import LinearScorer
-from ..plans import extract
+from ..plans import extract, ranges
 from ..plans.extract import feature_rows, pending, quarantined
 from ..plans.score import refitted, score_features, score_new
 from ..plans.train import (
@@ -176,6 +176,19 @@ def _sums_of_features(stored):
     )
 
 
+@query
+def histogram_by_ranges(spark, sf_dir):
+    root = rel.add_empty_files(spark, rel.land_pages(spark, sf_dir))
+    found = ranges.histograms_by_range(files.all_files(spark, root, glob="*.txt"), size=1000)
+    placed = files.with_split_and_label(found)
+    return placed.groupBy("split", "label_name").agg(
+        F.count(F.lit(1)).alias("n_files"),
+        F.count_if(F.col("error").isNotNull()).alias("n_errors"),
+        F.sum(F.expr("features[ascii('e')]")).cast("long").alias("n_e"),
+        F.sum(F.expr("features[ascii('<')]")).cast("long").alias("n_tags"),
+    )
+
+
 @query
 def refreshed_features(spark, sf_dir):
     root, out = rel.land_pages(spark, sf_dir), run_folder(spark, "refreshed-features")

@@ -8,7 +8,8 @@ from fixtures import png_tree
 from pyspark.sql import functions as F
 
 from pixelproof.functions.featurizers import byte_histogram
-from pixelproof.plans import extract
+from pixelproof.functions.features import with_features
+from pixelproof.plans import extract, ranges
 from pixelproof.plans.extract import file_changes, quarantined, run_extraction
 from pixelproof.schemas import FEATURES
 from pixelproof.sources import files, listing
@@ -150,3 +151,24 @@ def test_changes_need_no_contents_and_no_collect(spark):
     found = {r["path"]: r["status"] for r in file_changes(list_, known, stored).collect()}
     assert found == {"same": "unchanged", "new": "new", "longer": "changed", "unlogged": "changed", "gone": "deleted", "lost row": "new"}
     assert file_changes(list_.limit(0), known.limit(0), stored.limit(0)).count() == 0
+
+
+# ---- byte ranges -------------------------------------------------------------------
+def test_ranges_of_a_large_file_equal_the_whole(spark, tmp_path):
+    sizes = {"none": 0, "one": 1, "edge": 1 << 20, "large": (5 << 20) + 17}
+    for name, size in sizes.items():
+        (tmp_path / f"{name}.jpg").write_bytes(bytes((i * i + i // 7) % 256 for i in range(min(size, 4099))) * (size // 4099 + 1) if size > 4099 else b"q" * size)
+    found = listing.list_files(spark, str(tmp_path), "*.jpg")
+    assert ranges.byte_ranges(found).groupBy("path").count().agg(F.max("count")).first()[0] == 6
+    by_range = {r["path"]: (r["features"], r["error"]) for r in ranges.histograms_by_range(found).collect()}
+    scan = with_features(files.scan_files(spark, str(tmp_path)).select("path", "content"), byte_histogram())
+    whole = {r["path"]: (r["features"], r["error"]) for r in scan.collect()}
+    empty = {p: x for p, x in by_range.items() if p.endswith("none.jpg")}
+    assert len(by_range) == 4 and by_range == whole | empty and next(iter(empty.values())) == (None, "ValueError: no content")
+
+
+def test_file_that_changes_while_ranges_are_read_is_an_error(spark, tmp_path):
+    (tmp_path / "a.jpg").write_bytes(b"x" * 50)
+    found = listing.list_files(spark, str(tmp_path)).withColumn("length", F.lit(95).cast("long"))
+    row = ranges.histograms_by_range(found, 10).first()
+    assert row["features"] is None and "shorter" in row["error"]
