@@ -1,14 +1,21 @@
 """SentencePiece ids with seeded merge-dropout, and the text back from them.
 
-Merges are taken from an agenda, best score first. A keyed hash of the merge's place decides whether it is
-skipped, so that a text is cut in varied ways that depend on nothing but the seed. Characters without a
-piece become bytes; white space is kept as it is, so every segmentation decodes to the text.
+Merges are taken from an agenda, best score first. A hash keyed with the seed, the document, the unit's position in
+it and the merge's place decides whether the merge is skipped, so every occurrence of a word is cut in a way of its
+own, and all ways depend on nothing but these keys. Characters without a piece become bytes; white space is kept as
+it is, so every segmentation decodes to the text.
+
+The agenda of a unit (a word with the space before it) is run once for each set of merges skipped in it: these
+outcomes form a tree, from the one without skips to those with one skip more. An occurrence starts at the first and
+goes down by its own hashes, which are made for all occurrences of a batch together, until no merge left is skipped.
+What only one occurrence of a batch needs is not made an outcome: its agenda is run with its hashes at once.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -18,7 +25,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh32_intdigest
 
 from .work import ready
 
@@ -27,16 +33,21 @@ NEVER = 1 << 60  # the place of what is no merge
 SHORT = 24  # characters of a unit that is worked out together with others of its length
 TOGETHER = 20_000
 UNKNOWN = 1 << 24
-REMEMBERED = 500_000  # units whose ids a worker keeps, twice so many at most; more are worked out again
+REMEMBERED = 200_000  # outcomes that a task keeps before it starts anew; some 300 bytes each
+CHARACTERS = 2_000_000  # of texts that are handled together
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``streams``: so many different draws there are for one unit; a document's units take them in turn."""
-
     dropout: float = 0.1
     seed: int = 5
-    streams: int = 4
+
+
+def scrambled(x: np.ndarray) -> np.ndarray:
+    """Other 32 bits, each of which depends on all of ``x`` (unsigned 32 bits)."""
+    x = (x ^ (x >> np.uint32(16))) * np.uint32(0x7FEB352D)
+    x = (x ^ (x >> np.uint32(15))) * np.uint32(0x846CA68B)
+    return x ^ (x >> np.uint32(16))
 
 
 class Pieces:
@@ -74,12 +85,9 @@ class Pieces:
         cut = re.escape("".join(sorted(marks)))
         run = f"(?:[{cut}]+|[^{cut}{SPACE}\n]+)" if marks else f"(?:[^{SPACE}\n]+)"
         self.unit = re.compile(f"{SPACE}+{run}?|{run}|\n")
-        self.settings = Settings()
-        self.forget(self.settings)
         self.codes = UNKNOWN + np.arange(0x110000, dtype=np.int64)  # by character
         for char in (p for p in self.ids if len(p) == 1):
             self.codes[ord(char)] = self.ids[char]
-        self.same = list(range(sp.get_piece_size()))  # one object for each id, however often it is remembered
         # what two neighbours merge into, for every way to cut a piece in two symbols
         merges = {
             (self.code(p[:i]) << 32 | self.code(p[i:])): (place, self.ids[p])
@@ -96,39 +104,6 @@ class Pieces:
         one = self.ids.get(symbol)
         return UNKNOWN + ord(symbol) if one is None else one
 
-    def forget(self, settings: Settings) -> None:
-        """Start with nothing remembered, for these settings: for each draw the units of late, and those before."""
-        self.settings = settings
-        self.late: list[dict[str, tuple[int, ...]]] = [{} for _ in range(settings.streams)]
-        self.before: list[dict[str, tuple[int, ...]]] = [{} for _ in range(settings.streams)]
-
-    def learn(self, draw: int, wanted: set[str]) -> None:
-        """Have the ids of all units at hand, remembered or worked out together."""
-        late, before = self.late[draw], self.before[draw]
-        units = wanted.difference(late)
-        if (len(late) + len(units)) * self.settings.streams > REMEMBERED:
-            before = self.before[draw] = late
-            late = self.late[draw] = {}
-            units = wanted
-        unseen: dict[int, list[str]] = {}
-        for unit in units:
-            ids = before.get(unit)
-            if ids is None:
-                unseen.setdefault(len(unit), []).append(unit)
-            else:
-                late[unit] = ids
-        limit = int(self.settings.dropout * 2**32)
-        seed = self.settings.seed * self.settings.streams + draw
-        for size, some in unseen.items():
-            salts = [xxh32_intdigest(unit, seed) for unit in some]
-            if size > SHORT:
-                for unit, salt in zip(some, salts, strict=True):
-                    late[unit] = tuple(x for symbol in self.many(unit, salt, limit) for x in self.of(symbol))
-            else:
-                for start in range(0, len(some), TOGETHER):
-                    part = slice(start, start + TOGETHER)
-                    late.update(zip(some[part], self.few(some[part], salts[part], limit), strict=True))
-
     def found(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Where pairs of symbols stand among the merges; the last place if they do not merge."""
         key = left << 32 | right
@@ -136,54 +111,57 @@ class Pieces:
         at[at == len(self.pairs)] = 0
         return np.where(self.pairs[at] == key, at, len(self.pairs))
 
-    def few(self, units: list[str], salts: list[int], limit: int) -> list[tuple[int, ...]]:
-        """Ids of units of one length, short ones: row by row an agenda with an entry between neighbours."""
+    def few(self, units: list[str], skipped) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Segmentations of units of one length, short ones: row by row an agenda with an entry between neighbours.
+
+        ``skipped`` tells from rows and merges, named as ``place_of`` does, which are skipped. Returns all ids, their
+        number in each row, the merges made, in their order, and their number in each row.
+        """
         n = len(units[0])
         chars = self.codes[np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)].reshape(-1, n)
-        salt = np.array(salts, np.int64)
         # one column more than there are symbols, so that a row can always be moved up by one
         symbols = np.concatenate([chars, np.full((len(units), 1), -1)], 1)
         starts = np.tile(np.append(np.arange(n + 1), n), (len(units), 1))
         agenda = np.full((len(units), n + 1), len(self.pairs), np.int64)  # places of merges in self.pairs
         agenda[:, : n - 1] = self.found(chars[:, :-1], chars[:, 1:])
-        active, columns = np.arange(len(units)), np.arange(n + 1)
+        active, columns, wide = np.arange(len(units)), np.arange(n + 1), np.arange(n + 2)
+        made: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64),) * 2]
         while len(active):
             order = self.places[agenda[active]]
             at = order.argmin(1)
             go = order[np.arange(len(active)), at] != NEVER
             active, at = active[go], at[go]
-            skip = self.skipped(starts[active, at], starts[active, at + 2], salt[active], limit)
+            place = place_of(starts[active, at], starts[active, at + 2])
+            skip = skipped(active, place)
             agenda[active[skip], at[skip]] = len(self.pairs)
             rows, at = active[~skip], at[~skip]
             if not len(rows):
                 continue
+            made.append((rows, place[~skip]))
             symbols[rows, at] = self.becomes[agenda[rows, at]]
             move = np.minimum(columns + (columns > at[:, None]), n)
             symbols[rows] = np.take_along_axis(symbols[rows], move, 1)
             agenda[rows] = np.take_along_axis(agenda[rows], np.minimum(columns + (columns >= at[:, None]), n), 1)
-            wide = np.arange(n + 2)
             starts[rows] = np.take_along_axis(starts[rows], np.minimum(wide + (wide > at[:, None]), n + 1), 1)
             agenda[rows, at] = self.found(symbols[rows, at], symbols[rows, at + 1])
             inner = at > 0
             rows, at = rows[inner], at[inner]
             agenda[rows, at - 1] = self.found(symbols[rows, at - 1], symbols[rows, at])
         there = symbols >= 0
-        flat, ends = symbols[there], np.cumsum(there.sum(1)).tolist()
-        known = flat < UNKNOWN
-        ids = list(map(self.same.__getitem__, np.where(known, flat, 0).tolist()))
-        out = [tuple(ids[i:j]) for i, j in zip([0, *ends], ends, strict=False)]
-        for row in np.flatnonzero((symbols >= UNKNOWN).any(1)).tolist():
-            codes = symbols[row][there[row]].tolist()
-            out[row] = tuple(y for x in codes for y in ((x,) if x < UNKNOWN else self.of(chr(x - UNKNOWN))))
-        return out
-
-    @staticmethod
-    def skipped(left, stop, salt, limit: int):
-        """Whether the merge into the characters from ``left`` to ``stop`` is skipped when its turn comes."""
-        return ((salt ^ left * 40503 ^ stop * 30011) * 0x2C1B3C6D & 0xFFFFFFFF) < limit
-
-    def many(self, unit: str, salt: int, limit: int) -> list[str]:
-        """The symbols of a long unit: the agenda is a heap, its entries are checked when they come up."""
+        ids, counts = symbols[there], there.sum(1)
+        if (ids >= UNKNOWN).any():
+            split = np.split(ids, np.cumsum(counts)[:-1])
+            rows_ids = [[y for x in row.tolist() for y in ((x,) if x < UNKNOWN else self.of(chr(x - UNKNOWN)))] for row in split]
+            ids, counts = np.fromiter(chain.from_iterable(rows_ids), np.int64), np.array(list(map(len, rows_ids)))
+        of_row, places = (np.concatenate(x) for x in zip(*made, strict=True))
+        in_order = np.argsort(of_row, kind="stable")
+        return ids, counts, places[in_order], np.bincount(of_row, minlength=len(units))
+
+    def many(self, unit: str, skipped) -> list[str]:
+        """The symbols of a unit of any length: the agenda is a heap, its entries are checked when they come up.
+
+        ``skipped`` tells from a merge's first character and the one behind its last whether it is skipped.
+        """
         n = len(unit)
         end, before, after = list(range(1, n + 1)), list(range(-1, n - 1)), [*range(1, n), -1]
         agenda: list[tuple[int, int, int, int]] = []
@@ -199,7 +177,7 @@ class Pieces:
             _, left, middle, stop = heapq.heappop(agenda)
             if end[left] != middle or end[middle] != stop:  # parts of others meanwhile
                 continue
-            if limit and self.skipped(left, stop, salt, limit):
+            if skipped(left, stop):
                 continue
             end[left], end[middle] = stop, -1
             right = after[left] = after[middle]
@@ -225,36 +203,180 @@ class Pieces:
         return [self.unit.findall(part) for part in (SPACE + spaced[0], *spaced[1:])]
 
     def encode(self, texts: list[str | None], keys: list[int], settings: Settings) -> list[np.ndarray | None]:
-        """Ids of texts; null has none, an empty one no ids. A space stands before each, as the model expects."""
-        if settings != self.settings:
-            self.forget(settings)
-        streams = settings.streams
-        cut = [self.units(text) if text else [] for text in texts]
-        for draw in range(streams):
-            wanted: set[str] = set()
-            for parts, key in zip(cut, keys, strict=True):
-                for units in parts:
-                    wanted.update(units[(draw - key) % streams :: streams])
-            self.learn(draw, wanted)  # also what is remembered already, so that nothing is dropped before its use
-        space = tuple(self.bytes[b] for b in SPACE.encode())
-        out: list[np.ndarray | None] = []
-        for text, parts, key in zip(texts, cut, keys, strict=True):
-            made: list[tuple[int, ...]] = []
-            for number, units in enumerate(parts):
-                ids: list[tuple[int, ...]] = [()] * len(units)
-                for draw in range(streams):
-                    own = slice((draw - key) % streams, None, streams)
-                    ids[own] = map(self.late[draw].__getitem__, units[own])
-                made += [space, *ids] if number else ids
-            out.append(None if text is None else np.fromiter(chain.from_iterable(made), np.int32))
-        return out
+        return Drawing(self, settings).encode(texts, keys)
 
     def decode(self, ids: np.ndarray | list[int]) -> str:
         """The text; ids of no piece of text add nothing."""
         return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
 
-@lru_cache(2)
+def place_of(left, stop):
+    """A merge of a short unit by its first character and the one behind its last."""
+    return left * (SHORT + 1) + stop
+
+
+class Flat:
+    """Arrays of different lengths, one behind the other."""
+
+    def __init__(self, dtype: type):
+        self.values, self.starts = np.empty(1 << 12, dtype), np.zeros(1 << 10, np.int64)
+        self.n = 0
+
+    def add(self, values: np.ndarray, counts: np.ndarray) -> None:
+        end = int(self.starts[self.n])
+        self.values = self._room(self.values, end + len(values))
+        self.starts = self._room(self.starts, self.n + len(counts) + 1)
+        self.values[end : end + len(values)] = values
+        self.starts[self.n + 1 : self.n + 1 + len(counts)] = end + np.cumsum(counts)
+        self.n += len(counts)
+
+    @staticmethod
+    def _room(array: np.ndarray, size: int) -> np.ndarray:
+        return array if size <= len(array) else np.concatenate([array, np.empty(max(size, len(array)), array.dtype)])
+
+    def counts(self, at: np.ndarray) -> np.ndarray:
+        return self.starts[at + 1] - self.starts[at]
+
+    def take(self, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The arrays of some numbers, one behind the other."""
+        ends = np.cumsum(counts)
+        return self.values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[at] - ends + counts, counts)]
+
+
+class Drawing:
+    """Segmentations of occurrences, and the outcomes remembered for them; it lives as long as its task."""
+
+    def __init__(self, model: Pieces, settings: Settings):
+        self.model, self.settings = model, settings
+        self.limit = int(settings.dropout * 2**32)
+        self.forget()
+
+    def forget(self) -> None:
+        """Start anew with one outcome, that of a literal character for spaces, which goes by its bytes."""
+        self.first: dict[str, int] = {"": 0}
+        self.next: dict[int, int] = {}  # outcome and merge skipped in it -> outcome
+        self.unit: list[tuple[str, tuple[int, ...]]] = [("", ())]
+        self.ids, self.merges = Flat(np.int32), Flat(np.int64)
+        space = np.array([self.model.bytes[b] for b in SPACE.encode()])
+        self.ids.add(space, np.array([len(space)]))
+        self.merges.add(np.empty(0, np.int64), np.zeros(1, np.int64))
+
+    def add(self, units: list[str], skipped_of, barred: list[tuple[int, ...]]) -> np.ndarray:
+        """Work out units that are not long, those of one length together; the numbers of their outcomes."""
+        numbers = np.empty(len(units), np.int64)
+        by_length: dict[int, list[int]] = {}
+        for i, unit in enumerate(units):
+            by_length.setdefault(len(unit), []).append(i)
+        for some in by_length.values():
+            for start in range(0, len(some), TOGETHER):
+                part = some[start : start + TOGETHER]
+                ids, counts, merges, n_merges = self.model.few([units[i] for i in part], skipped_of(part))
+                numbers[part] = np.arange(len(self.unit), len(self.unit) + len(part))
+                self.unit += [(units[i], barred[i]) for i in part]
+                self.ids.add(ids, counts)
+                self.merges.add(merges, n_merges)
+        return numbers
+
+    def learn(self, wanted: list[tuple[str, tuple[int, ...]]]) -> list[int]:
+        """Outcomes to remember: of a unit with some merges skipped."""
+        barred = [places for _, places in wanted]
+
+        def skipped_of(part: list[int]):
+            table = np.full((len(part), max(1, *(len(barred[i]) for i in part))), -1)
+            for row, i in enumerate(part):
+                table[row, : len(barred[i])] = barred[i]
+            return lambda rows, places: (table[rows] == places[:, None]).any(1)
+
+        return self.add([unit for unit, _ in wanted], skipped_of, barred).tolist()
+
+    def skipped(self, salts: np.ndarray, places: np.ndarray) -> np.ndarray:
+        return scrambled(salts ^ scrambled(places.astype(np.uint32))) < self.limit
+
+    def once(self, units: list[str], salts: np.ndarray) -> np.ndarray:
+        """Outcomes of single occurrences, by their own hashes; the caller forgets them."""
+        numbers = np.empty(len(units), np.int64)
+        short = [i for i, u in enumerate(units) if len(u) <= SHORT]
+        own = salts[short]
+        numbers[short] = self.add(
+            [units[i] for i in short],
+            lambda part: lambda rows, places, salt=own[part]: self.skipped(salt[rows], places),
+            [()] * len(short),
+        )
+        for i in (i for i, u in enumerate(units) if len(u) > SHORT):
+            salt = salts[i : i + 1]
+            symbols = self.model.many(
+                units[i], lambda left, stop, salt=salt: bool(self.skipped(salt, np.array([place_of(left, stop) & 0xFFFFFFFF]))[0])
+            )
+            ids = np.array([x for symbol in symbols for x in self.model.of(symbol)])
+            numbers[i] = len(self.unit)
+            self.unit.append(("", ()))
+            self.ids.add(ids, np.array([len(ids)]))
+            self.merges.add(np.empty(0, np.int64), np.zeros(1, np.int64))
+        return numbers
+
+    def outcomes(self, units: list[str], salts: np.ndarray) -> tuple[np.ndarray, int]:
+        """The outcome of each occurrence, and how many outcomes are to be kept; "" is a literal character for spaces."""
+        at = np.array([self.first.get(u, -1) for u in units], np.int64)
+        unseen = np.flatnonzero(at < 0)
+        often = [u for u, n in Counter(units[i] for i in unseen.tolist()).items() if n > 1 and len(u) <= SHORT]
+        self.first.update(zip(often, self.learn([(u, ()) for u in often]), strict=True))
+        at[unseen] = [self.first.get(units[i], -1) for i in unseen.tolist()]
+        single = [np.flatnonzero(at < 0)]
+        open_ = np.flatnonzero(at >= 0) if self.limit else np.empty(0, np.int64)
+        size = (SHORT + 1) ** 2
+        while len(open_):
+            counts = self.merges.counts(at[open_])
+            places = self.merges.take(at[open_], counts)
+            hit = np.flatnonzero(self.skipped(np.repeat(salts[open_], counts), places))
+            owner, earliest = np.unique(np.repeat(np.arange(len(open_)), counts)[hit], return_index=True)
+            open_ = open_[owner]  # at the first of the merges that is skipped
+            kinds, which, times = np.unique(at[open_] * size + places[hit[earliest]], return_inverse=True, return_counts=True)
+            known = np.array([self.next.get(k, -1) for k in kinds.tolist()], np.int64)
+            new = np.flatnonzero((known < 0) & (times > 1))
+            wanted = [(self.unit[k // size][0], (*self.unit[k // size][1], k % size)) for k in kinds[new].tolist()]
+            known[new] = self.learn(wanted)
+            self.next.update(zip(kinds[new].tolist(), known[new].tolist(), strict=True))
+            at[open_] = known[which]
+            single.append(open_[at[open_] < 0])
+            open_ = open_[at[open_] >= 0]
+        kept, alone = len(self.unit), np.concatenate(single)
+        at[alone] = self.once([units[i] for i in alone.tolist()], salts[alone])
+        return at, kept
+
+    def encode(self, texts: list[str | None], keys: list[int]) -> list[np.ndarray | None]:
+        """Ids of texts; null has none, an empty one no ids. A space stands before each, as the model expects."""
+        out: list[np.ndarray | None] = []
+        start, held = 0, 0
+        for i, text in enumerate(texts):
+            held += len(text or "")
+            if held >= CHARACTERS or i + 1 == len(texts):
+                out += self._encode(texts[start : i + 1], keys[start : i + 1])
+                start, held = i + 1, 0
+        return out
+
+    def _encode(self, texts: list[str | None], keys: list[int]) -> list[np.ndarray | None]:
+        if len(self.unit) > REMEMBERED:
+            self.forget()
+        units: list[str] = []
+        sizes = np.zeros(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            before = len(units)
+            for number, part in enumerate(self.model.units(text) if text else []):
+                units += ["", *part] if number else part
+            sizes[i] = len(units) - before
+        place = np.arange(len(units)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        of_text = scrambled(np.array(keys, np.int64).astype(np.uint32) ^ np.uint32(self.settings.seed * 0x9E3779B1 & 0xFFFFFFFF))
+        salts = scrambled(np.repeat(of_text, sizes) + place.astype(np.uint32) * np.uint32(0x9E3779B1))
+        at, kept = self.outcomes(units, salts)
+        counts = self.ids.counts(at)
+        ids = self.ids.take(at, counts)
+        self.ids.n = self.merges.n = kept
+        del self.unit[kept:]
+        ends = np.cumsum(np.append(0, counts))[np.append(0, np.cumsum(sizes))].tolist()
+        return [None if t is None else ids[ends[i] : ends[i + 1]] for i, t in enumerate(texts)]
+
+
+@lru_cache(1)
 def pieces(model: bytes) -> Pieces:
     return Pieces(model)
 
@@ -273,8 +395,9 @@ def with_ids(documents: DataFrame, model_path: str, key: str = "doc_id", text: s
     @F.pandas_udf("struct<ids:array<int>,exact:boolean>")
     def encode(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         model = pieces(sent.value)
+        drawing = Drawing(model, settings)  # what it remembers goes with the task
         for texts, keys in batches:
-            made = model.encode(texts.tolist(), keys.tolist(), settings)
+            made = drawing.encode(texts.tolist(), keys.tolist())
             same = [None if i is None else model.decode(i.tolist()) == t for i, t in zip(made, texts, strict=True)]
             yield pd.DataFrame({"ids": pd.Series(made, dtype=object), "exact": pd.Series(same, dtype=object)})
 

@@ -1,6 +1,7 @@
 """Toxicity, quality, web pages, token ids and personal data on small tables."""
 
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -188,23 +189,58 @@ def test_dropout_is_lossless_seeded_and_varied(model, dropout):
 
 
 def test_both_agendas_agree(model):
+    """Units together and one by one, and the tree of outcomes against the agenda of each occurrence."""
     own = pieces.Pieces(model)
-    units = {("▁" + prose(i, 4).replace(" ", ""))[: 2 + i % 23] for i in range(400)} | {"日本語", "x😀y", "▁▁▁", "a"}
-    for limit in (0, 1 << 30):
-        for unit in units:
-            salt = len(unit) * 7919
-            slow = [x for symbol in own.many(unit, salt, limit) for x in own.of(symbol)]
-            assert list(own.few([unit, unit], [salt, 1], limit)[0]) == slow
+    units = sorted({("▁" + prose(i, 4).replace(" ", ""))[: 2 + i % 23] for i in range(400)} | {"日本語", "x😀y", "▁▁▁", "a"})
+    salts = np.array([len(u) * 7919 for u in units], np.uint32)
+    for dropout in (0.0, 0.25, 0.9):
+        drawing = pieces.Drawing(own, pieces.Settings(dropout=dropout))
+        slow = []
+        for unit, salt in zip(units, salts, strict=True):
+            skipped = lambda left, stop, salt=salt: bool(drawing.skipped(np.array([salt]), np.array([pieces.place_of(left, stop)]))[0])
+            slow.append([x for symbol in own.many(unit, skipped) for x in own.of(symbol)])
+        for times in (1, 3):  # single occurrences are run at once, others go down the tree
+            at, _ = drawing.outcomes(units * times, np.tile(salts, times))
+            ids = np.split(drawing.ids.take(at, drawing.ids.counts(at)), np.cumsum(drawing.ids.counts(at))[:-1])
+            assert [x.tolist() for x in ids] == slow * times
+
+
+def test_every_occurrence_has_its_own_draw(model):
+    """A word of several merges, ten thousand times: as many cuts, and as often without a skip, as dropout says."""
+    own = pieces.Pieces(model)
+    word, n, dropout = "international", 10_000, 0.1
+    made = int(own.few(["▁" + word], lambda rows, places: np.zeros(len(rows), bool))[3][0])
+    drawing = pieces.Drawing(own, pieces.Settings(dropout=dropout))
+    out = drawing.encode([" ".join([word] * n)], [5])[0]
+    assert own.decode(out.tolist()) == " ".join([word] * n)
+    starts = [i for i, x in enumerate(out.tolist()) if own.raw[x].startswith(b" ")]
+    cuts = Counter(tuple(out[i:j].tolist()) for i, j in zip(starts, [*starts[1:], len(out)], strict=True))
+    assert sum(cuts.values()) == n and len(cuts) > 50
+    salts = np.random.default_rng(1).integers(0, 2**32, n, np.uint32)
+    at, _ = drawing.outcomes(["▁" + word] * n, salts)
+    unskipped = int((at == drawing.first["▁" + word]).sum())
+    assert abs(unskipped - n * (1 - dropout) ** made) < 5 * (n * 0.25) ** 0.5
 
 
 def test_what_is_remembered_does_not_matter(model, monkeypatch):
     texts = [prose(i, 80) for i in range(60)]
     settings, keys = pieces.Settings(), list(range(60))
-    whole = [list(x) for x in pieces.Pieces(model).encode(texts, keys, settings)]
-    monkeypatch.setattr(pieces, "REMEMBERED", 50)
     own = pieces.Pieces(model)
-    parts = [list(own.encode(texts[i : i + 3], keys[i : i + 3], settings)[j]) for i in range(0, 60, 3) for j in range(3)]
+    whole = [list(x) for x in own.encode(texts, keys, settings)]
+    monkeypatch.setattr(pieces, "REMEMBERED", 50)
+    drawing = pieces.Drawing(own, settings)
+    parts = [list(drawing.encode(texts[i : i + 3], keys[i : i + 3])[j]) for i in range(0, 60, 3) for j in range(3)]
     assert parts == whole
+    monkeypatch.setattr(pieces, "CHARACTERS", 100)
+    assert [list(x) for x in own.encode(texts, keys, settings)] == whole
+
+
+def test_a_task_starts_with_nothing_remembered(model):
+    own = pieces.Pieces(model)
+    used = pieces.Drawing(own, pieces.Settings())
+    used.encode([prose(1, 500)] * 3, [1, 2, 3])
+    assert len(used.unit) > 1 and len(pieces.Drawing(own, pieces.Settings()).unit) == 1
+    assert not any(isinstance(v, dict) and len(v) > 40_000 for v in vars(own).values())
 
 
 def test_ids_in_spark(awkward, empty):
