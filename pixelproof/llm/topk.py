@@ -4,24 +4,26 @@ Candidates lie in vertical layout. Products are added up one block of dimensions
 each, a pair's sum plus the largest product that the norms of the remaining dimensions allow bounds its
 final score. Pairs whose bound is below the k-th best score that is already certain for their query are
 dropped, and the surviving ones are compacted.
+
+Sums are made of doubles where they are exact, else of 64-bit integers where no sum can leave them, and pairs of
+vectors with larger components are multiplied as whole numbers of any size. A score that does not fit 64 bits
+raises an error.
 """
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks
 from .work import store
 
-LARGEST = 2**28  # products of components up to this add up within 64 bits
-
-
 @dataclass(frozen=True)
 class Settings:
     k: int = 20
@@ -31,10 +33,18 @@ class Settings:
 
 
 def scaled(vectors: DataFrame, id_column: str, vector: str, factor: float) -> DataFrame:
-    """Usable vectors of floor(factor * x). Components beyond 2^28 in size do not count as usable."""
+    """Usable vectors of floor(factor * x), as doubles, which from 2^53 on are whole numbers anyway.
+
+    A component that is no longer finite after scaling raises an error.
+    """
     rows = blocks.usable(vectors, id_column, vector)
-    rows = rows.where(F.forall("v", lambda x: F.abs(x * factor) <= LARGEST))
-    return rows.withColumn("v", F.transform("v", lambda x: F.floor(x * factor).cast("double")))
+
+    def floored(x: Column) -> Column:
+        y = x * factor
+        beyond = F.raise_error(F.lit("a component is not finite after scaling")).cast("double")
+        return F.when(F.abs(y) < 2.0**53, F.floor(y).cast("double")).when(F.abs(y) < float("inf"), y).otherwise(beyond)
+
+    return rows.withColumn("v", F.transform("v", floored))
 
 
 class Best:
@@ -42,9 +52,16 @@ class Best:
 
     def __init__(self, queries: int, k: int):
         self.k = k
-        self.score = np.full((queries, k), -(2**62))
+        self.score = np.full((queries, k), np.iinfo(np.int64).min)
         self.id = np.full((queries, k), np.iinfo(np.int64).max)
 
+    @staticmethod
+    def part(best: Best, at: np.ndarray) -> Best:
+        """Those of some queries, to be put back after."""
+        out = Best(0, best.k)
+        out.score, out.id = best.score[at], best.id[at]
+        return out
+
     def certain(self) -> np.ndarray:
         return self.score[:, -1]
 
@@ -54,13 +71,13 @@ class Best:
         query, score, ids = query[enter], score[enter], ids[enter]
         if not len(query):
             return
-        order = np.lexsort((ids, -score, query))
+        order = np.lexsort((ids, ~score, query))  # ~ turns the order round and cannot overflow
         query, score, ids = query[order], score[order], ids[order]
         starts = np.flatnonzero(np.diff(query, prepend=-1))
         for start, end in zip(starts, np.append(starts[1:], len(query)), strict=True):
             q, end = query[start], min(end, start + self.k)
             s, i = np.append(self.score[q], score[start:end]), np.append(self.id[q], ids[start:end])
-            top = np.lexsort((i, -s))[: self.k]
+            top = np.lexsort((i, ~s))[: self.k]
             self.score[q], self.id[q] = s[top], i[top]
 
     def rows(self, query_ids: np.ndarray) -> pd.DataFrame:
@@ -70,6 +87,35 @@ class Best:
 
 def search(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray, best: Best, steps: tuple[int, ...]) -> None:
     """Products of every query and candidate that can still be among a query's best. q and c: dimension by row."""
+    # vectors beyond this may have sums of 2^62 and more
+    most = (2.0**62 / max(1, len(q))) ** 0.5
+    large_q, large_c = (np.abs(m).max(0, initial=0) > most for m in (q, c))
+    if large_q.any() or large_c.any():
+        of_any_size(q, q_ids, c, c_ids, best, large_q, large_c)
+    small = np.flatnonzero(~large_q)
+    if len(small) < len(q_ids):
+        part = Best.part(best, small)
+        bounded(q[:, small], q_ids[small], c[:, ~large_c], c_ids[~large_c], part, steps)
+        best.score[small], best.id[small] = part.score, part.id
+    else:
+        bounded(q, q_ids, c[:, ~large_c] if large_c.any() else c, c_ids[~large_c], best, steps)
+
+
+def of_any_size(q, q_ids, c, c_ids, best: Best, large_q: np.ndarray, large_c: np.ndarray) -> None:
+    """All pairs with a large vector on one side, or both, as whole numbers of Python's."""
+    whole = [[int(x) for x in column] for column in c.T]
+    for i, column in enumerate(q.T):
+        own = [int(x) for x in column]
+        with_ = np.arange(len(c_ids)) if large_q[i] else np.flatnonzero(large_c)
+        with_ = with_[c_ids[with_] != q_ids[i]]
+        scores = [sum(map(operator.mul, own, whole[j])) for j in with_.tolist()]
+        if any(not -(2**63) <= x < 2**63 for x in scores):
+            raise OverflowError(f"a score of vector {q_ids[i]} does not fit 64 bits")
+        best.add(np.full(len(with_), i), np.array(scores, np.int64), c_ids[with_])
+
+
+def bounded(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray, best: Best, steps: tuple[int, ...]) -> None:
+    """The same by branch and bound, for vectors whose sums fit 64 bits."""
     dim = len(q)
     ends = [min(dim, int(e)) for e in np.cumsum(steps)] + [dim]
     # doubles are exact up to 2^53

@@ -197,6 +197,7 @@ SCHEMA = "vec_id long, embedding array<double>"
 
 def test_top_k_is_exact(spark, vectors):
     rows, odd = vectors
+    odd = [r for r in odd if r[0] != 3120]  # whose scores do not fit 64 bits
     table = spark.createDataFrame(rows + odd, SCHEMA).repartition(5)
     scaled = topk.scaled(table, "vec_id", "embedding", 64.0)
     settings = topk.Settings(k=7, query_block=16, candidate_block=100, steps=(5, 6))
@@ -308,3 +309,27 @@ def test_mixing_awkward_tables(awkward, empty, documents):
     assert len([r for r in out if r["doc_id"] == 5]) in (0, 2)  # repeated rows stand together
     assert mixing.mixed(empty, levels()).count() == 0
     assert mixing.mixed(documents([(1, ""), (2, None)]), levels()).count() == 0
+
+
+def test_top_k_of_large_components(spark):
+    """Nothing is left out: sums beyond doubles, and beyond where partial sums fit 64 bits, against whole numbers."""
+    rows = [(0, [5e6, 1.0]), (20, [5e6, 1.0]), (1, [9e6, 1.0]), (2, [9e6, 1.0]), (3, [-3e7, 0.5]), (5, [0.25, 0.0]), (40, [2.0**24 + 1, 3.0])]
+    whole = {i: [int(x * 64 // 1) for x in v] for i, v in rows}
+    scaled = topk.scaled(spark.createDataFrame(rows, SCHEMA), "vec_id", "embedding", 64.0)
+    found = {tuple(r) for r in topk.top_k(scaled, scaled.where("id % 20 = 0")).select("query_id", "rank", "vec_id", "score").collect()}
+    want = set()
+    for q in (0, 20, 40):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], whole[i])), i) for i in whole if i != q)
+        want |= {(q, n, i, -s) for n, (s, i) in enumerate(scores, 1)}
+    assert found == want
+    near = topk.scaled(spark.createDataFrame([(0, [2.0**31, 2.0**30]), (1, [2.0**31, 2.0**30 - 1]), (2, [-(2.0**31), 1.0]), (3, [1.0, 2.0])], SCHEMA), "vec_id", "embedding", 1.0)
+    got = {r["vec_id"]: r["score"] for r in topk.top_k(near, near.where("id = 0")).collect()}
+    assert got == {1: 2**62 + 2**30 * (2**30 - 1), 2: -(2**62) + 2**30, 3: 2**31 + 2**31}
+
+
+def test_top_k_score_beyond_64_bits_is_an_error(spark):
+    scaled = topk.scaled(spark.createDataFrame([(0, [1e10, 1.0]), (1, [1e10, 1.0])], SCHEMA), "vec_id", "embedding", 1.0)
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        topk.top_k(scaled, scaled.where("id = 0")).collect()
+    with pytest.raises(Exception, match="not finite"):
+        topk.scaled(spark.createDataFrame([(0, [1e308])], SCHEMA), "vec_id", "embedding", 64.0).collect()
