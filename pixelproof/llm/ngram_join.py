@@ -1,14 +1,16 @@
 """N-gram Jaccard join: which documents share enough of their shingles, and the groups that links make.
 
-Equal sets are one node. Every node has a token bitmap; two sets share no more tokens than the common bits
-of their bitmaps, plus the tokens that fell on a bit already taken.
+Equal sets are one node. Every node has a token bitmap, as long as its size asks for (a power of two, one to two
+bits a token), so that it tells unlike sets of any size apart; two sets share no more tokens than the common bits of
+their bitmaps, plus the tokens that fell on a bit already taken. Sets that can link are of the same length or of
+neighbouring ones; the longer bitmap is then folded.
 
 1. Sets that agree on a minimum hash are held against one of them. This costs one comparison a set, however
    many there are, and ties nearly all near copies together.
 2. For what may link different groups, tokens are put in one order, rare ones first by a sketch of fixed size.
-   Sets that are similar enough share one of the first tokens. The sets of a token form a signature tree whose
-   nodes hold OR-combined bitmaps and size ranges; pairs of nodes are traversed, and dropped when the overlap
-   they can have at most is too small. Tokens of very many sets are cut into cells of two parts.
+   Sets that are similar enough share one of the first tokens. The sets of a token form a forest of signature
+   trees, one for each length of bitmaps and the next, whose nodes hold OR-combined bitmaps and size ranges; pairs
+   of nodes are traversed, and dropped when the overlap they can have at most is too small. Tokens of very many sets are cut into cells of two parts.
 
 What remains is compared exactly, so every link between two groups is found, whatever the order and the hashes.
 """
@@ -37,7 +39,7 @@ SMALL_TABLE = 8 << 20  # bytes of a written table that may be sent to all tasks;
 class Settings:
     percent: int = 80  # of the union that two sets have to share
     hashes: int = 8
-    bitmap: int = 1024  # bits
+    bitmap: int = 256  # bits at least
     sketch: int = 1 << 20  # counters
     cell: int = 256  # sets of a part
     leaf: int = 8
@@ -57,7 +59,9 @@ def first_tokens(tokens: np.ndarray, rank: np.ndarray, percent: int) -> np.ndarr
     return tokens[order[: len(tokens) - -(-percent * len(tokens) // 100) + 1]]
 
 
-def bitmap_of(tokens: np.ndarray, bits: int) -> np.ndarray:
+def bitmap_of(tokens: np.ndarray, least: int) -> np.ndarray:
+    """A bitmap of at least ``least`` bits, and of one to two for each token."""
+    bits = max(least, 1 << max(0, len(tokens) - 1).bit_length())
     out = np.zeros(bits, np.uint8)
     out[(mixed(tokens, 3) >> np.uint64(32)).astype(np.int64) % bits] = 1
     return np.packbits(out)
@@ -66,6 +70,15 @@ def bitmap_of(tokens: np.ndarray, bits: int) -> np.ndarray:
 COUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 
+def stacked(bitmaps: list[bytes], size: int) -> np.ndarray:
+    """Rows of ``size`` bytes, of bitmaps that are that long or twice as long: those are folded."""
+    out = np.empty((len(bitmaps), size), np.uint8)
+    for row, one in enumerate(bitmaps):
+        whole = np.frombuffer(one, np.uint8)
+        out[row] = whole if len(whole) == size else whole[:size] | whole[size:]
+    return out
+
+
 def overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Common bits of rows of bitmaps."""
     return COUNT[a & b].sum(1, dtype=np.int64)
@@ -147,7 +160,8 @@ def frequencies(documents: DataFrame, text: str, settings: Settings) -> np.ndarr
         return np.minimum(total, 255).astype(np.uint8)
 
     total = summed(documents.select(F.col(text).alias("t")), counted, ["t"], few_bits)
-    total = np.zeros(settings.sketch) if total is None else total
+    # a single part comes as it was sent, in few bits
+    total = np.zeros(settings.sketch) if total is None else total.astype(np.float64)
     return np.minimum(255, 8 * np.log2(1 + total)).astype(np.uint8)
 
 
@@ -219,12 +233,18 @@ def near_copies(signed: DataFrame, settings: Settings) -> DataFrame:
 
     @F.pandas_udf("boolean")
     def possible(n: pd.Series, x: pd.Series, m: pd.Series, y: pd.Series) -> pd.Series:
-        if not len(n):
-            return pd.Series([], dtype=bool)
-        bits = np.vstack([np.frombuffer(b, np.uint8) for both in zip(x, y, strict=True) for b in both])
-        tree = Tree.over(bits, np.column_stack([n, m]).ravel().astype(np.int64), 2)
-        i = np.arange(0, 2 * len(n), 2)
-        return pd.Series(tree.possible(0, i, i + 1, settings.percent))
+        n, m, x, y = n.to_numpy(np.int64), m.to_numpy(np.int64), x.tolist(), y.tolist()
+        out = np.zeros(len(n), bool)
+        lengths = np.array([(len(p), len(q)) for p, q in zip(x, y, strict=True)], np.int64).reshape(-1, 2)
+        for size in np.unique(lengths.min(1)).tolist():
+            # bitmaps more than one step apart belong to sets that cannot link
+            at = np.flatnonzero((lengths.min(1) == size) & (lengths.max(1) <= 2 * size))
+            bits = stacked([b for i in at.tolist() for b in (x[i], y[i])], size)
+            tree = Tree.over(bits, np.column_stack([n[at], m[at]]).ravel(), 2)
+            i = np.arange(0, 2 * len(at), 2)
+            if len(at):
+                out[at] = tree.possible(0, i, i + 1, settings.percent)
+        return pd.Series(out)
 
     return pairs.join(one, "a").join(two, "b").where(possible("n_a", "x", "n_b", "y")).select("a", "b")
 
@@ -284,8 +304,21 @@ def whole(batches: Iterator[pd.DataFrame], key: list[str]) -> Iterator[pd.DataFr
 
 
 def cell_pairs(cells: pd.DataFrame, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of each cell that a signature tree over the cell does not rule out, in different groups and parts."""
-    bits = np.vstack([np.frombuffer(b, np.uint8) for b in cells["bits"]])
+    """Rows of each cell that the signature trees do not rule out, in different groups and parts."""
+    lengths = cells["bits"].str.len().to_numpy()
+    found = []
+    for size in np.unique(lengths).tolist():
+        at = np.flatnonzero((lengths == size) | (lengths == 2 * size))
+        some = cells.iloc[at]
+        a, b = tree_pairs(some, stacked(some["bits"].tolist(), size), settings)
+        one = (lengths[at[a]] == size) | (lengths[at[b]] == size)  # two longer ones meet in their own tree
+        found.append((at[a[one]], at[b[one]]))
+    left, right = zip(*found, strict=True)
+    return np.concatenate(left), np.concatenate(right)
+
+
+def tree_pairs(cells: pd.DataFrame, bits: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """The same for sets whose bitmaps have one length."""
     sizes, own, part = (cells[c].to_numpy(np.int64) for c in ("n", "own", "part"))
     lo, hi = cells["lo"].to_numpy(), cells["hi"].to_numpy()
     names = cells[["token", "lo", "hi"]].to_numpy()
@@ -328,21 +361,22 @@ def joined(documents: DataFrame, key: str = "doc_id", text: str = "text", settin
     members = store(sets_of(documents, key, text, settings), "join-members").rows
     named = members.where("name is not null and id is not null").groupBy("name")
     heads = store(named.agg(F.min("id").alias("id"), F.min("n").alias("n")), "join-heads").rows
-    nodes = heads.groupBy("id").agg(F.min("n").alias("n"))
+    nodes = store(heads.groupBy("id").agg(F.min("n").alias("n")), "join-nodes")
     rank = frequencies(documents, text, settings)
-    signed = store(
-        signatures(documents, key, text, checked(documents.sparkSession, store(nodes, "join-nodes")), rank, settings),
-        "join-signatures",
-    )
+    signed = store(signatures(documents, key, text, checked(documents.sparkSession, nodes), rank, settings), "join-signatures")
 
     def texts(wanted: DataFrame) -> DataFrame:
         return owners(documents, key, text, wanted)
 
+    nodes.discard()
     close = compared(near_copies(signed.rows, settings), texts, settings.percent)
     groups = graph.components(close.rows)
     more = compared(across(signed.rows, groups, settings), texts, settings.percent)
     signed.discard()
+    groups.discard()
     groups = graph.components(close.rows.unionAll(more.rows))
+    close.discard()
+    more.discard()
     final = heads.join(groups.rows.withColumnRenamed("node", "id"), "id", "left")
     final = final.select("name", F.coalesce("component", "id").alias("component"))
     out = members.join(final, "name", "left")

@@ -3,6 +3,7 @@
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import prose
 from pyspark.sql import functions as F
@@ -100,6 +101,38 @@ def test_tree_drops_no_similar_pair():
             assert alike <= kept and len(kept) <= len(sets) * (len(sets) - 1) // 2
 
 
+def cell_of(sets, least=64):
+    """One cell, as the traversal gets it, of sets that are all groups of their own."""
+    return pd.DataFrame({
+        "token": 1, "lo": 0, "hi": 0, "part": 0, "id": range(len(sets)), "n": [len(x) for x in sets], "own": range(len(sets)),
+        "bits": [ngram_join.bitmap_of(x, least).tobytes() for x in sets],
+    })
+
+
+def test_forest_drops_no_similar_pair_across_lengths():
+    """Sets on both sides of a power of two, whose bitmaps have different lengths."""
+    rng = np.random.default_rng(8)
+    sets = []
+    for n in (60, 64, 65, 120, 128, 130, 250, 257, 300):
+        base = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+        for cut in (0, n // 40, n // 10, n // 5, n // 2):
+            sets += [base[cut:], np.unique(np.append(base, rng.integers(0, 1 << 62, cut).astype(np.uint64)))]
+    for settings in (ngram_join.Settings(), ngram_join.Settings(leaf=2)):
+        a, b = ngram_join.cell_pairs(cell_of(sets), settings)
+        kept = {(min(x, y), max(x, y)) for x, y in zip(a.tolist(), b.tolist(), strict=True)}
+        alike = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if similar(sets[i], sets[j])}
+        assert len(kept) == len(a) and alike <= kept and len(alike) > 100
+
+
+@pytest.mark.parametrize("n", [100, 1500, 2100, 10_000])
+def test_forest_tells_unlike_sets_of_any_size_apart(n):
+    rng = np.random.default_rng(n)
+    shared = rng.integers(0, 1 << 62, 50).astype(np.uint64)  # a passage in all of them
+    sets = [np.unique(np.append(shared, rng.integers(0, 1 << 62, n - 50 + i).astype(np.uint64))) for i in range(40)]
+    a, _ = ngram_join.cell_pairs(cell_of(sets, 256), ngram_join.Settings())
+    assert len(a) == 0
+
+
 def test_join_of_awkward_tables(awkward, empty):
     found = ngram_join.joined(awkward).collect()
     assert len(found) == awkward.count()
