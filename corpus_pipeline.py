@@ -24,14 +24,20 @@ def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document of the smallest id, once; documents without words all stay."""
+    """Of each group of near copies the document of the smallest id, once; documents without words all stay.
+
+    Of several rows of that id the one with the smallest text stays, then by the other columns.
+    """
     groups = store(ngram_join.joined(docs), "groups").rows
     later = ngram_join.checked(spark, store(groups.where("id <> component").select(F.col("id").alias("__id")).distinct(), "later"))
     counts = groups.where("id = component").groupBy("id").agg(F.count("*").alias("n"))
     again = ngram_join.checked(spark, store(counts.where("n > 1").select(F.col("id").alias("__id")), "again"))
     same = F.col("doc_id") == F.col("__id")
     kept = docs.join(later, same, "left_anti")
-    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    least = kept.join(again, same, "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *others)).alias("__row"))
+    one = least.select("doc_id", *[F.col("__row")[c].alias(c) for c in ("text", *others)])
+    return kept.join(again, same, "left_anti").unionByName(one)
 
 
 def hide_persons(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +67,10 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, read = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = store(stage(spark, docs, sf_dir), name.replace(" ", "-")).rows
+        made = store(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if read:
+            read.discard()
+        docs, read = made.rows, made
     return docs
