@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -42,7 +43,9 @@ NO_NAMES = frozenset(
 )
 NAME = r"[A-ZÀ-ÖØ-ÞΑ-ΩА-ЯЁ][\wà-öø-ÿα-ωа-яё]+(?:-[A-ZÀ-ÖØ-ÞА-ЯЁ][\wà-öø-ÿа-яё]+)?"
 
-EMAIL = re.compile(r"[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_%+-.")
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*")
+ENDING = re.compile(r"[A-Za-z]{2,}")
 NUMBER = re.compile(r"(?<![\w.+])(?:\+\d|\(\d|\d)[\d ().\-]{5,}\d(?!\w)")
 CARD = re.compile(r"(?:4|5[1-5]|2[2-7]|35|6)\d*|3[0468-9]\d{12}|3[47]\d{13}")  # how known issuers' numbers begin
 SSN = re.compile(r"\d{3}-\d{2}-\d{4}")
@@ -93,6 +96,32 @@ def cards(text: str, start: int, end: int) -> list[tuple[int, int]]:
     return out
 
 
+def addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Where mail addresses stand: words with single dots between them, on both sides of an @, the last of letters.
+
+    Each character is looked at from the @ before it and the one behind it only, whatever stands between.
+    """
+    done, at = 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > done and text[start - 1] in LOCAL:
+            start -= 1
+        local = text[start:at]
+        local = local[local.rfind("..") + 2 :] if ".." in local else local.removeprefix(".")
+        domain = DOMAIN.match(text, at + 1)
+        if local and not local.endswith(".") and domain:
+            labels = domain[0].split(".")
+            stop = domain.end()
+            for label in reversed(labels[1:]):
+                begin = stop - len(label)
+                if ending := ENDING.match(text, begin, stop):
+                    done = ending.end()
+                    yield at - len(local), done
+                    break
+                stop = begin - 1
+        at = text.find("@", at + 1)
+
+
 def mentions(text: str | None) -> list[Mention]:
     """What a text says about persons and secrets, in order, none overlapping; null and empty texts have none."""
     text = text or ""
@@ -102,8 +131,8 @@ def mentions(text: str | None) -> list[Mention]:
         found.append((rank, Mention(start, end, kind, value)))
 
     if "@" in text:
-        for m in EMAIL.finditer(text):
-            add(0, "email", *m.span(), m[0].lower())
+        for start, end in addresses(text):
+            add(0, "email", start, end, text[start:end].lower())
     for m in ASSIGNED.finditer(text):
         add(1, "secret", *m.span(1), m[1])
     for m in AWS.finditer(text) if "KIA" in text or "SIA" in text else ():
@@ -152,13 +181,12 @@ def mentions(text: str | None) -> list[Mention]:
         for m in re.finditer(rf"(?<!\w)(?:{words})(?!\w)", text):
             kind, value = names[m[0]]
             add(6, kind, *m.span(), value)
-    out: list[Mention] = []
-    taken: list[tuple[int, int]] = []
+    out: list[Mention] = []  # in order of their places, none overlapping
     for _, m in sorted(found, key=lambda x: (x[0], x[1].start - x[1].end, x[1])):
-        if all(m.end <= a or m.start >= b for a, b in taken):
-            taken.append((m.start, m.end))
-            out.append(m)
-    return sorted(out)
+        at = bisect_left(out, m.start, key=lambda x: x.start)
+        if (at == 0 or out[at - 1].end <= m.start) and (at == len(out) or m.end <= out[at].start):
+            out.insert(at, m)
+    return out
 
 
 class Stream:
@@ -203,7 +231,7 @@ def script(text: str) -> str:
     return "greek" if any("Ͱ" <= c <= "Ͽ" for c in text) else "latin"
 
 
-@lru_cache(1 << 16)
+@lru_cache(1 << 12)
 def surrogate(key: str, kind: str, value: str, attempt: int) -> str:
     """The replacement of a looked-up value, without its formatting; later attempts draw others."""
     s = Stream(key, kind, value, attempt)

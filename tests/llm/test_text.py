@@ -1,6 +1,7 @@
 """Toxicity, quality, web pages, token ids and personal data on small tables."""
 
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -333,3 +334,45 @@ def test_private_data_in_awkward_tables(awkward, empty):
     before = sorted(str(r["text"]) for r in awkward.collect())
     assert sorted(str(r["text"]) for r in out.collect()) == before  # no personal data, so nothing changes
     assert pii.with_surrogates(empty, PII_KEY).count() == 0
+
+
+# ---- odd input ----------------------------------------------------------------------
+def seconds(function, *args):
+    start = time.process_time()
+    function(*args)
+    return time.process_time() - start
+
+
+@pytest.mark.parametrize("page", [
+    "<b>x " * 200_000, "<a>x " * 200_000, "<div>" * 100_000 + "x" + "</b>" * 100_000, "<ul><li>x" * 100_000, "<p>x</p>" * 100_000, "<" * 500_000, "&" * 500_000,
+])
+def test_pages_take_time_by_their_length(page):
+    assert seconds(webpages.lines_of, page) < 20
+
+
+@pytest.mark.parametrize("text", ["@" + "a." * 500_000, ("a." * 1000 + "@") * 500, "a@b.cc " * 40_000, "@" * 500_000, "x" * 1_000_000 + "@x.de"])
+def test_mentions_take_time_by_their_length(text):
+    assert seconds(pii.mentions, text) < 15
+
+
+def test_addresses_are_those_of_the_pattern():
+    pattern = re.compile(r"[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
+    random = np.random.default_rng(3)
+    texts = ["".join(random.choice(list("ab1.@- _é"), 30)) for _ in range(4000)]
+    texts += ["a.b@c.de1", "a..b@c..de", "a@b@c.de", ".a@b.co.uk.", "a.@b.de", "x@1.2.abc9.zz-", "a@b.c", "A_b%+-c@x-y.info, d@e.fg"]
+    for text in texts:
+        assert list(pii.addresses(text)) == [m.span() for m in pattern.finditer(text)], text
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<article><header class="entry-header"><h1>Head line</h1></header><p>Some text.</p></article>', "Head line\nSome text."),
+    ('<article><div class="post-header"><h1>Head line</h1></div><p>Some text.</p></article>', "Head line\nSome text."),
+    ('<div class="site-header"><p>Site</p></div><article><p>Some text.</p></article>', "Some text."),
+    ("<form><article><p>Some text.</p></article></form>", "Some text."),
+    ("<nav><a>Home</a><main><p>Some text.</p></main>", "Some text."),
+    ("<aside><p>Menu<main><p>Some text.</p></main>", "Some text."),
+    ("<article><p>Some text.</p><aside><article><p>Other story</p></article></aside></article>", "Some text."),
+    ("<template><article><p>none</p></article></template><article><p>Some text.</p></article>", "Some text."),
+])
+def test_headers_and_unclosed_elements(page, text):
+    assert webpages.main_text(page) == text
