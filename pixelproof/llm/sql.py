@@ -208,3 +208,29 @@ SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children,
 FROM families AS f JOIN totals USING (depth, path)
 LEFT JOIN nodes AS p ON p.depth = f.depth - 1 AND p.path = f.path[1:f.depth - 1]
 """
+
+# a shingle is five words in a row, or all words of a shorter text; links reach on through links
+SQL["op10_ngram_join"] = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle
+    FROM d
+), n AS (
+    SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+    FROM s AS a JOIN s AS b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+    SELECT x, y FROM shared JOIN n AS p ON p.doc_id = x JOIN n AS q ON q.doc_id = y WHERE 100 * c >= 80 * (p.n + q.n - c)
+), reach AS (
+    SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+), least_ AS (
+    SELECT x, min(y) AS y FROM reach GROUP BY x
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(l.y, d.doc_id)) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least_ AS l ON l.x = d.doc_id
+"""
