@@ -25,7 +25,7 @@ from pixelproof.schemas import FEATURES
 from pixelproof.session import build_session
 from pixelproof.sources.files import scan_files, scan_images
 from pixelproof.sources.tables import read_table
-from pixelproof.streaming.arrivals import extract_stream, file_stream, score_stream
+from pixelproof.streaming.arrivals import current_answers, extract_stream, file_stream, follow_files, follow_scores, score_stream
 
 FEATURIZERS = {"pixel_histogram": pixel_histogram, "byte_histogram": byte_histogram}
 FILES_PER_TASK = 2000
@@ -98,6 +98,27 @@ def stream_score(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return result_summary(read_table(spark, out))
 
 
+def follow(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    featurizer, decoded = _options(args)
+    if decoded:
+        raise SystemExit("the image source cannot be streamed; use extract, which follows rewritten files too")
+    out = f"{args.out}/features"
+    follow_files(spark, args.root, out, featurizer, f"{out}-follow-checkpoint", overlap=args.overlap)
+    return quarantine_counts(read_table(spark, out))
+
+
+def follow_score(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    featurizer, decoded = _options(args)
+    if decoded:
+        raise SystemExit("the image source cannot be streamed; use score")
+    out = f"{args.out}/answers"
+    model = load_model(args.model, featurizer)
+    follow_scores(
+        spark, args.root, out, featurizer, model, f"{out}-checkpoint", overlap=args.overlap, threshold=args.threshold
+    )
+    return result_summary(current_answers(spark, out))
+
+
 def check(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     tables = expected_tables(f"{args.out}/features", f"{args.out}/results")
     return output_check(table_sizes(spark, tables))
@@ -112,6 +133,8 @@ JOBS = {
     "sample": sample,
     "score": score,
     "stream-score": stream_score,
+    "follow": follow,
+    "follow-score": follow_score,
     "check": check,
 }
 
@@ -125,6 +148,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
         "--featurizer", default="pixel_histogram", help=f"one of {', '.join(FEATURIZERS)}, or module:function of your own"
     )
     parser.add_argument("--files-per-trigger", type=int, default=1_000_000, help="files of a streaming step")
+    parser.add_argument("--overlap", type=float, default=0, help="seconds a following step looks back for late files")
     parser.add_argument("--model", help="stored model, for the scoring jobs")
     parser.add_argument("--dataset", default="images", help="name shown in the report tables")
     parser.add_argument("--generated", help="time shown in the report tables")
@@ -133,7 +157,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
     args = parser.parse_args(argv)
     if args.root is None and args.job not in ("train", "report", "check"):
         parser.error(f"{args.job} needs --root")
-    if args.model is None and args.job in ("score", "stream-score"):
+    if args.model is None and args.job in ("score", "stream-score", "follow-score"):
         parser.error(f"{args.job} needs --model")
     result = JOBS[args.job](spark or build_session("pixelproof"), args)
     result.show(truncate=False)

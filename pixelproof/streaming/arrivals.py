@@ -23,7 +23,8 @@ from ..plans.extract import (
     remove_rows,
     tasks_for,
 )
-from ..schemas import FEATURES
+from ..plans.score import Model, score_features
+from ..schemas import FEATURES, NEW_PREDICTIONS
 from ..session import drop_folder, run_folder
 from ..sources.files import IMAGE_GLOB
 from ..sources.listing import list_stream
@@ -211,3 +212,46 @@ def follow_files(
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     return query
+
+
+def follow_scores(
+    spark: SparkSession,
+    root: str,
+    out: str,
+    featurizer: Featurizer,
+    model: Model,
+    checkpoint: str,
+    glob: str = IMAGE_GLOB,
+    settle: float = 0,
+    overlap: float = 0,
+    remember: str = "1 day",
+    threshold: float | None = None,
+    wait: bool = True,
+) -> StreamingQuery:
+    """Score files as they arrive, and again when they are rewritten; empty and broken ones get their error.
+
+    Every version that was scored is a row of ``out`` in the folder of its step, which a repeated step replaces;
+    ``current_answers`` has the newest one of each file.
+    """
+    most = largest_content(spark)
+
+    def step(files: DataFrame, number: int) -> None:
+        found = extracted_from_files(F.col("path"), F.col("length"), featurizer, most).alias("x")
+        rows = files.select("path", "length", "modificationTime", found).select("path", "length", "modificationTime", "x.*")
+        scored = score_features(rows, model, featurizer.width, threshold).withColumn("step", F.lit(number).cast("long"))
+        write_table(scored, out, partition_by=("step",))
+
+    versions = newest_versions(list_stream(spark, root, glob, settle=settle, overlap=overlap), remember)
+    writer = versions.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    if not wait:
+        return writer.start()
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
+def current_answers(spark: SparkSession, out: str) -> DataFrame:
+    """path, prediction, result, confidence and error of the newest scored version of each file."""
+    columns = [*NEW_PREDICTIONS.fieldNames(), "error"]
+    newest = F.max_by(F.struct(*columns), F.struct("modificationTime", "step")).alias("x")
+    return read_table(spark, out).groupBy(F.col("path").alias("_path")).agg(newest).select("x.*")
