@@ -12,6 +12,8 @@ neighbouring ones; the longer bitmap is then folded.
    trees, one for each length of bitmaps and the next, whose nodes hold OR-combined bitmaps and size ranges; pairs
    of nodes are traversed, and dropped when the overlap they can have at most is too small. Tokens of very many sets are cut into cells of two parts.
 
+   A first round takes few pairs and joins most groups, a second one all pairs between the groups that are left.
+
 What remains is compared exactly, so every link between two groups is found, whatever the order and the hashes.
 """
 
@@ -252,8 +254,9 @@ def near_copies(signed: DataFrame, settings: Settings) -> DataFrame:
 def across(signed: DataFrame, groups: Stored, settings: Settings, few: bool = False) -> DataFrame:
     """Pairs (a, b) of different groups that share one of their first tokens and pass the signature tree.
 
-    With ``few`` two groups that meet in a batch of cells give one pair: a first round that joins most groups,
-    so that a second one, with all pairs, has little left. It cannot stand alone.
+    With ``few`` a group gives one pair for each batch of cells, with the smallest group it meets there: a first
+    round of as many pairs as rows at most, which joins most groups, so that a second one, with all pairs, has
+    little left. It cannot stand alone.
     """
     spark = signed.sparkSession
     own = F.coalesce("component", "id").alias("own")
@@ -279,8 +282,11 @@ def across(signed: DataFrame, groups: Stored, settings: Settings, few: bool = Fa
             pairs = pd.DataFrame({"a": np.maximum(ids[a], ids[b]), "b": np.minimum(ids[a], ids[b])})
             if few:
                 own = cells["own"].to_numpy()
-                met = pd.DataFrame({"x": np.minimum(own[a], own[b]), "y": np.maximum(own[a], own[b])})
-                pairs = pairs[~met.duplicated().to_numpy()]
+                larger, smaller = np.maximum(own[a], own[b]), np.minimum(own[a], own[b])
+                order = np.lexsort((smaller, larger))
+                first = np.ones(len(order), bool)
+                first[1:] = np.diff(larger[order]) != 0
+                pairs = pairs.iloc[order[first]]
             yield pairs.drop_duplicates()
 
     columns = ["token", "lo", "hi", "part", "id", "n", "own", "bits"]
@@ -371,12 +377,16 @@ def joined(documents: DataFrame, key: str = "doc_id", text: str = "text", settin
     nodes.discard()
     close = compared(near_copies(signed.rows, settings), texts, settings.percent)
     groups = graph.components(close.rows)
-    more = compared(across(signed.rows, groups, settings), texts, settings.percent)
-    signed.discard()
+    some = compared(across(signed.rows, groups, settings, few=True), texts, settings.percent)
     groups.discard()
-    groups = graph.components(close.rows.unionAll(more.rows))
-    close.discard()
-    more.discard()
+    tied = close.rows.unionAll(some.rows)
+    groups = graph.components(tied)
+    more = compared(across(signed.rows, groups, settings), texts, settings.percent)
+    for table in (signed, groups):
+        table.discard()
+    groups = graph.components(tied.unionAll(more.rows))
+    for table in (close, some, more):
+        table.discard()
     final = heads.join(groups.rows.withColumnRenamed("node", "id"), "id", "left")
     final = final.select("name", F.coalesce("component", "id").alias("component"))
     out = members.join(final, "name", "left")
