@@ -509,7 +509,8 @@ placed AS (
 SQL["threshold_for_rate"] = select(
     LI
     + """,
-reals AS (SELECT model, p AS t, count(*) AS n FROM scored WHERE label = 0 GROUP BY model, p),
+usable AS (SELECT * FROM scored WHERE label IS NOT NULL AND p IS NOT NULL),
+reals AS (SELECT model, p AS t, count(*) AS n FROM usable WHERE label = 0 GROUP BY model, p),
 above AS (
   SELECT model, t, sum(n) OVER (PARTITION BY model) AS n_real,
          coalesce(sum(n) OVER (PARTITION BY model ORDER BY t DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS fp
@@ -524,14 +525,14 @@ SELECT model, target_rate, round(threshold, 6) AS threshold,
        count(*) FILTER (WHERE label = 1 AND p > threshold) AS true_positive,
        round(count(*) FILTER (WHERE label = 0 AND p > threshold)::double / count(*) FILTER (WHERE label = 0), 6) AS false_positive_rate,
        round(count(*) FILTER (WHERE label = 1 AND p > threshold)::double / count(*) FILTER (WHERE label = 1), 6) AS recall_fake
-FROM scored JOIN best USING (model) GROUP BY model, target_rate, threshold""",
+FROM usable JOIN best USING (model) GROUP BY model, target_rate, threshold""",
 )
 SQL["auc_within_bound"] = select(
     LI
     + """,
 ranked AS (
   SELECT model, label, rank() OVER (PARTITION BY model ORDER BY p) + (count(*) OVER (PARTITION BY model, p) - 1) / 2.0::double AS place
-  FROM scored)""",
+  FROM scored WHERE label IS NOT NULL AND p IS NOT NULL)""",
     """
 SELECT model, round((sum(place) FILTER (WHERE label = 1) - count(*) FILTER (WHERE label = 1) * (count(*) FILTER (WHERE label = 1) + 1) / 2.0::double)
        / (count(*) FILTER (WHERE label = 1) * count(*) FILTER (WHERE label = 0)::double), 6) AS auc_roc,
