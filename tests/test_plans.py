@@ -15,6 +15,7 @@ from pixelproof.plans.extract import pending, quarantined, run_extraction
 from pixelproof.plans.run import run_all, run_sample
 from pixelproof.plans.score import refitted, run_scoring, score_features, score_new
 from pixelproof.schemas import FEATURES, METRICS, PREDICTIONS
+from pixelproof.sources.counted import write_counted
 from pixelproof.sources.files import scan_files
 from pixelproof.sources.tables import read_table, write_table
 
@@ -54,6 +55,13 @@ def test_separable_classes_are_learned(scored):
     assert all(m["accuracy"] > 0.95 and m["auc_roc"] > 0.99 for m in metrics.values())
 
 
+def test_fitted_models_score_after_an_observed_write(spark, rows, tmp_path):
+    write_counted(spark.range(3), str(tmp_path / "counted"))
+    models = train.fit_models(rows.where("split = 'train'"))
+    assert train.score_models(rows, {n: f.model for n, f in models.items()}).count() == 2 * rows.count()
+    assert not any(f.model.stages[-1].hasSummary for f in models.values())
+
+
 def test_chained_scoring_equals_each_model_alone(rows, fitted, scored):
     for name, one in fitted.items():
         alone = {r["path"]: r["prediction"] for r in one.model.transform(rows).select("path", "prediction").collect()}
