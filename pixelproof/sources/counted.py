@@ -41,8 +41,14 @@ def counted(spark: SparkSession, path: str) -> DataFrame:
     return rows.agg(*[F.sum(c).alias(c) for c in rows.columns])
 
 
+def beside(left: DataFrame, right: DataFrame) -> DataFrame:
+    """One row of the columns of both, which have one row each: an aggregation instead of a product."""
+    both = left.unionByName(right, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
 def counts_agree(spark: SparkSession, path: str) -> DataFrame:
     """One row: rows by the counts, rows by the Parquet footers, and whether they agree."""
     stored = read_table(spark, path).agg(F.count(F.lit(1)).alias("n_stored"))
-    both = counted(spark, path).select(F.col(N_ROWS).alias("n_counted")).join(stored)
+    both = beside(counted(spark, path).select(F.col(N_ROWS).alias("n_counted")), stored)
     return both.withColumn("agree", F.col("n_counted") == F.col("n_stored"))

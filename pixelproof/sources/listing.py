@@ -66,7 +66,7 @@ def name_pattern(glob: str) -> re.Pattern:
         else:
             out += {"*": ".*", "?": "."}.get(char, re.escape(char))
         at += 1
-    return re.compile(out, re.DOTALL)
+    return re.compile(rf"(?:{out})\Z", re.DOTALL)
 
 
 def hidden(name: str) -> bool:
@@ -151,7 +151,7 @@ class _Folders:
                     continue
                 changed = x.mtime_ns // 1_000_000 * 1000  # Spark's listings know milliseconds
                 inside = (partition.after is None or changed > partition.after) and (partition.upto is None or changed <= partition.upto)
-                if inside and self.names.fullmatch(x.base_name):
+                if inside and self.names.match(x.base_name):
                     yield uri, x.size, changed
 
 
