@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import struct
+import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +18,8 @@ from ..operators.linear import LinearScorer, one_row_per_model
 from ..plans.extract import PARTITIONS, feature_rows
 from ..plans.train import evaluate
 from ..schemas import FEATURE_WIDTH, LOGISTIC_REGRESSION, RANDOM_FOREST
-from ..session import run_folder
+from ..session import drop_folder, make_folder, run_folder, ship_package
+from ..sources.listing import opened
 from ..sources.tables import write_table
 
 WIDTH = 64
@@ -132,20 +137,54 @@ def judged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# ---- files that Spark writes from the tables, one per row ----------------------
+# ---- files that tasks write from the tables, one per row ----------------------
 
 
-def _one_file_per_row(rows: DataFrame, by: tuple[str, ...] = ()):
-    """A writer for many small files, spread over all cores however few splits the table has."""
-    spread = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
-    return spread.write.option("maxRecordsPerFile", 1).partitionBy(*by)
+def _line(value: Column) -> Column:
+    """A line of text; null is an empty one."""
+    return F.concat(F.coalesce(value.cast("binary"), F.lit(b"")), F.lit(b"\n"))
+
+
+LANDED = "partition string, content binary"
+
+
+def _one_file_per_row(rows: DataFrame, folder: str, by: tuple[str, ...] = (), ending: str = "txt") -> None:
+    """Write the last column of each row as a file of its own below ``by`` folders; null is a file of zero bytes.
+
+    Tasks open the files themselves: Spark's writers move each file twice and one by one at the end of a job, and
+    set its rights by a process. A task that is tried again writes the same names. The rows are spread over all
+    cores however few splits the table has.
+    """
+    spark = rows.sparkSession
+    ship_package(spark)
+    target = make_folder(spark, folder)
+    names = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))) for c in by]
+    spread = rows.repartition(spark.sparkContext.defaultParallelism)
+    lines = spread.select(F.concat_ws("/", *names).alias("partition"), F.col(rows.columns[-1]).cast("binary").alias("content"))
+    job = uuid.uuid4().hex
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, inside, _ = opened(target)
+        task, number, made = TaskContext.get().partitionId(), 0, set()
+        for batch in batches:
+            for place, content in zip(batch["partition"].to_pylist(), batch["content"].to_pylist(), strict=True):
+                parent = f"{inside}/{place}".rstrip("/")
+                if parent not in made:
+                    system.create_dir(parent, recursive=True)
+                    made.add(parent)
+                with system.open_output_stream(f"{parent}/part-{task:05d}-{job}-{number:06d}.{ending}") as file:
+                    file.write(content or b"")
+                number += 1
+        yield from ()
+
+    lines.mapInArrow(write, LANDED).write.format("noop").mode("overwrite").save()
 
 
 def land_pages(spark: SparkSession, sf_dir: str) -> str:
     """Each page as a file in split and label folders; a line end closes each file."""
     folder = run_folder(spark, "page-files")
-    pages = file_bytes(spark, sf_dir).select("split", "label_name", F.col("content").cast("string"))
-    _one_file_per_row(pages, ("split", "label_name")).text(folder)
+    pages = file_bytes(spark, sf_dir).select("split", "label_name", _line(F.col("content")))
+    _one_file_per_row(pages, folder, ("split", "label_name"))
     return folder
 
 
@@ -162,19 +201,23 @@ def replace_folder(spark: SparkSession, sf_dir: str, folder: str, mode: str) ->
     """The training pages of label FAKE, twice as long, in the place of those that were landed, or beside them."""
     pages = file_bytes(spark, sf_dir).where((F.col("split") == "train") & (F.col("label_name") == "FAKE"))
     text = F.col("content").cast("string")
-    changed = pages.select(F.concat(text, text).alias("value"))
-    spread = changed.repartition(spark.sparkContext.defaultParallelism)
-    spread.write.mode(mode).option("maxRecordsPerFile", 1).text(f"{folder}/split=train/label_name=FAKE")
+    place = f"{folder}/split=train/label_name=FAKE"
+    if mode == "overwrite":
+        drop_folder(spark, place)
+    _one_file_per_row(pages.select(_line(F.concat(text, text))), place)
 
 
 def land_endings(spark: SparkSession, sf_dir: str) -> str:
     """Each page as a file of hex digits: jPg for training rows, png for test rows, and all again as txt."""
     folder = run_folder(spark, "ending-files")
     pages = file_bytes(spark, sf_dir).select("split", F.hex("content").alias("digits"))
+    digits = F.col("digits")
+    csv_line = _line(F.when(digits == "", '""').otherwise(digits))
+    csv_line = F.when(digits.isNotNull(), csv_line)  # of a null alone CSV makes nothing at all
     for ending, split in (("jPg", "train"), ("png", "test")):
-        part = pages.where(F.col("split") == split).select("digits")
-        _one_file_per_row(part).option("extension", ending).csv(f"{folder}/{ending}")
-    _one_file_per_row(pages.select("digits")).text(f"{folder}/txt")
+        part = pages.where(F.col("split") == split).select(csv_line)
+        _one_file_per_row(part, f"{folder}/{ending}", ending=ending)
+    _one_file_per_row(pages.select(_line(digits)), f"{folder}/txt")
     return folder
 
 
@@ -199,11 +242,9 @@ def land_pictures(spark: SparkSession, sf_dir: str) -> str:
     rows = features(spark, sf_dir).select(
         "split",
         "label_name",
-        F.unhex(F.concat(F.lit(BITMAP_HEADER.hex()), F.array_join(F.transform("features", pixel), "")))
-        .cast("string")
-        .alias("content"),
-    )
-    _one_file_per_row(rows, ("split", "label_name")).text(folder)
+        F.unhex(F.concat(F.lit(BITMAP_HEADER.hex()), F.array_join(F.transform("features", pixel), ""))).alias("content"),
+    ).withColumn("content", _line(F.col("content")))
+    _one_file_per_row(rows, folder, ("split", "label_name"))
     return folder
 
 
