@@ -55,7 +55,9 @@ def histograms_by_range(listing: DataFrame, size: int = MB) -> DataFrame:
     """
     spark = listing.sparkSession
     ship_package(spark)
-    ranges = byte_ranges(listing.select("path", "length"), size).repartition("path", "start")
+    # with a number, since Spark merges partitions of little shuffled data, and these rows are small but cause long reads
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranges = byte_ranges(listing.select("path", "length"), size).repartition(tasks, "path", "start")
     parts = ranges.select("path", range_histogram(F.col("path"), F.col("start"), size).alias("x")).select("path", "x.*")
     values = parts.select("path", "error", F.posexplode_outer("counts").alias("value", "n"))
     sums = values.groupBy("path", "value").agg(F.sum("n").alias("n"), F.max("error").alias("error"))
