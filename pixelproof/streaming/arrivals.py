@@ -26,7 +26,7 @@ from ..plans.extract import (
 from ..plans.score import Model, score_features
 from ..schemas import FEATURES, NEW_PREDICTIONS
 from ..session import drop_folder, run_folder
-from ..sources.files import IMAGE_GLOB
+from ..sources.files import IMAGE_GLOB, list_in_few_tasks
 from ..sources.listing import list_stream
 from ..sources.tables import read_if_present, read_table, write_table
 
@@ -45,6 +45,7 @@ def file_stream(
     spark: SparkSession, root: str, glob: str = IMAGE_GLOB, files_per_trigger: int | None = None
 ) -> DataFrame:
     """New files below ``root`` as they arrive. A file rewritten under its old path is not read again."""
+    list_in_few_tasks(spark)
     reader = (
         spark.readStream.format("binaryFile")
         .schema(FILE_COLUMNS)
