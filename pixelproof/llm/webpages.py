@@ -47,7 +47,7 @@ CLOSED_BY = {"p": BLOCKS - {"body", "html"}, "li": {"li"}, "dt": {"dt", "dd"}, "
 @dataclass
 class Line:
     text: str
-    inside: bool  # of an article or main element
+    inside: int  # the number of the outermost article or main element it stands in; 0: none
     length: int  # characters that aren't link text
 
 
@@ -56,7 +56,7 @@ class Line:
 ENDED_BY = {"main": ("form", "nav", "header", "aside"), "article": ("form", "nav", "header")}
 
 
-def marked(parts: list[str], inside: bool) -> bool:
+def marked(parts: list[str], inside: int) -> bool:
     """Whether a name such as ``site-footer`` or ``adBox`` marks; ``has-sidebar`` speaks of something else.
 
     Inside an article a header is the article's own: ``entry-header`` holds its headline.
@@ -73,15 +73,16 @@ class Lines(HTMLParser):
         self.lines: list[Line] = []
         self.words: list[str] = []
         self.length = 0
-        self.inside = False  # of the line at hand: some of its text
-        self.open: list[tuple[str, str, bool]] = []  # name, the element that drops it or none, inside
+        self.inside = 0  # of the line at hand: where the first of its text stands
+        self.articles = 0  # outermost article and main elements so far
+        self.open: list[tuple[str, str, int]] = []  # name, the element that drops it or none, inside
         self.times: Counter[str] = Counter()  # how often each name is open
 
     def end_line(self) -> None:
         text = " ".join("".join(self.words).split())
         if text:
             self.lines.append(Line(text, self.inside, self.length))
-        self.words, self.length, self.inside = [], 0, False
+        self.words, self.length, self.inside = [], 0, 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
@@ -94,16 +95,19 @@ class Lines(HTMLParser):
             self.words.append(" ")
         if tag in VOID:
             return
-        _, dropped, inside = self.open[-1] if self.open else ("", "", False)
+        _, dropped, inside = self.open[-1] if self.open else ("", "", 0)
         if dropped in ENDED_BY.get(tag, ()):
             dropped = ""
         if not dropped and self.is_dropped(tag, dict(attrs), inside):
             dropped = tag if tag in DROPPED or tag == "header" else "marked"
         self.times[tag] += 1
-        self.open.append((tag, dropped, inside or tag in ("article", "main")))
+        if not inside and tag in ("article", "main"):
+            self.articles += 1
+            inside = self.articles
+        self.open.append((tag, dropped, inside))
 
     @staticmethod
-    def is_dropped(tag: str, attrs: dict[str, str | None], inside: bool) -> bool:
+    def is_dropped(tag: str, attrs: dict[str, str | None], inside: int) -> bool:
         if tag in DROPPED or tag == "header" and not inside or "hidden" in attrs or attrs.get("aria-hidden") == "true":
             return True
         if tag in ("html", "body", "main"):
@@ -132,11 +136,12 @@ class Lines(HTMLParser):
         self.close(tag)
 
     def handle_data(self, data: str) -> None:
-        _, dropped, inside = self.open[-1] if self.open else ("", "", False)
+        _, dropped, inside = self.open[-1] if self.open else ("", "", 0)
         if dropped:
             return
         self.words.append(data)
-        self.inside = self.inside or inside and not data.isspace()
+        if not data.isspace():
+            self.inside = self.inside or inside
         if not self.times["a"]:
             self.length += len(data.strip())
 
@@ -177,14 +182,19 @@ def kept(lengths: np.ndarray, settings: Settings) -> np.ndarray:
 def main_text(page: str | None, settings: Settings | None = None) -> str:
     """The blocks kept, joined by line feeds; null, empty and text-free pages give an empty text.
 
-    In an article that the page marks, link text is text as well: it says nothing against a headline or a list.
+    Where the page marks articles, those that hold a line between surge and dive are taken whole: the windows find
+    the element, and its ends are the ends of the text. Link text is text there: it says nothing against a headline
+    or a list.
     """
     lines = lines_of(page or "")
-    marks = any(x.inside for x in lines)  # the page says where its article is
-    if marks:
-        lines = [x for x in lines if x.inside]
-    keep = kept(np.array([len(x.text) if marks else x.length for x in lines], np.int64), settings or Settings())
-    return "\n".join(x.text for x, k in zip(lines, keep, strict=True) if k)
+    lengths = [len(x.text) if x.inside else x.length for x in lines]
+    keep = kept(np.array(lengths, np.int64), settings or Settings())
+    marks = any(x.inside for x in lines)
+    found = {x.inside for x, k in zip(lines, keep, strict=True) if k and x.inside}
+    if marks and not found:  # text surges outside of them only: they are what the page says it is about
+        keep = kept(np.array([n if x.inside else 0 for n, x in zip(lengths, lines, strict=True)], np.int64), settings or Settings())
+        found = {x.inside for x, k in zip(lines, keep, strict=True) if k and x.inside}
+    return "\n".join(x.text for x, k in zip(lines, keep, strict=True) if (x.inside in found if marks else k))
 
 
 @F.pandas_udf(StringType())

@@ -151,6 +151,15 @@ def test_broken_pages_do_not_fail(page):
     assert isinstance(webpages.main_text(page), str)
 
 
+def test_windows_find_the_article_among_those_a_page_marks():
+    links = "".join(f'<div><a href="/{i}">link number {i}</a></div>' for i in range(5))
+    long = "word " * 30
+    page = f"<article><h1>Head</h1><p>{long}</p><p>End.</p></article>{links}<article><p>Teaser.</p></article>"
+    assert webpages.main_text(page).split("\n") == ["Head", long.strip(), "End."]
+    assert webpages.main_text(f"<article><p>Short.</p></article>{links}<p>{long}</p>") == "Short."
+    assert webpages.main_text(f"<main><p>{long}</p>{links}<p>End.</p></main>").endswith("End.")
+
+
 def test_pages_in_spark(spark):
     pages = spark.createDataFrame([(1, PAGE), (2, None), (3, "x" * 100_000)], "page_id long, html string")
     got = {r["page_id"]: r["t"] for r in pages.select("page_id", webpages.extracted("html").alias("t")).collect()}
