@@ -151,7 +151,7 @@ def thresholds_for_rates(
         searches = [s for s in searches if s[4] != s[5]]
         if not searches:
             break
-        ranges = spark.createDataFrame(searches, kind)
+        ranges = F.broadcast(spark.createDataFrame(searches, kind))  # a row for each model and rate
         at = (F.col("_score") - F.col("low")) / (F.col("high") - F.col("low")) * bins
         counts = (
             real.join(ranges, "_by").where("_score BETWEEN low AND high")
@@ -162,7 +162,8 @@ def thresholds_for_rates(
         for r in counts.collect():
             per_search.setdefault((r["_by"], r["rate"]), []).append(r)
         searches = [_bin_of(s, per_search[s[:2]]) for s in searches]
-    table = spark.createDataFrame(found, kind).select("_by", "rate", F.col("low").alias("threshold"))
+    # few rows, of which Spark does not know the size: a shuffle by model would send all its rows to one task
+    table = F.broadcast(spark.createDataFrame(found, kind).select("_by", "rate", F.col("low").alias("threshold")))
     cells = usable.join(table, "_by").groupBy("_by", "rate", "threshold").agg(
         *[F.count_if((F.col("label") == y) & (F.col("_score") > F.col("threshold"))).alias(c) for c, y in (("false_positive", 0), ("true_positive", 1))],
         *[F.count_if(F.col("label") == y).alias(c) for c, y in (("n_real", 0), ("n_fake", 1))],

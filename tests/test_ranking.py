@@ -184,3 +184,14 @@ def test_predictions_are_read_once(spark, hot_pairs):
     rows = scored(spark, hot_pairs)
     ranking.auc_exact(rows.mapInPandas(counted, rows.schema)).collect()
     assert read.value == len(hot_pairs)
+
+
+def test_thresholds_send_no_model_to_one_task(spark):
+    """Spark does not know that the table of thresholds is small, and would shuffle all rows by model to join it."""
+    rows = scored(spark, [(i % 2, i / 50) for i in range(50)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:
+        plan = ranking.thresholds_for_rates(rows, (0.1,))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
