@@ -236,7 +236,7 @@ def sample_per_class(
     n-th row into about ``splits`` ranges, the rows of each are counted before anything is shuffled, and the range in
     which the n-th falls is cut again, until it has ``few`` rows. Then all rows up to that range are taken by a
     filter, and only the rows of the last range are put in order. So no task gets more than ``few`` rows of a class,
-    at any n, and a pass reads classes and keys only.
+    at any n, and a pass reads classes and keys only: the rows are stored once, however long it took to make them.
 
     Null keys come first, and rows of equal keys go by a hash of all their columns.
     """
@@ -246,6 +246,9 @@ def sample_per_class(
     nth = F.row_number().over(Window.partitionBy("_class").orderBy("_at"))
     if n <= GROUP_LIMIT and n * rows.rdd.getNumPartitions() <= few:
         return keyed.withColumn("_nth", nth).where(F.col("_nth") <= n).select(*rows.columns)
+    folder = run_folder(rows.sparkSession, "sampled-rows")
+    write_table(keyed, folder)
+    keyed = read_table(rows.sparkSession, folder, keyed.schema)
     cuts = _cuts(keyed.select("_class", "_at"), n, splits, few)
     marked = keyed.join(cuts.withColumnRenamed("_class", "_of"), F.col("_class").eqNullSafe(F.col("_of")))
     taken = F.col("rest").isNull() | F.coalesce(F.col("_at") <= F.col("low"), F.lit(False))

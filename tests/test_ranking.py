@@ -195,3 +195,17 @@ def test_thresholds_send_no_model_to_one_task(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_sampled_rows_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(n):
+        made.add(1)
+        return n
+
+    rows = spark.range(400).select(counted("id").alias("path"), (F.col("id") % 2).alias("label_name"))
+    found = ranking.sample_per_class(rows, 100, few=20, splits=4)
+    assert sorted(r["path"] for r in found.collect()) == list(range(200))
+    assert made.value == 400
