@@ -11,6 +11,8 @@ neighbouring ones; the longer bitmap is then folded.
    Sets that are similar enough share one of the first tokens. The sets of a token form a forest of signature
    trees, one for each length of bitmaps and the next, whose nodes hold OR-combined bitmaps and size ranges; pairs
    of nodes are traversed, and dropped when the overlap they can have at most is too small. Tokens of very many sets are cut into cells of two parts.
+   A pair is listed for a token only if it could be the first, in that order, that both have: what both share then
+   lies from there on. Sets that differ in rare tokens begin with those, so few unlike pairs are listed.
 
    A first round takes few pairs and joins most groups, a second one all pairs between the groups that are left.
 
@@ -45,6 +47,7 @@ class Settings:
     sketch: int = 1 << 20  # counters
     cell: int = 256  # sets of a part
     leaf: int = 8
+    ordered: bool = True  # the first tokens come in the common order, from the first token of all on
 
 
 def checked(spark, table: Stored) -> DataFrame:
@@ -168,10 +171,10 @@ def frequencies(documents: DataFrame, text: str, settings: Settings) -> np.ndarr
 
 
 def signatures(documents: DataFrame, key: str, text: str, nodes: DataFrame, rank: np.ndarray, settings: Settings):
-    """For each node: id, n, minimum hashes, first tokens, bitmap."""
+    """For each text of a node: id, n, minimum hashes, first tokens, bitmap."""
     sent = ready(documents).sparkContext.broadcast(rank)
 
-    @F.pandas_udf("struct<hashes:array<bigint>,first:array<bigint>,bits:binary>")
+    @F.pandas_udf("struct<n:bigint,hashes:array<bigint>,first:array<bigint>,bits:binary>")
     def signed(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
             rows = []
@@ -179,11 +182,11 @@ def signatures(documents: DataFrame, key: str, text: str, nodes: DataFrame, rank
                 tokens = shingles(t)
                 hashes = [int(mixed(tokens, 100 + i).min().view(np.int64)) for i in range(settings.hashes)]
                 first = first_tokens(tokens, sent.value, settings.percent)
-                rows.append((hashes, first.view(np.int64), bitmap_of(tokens, settings.bitmap).tobytes()))
-            yield pd.DataFrame(rows, columns=["hashes", "first", "bits"])
+                rows.append((len(tokens), hashes, first.view(np.int64), bitmap_of(tokens, settings.bitmap).tobytes()))
+            yield pd.DataFrame(rows, columns=["n", "hashes", "first", "bits"])
 
     made = owners(documents, key, text, nodes).withColumn("s", signed("t"))
-    return made.select("id", "n", "s.hashes", "s.first", "s.bits")
+    return made.select("id", "s.n", "s.hashes", "s.first", "s.bits")
 
 
 def owners(documents: DataFrame, key: str, text: str, nodes: DataFrame) -> DataFrame:
@@ -267,7 +270,7 @@ def across(signed: DataFrame, groups: Stored, settings: Settings, few: bool = Fa
     shared = posted.groupBy("token").agg(F.min("own").alias("lo"), F.max("own").alias("hi"), F.count("*").alias("m"))
     shared = shared.where("lo < hi").select("token", F.ceil(F.col("m") / settings.cell).cast("int").alias("parts"))
     shared = checked(spark, store(shared, "join-tokens"))
-    rows = grouped.select("id", "n", "own", "bits", F.explode("first").alias("token")).join(shared, "token")
+    rows = grouped.select("id", "n", "own", "bits", F.posexplode("first").alias("place", "token")).join(shared, "token")
     # a token of many sets: each part meets each part, itself too, in a cell
     part = F.pmod(F.xxhash64("id", "token"), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
@@ -278,6 +281,9 @@ def across(signed: DataFrame, groups: Stored, settings: Settings, few: bool = Fa
     def traversed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for cells in whole(batches, ["token", "lo", "hi"]):
             a, b = cell_pairs(cells, settings)
+            if settings.ordered:
+                keep = from_here(cells, a, b, settings.percent)
+                a, b = a[keep], b[keep]
             ids = cells["id"].to_numpy()
             pairs = pd.DataFrame({"a": np.maximum(ids[a], ids[b]), "b": np.minimum(ids[a], ids[b])})
             if few:
@@ -289,7 +295,7 @@ def across(signed: DataFrame, groups: Stored, settings: Settings, few: bool = Fa
                 pairs = pairs.iloc[order[first]]
             yield pairs.drop_duplicates()
 
-    columns = ["token", "lo", "hi", "part", "id", "n", "own", "bits"]
+    columns = ["token", "lo", "hi", "part", "id", "n", "own", "bits", *["place"] * settings.ordered]
     return rows.select(*columns).mapInPandas(traversed, "a long, b long").distinct()
 
 
@@ -309,6 +315,13 @@ def whole(batches: Iterator[pd.DataFrame], key: list[str]) -> Iterator[pd.DataFr
         yield held
 
 
+def from_here(cells: pd.DataFrame, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether two sets can be similar enough if they share no token before that of the cell."""
+    sizes = cells["n"].to_numpy(np.int64)
+    rest = sizes - cells["place"].to_numpy(np.int64)
+    return (100 + percent) * np.minimum(rest[a], rest[b]) >= percent * (sizes[a] + sizes[b])
+
+
 def cell_pairs(cells: pd.DataFrame, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Rows of each cell that the signature trees do not rule out, in different groups and parts."""
     lengths = cells["bits"].str.len().to_numpy()
@@ -366,8 +379,8 @@ def joined(documents: DataFrame, key: str = "doc_id", text: str = "text", settin
     # documents of one id and several texts: the id stands for the first set, the others are tied to it by name
     members = store(sets_of(documents, key, text, settings), "join-members").rows
     named = members.where("name is not null and id is not null").groupBy("name")
-    heads = store(named.agg(F.min("id").alias("id"), F.min("n").alias("n")), "join-heads").rows
-    nodes = store(heads.groupBy("id").agg(F.min("n").alias("n")), "join-nodes")
+    heads = store(named.agg(F.min("id").alias("id")), "join-heads").rows
+    nodes = store(heads.select("id").distinct(), "join-nodes")
     rank = frequencies(documents, text, settings)
     signed = store(signatures(documents, key, text, checked(documents.sparkSession, nodes), rank, settings), "join-signatures")
 

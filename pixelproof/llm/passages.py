@@ -109,7 +109,7 @@ def repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", setti
         rows = rows.select("id", F.split("t", "\n")[F.col("line")].alias("t"))
         return rows.where("t is not null")
 
-    join = ngram_join.Settings(percent=settings.percent, bitmap=256)
+    join = ngram_join.Settings(percent=settings.percent, bitmap=256, ordered=False)
     close = ngram_join.compared(ngram_join.near_copies(heads, join), texts, settings.percent)
     groups = graph.components(close.rows)
     some = ngram_join.compared(ngram_join.across(heads, groups, join, few=True), texts, settings.percent)

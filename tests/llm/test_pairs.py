@@ -133,6 +133,26 @@ def test_forest_tells_unlike_sets_of_any_size_apart(n):
     assert len(a) == 0
 
 
+def test_unlike_sets_of_many_common_tokens_are_not_listed(spark, documents):
+    """Texts of 190 common words and 40 of their own share two thirds of their shingles."""
+    base = prose(9, 190)
+    rows = [(i, f"{base} {' '.join(f'own{i}x{j}' for j in range(40))}") for i in range(30)]
+    sets = [shingles(t) for _, t in rows]
+    assert all(similar(x, y, 65) and not similar(x, y) for k, x in enumerate(sets) for y in sets[k + 1 :])
+    settings, table = ngram_join.Settings(), documents(rows)
+    nodes = table.select(F.col("doc_id").alias("id"), F.lit(len(sets[0])).alias("n"))
+    rank = ngram_join.frequencies(table, "text", settings)
+    signed = ngram_join.signatures(table, "doc_id", "text", nodes, rank, settings)
+    groups = graph.components(spark.createDataFrame([], "a long, b long"))
+    assert ngram_join.across(signed, groups, settings).count() < 40  # of 435
+
+
+def test_join_by_the_longer_text_of_an_id(documents):
+    long = prose(4, 200)
+    found = ngram_join.joined(documents([(5, prose(3, 60)), (5, long), (6, edited(long, [100])), (7, prose(8, 60))])).collect()
+    assert {(r["id"], r["component"]) for r in found} == {(5, 5), (6, 5), (7, 7)}
+
+
 def test_join_of_awkward_tables(awkward, empty):
     found = ngram_join.joined(awkward).collect()
     assert len(found) == awkward.count()
