@@ -92,15 +92,16 @@ def repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", setti
     """
     settings = settings or Settings()
     ready(documents)
-    all_rows = store(paragraphs(documents, key, text, settings), "passages").rows
-    places = all_rows.select("doc", "line", "start", "stop", "id")
-    heads = all_rows.groupBy("id").agg(
+    all_rows = store(paragraphs(documents, key, text, settings), "passages")
+    places = all_rows.rows.select("doc", "line", "start", "stop", "id")
+    heads = all_rows.rows.groupBy("id").agg(
         F.min(F.struct("doc", "line")).alias("at"),
         F.first("n").alias("n"),
         F.first("bands").alias("hashes"),
         F.first("bits").alias("bits"),
     )
-    heads = store(heads.withColumn("first", F.col("hashes")), "passage-nodes").rows
+    nodes = store(heads, "passage-nodes")
+    heads = nodes.rows.withColumn("first", F.col("hashes"))
 
     def texts(wanted: DataFrame) -> DataFrame:
         where = store(heads.join(wanted, "id").select("id", "at.doc", "at.line"), "passage-places")
@@ -120,6 +121,8 @@ def repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", setti
     named = heads.select("id").join(groups.rows.withColumnRenamed("node", "id"), "id", "left")
     named = named.select("id", F.coalesce("component", "id").alias("component"))
     grouped = store(places.join(named, "id"), "passage-groups").rows
+    for table in (all_rows, nodes):  # signatures, which are most of what is written so far
+        table.discard()
     ends = grouped.groupBy("component").agg(
         F.min(F.struct("doc", "line")).alias("kept"), F.min("doc").alias("lo"), F.max("doc").alias("hi")
     )
@@ -208,6 +211,7 @@ def shared_windows(documents: DataFrame, key: str, text: str, settings: Settings
 
     kind = "doc long, pos int, line int, start int, stop int, h1 long, h2 long"
     every = store(rows.join(wanted.rows, "doc").mapInPandas(windows, kind), "run-windows")
+    wanted.discard()
     first = F.min(F.struct("doc", "pos", "line")).alias("first")
     heads = every.rows.groupBy("h1", "h2").agg(first, F.max("doc").alias("hi")).where("first.doc < hi").drop("hi")
     heads = ngram_join.checked(spark, store(heads, "run-heads"))

@@ -1,6 +1,7 @@
 """Joins, searches, passages and mixing against brute force on small tables."""
 
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pixelproof.llm import ann, blocks, graph, mixing, ngram_join, passages, topk
 from pixelproof.llm.text import shingles
+from pixelproof.llm.work import store
 
 
 def united(pairs, nodes):
@@ -386,3 +388,13 @@ def test_top_k_score_beyond_64_bits_is_an_error(spark):
         topk.top_k(scaled, scaled.where("id = 0")).collect()
     with pytest.raises(Exception, match="not finite"):
         topk.scaled(spark.createDataFrame([(0, [1e308])], SCHEMA), "vec_id", "embedding", 64.0).collect()
+
+
+def test_passages_keep_no_signatures_on_disk(documents):
+    folder = Path(store(documents([]), "beside").path.removeprefix("file:")).parent
+    before = set(folder.iterdir())
+    base = prose(6, 120)
+    found = passages.spans(documents([(1, base), (2, f"{base} {prose(7, 20)}"), (3, prose(8, 70))])).collect()
+    assert {r["doc"] for r in found} == {1, 2}
+    kept = {p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before}
+    assert "passage-groups" in kept and not kept & {"passages", "passage-nodes", "run-pieces", "run-wanted"}
