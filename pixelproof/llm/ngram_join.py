@@ -26,13 +26,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 from xxhash import xxh3_128_digest
 
 from . import graph
-from .sums import summed
 from .text import mixed, shingles
 from .work import Stored, ready, store
 
@@ -136,57 +136,90 @@ class Tree:
         return (i, j) if len(self.low) > 1 else (i[:0], j[:0])
 
 
-def sets_of(documents: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
-    """Each document's id, size of its set, and the set's name; a document without words has no name."""
+def counted(documents: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
+    """Each document's id, size of its set, and the set's name; a document without words has no name.
+
+    A partition adds one row that holds nothing but a sketch: how often its tokens fall on each of the counters,
+    up to 255, which tells common tokens from rare ones as well.
+    """
     ready(documents)
 
-    @F.pandas_udf("struct<n:bigint,name:binary>")
-    def named(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in texts:
-            sets = [shingles(t) for t in batch]
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(settings.sketch, np.int64)
+        for batch in batches:
+            sets = [shingles(t) for t in batch["t"].to_pylist()]
+            slots = (np.concatenate([*sets, np.empty(0, np.uint64)]) >> np.uint64(20)).astype(np.int64) & (settings.sketch - 1)
+            np.add.at(total, slots, 1)
             names = [xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-            yield pd.DataFrame({"n": [len(s) for s in sets], "name": pd.Series(names, dtype=object)})
+            columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()), pa.nulls(len(sets), pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch["id"].cast(pa.int64()), *columns], COUNTED.names)
+        if total.any():
+            few = np.minimum(total, 255).astype(np.uint8).tobytes()
+            yield pa.RecordBatch.from_pylist([{"sketch": few}], COUNTED)
 
-    made = documents.select(F.col(key).cast("bigint").alias("id"), named(text).alias("s"))
-    return made.select("id", F.col("s.n").alias("n"), F.col("s.name").alias("name"))
+    rows = documents.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("t"))
+    return rows.mapInArrow(measured, "id bigint, n bigint, name binary, sketch binary")
 
 
-def frequencies(documents: DataFrame, text: str, settings: Settings) -> np.ndarray:
+COUNTED = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("name", pa.binary()), ("sketch", pa.binary())])
+MEET = 32  # sketches that are added in one task
+
+
+def common(counted: DataFrame, settings: Settings) -> np.ndarray:
     """How common tokens are: a logarithm of counts in a sketch of fixed size, over all documents.
 
-    A partition counts up to 255 for each counter, which tells common tokens from rare ones as well.
+    The sketches meet in a tree.
     """
 
-    def counted(batch: pd.DataFrame) -> np.ndarray:
-        slots = [(shingles(t) >> np.uint64(20)).astype(np.int64) & (settings.sketch - 1) for t in batch["t"]]
-        return np.bincount(np.concatenate(slots), minlength=settings.sketch)
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(settings.sketch, np.int64)
+        for batch in batches:
+            for sketch in batch["sketch"]:
+                part = np.frombuffer(sketch.as_buffer(), np.uint8)
+                total += part if len(part) == settings.sketch else part.view(np.int64)
+        if total.any():
+            yield pa.RecordBatch.from_pydict({"sketch": [total.tobytes()]}, pa.schema([("sketch", pa.binary())]))
+
+    sketches = counted.where("sketch is not null").select("sketch")
+    left = sketches.count()
+    while left > 1:
+        left = -(-left // MEET)
+        sketches = sketches.repartition(left).mapInArrow(added, "sketch binary")
+    one = sketches.first()
+    total = np.zeros(settings.sketch, np.int64)
+    if one:
+        sketch = bytes(one["sketch"])
+        total = np.frombuffer(sketch, np.uint8 if len(sketch) == settings.sketch else np.int64)
+    return np.minimum(255, 8 * np.log2(1 + total.astype(np.float64))).astype(np.uint8)
 
-    def few_bits(total: np.ndarray) -> np.ndarray:
-        return np.minimum(total, 255).astype(np.uint8)
 
-    total = summed(documents.select(F.col(text).alias("t")), counted, ["t"], few_bits)
-    # a single part comes as it was sent, in few bits
-    total = np.zeros(settings.sketch) if total is None else total.astype(np.float64)
-    return np.minimum(255, 8 * np.log2(1 + total)).astype(np.uint8)
+def frequencies(documents: DataFrame, text: str, settings: Settings) -> np.ndarray:
+    """The same for documents that were not counted before."""
+    return common(counted(documents.withColumn("__none", F.lit(None)), "__none", text, settings), settings)
 
 
 def signatures(documents: DataFrame, key: str, text: str, nodes: DataFrame, rank: np.ndarray, settings: Settings):
     """For each text of a node: id, n, minimum hashes, first tokens, bitmap."""
     sent = ready(documents).sparkContext.broadcast(rank)
 
-    @F.pandas_udf("struct<n:bigint,hashes:array<bigint>,first:array<bigint>,bits:binary>")
-    def signed(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in texts:
-            rows = []
-            for t in batch:
-                tokens = shingles(t)
-                hashes = [int(mixed(tokens, 100 + i).min().view(np.int64)) for i in range(settings.hashes)]
-                first = first_tokens(tokens, sent.value, settings.percent)
-                rows.append((len(tokens), hashes, first.view(np.int64), bitmap_of(tokens, settings.bitmap).tobytes()))
-            yield pd.DataFrame(rows, columns=["n", "hashes", "first", "bits"])
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t) for t in batch["t"].to_pylist()]
+            hashes = [[mixed(tokens, 100 + i).min() for i in range(settings.hashes)] for tokens in sets]
+            first = [first_tokens(tokens, sent.value, settings.percent) for tokens in sets]
+            bits = [bitmap_of(tokens, settings.bitmap).tobytes() for tokens in sets]
+            columns = [pa.array([len(tokens) for tokens in sets], pa.int64()), lists(hashes), lists(first), pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch["id"], *columns], ["id", "n", "hashes", "first", "bits"])
+
+    made = owners(documents, key, text, nodes).select("id", "t")
+    return made.mapInArrow(signed, "id bigint, n bigint, hashes array<bigint>, first array<bigint>, bits binary")
+
 
-    made = owners(documents, key, text, nodes).withColumn("s", signed("t"))
-    return made.select("id", "s.n", "s.hashes", "s.first", "s.bits")
+def lists(arrays: list, kind: type = np.uint64) -> pa.ListArray:
+    """A column of arrays of whole numbers; those without sign keep their bits."""
+    ends = np.concatenate([[0], np.cumsum([len(a) for a in arrays], dtype=np.int64)]).astype(np.int32)
+    values = np.concatenate([np.empty(0, kind), *[np.asarray(a, kind) for a in arrays]])
+    return pa.ListArray.from_arrays(ends, values.view(np.int64) if kind is np.uint64 else values)
 
 
 def owners(documents: DataFrame, key: str, text: str, nodes: DataFrame) -> DataFrame:
@@ -377,11 +410,12 @@ def joined(documents: DataFrame, key: str = "doc_id", text: str = "text", settin
     settings = settings or Settings()
     ready(documents)
     # documents of one id and several texts: the id stands for the first set, the others are tied to it by name
-    members = store(sets_of(documents, key, text, settings), "join-members").rows
+    measured = store(counted(documents, key, text, settings), "join-members").rows
+    members = measured.where("sketch is null").drop("sketch")
     named = members.where("name is not null and id is not null").groupBy("name")
     heads = store(named.agg(F.min("id").alias("id")), "join-heads").rows
     nodes = store(heads.select("id").distinct(), "join-nodes")
-    rank = frequencies(documents, text, settings)
+    rank = common(measured, settings)
     signed = store(signatures(documents, key, text, checked(documents.sparkSession, nodes), rank, settings), "join-signatures")
 
     def texts(wanted: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """Joins, searches, passages and mixing against brute force on small tables."""
 
+import re
 from collections import defaultdict
 from pathlib import Path
 
@@ -10,6 +11,7 @@ from conftest import prose
 from pyspark.sql import functions as F
 
 from pixelproof.llm import ann, blocks, graph, mixing, ngram_join, passages, topk
+from pixelproof.llm import text
 from pixelproof.llm.text import shingles
 from pixelproof.llm.work import store
 
@@ -398,3 +400,30 @@ def test_passages_keep_no_signatures_on_disk(documents):
     assert {r["doc"] for r in found} == {1, 2}
     kept = {p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before}
     assert "passage-groups" in kept and not kept & {"passages", "passage-nodes", "run-pieces", "run-wanted"}
+
+
+def test_words_are_hashed_alike_wherever_they_stand(monkeypatch):
+    monkeypatch.setattr(text, "CHUNK", 64)
+    monkeypatch.setattr(text, "_POWERS", text.powers(65))
+    long = "ab c\t" * 40 + "x" * 300 + "\né AB " + prose(1, 200)
+    names, begins = text.word_hashes(long)
+    words, raw = text.shingle_words(long), long.encode().lower()
+    seen = {}
+    assert all(raw[at : at + len(w)] == w and seen.setdefault(w, n) == n for w, n, at in zip(words, names, begins, strict=True))
+    assert len(set(seen.values())) == len(seen) and seen[b"ab"] == text.word_hashes("Ab")[0][0]
+
+
+def test_join_counts_tokens_where_it_names_sets(documents, monkeypatch):
+    monkeypatch.setattr(ngram_join, "frequencies", None)  # no pass over the texts of its own
+    found = ngram_join.joined(documents([(1, prose(1)), (2, edited(prose(1), [3])), (3, prose(2))]).repartition(3)).collect()
+    assert {(r["id"], r["component"]) for r in found} == {(1, 1), (2, 1), (3, 3)}
+
+
+def test_stored_tables_leave_no_shuffles(spark, documents):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    table = documents([(i, prose(i)) for i in range(50)]).repartition(3, "doc_id")
+    store(table, "shuffles-first")
+    before = files.getAllFiles().size()
+    for _ in range(3):
+        store(table, "shuffles")
+    assert files.getAllFiles().size() <= before
