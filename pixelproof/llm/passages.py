@@ -17,12 +17,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from . import graph, ngram_join
-from .text import SHINGLE, hashes, mixed, shingle_words, shingles
+from .text import SHINGLE, STEP, in_a_row, mixed, powers, word_hashes
 from .work import ready, store
 
 
@@ -47,8 +48,8 @@ def tuned(settings: Settings) -> tuple[int, int]:
 
 def bands_of(tokens: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """One hash for each band of minimum hashes; the number of the band is part of it."""
-    salts = np.arange(1, bands * rows + 1, dtype=np.uint64)[:, None] * np.uint64(0xD6E8FEB86659FD93)
-    least = mixed(tokens[None, :] ^ salts, 11).min(1).reshape(bands, rows)
+    salts = mixed(np.arange(1, bands * rows + 1, dtype=np.uint64), 11)[:, None] | np.uint64(1)  # tokens are hashes already
+    least = (tokens[None, :] * salts).min(1).reshape(bands, rows)
     out = np.arange(1, bands + 1, dtype=np.uint64)
     for row in range(rows):
         out = mixed(out ^ least[:, row], 13 + row)
@@ -59,28 +60,43 @@ def paragraphs(documents: DataFrame, key: str, text: str, settings: Settings) ->
     """Each long enough paragraph: doc, line, its first and last character, its node id, size, bands and bitmap."""
     ready(documents)
     bands, rows = tuned(settings)
-    kind = "line:int,start:int,stop:int,id:bigint,n:bigint,bands:array<bigint>,bits:binary"
-
-    @F.pandas_udf(f"array<struct<{kind}>>")
-    def found(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            out = []
-            for t in batch:
-                at, own = 0, []
-                for number, line in enumerate((t or "").split("\n")):
-                    if len(line) >= 2 * settings.words - 1 and len(shingle_words(line)) >= settings.words:
-                        tokens = shingles(line)
-                        name = int(np.uint64(xxh3_64_intdigest(tokens.tobytes())).view(np.int64))
-                        own.append({
-                            "line": number, "start": at, "stop": at + len(line), "id": name, "n": len(tokens),
-                            "bands": bands_of(tokens, bands, rows), "bits": ngram_join.bitmap_of(tokens, 256).tobytes(),
-                        })
-                    at += len(line) + 1
-                out.append(own)
-            yield pd.Series(out, dtype=object)
-
-    made = documents.select(F.col(key).cast("bigint").alias("doc"), F.explode(found(text)).alias("p"))
-    return made.select("doc", "p.*").where("doc is not null")
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owners, places, sets = [], [], []
+            for row, t in enumerate(batch["t"].to_pylist()):
+                words, begins = word_hashes(t)
+                if len(words) < settings.words:
+                    continue
+                feeds = np.flatnonzero(np.frombuffer(t.encode("utf-8", "surrogatepass"), np.uint8) == 10)
+                first = np.searchsorted(begins, np.concatenate([[0], feeds]))  # the first word of each line
+                last = np.append(first[1:], len(words))
+                long = np.flatnonzero(last - first >= settings.words)
+                if not len(long):
+                    continue
+                stops = np.cumsum([len(line) + 1 for line in t.split("\n")]) - 1
+                starts = np.append(0, stops[:-1] + 1)
+                tokens = in_a_row(words)
+                for line in long.tolist():
+                    sets.append(np.unique(tokens[first[line] : last[line] - SHINGLE + 1]))
+                owners.append(np.full(len(long), row))
+                places.append(np.column_stack([long, starts[long], stops[long]]))
+            at, place = np.concatenate([np.empty(0, int), *owners]), np.concatenate([np.empty((0, 3), int), *places])
+            names = np.array([xxh3_64_intdigest(tokens.tobytes()) for tokens in sets], np.uint64).view(np.int64)
+            bits = [ngram_join.bitmap_of(tokens, 256).tobytes() for tokens in sets]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["doc"].take(pa.array(at)), *[pa.array(x.astype(np.int32)) for x in place.T],
+                    pa.array(names), pa.array([len(tokens) for tokens in sets], pa.int64()),
+                    ngram_join.lists([bands_of(tokens, bands, rows) for tokens in sets], np.int64), pa.array(bits, pa.binary()),
+                ],
+                ["doc", "line", "start", "stop", "id", "n", "bands", "bits"],
+            )
+
+    kind = "doc bigint, line int, start int, stop int, id bigint, n bigint, bands array<bigint>, bits binary"
+    return documents.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("t")).where(
+        "doc is not null"
+    ).mapInArrow(found, kind)
 
 
 def repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings | None = None) -> DataFrame:
@@ -134,34 +150,38 @@ def repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", setti
     )
 
 
-STEP = 0x9E3779B97F4A7C15  # fixed value: odd, so it has an inverse among numbers of 64 bits
-
-
 def run_hashes(words: np.ndarray, width: int, salt: int) -> np.ndarray:
     """A hash for every ``width`` words in a row, from sums of the words' hashes times powers by place."""
     n = len(words) - width + 1
     if n < 1:
         return words[:0]
-    powers, back = np.full((2, len(words)), np.uint64(STEP)), np.uint64(pow(STEP, -1, 1 << 64))
-    powers[1], powers[:, 0] = back, 1
-    powers = np.cumprod(powers, 1, np.uint64)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(words, salt) * powers[0], dtype=np.uint64)])
-    return mixed((sums[width:] - sums[:-width]) * powers[1, :n], salt + 1)
+    up, down = powers(len(words))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(words, salt) * up, dtype=np.uint64)])
+    return mixed((sums[width:] - sums[:-width]) * down[:n], salt + 1)
 
 
-def anchors(words: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Where pieces of half a passage begin, and their hashes. Equal passages have such a piece at the same place.
+def elected(words: np.ndarray, settings: Settings) -> np.ndarray:
+    """For each window of a passage's words, where the piece of half a passage begins that stands for it.
 
-    The least hash of a few words among those of each stretch is taken; what lies in a passage decides it alone.
+    It is the least hash of a few words among those that begin a piece of the window, the first if they tie; what
+    lies in the window decides it alone, so equal windows have such a piece at the same place.
     """
-    half = settings.words // 2
-    if len(words) < settings.words:
-        return np.empty(0, np.int64), words[:0]
-    short = run_hashes(words, min(SHINGLE, half), 21)
-    stretch = np.lib.stride_tricks.sliding_window_view(short, settings.words - half + 1)
-    at = np.unique(stretch.argmin(1) + np.arange(len(stretch)))
-    at = at[at <= len(words) - half]
-    return at, run_hashes(words, half, 23)[at]
+    half, n = settings.words // 2, len(words) - settings.words + 1
+    if n < 1:
+        return np.empty(0, np.int64)
+    least = run_hashes(words, min(SHINGLE, half), 21)
+    at, wide, stretch = np.arange(len(least)), 1, settings.words - half + 1
+    while wide < stretch:  # the least of ``wide`` in a row, then of more
+        step = min(wide, stretch - wide)
+        later = least[step:] < least[:-step]
+        least, at = np.where(later, least[step:], least[:-step]), np.where(later, at[step:], at[:-step])
+        wide += step
+    return at[:n]
+
+
+def blocks_of(at: np.ndarray) -> np.ndarray:
+    """The first of the windows in a row that one piece stands for."""
+    return np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else at
 
 
 def word_places(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -172,53 +192,93 @@ def word_places(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2], np.searchsorted(np.flatnonzero(codes == 10), edges[::2])
 
 
+BLOCK = "doc bigint, h bigint, b bigint, pos int, names array<bigint>, lines array<int>, starts array<int>, stops array<int>"
+
+
 def shared_windows(documents: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
-    """Every window of a passage's words that two or more documents hold, word by word: doc, its place pos, line,
-    start, stop, and the first document's first_doc, first_pos, first_line."""
-    spark, width = ready(documents), settings.words
-    rows = documents.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("t")).where("doc is not null")
+    """Every window of a passage's words that two or more documents hold, word by word, in blocks.
 
-    @F.pandas_udf("array<bigint>")
-    def pieces_of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            found = [np.unique(anchors(hashes(shingle_words(t)), settings)[1]).view(np.int64) for t in batch]
-            yield pd.Series(found, dtype=object)
+    A block holds the windows in a row that one piece stands for: doc, its first window's place pos, and for each
+    window its line, start and stop. ``i`` are the windows of it that are shared, and for each of them the first
+    document that holds it, and its place and line there. Windows are equal if their pieces and they agree in 64 bits
+    each. Where all blocks of a piece are equal they are looked at as one; else windows are, of unlike blocks only.
+    """
+    spark, width, half = ready(documents), settings.words, settings.words // 2
+    rows = documents.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("t")).where("doc is not null")
 
-    posted = store(rows.select("doc", F.explode(pieces_of("t")).alias("h")), "run-pieces")
+    def pieces_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for t in batch["t"].to_pylist():
+                words, _ = word_hashes(t)
+                at = elected(words, settings)
+                found.append(np.unique(run_hashes(words, half, 23)[at[blocks_of(at)]]))
+            at = np.repeat(np.arange(len(found)), [len(own) for own in found])
+            yield pa.RecordBatch.from_arrays([batch["doc"].take(pa.array(at)), ngram_join.lists(found).flatten()], ["doc", "h"])
+
+    posted = store(rows.mapInArrow(pieces_of, "doc bigint, h bigint"), "run-pieces")
     shared = posted.rows.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("h")
     shared = ngram_join.checked(spark, store(shared, "run-shared"))
-    wanted = store(posted.rows.join(shared, "h").groupBy("doc").agg(F.collect_set("h").alias("h")), "run-wanted")
+    wanted = store(posted.rows.join(shared, "h").groupBy("doc").agg(F.collect_set("h").alias("wanted")), "run-wanted")
     posted.discard()
 
-    def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, text, hit in zip(batch["doc"], batch["t"], batch["h"], strict=True):
-                words = hashes(shingle_words(text))
-                at, names = anchors(words, settings)
-                at = at[np.isin(names.view(np.int64), hit)]
-                if not len(at):  # another text of the same id
+            heads, windows, sizes = [], [], []
+            for doc, text, hit in zip(batch["doc"].to_pylist(), batch["t"].to_pylist(), batch["wanted"], strict=True):
+                words, _ = word_hashes(text)
+                at = elected(words, settings)
+                first = blocks_of(at)
+                pieces = run_hashes(words, half, 23)[at[first]].view(np.int64)
+                n = np.diff(np.append(first, len(at)))
+                keep = np.isin(pieces, hit.values.to_numpy())
+                if not keep.any():  # another text of the same id
                     continue
-                last = len(words) - width
-                change = np.zeros(len(words) + 1, np.int64)  # windows that hold a shared piece
-                np.add.at(change, np.maximum(at - (width - settings.words // 2), 0), 1)
-                np.add.at(change, np.minimum(at, last) + 1, -1)
-                pos = np.flatnonzero(np.cumsum(change)[: last + 1])
+                names = run_hashes(words, width, 25)
+                place = np.arange(len(at)) - np.repeat(first, n)
+                whole = np.add.reduceat(mixed(names + place.astype(np.uint64) * np.uint64(STEP), 27), first)
+                whole = mixed(whole + n.astype(np.uint64), 29).view(np.int64)
+                heads.append(np.column_stack([np.full(keep.sum(), doc), pieces[keep], whole[keep], first[keep]]))
+                pos = np.flatnonzero(np.repeat(keep, n))
                 start, stop, line = word_places(text)
-                yield pd.DataFrame({
-                    "doc": doc, "pos": pos, "line": line[pos], "start": start[pos], "stop": stop[pos + width - 1],
-                    "h1": run_hashes(words, width, 25)[pos].view(np.int64), "h2": run_hashes(words, width, 27)[pos].view(np.int64),
-                })
-
-    kind = "doc long, pos int, line int, start int, stop int, h1 long, h2 long"
-    every = store(rows.join(wanted.rows, "doc").mapInPandas(windows, kind), "run-windows")
+                windows.append(np.column_stack([names[pos].view(np.int64), line[pos], start[pos], stop[pos + width - 1]]))
+                sizes.append(n[keep])
+            head, window = (np.concatenate([np.empty((0, 4), np.int64), *x]) for x in (heads, windows))
+            ends = pa.array(np.concatenate([[0], np.cumsum(np.concatenate([np.empty(0, int), *sizes]))]).astype(np.int32))
+            names, *places = (pa.array(x) for x in (window[:, 0], *window[:, 1:].astype(np.int32).T))
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array(x) for x in head[:, :3].T], pa.array(head[:, 3].astype(np.int32))]
+                + [pa.ListArray.from_arrays(ends, x) for x in (names, *places)],
+                ["doc", "h", "b", "pos", "names", "lines", "starts", "stops"],
+            )
+
+    every = store(rows.join(wanted.rows, "doc").mapInArrow(blocks, BLOCK), "run-blocks")
     wanted.discard()
-    first = F.min(F.struct("doc", "pos", "line")).alias("first")
-    heads = every.rows.groupBy("h1", "h2").agg(first, F.max("doc").alias("hi")).where("first.doc < hi").drop("hi")
-    heads = ngram_join.checked(spark, store(heads, "run-heads"))
-    return every.rows.join(heads, ["h1", "h2"]).select(
-        "doc", "pos", "line", "start", "stop", F.col("first.doc").alias("first_doc"),
-        F.col("first.pos").alias("first_pos"), F.col("first.line").alias("first_line"),
+    first = F.min(F.struct("doc", "pos", "lines", "names")).alias("first")
+    kinds = store(every.rows.groupBy("h", "b").agg(first, F.max("doc").alias("hi")), "run-kinds")
+    unlike = kinds.rows.groupBy("h").agg(F.count("*").alias("m")).where("m > 1").select("h")
+    unlike = ngram_join.checked(spark, store(unlike, "run-unlike"))
+    place = F.posexplode(F.arrays_zip("first.lines", "first.names")).alias("i", "w")
+    alone = kinds.rows.join(unlike, "h", "left_semi").select("h", "b", "hi", "first.doc", "first.pos", place)
+    alone = alone.select("h", "b", "hi", "i", "doc", (F.col("pos") + F.col("i")).alias("pos"), "w.lines", "w.names")
+    alone = store(alone, "run-windows")
+    heads = alone.rows.groupBy("h", "names").agg(F.min(F.struct("doc", "pos", "lines")).alias("first"), F.max("hi").alias("hi"))
+    heads = ngram_join.checked(spark, store(heads.where("first.doc < hi").drop("hi"), "run-heads"))
+    held = alone.rows.join(heads, ["h", "names"]).groupBy("h", "b")
+    held = held.agg(F.sort_array(F.collect_list(F.struct("i", "first"))).alias("w"))
+    held = held.select(
+        "h", "b", "w.i", F.col("w.first.doc").alias("docs"), F.col("w.first.pos").alias("places"), F.col("w.first.lines").alias("in_lines")
+    )
+    same = kinds.rows.join(unlike, "h", "left_anti").where("first.doc < hi")
+    i = F.sequence(F.lit(0), F.size("first.lines") - 1)
+    same = same.select(
+        "h", "b", i.alias("i"), F.transform(i, lambda x: F.col("first.doc")).alias("docs"),
+        F.transform(i, lambda x: F.col("first.pos") + x).alias("places"), F.col("first.lines").alias("in_lines"),
     )
+    known = store(same.unionByName(held), "run-known")
+    alone.discard()
+    kinds.discard()
+    return every.rows.drop("names").join(ngram_join.checked(spark, known), ["h", "b"])
 
 
 def spans(documents: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings | None = None) -> DataFrame:
@@ -229,39 +289,56 @@ def spans(documents: DataFrame, key: str = "doc_id", text: str = "text", setting
     """
     settings = settings or Settings()
     lines = repeats(documents, key, text, settings)
-    none = F.lit(None).cast("int")
-    lines = lines.withColumn("pos", none).withColumn("first_pos", none)
-    windows = shared_windows(documents, key, text, settings)
-    windows = windows.withColumn("removed", F.struct("doc", "pos") != F.struct("first_doc", "first_pos"))
-    columns = ["doc", "line", "start", "stop", "first_doc", "first_line", "removed", "pos", "first_pos"]
-    rows = lines.select(columns).unionByName(windows.select(columns)).repartition("doc")
-    rows = rows.sortWithinPartitions("doc", F.col("pos").asc_nulls_first(), "line", "start")
+    blocks = shared_windows(documents, key, text, settings)
+    columns = ["doc", "line", "start", "stop", "first_doc", "first_line", "removed"]
+    arrays = ["i", "docs", "places", "in_lines", "lines", "starts", "stops"]
+    none = [F.lit(0).alias(c) for c in columns[1:-1]]  # no nulls among ids, which pandas would make floats
+    blocks = blocks.select("doc", *none, F.lit(False).alias("removed"), "pos", *arrays)
+    rows = lines.select(columns).unionByName(blocks, allowMissingColumns=True).repartition("doc").sortWithinPartitions("doc")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for cells in ngram_join.whole(batches, ["doc"]):
-            whole_lines, found = cells[cells["pos"].isna()], cells[cells["pos"].notna()]
-            yield whole_lines[columns[:-2]]
-            found = found.drop_duplicates().reset_index(drop=True)
+            whole_lines = cells[cells["pos"].isna()]
+            yield whole_lines[columns]
+            found = opened(cells[cells["pos"].notna()], arrays)
             if not len(found):
                 continue
-            pos = found["pos"].to_numpy(np.int64)
-            names = np.column_stack([found["doc"], found["first_doc"], pos - found["first_pos"].to_numpy(np.int64)])
+            pos = found["pos"].to_numpy()
+            names = np.column_stack([found["doc"], found["first_doc"], pos - found["first_pos"].to_numpy()])
             new = np.concatenate([[True], (names[1:] != names[:-1]).any(1) | (np.diff(pos) != 1)])
             starts = np.flatnonzero(new)
             runs = found.iloc[starts].copy()
             runs["stop"] = found["stop"].to_numpy()[np.append(starts[1:], len(found)) - 1]
+            runs["removed"] = (runs["doc"] != runs["first_doc"]) | (runs["pos"] != runs["first_pos"])
             own: dict[tuple[int, bool], list[tuple[int, int]]] = {}
             for r in whole_lines.itertuples():
                 own.setdefault((r.doc, r.removed), []).append((r.start, r.stop))
             outside = [
                 not any(a <= r.start and r.stop <= b for a, b in own.get((r.doc, r.removed), ())) for r in runs.itertuples()
             ]
-            yield runs.loc[outside, columns[:-2]]
+            yield runs.loc[outside, columns]
 
     kind = "doc long, line int, start int, stop int, first_doc long, first_line int, removed boolean"
     return rows.mapInPandas(run, kind)
 
 
+def opened(blocks: pd.DataFrame, arrays: list[str]) -> pd.DataFrame:
+    """The shared windows of blocks, in order, once each."""
+    sizes = blocks["lines"].str.len().to_numpy(np.int64) if len(blocks) else np.empty(0, np.int64)
+    shared = blocks["i"].str.len().to_numpy(np.int64) if len(blocks) else sizes
+    i, docs, places, in_lines, lines, starts, stops = (
+        np.concatenate([np.empty(0, np.int64), *blocks[c]]).astype(np.int64) for c in arrays
+    )
+    at = np.repeat(np.cumsum(sizes) - sizes, shared) + i
+    found = pd.DataFrame({
+        "doc": np.repeat(blocks["doc"].to_numpy(np.int64), shared),
+        "pos": np.repeat(blocks["pos"].to_numpy(np.int64), shared) + i,
+        "line": lines[at], "start": starts[at], "stop": stops[at],
+        "first_doc": docs, "first_pos": places, "first_line": in_lines,
+    })
+    return found.drop_duplicates().sort_values(["doc", "pos", "line", "start"], kind="stable", ignore_index=True)
+
+
 def without(documents: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without what ``repeats`` or ``spans`` mark as removed; a text of nothing else becomes empty.
 

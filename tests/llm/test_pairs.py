@@ -427,3 +427,42 @@ def test_stored_tables_leave_no_shuffles(spark, documents):
     for _ in range(3):
         store(table, "shuffles")
     assert files.getAllFiles().size() <= before
+
+
+def test_runs_by_brute_force_and_in_blocks(spark, documents):
+    """Runs of texts with edits and repetitions; windows in a row that one piece stands for are one row."""
+    base = [f"{w}{i}" for i, w in enumerate(prose(5, 400).split())]
+    rows, big = [], 1 << 60
+    for i in range(6):
+        words = base[i * 20 : 300 + i * 15]
+        words = [f"own{i}" if (k * 7 + i * 13) % 83 == 0 else w for k, w in enumerate(words)]
+        words += ["la", "lu"] * (30 + i) + [f"end{i}"]
+        rows.append((big + i, "\n".join(" ".join(words[k : k + 40]) for k in range(0, len(words), 40))))
+    rows.append((big + 9, rows[0][1]))
+    folder = Path(store(documents([]), "beside").path.removeprefix("file:")).parent
+    before = set(folder.iterdir())
+    found = {(r["doc"], r["start"], r["stop"], r["first_doc"], r["first_line"], r["removed"]) for r in passages.spans(documents(rows)).collect()}
+    first, holders, expected, n = {}, defaultdict(set), set(), 0
+    for d, t in rows:
+        words = t.split()
+        for p in range(len(words) - 49):
+            first.setdefault(tuple(words[p : p + 50]), (d, p))
+            holders[tuple(words[p : p + 50])].add(d)
+    for d, t in rows:
+        words = t.split()
+        starts = [m.start() for m in re.finditer(r"\S+", t)]
+        runs, last = [], None
+        for p in range(len(words) - 49):
+            w = tuple(words[p : p + 50])
+            if len(holders[w]) > 1:
+                n += 1
+                name = (first[w][0], p - first[w][1])
+                if last != (name, p - 1):
+                    runs.append([p, p])
+                runs[-1][1], last = p, (name, p)
+        for a, b in runs:
+            one, at = first[tuple(words[a : a + 50])]
+            expected.add((d, starts[a], starts[b + 49] + len(words[b + 49]), one, at // 40, (d, a) != (one, at)))
+    assert found == expected
+    made = {p.name.rsplit("-", 1)[0]: p for p in set(folder.iterdir()) - before}
+    assert spark.read.parquet(str(made["run-blocks"])).count() < n / 4
