@@ -19,7 +19,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -90,14 +90,14 @@ class Pieces:
             self.codes[ord(char)] = self.ids[char]
         # what two neighbours merge into, for every way to cut a piece in two symbols
         merges = {
-            (self.code(p[:i]) << 32 | self.code(p[i:])): (place, self.ids[p])
+            (self.code(p[:i]) << 32 | self.code(p[i:])): place
             for p, place in self.order.items()
             for i in range(1, len(p))
             if all(len(half) == 1 or half in self.ids for half in (p[:i], p[i:]))
         }
         self.pairs = np.array(sorted(merges), np.int64)
-        self.places = np.array([merges[k][0] for k in self.pairs.tolist()] + [NEVER], np.int64)
-        self.becomes = np.array([merges[k][1] for k in self.pairs.tolist()] + [-1], np.int64)
+        self.places = np.array([merges[k] for k in self.pairs.tolist()] + [NEVER], np.int64)
+        self.becomes = np.array([self.ids[p] for p in self.order], np.int64)  # by place
 
     def code(self, symbol: str) -> int:
         """A symbol's number: its id, or one of its own for a character that is no piece."""
@@ -105,11 +105,11 @@ class Pieces:
         return UNKNOWN + ord(symbol) if one is None else one
 
     def found(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Where pairs of symbols stand among the merges; the last place if they do not merge."""
+        """The places of the merges of pairs of symbols, ``NEVER`` if they do not merge."""
         key = left << 32 | right
         at = np.searchsorted(self.pairs, key)
         at[at == len(self.pairs)] = 0
-        return np.where(self.pairs[at] == key, at, len(self.pairs))
+        return np.where(self.pairs[at] == key, self.places[at], NEVER)
 
     def few(self, units: list[str], skipped) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Segmentations of units of one length, short ones: row by row an agenda with an entry between neighbours.
@@ -122,18 +122,18 @@ class Pieces:
         # one column more than there are symbols, so that a row can always be moved up by one
         symbols = np.concatenate([chars, np.full((len(units), 1), -1)], 1)
         starts = np.tile(np.append(np.arange(n + 1), n), (len(units), 1))
-        agenda = np.full((len(units), n + 1), len(self.pairs), np.int64)  # places of merges in self.pairs
+        agenda = np.full((len(units), n + 1), NEVER, np.int64)
         agenda[:, : n - 1] = self.found(chars[:, :-1], chars[:, 1:])
         active, columns, wide = np.arange(len(units)), np.arange(n + 1), np.arange(n + 2)
         made: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64),) * 2]
         while len(active):
-            order = self.places[agenda[active]]
+            order = agenda[active]
             at = order.argmin(1)
             go = order[np.arange(len(active)), at] != NEVER
             active, at = active[go], at[go]
             place = place_of(starts[active, at], starts[active, at + 2])
             skip = skipped(active, place)
-            agenda[active[skip], at[skip]] = len(self.pairs)
+            agenda[active[skip], at[skip]] = NEVER
             rows, at = active[~skip], at[~skip]
             if not len(rows):
                 continue
@@ -261,18 +261,22 @@ class Drawing:
         self.ids.add(space, np.array([len(space)]))
         self.merges.add(np.empty(0, np.int64), np.zeros(1, np.int64))
 
-    def add(self, units: list[str], skipped_of, barred: list[tuple[int, ...]]) -> np.ndarray:
-        """Work out units that are not long, those of one length together; the numbers of their outcomes."""
+    def add(self, units: list[str], skipped_of, barred: list[tuple[int, ...]] | None = None) -> np.ndarray:
+        """Work out units that are not long, those of one length together; the numbers of their outcomes.
+
+        Without ``barred`` they are not to be kept, and have no unit.
+        """
         numbers = np.empty(len(units), np.int64)
-        by_length: dict[int, list[int]] = {}
-        for i, unit in enumerate(units):
-            by_length.setdefault(len(unit), []).append(i)
-        for some in by_length.values():
+        lengths = np.fromiter(map(len, units), np.int64, len(units))
+        order = np.argsort(lengths, kind="stable")
+        for some in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1):
             for start in range(0, len(some), TOGETHER):
                 part = some[start : start + TOGETHER]
-                ids, counts, merges, n_merges = self.model.few([units[i] for i in part], skipped_of(part))
-                numbers[part] = np.arange(len(self.unit), len(self.unit) + len(part))
-                self.unit += [(units[i], barred[i]) for i in part]
+                own = part.tolist()
+                ids, counts, merges, n_merges = self.model.few([units[i] for i in own], skipped_of(own))
+                numbers[part] = np.arange(self.ids.n, self.ids.n + len(part))
+                if barred is not None:
+                    self.unit += [(units[i], barred[i]) for i in own]
                 self.ids.add(ids, counts)
                 self.merges.add(merges, n_merges)
         return numbers
@@ -300,7 +304,6 @@ class Drawing:
         numbers[short] = self.add(
             [units[i] for i in short],
             lambda part: lambda rows, places, salt=own[part]: self.skipped(salt[rows], places),
-            [()] * len(short),
         )
         for i in (i for i, u in enumerate(units) if len(u) > SHORT):
             salt = salts[i : i + 1]
@@ -308,15 +311,14 @@ class Drawing:
                 units[i], lambda left, stop, salt=salt: bool(self.skipped(salt, np.array([place_of(left, stop) & 0xFFFFFFFF]))[0])
             )
             ids = np.array([x for symbol in symbols for x in self.model.of(symbol)])
-            numbers[i] = len(self.unit)
-            self.unit.append(("", ()))
+            numbers[i] = self.ids.n
             self.ids.add(ids, np.array([len(ids)]))
             self.merges.add(np.empty(0, np.int64), np.zeros(1, np.int64))
         return numbers
 
     def outcomes(self, units: list[str], salts: np.ndarray) -> tuple[np.ndarray, int]:
         """The outcome of each occurrence, and how many outcomes are to be kept; "" is a literal character for spaces."""
-        at = np.array([self.first.get(u, -1) for u in units], np.int64)
+        at = np.fromiter(map(self.first.get, units, repeat(-1)), np.int64, len(units))
         unseen = np.flatnonzero(at < 0)
         often = [u for u, n in Counter(units[i] for i in unseen.tolist()).items() if n > 1 and len(u) <= SHORT]
         self.first.update(zip(often, self.learn([(u, ()) for u in often]), strict=True))
@@ -331,7 +333,7 @@ class Drawing:
             owner, earliest = np.unique(np.repeat(np.arange(len(open_)), counts)[hit], return_index=True)
             open_ = open_[owner]  # at the first of the merges that is skipped
             kinds, which, times = np.unique(at[open_] * size + places[hit[earliest]], return_inverse=True, return_counts=True)
-            known = np.array([self.next.get(k, -1) for k in kinds.tolist()], np.int64)
+            known = np.fromiter(map(self.next.get, kinds.tolist(), repeat(-1)), np.int64, len(kinds))
             new = np.flatnonzero((known < 0) & (times > 1))
             wanted = [(self.unit[k // size][0], (*self.unit[k // size][1], k % size)) for k in kinds[new].tolist()]
             known[new] = self.learn(wanted)
@@ -339,7 +341,7 @@ class Drawing:
             at[open_] = known[which]
             single.append(open_[at[open_] < 0])
             open_ = open_[at[open_] >= 0]
-        kept, alone = len(self.unit), np.concatenate(single)
+        kept, alone = self.ids.n, np.concatenate(single)
         at[alone] = self.once([units[i] for i in alone.tolist()], salts[alone])
         return at, kept
 
@@ -371,7 +373,6 @@ class Drawing:
         counts = self.ids.counts(at)
         ids = self.ids.take(at, counts)
         self.ids.n = self.merges.n = kept
-        del self.unit[kept:]
         ends = np.cumsum(np.append(0, counts))[np.append(0, np.cumsum(sizes))].tolist()
         return [None if t is None else ids[ends[i] : ends[i + 1]] for i, t in enumerate(texts)]
 
