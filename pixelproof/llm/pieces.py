@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .work import ready
+from .work import give_back, ready
 
 SPACE = "▁"  # fixed value: stands for a space in pieces
 NEVER = 1 << 60  # the place of what is no merge
@@ -401,6 +401,9 @@ def with_ids(documents: DataFrame, model_path: str, key: str = "doc_id", text: s
             made = drawing.encode(texts.tolist(), keys.tolist())
             same = [None if i is None else model.decode(i.tolist()) == t for i, t in zip(made, texts, strict=True)]
             yield pd.DataFrame({"ids": pd.Series(made, dtype=object), "exact": pd.Series(same, dtype=object)})
+            del made, same, texts, keys
+        del drawing
+        give_back()
 
     keyed = F.xxhash64(F.col(key)).bitwiseAND(F.lit(0x7FFFFFFF))
     out = documents.withColumn("__made", encode(text, keyed)).withColumn(ids, F.col("__made.ids"))

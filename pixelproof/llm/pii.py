@@ -302,7 +302,8 @@ def entities(documents: DataFrame, text: str) -> DataFrame:
         for batch in texts:
             yield pd.Series([list({(m.kind, m.value) for m in mentions(t)}) for t in batch], dtype=object)
 
-    rows = documents.select(*text_key(text), found(text).alias("e"))
+    # said not to be deterministic, or Spark finds the entities twice: first to leave out texts without any
+    rows = documents.select(*text_key(text), found.asNondeterministic()(text).alias("e"))
     return rows.select("__k1", "__k2", F.explode("e").alias("e")).select("__k1", "__k2", "e.kind", "e.value")
 
 

@@ -385,3 +385,21 @@ def test_addresses_are_those_of_the_pattern():
 ])
 def test_headers_and_unclosed_elements(page, text):
     assert webpages.main_text(page) == text
+
+
+def test_entities_are_looked_for_once(documents):
+    found = pii.entities(documents([(1, "Mail to ann@example.org."), (2, "nothing"), (3, None)]), "text")
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert [r["value"] for r in found.collect()] == ["ann@example.org"]
+
+
+def test_single_occurrences_are_not_listed(model):
+    own = pieces.Pieces(model)
+    made = []
+    drawing = pieces.Drawing(own, pieces.Settings())
+    add = drawing.add
+    drawing.add = lambda units, skipped, barred=None: made.append((barred is None, len(drawing.unit))) or add(units, skipped, barred)
+    ids = drawing.encode(["one two two three"], [7])[0]
+    assert own.decode(ids.tolist()) == "one two two three" and any(single for single, _ in made)
+    assert len(drawing.unit) == drawing.ids.n == drawing.merges.n
+    assert own.found(np.array([own.code("q")]), np.array([own.code("\x01")]))[0] == pieces.NEVER
