@@ -34,7 +34,7 @@ from xxhash import xxh3_128_digest
 
 from . import graph
 from .text import mixed, shingles
-from .work import Stored, ready, store
+from .work import Stored, give_back, ready, store
 
 SMALL_TABLE = 8 << 20  # bytes of a written table that may be sent to all tasks; larger ones are joined by shuffling
 
@@ -64,9 +64,13 @@ def first_tokens(tokens: np.ndarray, rank: np.ndarray, percent: int) -> np.ndarr
     return tokens[order[: len(tokens) - -(-percent * len(tokens) // 100) + 1]]
 
 
+def bits_for(n: int, least: int) -> int:
+    return max(least, 1 << max(0, n - 1).bit_length())
+
+
 def bitmap_of(tokens: np.ndarray, least: int) -> np.ndarray:
     """A bitmap of at least ``least`` bits, and of one to two for each token."""
-    bits = max(least, 1 << max(0, len(tokens) - 1).bit_length())
+    bits = bits_for(len(tokens), least)
     out = np.zeros(bits, np.uint8)
     out[(mixed(tokens, 3) >> np.uint64(32)).astype(np.int64) % bits] = 1
     return np.packbits(out)
@@ -84,9 +88,19 @@ def stacked(bitmaps: list[bytes], size: int) -> np.ndarray:
     return out
 
 
-def overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Common bits of rows of bitmaps."""
-    return COUNT[a & b].sum(1, dtype=np.int64)
+TOGETHER = 1 << 20  # bytes of bitmaps that are looked at together
+
+
+def overlap(bits: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Common bits of rows i and j of bitmaps."""
+    out = np.empty(len(i), np.int64)
+    if bits.shape[1] % 8 == 0:
+        bits = np.ascontiguousarray(bits).view(np.uint64)
+    step = max(1, TOGETHER // bits[:1].nbytes) if len(bits) else 1
+    for start in range(0, len(i), step):
+        some = slice(start, start + step)
+        out[some] = np.bitwise_count(bits[i[some]] & bits[j[some]]).sum(1, dtype=np.int64)
+    return out
 
 
 @dataclass
@@ -115,7 +129,7 @@ class Tree:
         """Whether a set below node i and one below node j can be similar enough."""
         low, high, spare = self.low[level], self.high[level], self.spare[level]
         ok = (100 * high[i] >= percent * low[j]) & (100 * high[j] >= percent * low[i])
-        most = overlap(self.bits[level][i], self.bits[level][j]) + np.minimum(spare[i], spare[j])
+        most = overlap(self.bits[level], i, j) + np.minimum(spare[i], spare[j])
         most = np.minimum(most, np.minimum(high[i], high[j]))
         # share / (a + b - share) >= percent / 100
         return ok & ((100 + percent) * most >= percent * (low[i] + low[j]))
@@ -156,6 +170,7 @@ def counted(documents: DataFrame, key: str, text: str, settings: Settings) -> Da
         if total.any():
             few = np.minimum(total, 255).astype(np.uint8).tobytes()
             yield pa.RecordBatch.from_pylist([{"sketch": few}], COUNTED)
+        give_back()
 
     rows = documents.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("t"))
     return rows.mapInArrow(measured, "id bigint, n bigint, name binary, sketch binary")
@@ -260,11 +275,17 @@ def compared(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], percent:
     return links
 
 
-def near_copies(signed: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs (a, b) of a set and the smallest id with the same minimum hash, if their bitmaps allow a link."""
+def hash_heads(signed: DataFrame) -> DataFrame:
+    """The smallest id (b) of the sets that agree on a minimum hash (its place i, and h), where two or more do."""
     hashes = signed.select("id", F.posexplode("hashes").alias("i", "h"))
     heads = hashes.groupBy("i", "h").agg(F.min("id").alias("b"), F.count("*").alias("m")).where("m > 1").drop("m")
-    heads = checked(signed.sparkSession, store(heads, "join-heads"))
+    return checked(signed.sparkSession, store(heads, "join-heads"))
+
+
+def near_copies(signed: DataFrame, settings: Settings, heads: DataFrame | None = None) -> DataFrame:
+    """Pairs (a, b) of a set and the smallest id with the same minimum hash, if their bitmaps allow a link."""
+    hashes = signed.select("id", F.posexplode("hashes").alias("i", "h"))
+    heads = hash_heads(signed) if heads is None else heads
     pairs = hashes.join(heads, ["i", "h"]).where("id <> b").select(F.col("id").alias("a"), "b").distinct()
     one = signed.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("x"))
     two = signed.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("y"))
@@ -287,23 +308,34 @@ def near_copies(signed: DataFrame, settings: Settings) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(possible("n_a", "x", "n_b", "y")).select("a", "b")
 
 
-def across(signed: DataFrame, groups: Stored, settings: Settings, few: bool = False) -> DataFrame:
+def in_groups(signed: DataFrame, groups: Stored) -> DataFrame:
+    """The sets with their first tokens and the group they are in."""
+    own = F.coalesce("component", "id").alias("own")
+    named = checked(signed.sparkSession, groups).withColumnRenamed("node", "id")
+    return signed.join(named, "id", "left").select("id", "n", "first", "bits", own)
+
+
+def meeting(signed: DataFrame, groups: Stored, settings: Settings, among: DataFrame | None = None) -> DataFrame:
+    """The first tokens that sets of different groups share, and the parts their sets are cut into: token, parts.
+
+    ``among`` (token) are tokens beside which there are none, if they are known: those that met before the groups grew.
+    """
+    posted = in_groups(signed, groups).select("own", F.explode("first").alias("token"))
+    posted = posted if among is None else posted.join(among, "token", "left_semi")
+    shared = posted.groupBy("token").agg(F.min("own").alias("lo"), F.max("own").alias("hi"), F.count("*").alias("m"))
+    shared = shared.where("lo < hi").select("token", F.ceil(F.col("m") / settings.cell).cast("int").alias("parts"))
+    return checked(signed.sparkSession, store(shared, "join-tokens"))
+
+
+def across(signed: DataFrame, groups: Stored, settings: Settings, few: bool = False, shared: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b) of different groups that share one of their first tokens and pass the signature tree.
 
     With ``few`` a group gives one pair for each batch of cells, with the smallest group it meets there: a first
     round of as many pairs as rows at most, which joins most groups, so that a second one, with all pairs, has
     little left. It cannot stand alone.
     """
-    spark = signed.sparkSession
-    own = F.coalesce("component", "id").alias("own")
-    grouped = signed.join(checked(spark, groups).withColumnRenamed("node", "id"), "id", "left").select(
-        "id", "n", "first", "bits", own
-    )
-    posted = grouped.select("own", F.explode("first").alias("token"))
-    shared = posted.groupBy("token").agg(F.min("own").alias("lo"), F.max("own").alias("hi"), F.count("*").alias("m"))
-    shared = shared.where("lo < hi").select("token", F.ceil(F.col("m") / settings.cell).cast("int").alias("parts"))
-    shared = checked(spark, store(shared, "join-tokens"))
-    rows = grouped.select("id", "n", "own", "bits", F.posexplode("first").alias("place", "token")).join(shared, "token")
+    shared = meeting(signed, groups, settings) if shared is None else shared
+    rows = in_groups(signed, groups).select("id", "n", "own", "bits", F.posexplode("first").alias("place", "token")).join(shared, "token")
     # a token of many sets: each part meets each part, itself too, in a cell
     part = F.pmod(F.xxhash64("id", "token"), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
@@ -327,6 +359,7 @@ def across(signed: DataFrame, groups: Stored, settings: Settings, few: bool = Fa
                 first[1:] = np.diff(larger[order]) != 0
                 pairs = pairs.iloc[order[first]]
             yield pairs.drop_duplicates()
+        give_back()
 
     columns = ["token", "lo", "hi", "part", "id", "n", "own", "bits", *["place"] * settings.ordered]
     return rows.select(*columns).mapInPandas(traversed, "a long, b long").distinct()
@@ -424,11 +457,13 @@ def joined(documents: DataFrame, key: str = "doc_id", text: str = "text", settin
     nodes.discard()
     close = compared(near_copies(signed.rows, settings), texts, settings.percent)
     groups = graph.components(close.rows)
-    some = compared(across(signed.rows, groups, settings, few=True), texts, settings.percent)
+    shared = meeting(signed.rows, groups, settings)
+    some = compared(across(signed.rows, groups, settings, True, shared), texts, settings.percent)
     groups.discard()
     tied = close.rows.unionAll(some.rows)
     groups = graph.components(tied)
-    more = compared(across(signed.rows, groups, settings), texts, settings.percent)
+    shared = meeting(signed.rows, groups, settings, shared.select("token"))
+    more = compared(across(signed.rows, groups, settings, False, shared), texts, settings.percent)
     for table in (signed, groups):
         table.discard()
     groups = graph.components(tied.unionAll(more.rows))

@@ -6,6 +6,7 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from conftest import prose
 from pyspark.sql import functions as F
@@ -466,3 +467,46 @@ def test_runs_by_brute_force_and_in_blocks(spark, documents):
     assert found == expected
     made = {p.name.rsplit("-", 1)[0]: p for p in set(folder.iterdir()) - before}
     assert spark.read.parquet(str(made["run-blocks"])).count() < n / 4
+
+
+def test_passages_look_at_words_once(documents, monkeypatch):
+    """Paragraphs and the pieces of runs come from one pass, and each shuffle of tokens is cut to those met before."""
+    made, among = [], []
+    own, meeting = passages.store, ngram_join.meeting
+    monkeypatch.setattr(passages, "store", lambda table, purpose: made.append(purpose) or own(table, purpose))
+    monkeypatch.setattr(ngram_join, "meeting", lambda *args: among.append(len(args) == 4) or meeting(*args))
+    base = prose(6, 120)
+    found = passages.spans(documents([(1, base), (2, f"{base} {prose(7, 20)}"), (3, prose(8, 70))]))
+    assert {r["doc"] for r in found.collect()} == {1, 2}
+    assert "run-wanted" in made and "run-pieces" not in made and among == [True, True]
+
+
+def test_signatures_made_together_are_those_of_each_set():
+    rng = np.random.default_rng(5)
+    sets = [np.sort(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in (1, 46, 300, 700, 46)]
+    sets.append(np.sort(np.concatenate([sets[1], sets[1][:9]])))  # tokens may repeat
+    settings = passages.Settings()
+    n, bands, bits = passages.signed(np.concatenate(sets), np.array(list(map(len, sets))), settings)
+    assert n.tolist() == [1, 46, 300, 700, 46, 46]
+    for row, tokens in enumerate(map(np.unique, sets)):
+        assert bands[row].tolist() == passages.bands_of(tokens, *passages.tuned(settings)).tolist()
+        assert bits[row] == ngram_join.bitmap_of(tokens, passages.BITMAP).tobytes()
+
+
+def test_documents_of_many_batches_stay_whole_and_runs_within_lines_are_known():
+    docs = [1] * 5 + [2] * 7 + [3] + [4] * 2 + [5] * 6
+    for size in (1, 2, 3, 5, 21):
+        table = pa.table({"doc": docs, "x": range(len(docs))})
+        cut = list(passages.whole_documents(iter(table.to_batches(max_chunksize=size))))
+        assert [x for b in cut for x in b["x"].to_pylist()] == list(range(len(docs)))
+        assert all(a["doc"][-1] != b["doc"][0] for a, b in zip(cut, cut[1:], strict=False))
+    rng = np.random.default_rng(2)
+
+    def some(n):
+        start = rng.integers(0, 60, n)
+        return [rng.integers(0, 4, n) - (1 << 62), rng.integers(0, 2, n).astype(bool), start, start + rng.integers(1, 30, n)]
+
+    runs, lines = some(300), some(40)
+    rows = [list(zip(*x, strict=True)) for x in (runs, lines)]
+    expected = [any(r[:2] == x[:2] and x[2] <= r[2] and r[3] <= x[3] for x in rows[1]) for r in rows[0]]
+    assert passages.within(runs, lines).tolist() == expected and not passages.within(runs, some(0)).any()
