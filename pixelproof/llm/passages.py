@@ -265,12 +265,12 @@ def wanted_pieces(pieces: DataFrame) -> Stored:
     return store(posted.join(shared, "h").groupBy("doc").agg(F.collect_set("h").alias("wanted")), "run-wanted")
 
 
-def shared_windows(wanted: Stored, documents: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
+def shared_windows(wanted: Stored, documents: DataFrame, key: str, text: str, settings: Settings) -> tuple[DataFrame, DataFrame]:
     """Every window of a passage's words that two or more documents hold, word by word, in blocks.
 
     ``wanted`` are the pieces to look at, and is discarded. A block holds the windows in a row that one piece stands for: doc, its first window's place pos, line, start and stop,
     and for each window its line from there on, and how far its start and stop are from those of the window before,
-    which are small numbers that take little room. ``i`` are the windows of it that are shared, and for each of them the first
+    which are small numbers that take little room. The second table names blocks by doc, pos, h and b: ``i`` are the windows of it that are shared, and for each of them the first
     document that holds it, and its place and line there. Windows are equal if their pieces and they agree in 64 bits
     each. Where all blocks of a piece are equal they are looked at as one; else windows are, of unlike blocks only.
     """
@@ -340,7 +340,9 @@ def shared_windows(wanted: Stored, documents: DataFrame, key: str, text: str, se
     known = store(same.unionByName(held), "run-known")
     alone.discard()
     kinds.discard()
-    return every.rows.drop("names").join(ngram_join.checked(spark, known), ["h", "b"])
+    # the places, which are most of a block, need not travel to what is known of it: both meet at their document
+    held = every.rows.select("doc", "h", "b", "pos").join(ngram_join.checked(spark, known), ["h", "b"])
+    return every.rows.drop("names"), held
 
 
 def spans(documents: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings | None = None) -> DataFrame:
@@ -353,17 +355,16 @@ def spans(documents: DataFrame, key: str = "doc_id", text: str = "text", setting
     all_rows = store(paragraphs(documents, key, text, settings, pieces=True), "passages")
     wanted = wanted_pieces(all_rows.rows)
     lines = repeats_among(all_rows, documents, key, text, settings)
-    blocks = shared_windows(wanted, documents, key, text, settings)
+    blocks, known = shared_windows(wanted, documents, key, text, settings)
     columns = ["doc", "line", "start", "stop", "first_doc", "first_line", "removed"]
-    arrays = ["i", "docs", "places", "in_lines", "lines", "starts", "stops"]
-    blocks = blocks.select("doc", "line", "start", "stop", "pos", *arrays)
-    rows = lines.select(columns).unionByName(blocks, allowMissingColumns=True).repartition("doc").sortWithinPartitions("doc")
+    rows = lines.select(columns).unionByName(blocks, allowMissingColumns=True).unionByName(known, allowMissingColumns=True)
+    rows = rows.repartition("doc").sortWithinPartitions("doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cells in whole_documents(batches):
             whole_lines = cells.filter(cells["pos"].is_null()).select(columns)
             yield whole_lines
-            found = opened(cells.filter(cells["pos"].is_valid()))
+            found = opened(*matched(cells.filter(cells["lines"].is_valid()), cells.filter(cells["i"].is_valid())))
             doc, pos, line, start, stop, first_doc, first_pos, first_line = found
             names = np.column_stack([doc, first_doc, pos - first_pos])
             new = np.concatenate([[True], (names[1:] != names[:-1]).any(1) | (np.diff(pos) != 1)]) if len(pos) else pos
@@ -414,10 +415,26 @@ def within(runs: list[np.ndarray], lines: list[np.ndarray]) -> np.ndarray:
     return farthest[np.searchsorted(begins, start[:n], side="right")] >= stop[:n]
 
 
-def opened(blocks: pa.RecordBatch) -> list[np.ndarray]:
+def matched(blocks: pa.RecordBatch, known: pa.RecordBatch) -> tuple[pa.RecordBatch, pa.RecordBatch]:
+    """Blocks and what is known of them, row by row, once each."""
+    names = [np.concatenate([blocks[c].to_numpy(), known[c].to_numpy()]).astype(np.int64) for c in ("doc", "pos", "h", "b")]
+    order = np.lexsort(names)
+    new = np.any([np.diff(x[order], prepend=x[order][:1]) != 0 for x in names], axis=0)
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(new)
+    n = blocks.num_rows
+    at = np.full((2, int(new.sum()) + 1), -1)
+    at[0, which[:n]] = np.arange(n)
+    at[1, which[n:]] = np.arange(known.num_rows)
+    at = at[:, (at >= 0).all(0)]
+    return blocks.take(pa.array(at[0])), known.take(pa.array(at[1]))
+
+
+def opened(blocks: pa.RecordBatch, known: pa.RecordBatch) -> list[np.ndarray]:
     """The shared windows of blocks, in order, once each: doc, pos, line, start, stop, and doc, pos and line of the first."""
-    values = {c: blocks[c].flatten().to_numpy().astype(np.int64) for c in ("i", "docs", "places", "in_lines", "lines", "starts", "stops")}
-    sizes, shared = (blocks[c].value_lengths().to_numpy().astype(np.int64) for c in ("lines", "i"))
+    values = {c: blocks[c].flatten().to_numpy().astype(np.int64) for c in ("lines", "starts", "stops")}
+    values |= {c: known[c].flatten().to_numpy().astype(np.int64) for c in ("i", "docs", "places", "in_lines")}
+    sizes, shared = (x.value_lengths().to_numpy().astype(np.int64) for x in (blocks["lines"], known["i"]))
     doc, pos, line, start, stop = (blocks[c].to_numpy().astype(np.int64) for c in ("doc", "pos", "line", "start", "stop"))
     begin = np.cumsum(sizes) - sizes
 
