@@ -8,7 +8,6 @@ every shard with a beam search; what the beams hold is scored exactly.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -170,9 +169,10 @@ def nodes_of(rows: DataFrame, k: int) -> DataFrame:
 
 
 def indexed(rows: DataFrame, settings: Settings) -> DataFrame:
-    """One row for each shard: dim, ids and vectors in vertical layout, links, entry, members."""
+    """One row for each shard: dim, ids and vectors in vertical layout, links, entry, members; stored."""
     ready(rows)
-    nodes = store(nodes_of(rows, settings.k), "ann-nodes").rows
+    stored = store(nodes_of(rows, settings.k), "ann-nodes")
+    nodes = stored.rows
     shards = max(1, -(-nodes.count() // settings.shard))
 
     def build(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
@@ -183,7 +183,7 @@ def indexed(rows: DataFrame, settings: Settings) -> DataFrame:
         return pd.DataFrame({
             "dim": [vectors.shape[1]],
             "ids": [group["id"].to_numpy(np.int64).tobytes()],
-            "vectors": [np.ascontiguousarray(vectors.T).tobytes()],
+            "vectors": [blocks.data(vectors)],
             "links": [graph.links.astype(np.int32).tobytes()],
             "entry": [graph.entry],
             "sizes": [np.array([len(m) for m in members], np.int64).tobytes()],
@@ -193,9 +193,12 @@ def indexed(rows: DataFrame, settings: Settings) -> DataFrame:
     dealt = nodes.select(
         "id", "v", "members", F.size("v").alias("dim"), F.pmod(F.xxhash64("id"), F.lit(shards)).alias("shard")
     )
-    return dealt.groupBy("dim", "shard").applyInPandas(
+    graphs = dealt.groupBy("dim", "shard").applyInPandas(
         build, f"{blocks.PACKED}, links binary, entry int, sizes binary, members binary"
     )
+    index = store(graphs, "ann-index").rows
+    stored.discard()
+    return index
 
 
 def searched(rows: DataFrame, queries: DataFrame, settings: Settings | None = None) -> DataFrame:
@@ -205,27 +208,36 @@ def searched(rows: DataFrame, queries: DataFrame, settings: Settings | None = No
     counts once, by its smaller vector. Vectors of another length are not compared. Empty tables give no rows.
     """
     settings = settings or Settings()
-    shards = store(indexed(rows, settings), "ann-index").rows
+    shards = indexed(rows, settings)
     q = blocks.packed(queries.groupBy("id").agg(F.min("v").alias("v")), settings.query_block)
-    cells = blocks.grid(store(q, "ann-queries").rows, shards, 1, max(1, shards.count()))
-
-    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        name, graph = None, None
-        for batch in batches:
-            for row in batch.itertuples():
-                x = blocks.matrix(row.vectors, row.dim).T
-                if name != row.ids:
-                    links = np.frombuffer(row.links, np.int32).reshape(len(x), -1).astype(np.int64)
-                    name, graph = row.ids, Graph(x, links, row.entry)
-                    sizes = np.frombuffer(row.sizes, np.int64)
-                    starts, members = np.cumsum(sizes) - sizes, blocks.ids(row.members)
-                yield answers(graph, x, starts, sizes, members, blocks.matrix(row.q_vectors, row.dim).T,
-                              blocks.ids(row.q_ids), settings)
-
-    found = cells.sortWithinPartitions("ids").mapInPandas(near, "query_id long, vec_id long, score double")
+
+    def near(asked: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
+        found = [NONE] * len(asked)
+        for row in candidates.itertuples():
+            x = blocks.matrix(row.vectors, row.dim, row.ids).T
+            links = np.frombuffer(row.links, np.int32).reshape(len(x), -1).astype(np.int64)
+            graph = Graph(x, links, row.entry)
+            sizes = np.frombuffer(row.sizes, np.int64)
+            starts, members = np.cumsum(sizes) - sizes, blocks.ids(row.members)
+            for i, block in enumerate(asked.itertuples()):
+                own = blocks.matrix(block.vectors, block.dim, block.ids).T
+                more = answers(graph, x, starts, sizes, members, own, blocks.ids(block.ids), settings)
+                found[i] = nearest(pd.concat([found[i], more]) if len(found[i]) else more, settings.k)
+        return pd.concat(found or [NONE])
+
+    found = blocks.met(store(q, "ann-queries").rows, shards, settings.k, near, "query_id long, vec_id long, score double")
     return blocks.best(found, settings.k, F.col("score").asc())
 
 
+#: No answers.
+NONE = pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
+
+
+def nearest(found: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k first rows of each query."""
+    return found.sort_values(["query_id", "score", "vec_id"]).groupby("query_id", sort=False).head(k)
+
+
 def answers(graph: Graph, x: np.ndarray, starts: np.ndarray, sizes: np.ndarray, members: np.ndarray, q: np.ndarray,
             q_ids: np.ndarray, settings: Settings) -> pd.DataFrame:
     """What the beams of a block of queries hold, scored on the original vectors; k rows for each query."""
@@ -244,5 +256,4 @@ def answers(graph: Graph, x: np.ndarray, starts: np.ndarray, sizes: np.ndarray,
     out = pd.DataFrame({
         "query_id": np.repeat(q_ids[rows], each), "vec_id": members[flat], "score": np.repeat(score, each)
     })
-    out = out[out["query_id"] != out["vec_id"]].sort_values(["query_id", "score", "vec_id"])
-    return out.groupby("query_id", sort=False).head(settings.k)
+    return nearest(out[out["query_id"] != out["vec_id"]], settings.k)

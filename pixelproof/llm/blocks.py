@@ -1,13 +1,14 @@
 """Vectors packed into blocks, and the grid of query blocks against candidate blocks.
 
 A block is a bounded number of vectors in one row. Each query block meets each candidate block once:
-both sides carry the coordinates of a cell of the grid, so the meeting is a join on equal keys whose
-rows are dealt evenly, whatever the vectors look like.
+both sides carry the coordinates of a cell of the grid and are shuffled to it, dealt evenly, whatever the
+vectors look like. Nothing is broadcast, so the driver holds no blocks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -17,6 +18,9 @@ from pyspark.sql import functions as F
 from .work import ready
 
 PACKED = "dim int, ids binary, vectors binary"
+CELLS = 64  # of a grid at least, or four for each core
+CELL = 64 << 20  # bytes of either side of a cell, about
+KINDS = {np.dtype(kind).itemsize: kind for kind in (np.int8, np.int16, np.float32, np.float64)}
 
 
 def usable(vectors: DataFrame, id_column: str, vector: str, zero: bool = True) -> DataFrame:
@@ -28,7 +32,7 @@ def usable(vectors: DataFrame, id_column: str, vector: str, zero: bool = True) -
     return rows if zero else rows.where(F.exists(v, lambda x: x != 0))
 
 
-def packed(rows: DataFrame, rows_per_block: int, dtype: type = np.float64) -> DataFrame:
+def packed(rows: DataFrame, rows_per_block: int) -> DataFrame:
     """Blocks of at most so many vectors of one length, in vertical layout: all first components, then all second."""
     ready(rows)
 
@@ -37,9 +41,8 @@ def packed(rows: DataFrame, rows_per_block: int, dtype: type = np.float64) -> Da
 
         def block(dim: int) -> pd.DataFrame:
             got = held.pop(dim)
-            matrix = np.array([v for _, v in got], dtype).T
             ids = np.array([i for i, _ in got], np.int64)
-            return pd.DataFrame({"dim": [dim], "ids": [ids.tobytes()], "vectors": [np.ascontiguousarray(matrix).tobytes()]})
+            return pd.DataFrame({"dim": [dim], "ids": [ids.tobytes()], "vectors": [data(np.array([v for _, v in got]))]})
 
         for batch in batches:
             for i, v in zip(batch["id"], batch["v"], strict=True):
@@ -57,26 +60,61 @@ def numbered(blocks: DataFrame, name: str) -> DataFrame:
     return blocks.withColumn(name, F.xxhash64("ids"))
 
 
-def grid(queries: DataFrame, candidates: DataFrame, query_groups: int, candidate_groups: int) -> DataFrame:
-    """Each query block beside each candidate block of its dimension: columns q_ids, q_vectors and the candidate's.
+def measured(blocks: DataFrame) -> tuple[int, int, int]:
+    """How many blocks, how many vectors in them, and their bytes."""
+    size = sum((F.length(name) for name, kind in blocks.dtypes if kind == "binary"), F.lit(0))
+    n, vectors, total = blocks.agg(F.count("*"), F.sum(F.length("ids") / 8), F.sum(size)).first()
+    return n, int(vectors or 0), int(total or 0)
 
-    Query blocks are copied to every candidate group and candidate blocks to every query group, so the work is
-    spread over query_groups * candidate_groups cells.
+
+def shape(queries: DataFrame, candidates: DataFrame, k: int) -> tuple[int, int]:
+    """Query groups and candidate groups, so that what travels is about the least for that many cells.
+
+    Candidates travel once for each query group; queries, and k answers of 24 bytes for each, once for each
+    candidate group. A group has no more than about ``CELL`` bytes.
+    """
+    cells = max(CELLS, 4 * queries.sparkSession.sparkContext.defaultParallelism)
+    q_blocks, asked, q_size = measured(queries)
+    c_blocks, _, c_size = measured(candidates)
+    rows = min(cells, round(math.sqrt(cells * (q_size + 24 * k * asked) / max(1, c_size))))
+    rows = max(1, min(q_blocks, max(rows, -(-q_size // CELL))))
+    return rows, max(1, min(c_blocks, max(-(-cells // rows), -(-c_size // CELL))))
+
+
+def met(
+    queries: DataFrame, candidates: DataFrame, k: int, function: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], answers: str
+) -> DataFrame:
+    """What ``function`` makes of the query blocks and the candidate blocks of each cell, at most k rows for a query.
+
+    Query blocks are copied to every candidate group and candidate blocks to every query group. A join may not do
+    this: Spark judges the copies by the size of the stored blocks, and broadcasts all of them.
     """
-    q = numbered(queries, "n").select(
-        "dim",
-        F.pmod("n", F.lit(query_groups)).alias("row"),
-        F.explode(F.sequence(F.lit(0), F.lit(candidate_groups - 1))).alias("column"),
-        F.col("ids").alias("q_ids"),
-        F.col("vectors").alias("q_vectors"),
-    )
-    c = numbered(candidates, "n").withColumn("column", F.pmod("n", F.lit(candidate_groups)).cast("int"))
-    c = c.withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(query_groups - 1)))).drop("n")
-    return q.join(c.withColumn("row", F.col("row").cast("bigint")), ["dim", "row", "column"])
-
-
-def matrix(data: bytes, dim: int, dtype: type = np.float64) -> np.ndarray:
-    return np.frombuffer(data, dtype).reshape(dim, -1)
+    rows, columns = shape(queries, candidates, k)
+    keys = ["dim", "row", "column"]
+
+    def each(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>"))
+
+    q = numbered(queries, "n").withColumn("row", F.pmod("n", F.lit(rows))).withColumn("column", each(columns)).drop("n")
+    c = numbered(candidates, "n").withColumn("column", F.pmod("n", F.lit(columns))).withColumn("row", each(rows)).drop("n")
+    q, c = (side.repartition(rows * columns, *keys).groupBy(*keys) for side in (q, c))
+    return q.cogroup(c).applyInPandas(function, answers)
+
+
+def data(vectors: np.ndarray) -> bytes:
+    """Vectors, one a row, in vertical layout, by the smallest type that holds each component exactly."""
+    for kind in KINDS.values():
+        with np.errstate(over="ignore", invalid="ignore"):
+            small = vectors.astype(kind)
+        if (small == vectors).all():
+            break
+    return np.ascontiguousarray(small.T).tobytes()
+
+
+def matrix(vectors: bytes, dim: int, ids: bytes) -> np.ndarray:
+    """Components by vectors, as doubles."""
+    kind = KINDS[len(vectors) * 8 // (dim * len(ids))]
+    return np.frombuffer(vectors, kind).reshape(dim, -1).astype(np.float64)
 
 
 def ids(data: bytes) -> np.ndarray:

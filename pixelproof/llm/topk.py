@@ -13,7 +13,6 @@ raises an error.
 from __future__ import annotations
 
 import operator
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +23,9 @@ from pyspark.sql import functions as F
 from . import blocks
 from .work import store
 
+DENSE = 1 / 64  # of a block's pairs
+
+
 @dataclass(frozen=True)
 class Settings:
     k: int = 20
@@ -126,20 +128,34 @@ def bounded(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray,
     def rest(m: np.ndarray, start: int) -> np.ndarray:
         return np.sqrt((m[start:].astype(np.float64) ** 2).sum(0))
 
-    sums = q[: ends[0]].T @ c[: ends[0]]
-    sure = best.certain()
-    # a rounded bound may fall short of the true one by a few parts in 2^50
-    bound = (sums + np.outer(rest(q, ends[0]), rest(c, ends[0]))) * (1 + 1e-12 * np.sign(sums)) + 1e-6
-    alive = (bound >= sure[:, None]) & (q_ids[:, None] != c_ids[None, :])
+    def possible(sums: np.ndarray, rest_q: np.ndarray, rest_c: np.ndarray, sure: np.ndarray) -> np.ndarray:
+        gain = rest_q * rest_c
+        # a rounded bound may fall short of the true one by a few parts in 2^50
+        error = 1e-12 * (max(sums.max(initial=0), -sums.min(initial=0)) + gain.max(initial=0)) + 1e-6
+        return sums + gain >= sure - error
+
+    sure = best.certain().astype(np.float64)
+    alive = q_ids[:, None] != c_ids[None, :]
+    sums = np.zeros(alive.shape, q.dtype)
+    at = 0
+    # while many are left, the products of all pairs take less time than those of the pairs that are left
+    for start, end in zip([0, *ends], ends, strict=False):
+        if at and alive.sum() <= DENSE * alive.size:
+            break
+        sums += q[start:end].T @ c[start:end]
+        alive &= possible(sums, rest(q, end)[:, None], rest(c, end), sure[:, None])
+        at = end
+    if at == dim and len(c_ids) > best.k and alive.sum() > 2 * best.k * len(q_ids):
+        known = np.where(alive, sums, -np.inf if exact else np.iinfo(np.int64).min)
+        alive &= sums >= np.partition(known, -best.k, 1)[:, -best.k, None]  # the k-th best of this block
     at_q, at_c = np.nonzero(alive)
     sums = sums[at_q, at_c]
-    for start, end in zip(ends, ends[1:], strict=False):
-        if start == end:
+    for start, end in zip([0, *ends], ends, strict=False):
+        if start < at or start == end:
             continue
         for piece in range(start, end):
             sums = sums + q[piece, at_q] * c[piece, at_c]
-        bound = (sums + rest(q, end)[at_q] * rest(c, end)[at_c]) * (1 + 1e-12 * np.sign(sums)) + 1e-6
-        live = bound >= sure[at_q]
+        live = possible(sums, rest(q, end)[at_q], rest(c, end)[at_c], sure[at_q])
         at_q, at_c, sums = at_q[live], at_c[live], sums[live]
     best.add(at_q, np.rint(sums).astype(np.int64) if exact else sums, c_ids[at_c])
 
@@ -152,30 +168,22 @@ def top_k(rows: DataFrame, queries: DataFrame, settings: Settings | None = None)
     query's are not compared with it. Ties go to smaller ids. Empty tables give no rows.
     """
     settings = settings or Settings()
-    spark = rows.sparkSession
     queries = queries.groupBy("id").agg(F.min("v").alias("v"))
-    q_blocks = store(blocks.packed(queries, settings.query_block), "topk-queries")
-    c_blocks = store(blocks.packed(rows, settings.candidate_block), "topk-rows")
-    n = c_blocks.rows.count()
-    columns = max(1, min(n, int(spark.conf.get("spark.sql.shuffle.partitions")) * 2))
-    cells = blocks.grid(q_blocks.rows, c_blocks.rows, max(1, q_blocks.rows.count() // 4), columns)
-
-    def searched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        name, best, own = None, None, None
-        for batch in batches:
-            for row in batch.itertuples():
-                if row.q_ids != name:
-                    if best:
-                        yield best.rows(own)
-                    name, own = row.q_ids, blocks.ids(row.q_ids)
-                    best = Best(len(own), settings.k)
-                q, c = blocks.matrix(row.q_vectors, row.dim), blocks.matrix(row.vectors, row.dim)
-                c_ids = blocks.ids(row.ids)
+    q_blocks = store(blocks.packed(queries, settings.query_block), "topk-queries").rows
+    c_blocks = store(blocks.packed(rows, settings.candidate_block), "topk-rows").rows
+
+    def searched(asked: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
+        found = [Best(0, settings.k).rows(np.empty(0, np.int64))]
+        for block in asked.itertuples():
+            q, own = blocks.matrix(block.vectors, block.dim, block.ids), blocks.ids(block.ids)
+            best = Best(len(own), settings.k)
+            for row in candidates.itertuples():
+                c, c_ids = blocks.matrix(row.vectors, row.dim, row.ids), blocks.ids(row.ids)
                 # a few columns first, so that a threshold is certain before the others are bounded
                 for start, end in ((0, 256), (256, len(c_ids))):
                     search(q, own, c[:, start:end], c_ids[start:end], best, settings.steps)
-        if best:
-            yield best.rows(own)
+            found.append(best.rows(own))
+        return pd.concat(found)
 
-    found = cells.sortWithinPartitions("q_ids").mapInPandas(searched, "query_id long, vec_id long, score long")
+    found = blocks.met(q_blocks, c_blocks, settings.k, searched, "query_id long, vec_id long, score long")
     return blocks.best(found, settings.k, F.col("score").desc())

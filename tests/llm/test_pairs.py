@@ -302,6 +302,41 @@ def test_graph_search_reaches_the_recall(spark, vectors):
     assert not {3000, 3020, 3040, 3060, 3080} & set(got)
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_top_k_broadcasts_no_copies_of_blocks(spark, vectors):
+    scaled = topk.scaled(spark.createDataFrame(vectors[0], SCHEMA).repartition(5), "vec_id", "embedding", 64.0)
+    found = topk.top_k(scaled, scaled.where("id % 20 = 0"), topk.Settings(query_block=16, candidate_block=100))
+    assert "Broadcast" not in plan_of(found)
+
+
+def test_copies_of_blocks_stay_few(spark):
+    """The smaller side travels more often, and a group does not outgrow a task."""
+    sizes = {"few": (3, 1 << 10), "many": (3000, 1 << 20)}
+    q, c = (
+        spark.range(n, numPartitions=1).selectExpr("1 AS dim", "cast('12345678' AS binary) AS ids", f"cast(repeat('x', {size}) AS binary) AS vectors")
+        for n, size in sizes.values()
+    )
+    rows, columns = blocks.shape(q, c, 10)
+    assert rows == 1 and columns >= max(blocks.CELLS, 3000 * (1 << 20) // blocks.CELL)
+    assert blocks.shape(c, q, 10) == (columns, 1)
+    assert blocks.shape(q.limit(0), q, 10) == (1, 3) and blocks.shape(q.limit(0), q.limit(0), 10) == (1, 1)
+
+
+def test_vectors_are_stored_exactly_in_few_bytes():
+    for size, vectors in (
+        (1, [[-128, 127.0]]), (2, [[-129, 0.0], [1, 32767]]), (4, [[32768, 2.0**24]]), (4, [[0.5, 0.1 + np.float32(0)]]),
+        (8, [[0.1, 1e300]]), (8, [[2.0**24 + 1, 0]]), (4, [[2.0**62, -(2.0**100)]]),
+    ):
+        kind = np.float32 if size == 4 else np.float64
+        vectors = np.array(np.array(vectors, kind), np.float64)
+        data = blocks.data(vectors)
+        assert len(data) == size * vectors.size
+        assert (blocks.matrix(data, vectors.shape[1], bytes(8 * len(vectors))) == vectors.T).all()
+
+
 def test_searches_of_nothing(spark):
     none = spark.createDataFrame([], SCHEMA)
     scaled = topk.scaled(none, "vec_id", "embedding", 64.0)
