@@ -312,6 +312,11 @@ def test_top_k_broadcasts_no_copies_of_blocks(spark, vectors):
     assert "Broadcast" not in plan_of(found)
 
 
+def test_graph_search_broadcasts_no_copies_of_queries(spark, vectors):
+    usable = blocks.usable(spark.createDataFrame(vectors[0], SCHEMA).repartition(5), "vec_id", "embedding", zero=False)
+    assert "Broadcast" not in plan_of(ann.searched(usable, usable.where("id % 20 = 0"), ann.Settings(shard=400)))
+
+
 def test_copies_of_blocks_stay_few(spark):
     """The smaller side travels more often, and a group does not outgrow a task."""
     sizes = {"few": (3, 1 << 10), "many": (3000, 1 << 20)}
