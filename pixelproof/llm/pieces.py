@@ -318,6 +318,7 @@ class Drawing:
 
     def outcomes(self, units: list[str], salts: np.ndarray) -> tuple[np.ndarray, int]:
         """The outcome of each occurrence, and how many outcomes are to be kept; "" is a literal character for spaces."""
+        self.ids.n = self.merges.n = len(self.unit)  # without single occurrences of the call before
         at = np.fromiter(map(self.first.get, units, repeat(-1)), np.int64, len(units))
         unseen = np.flatnonzero(at < 0)
         often = [u for u, n in Counter(units[i] for i in unseen.tolist()).items() if n > 1 and len(u) <= SHORT]
